@@ -114,12 +114,14 @@ def convert_or_quarantine(df: DataFrame, casts: Mapping[str, str]):
     """Convert columns with ``try_cast``; a row whose non-null input fails to
     convert goes to the quarantine frame instead of failing the job.
 
-    Returns ``(good, bad)``; ``bad`` keeps the original text and a ``bad_columns`` list."""
+    Returns ``(good, bad)``; ``bad`` keeps the original text plus ``bad_columns``
+    (comma-separated names of the columns that failed)."""
     converted = {c: F.col(c).try_cast(t) for c, t in casts.items()}
     failed = [F.when(F.col(c).isNotNull() & converted[c].isNull(), F.lit(c)) for c in casts]
     flagged = df.withColumn("__bad", F.array_compact(F.array(*failed)))
     good = (flagged.filter(F.size("__bad") == 0).drop("__bad").withColumns(converted))
-    bad = flagged.filter(F.size("__bad") > 0).withColumnRenamed("__bad", "bad_columns")
+    bad = (flagged.filter(F.size("__bad") > 0)
+           .withColumn("bad_columns", F.array_join("__bad", ",")).drop("__bad"))
     return good, bad
 
 

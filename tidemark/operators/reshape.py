@@ -10,12 +10,14 @@ from pyspark.sql import types as T
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], fields: Sequence[str],
-                 tickers: Sequence[str], sep: str = "_", ticker_col: str = "ticker") -> DataFrame:
-    """A frame with one ``{field}{sep}{ticker}`` column per field and ticker becomes
-    one row per (ids, ticker) with the fields as columns. A single generator
-    (``inline`` over an array of structs) - no per-ticker union."""
+                 tickers: Sequence[str], name: str = "{field}_{ticker}",
+                 ticker_col: str = "ticker") -> DataFrame:
+    """A frame with one column per (field, ticker) - named by ``name`` - becomes one
+    row per (ids, ticker) with the fields as columns. A single generator (``inline``
+    over an array of structs) in the same stage: no per-ticker union, no shuffle."""
     structs = [F.struct(F.lit(t).alias(ticker_col),
-                        *[F.col(f"`{f}{sep}{t}`").alias(f) for f in fields]) for t in tickers]
+                        *[F.col(f"`{name.format(field=f, ticker=t)}`").alias(f) for f in fields])
+               for t in tickers]
     return df.select(*ids, F.inline(F.array(*structs)))
 
 

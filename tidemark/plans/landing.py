@@ -110,3 +110,41 @@ def landed_monthly_bars(lineitem: DataFrame) -> DataFrame:
                          F.min("l_extendedprice").alias("baixa"),
                          F.max_by("l_extendedprice", _line_order()).alias("fechamento"),
                          F.sum("l_quantity").alias("volume")))
+
+
+def landed_active_quotes(orders: DataFrame) -> DataFrame:
+    """Screener extract with the API field names (plus one field the job drops): an
+    order plays a listed company, its total price the market cap."""
+    return orders.select(
+        F.col("o_orderkey").alias("symbol"),
+        F.col("o_orderpriority").alias("shortName"),
+        F.col("o_orderstatus").alias("displayName"),
+        F.col("o_totalprice").alias("regularMarketPrice"),
+        F.col("o_custkey").alias("regularMarketVolume"),
+        F.col("o_totalprice").alias("marketCap"),
+        F.col("o_orderpriority").alias("fullExchangeName"),
+        F.col("o_orderstatus").alias("quoteSourceName"),
+        F.col("o_orderdate").alias("firstTradeDate"))
+
+
+def landed_company_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Company-info extract, every field as text like the API's mixed JSON: a customer
+    plays a company. A negative balance arrives as the ``-Infinity`` sentinel; fields
+    the source lacks are absent (null). ``nation`` is TPC-H's fixed 25-row dimension;
+    the join is left to AQE (broadcast when the runtime size allows)."""
+    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name"))
+    c = customer.join(n, on="c_nationkey", how="left")
+    bal = F.col("c_acctbal")
+    price = F.when(bal < 0, F.lit("-Infinity")).otherwise(bal.cast("string"))
+    return c.select(
+        F.col("c_name").alias("symbol"),
+        F.col("c_mktsegment").alias("sector"),
+        F.col("c_mktsegment").alias("industry"),
+        F.col("c_nationkey").cast("string").alias("fullTimeEmployees"),
+        F.col("n_name").alias("country"),
+        F.col("c_custkey").cast("string").alias("marketCap"),
+        price.alias("currentPrice"),
+        price.alias("previousClose"),
+        F.col("c_custkey").cast("string").alias("volume"),
+        F.col("c_nationkey").cast("string").alias("averageVolume"),
+        (F.col("c_custkey") * F.lit(86400) + F.lit(1700000000)).cast("string").alias("exDividendDate"))

@@ -69,3 +69,333 @@ def _silver_cte():
 
 ORACLE["gold_returns"] = ("WITH " + LANDING + ",\n" + _silver_cte() + "\n"
                           + GOLD_SELECT.format(base="silver", usd="silver"))
+
+ORACLE["silver_variation"] = "WITH " + LANDING + ",\n" + _silver_cte() + "\nSELECT * FROM silver"
+
+_CUT = "DATE '2024-01-20'"
+STORED = f""",
+macro_c AS (SELECT * FROM macro WHERE data <= {_CUT}),
+quotes_c AS (SELECT * FROM quotes WHERE dataCotacao <= {_CUT}),
+fx_c AS (SELECT * FROM fx WHERE dataCotacao <= {_CUT}),
+stored AS ({SILVER_FROM.format(macro="macro_c", quotes="quotes_c", fx="fx_c")}
+),
+wm AS (SELECT max(dataCotacao) AS m FROM stored)"""
+
+
+def _newer(table, col):
+    return f"(SELECT * FROM {table} WHERE (SELECT m FROM wm) IS NULL OR {col} > (SELECT m FROM wm))"
+
+
+def _replace(stored, new):
+    return (f"SELECT * FROM {stored} s WHERE NOT EXISTS (SELECT 1 FROM {new} n "
+            f"WHERE n.dataCotacao = s.dataCotacao AND n.ticker = s.ticker)\nUNION ALL SELECT * FROM {new}")
+
+
+ORACLE["silver_increment"] = ("WITH " + LANDING + STORED + ",\nnew AS ("
+                              + SILVER_FROM.format(macro=_newer("macro", "data"),
+                                                   quotes=_newer("quotes", "dataCotacao"),
+                                                   fx=_newer("fx", "dataCotacao"))
+                              + "\n)\n" + _replace("stored", "new"))
+
+ORACLE["silver_increment_last"] = ("WITH " + LANDING + STORED + ",\n" + _silver_cte()
+                                   + ",\nnew AS " + _newer("silver", "dataCotacao") + "\n" + _replace("stored", "new"))
+
+_GOLD_STORED = ",\n" + _silver_cte() + ",\nstored_gold AS (" + GOLD_SELECT.format(base="stored", usd="stored") + """
+),
+gwm AS (SELECT max(dataCotacao) AS m FROM stored_gold),
+base AS (SELECT * FROM silver WHERE (SELECT m FROM gwm) IS NULL OR dataCotacao > (SELECT m FROM gwm))"""
+
+ORACLE["gold_increment"] = ("WITH " + LANDING + STORED + _GOLD_STORED + ",\nnew AS ("
+                            + GOLD_SELECT.format(base="base", usd="base") + ")\n" + _replace("stored_gold", "new"))
+ORACLE["gold_increment_last"] = ("WITH " + LANDING + STORED + _GOLD_STORED + ",\nnew AS ("
+                                 + GOLD_SELECT.format(base="base", usd="silver") + ")\n"
+                                 + _replace("stored_gold", "new"))
+
+# ---------------------------------------------------------------- joins
+ORACLE["asof_rate"] = """
+WITH fx AS (
+  SELECT max(ts) AS bulletin_ts, arg_max(value, ts) AS usd_rate
+  FROM events WHERE event_type = 'purchase' AND isodow(CAST(ts AS DATE)) < 6 GROUP BY CAST(ts AS DATE)
+)
+SELECT e.event_id, e.ts, e.event_type, e.value, u.usd_rate, u.bulletin_ts
+FROM events e
+LEFT JOIN LATERAL (SELECT usd_rate, bulletin_ts FROM fx WHERE fx.bulletin_ts <= e.ts
+                   ORDER BY bulletin_ts DESC LIMIT 1) u ON TRUE"""
+
+ORACLE["asof_by_user"] = """
+SELECT l.event_id, l.ts, l.user_id, l.event_type, l.value,
+       r.event_id AS last_purchase_id, r.value AS last_purchase_value
+FROM events l
+ASOF LEFT JOIN (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'purchase') r
+  ON l.user_id = r.user_id AND l.ts >= r.ts"""
+
+ORACLE["changed_rows_semi"] = """
+WITH s AS (
+  SELECT o_orderkey, o_custkey,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+         o_totalprice, o_orderdate, o_orderpriority
+  FROM orders
+)
+SELECT * FROM s WHERE EXISTS (
+  SELECT 1 FROM orders t WHERE t.o_orderkey = s.o_orderkey AND (
+    t.o_custkey IS DISTINCT FROM s.o_custkey OR t.o_orderstatus IS DISTINCT FROM s.o_orderstatus
+    OR t.o_totalprice IS DISTINCT FROM s.o_totalprice OR t.o_orderdate IS DISTINCT FROM s.o_orderdate
+    OR t.o_orderpriority IS DISTINCT FROM s.o_orderpriority))"""
+
+# ---------------------------------------------------------------- windows
+ORACLE["prev_close"] = """
+SELECT event_id, event_type, ts, value,
+       LAG(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous_close
+FROM events"""
+
+_ZEROED = "(SELECT *, CASE WHEN value < 1 THEN 0.0 ELSE value END AS close FROM events)"
+
+ORACLE["period_returns"] = f"""
+SELECT event_id, event_type, ts, close, previous_close,
+       close - previous_close AS price_change,
+       ((close - previous_close) / NULLIF(previous_close, 0)) * 100 AS pct_change
+FROM (SELECT *, LAG(close) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous_close FROM {_ZEROED})"""
+
+ORACLE["daily_variation"] = f"""
+SELECT event_id, event_type, ts, close,
+       COALESCE(close / NULLIF(LAG(close) OVER (PARTITION BY event_type ORDER BY ts, event_id), 0) - 1, 0) AS variation
+FROM {_ZEROED}"""
+
+_AUDIT = "'2025-09-08' AS dt_ptcao, TIMESTAMP '2025-09-08 03:00:00' AS dthr_igtao"
+
+ORACLE["monthly_returns"] = f"""
+WITH bars AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(date_trunc('month', l_shipdate) AS DATE) AS data,
+         first(l_extendedprice ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS abertura,
+         max(l_extendedprice) AS alta, min(l_extendedprice) AS baixa,
+         first(l_extendedprice ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS fechamento,
+         sum(l_quantity) AS volume
+  FROM lineitem GROUP BY 1, 2
+), p AS (SELECT *, LAG(fechamento) OVER (PARTITION BY ticker ORDER BY data) AS fechamento_mes_anterior FROM bars)
+SELECT ticker, data, abertura, alta, baixa, fechamento, volume, fechamento_mes_anterior,
+       fechamento - fechamento_mes_anterior AS valor_retorno,
+       ((fechamento - fechamento_mes_anterior) / NULLIF(fechamento_mes_anterior, 0)) * 100 AS porcentagem_retorno,
+       {_AUDIT}
+FROM p"""
+
+ORACLE["index_daily_returns"] = "WITH " + LANDING + f""",
+bars AS (
+  SELECT CAST(ts AS DATE) AS data, event_type, arg_max(value, ts) AS fechamento,
+         arg_min(value, ts) AS abertura, max(value) AS alta
+  FROM events WHERE event_type IN ('click', 'view', 'signup', 'error') GROUP BY ALL
+), named AS (
+  SELECT b.*, q.ticker AS indice, q.tickerNome AS nome_indice
+  FROM bars b JOIN quotes q ON q.dataCotacao = b.data AND q.ticker =
+       CASE b.event_type WHEN 'click' THEN 'VT' WHEN 'view' THEN '^GSPC' WHEN 'signup' THEN '^BVSP' WHEN 'error' THEN 'IDIV.SA' END
+), p AS (SELECT *, LAG(fechamento) OVER (PARTITION BY indice ORDER BY data) AS fechamento_mes_anterior FROM named)
+SELECT indice, abertura, alta, fechamento, nome_indice, data, fechamento_mes_anterior,
+       fechamento - fechamento_mes_anterior AS valor_retorno,
+       ((fechamento - fechamento_mes_anterior) / NULLIF(fechamento_mes_anterior, 0)) * 100 AS porcentagem_retorno,
+       {_AUDIT}
+FROM p"""
+
+ORACLE["dedupe_latest"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+                                        l_partkey ASC NULLS FIRST) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+ORACLE["wide_to_long_bars"] = """
+WITH b AS (SELECT CAST(ts AS DATE) AS d, event_type AS ticker, arg_max(value, ts) AS close, max(value) AS high
+           FROM events GROUP BY ALL),
+days AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events),
+t AS (SELECT * FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) v(ticker))
+SELECT days.d, t.ticker, b.close, b.high
+FROM days CROSS JOIN t LEFT JOIN b ON b.d = days.d AND b.ticker = t.ticker"""
+
+# ---------------------------------------------------------------- cleansing
+_QUOTES = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS ticker, o_orderpriority AS nome_curto, o_orderstatus AS nome_exibicao,
+       o_totalprice AS preco_mercado_regular, o_custkey AS volume_mercado_regular,
+       o_totalprice AS capitalizacao_mercado, o_orderpriority AS nome_exchange_completa,
+       o_orderstatus AS nome_fonte_cotacao, {_AUDIT}
+FROM orders WHERE o_orderkey IS NOT NULL"""
+ORACLE["standardise_quotes"] = _QUOTES
+ORACLE["top_by_cap"] = _QUOTES + "\nORDER BY capitalizacao_mercado DESC, ticker ASC LIMIT 200"
+ORACLE["audit_columns"] = f"SELECT event_id, {_AUDIT} FROM events"
+ORACLE["cast_keys"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice FROM orders"""
+ORACLE["drop_null_keys"] = "SELECT event_id, event_type AS ticker, value FROM events WHERE value >= 5"
+ORACLE["filter_ge"] = "SELECT * FROM orders WHERE o_totalprice >= 150000.0"
+ORACLE["filter_eq"] = "SELECT * FROM events WHERE event_type = 'purchase'"
+ORACLE["after_date"] = "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1998-08-02'"
+ORACLE["map_codes"] = """
+SELECT event_id, ticker,
+       CASE ticker WHEN 'VT' THEN 'VT' WHEN '^BVSP' THEN 'IBOV' WHEN '^GSPC' THEN 'S&P500'
+                   WHEN 'IDIV.SA' THEN 'IDIV' WHEN 'DIVO11.SA' THEN 'IDIV - DIVO11 IT ETF' ELSE ticker END AS codigoTicker,
+       CASE ticker WHEN 'VT' THEN 'Vanguard Total World' WHEN '^BVSP' THEN 'Ibovespa'
+                   WHEN '^GSPC' THEN 'S&P 500' WHEN 'IDIV.SA' THEN 'IDIV' ELSE ticker END AS tickerNome
+FROM (SELECT event_id, CASE event_type WHEN 'click' THEN 'VT' WHEN 'view' THEN '^GSPC' WHEN 'signup' THEN '^BVSP'
+                                      WHEN 'error' THEN 'IDIV.SA' ELSE event_type END AS ticker FROM events)"""
+ORACLE["cleanse_sentinel"] = """
+SELECT event_id, CASE WHEN value < 2 THEN 0.0 WHEN value > 300 THEN 0.0 WHEN value > 250 THEN NULL
+                      ELSE value END AS price
+FROM events"""
+ORACLE["quarantine_bad"] = """
+SELECT event_id, props AS raw_id, 'raw_id' AS bad_columns
+FROM events WHERE value < 5 AND props IS NOT NULL AND TRY_CAST(props AS BIGINT) IS NULL"""
+ORACLE["quarantine_good"] = """
+SELECT event_id, CASE WHEN value < 5 THEN TRY_CAST(props AS BIGINT) ELSE event_id END AS raw_id
+FROM events WHERE NOT (value < 5 AND props IS NOT NULL AND TRY_CAST(props AS BIGINT) IS NULL)"""
+
+_CUST = "customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE c.c_name IS NOT NULL"
+_PRICE = "CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END"
+ORACLE["company_split_general"] = f"""
+SELECT c_name AS ticker, c_mktsegment AS setor, c_mktsegment AS industria, c_nationkey AS funcionarios,
+       CAST(NULL AS VARCHAR) AS cidade, CAST(NULL AS VARCHAR) AS estado, n_name AS pais,
+       CAST(NULL AS VARCHAR) AS website, CAST(NULL AS VARCHAR) AS resumo_negocios, CAST(NULL AS VARCHAR) AS exchange,
+       {_AUDIT}
+FROM {_CUST}"""
+ORACLE["company_split_financial"] = f"""
+SELECT c_name AS ticker, c_custkey AS capitalizacao_mercado, CAST(NULL AS BIGINT) AS valor_empresa,
+       CAST(NULL AS BIGINT) AS receita, CAST(NULL AS BIGINT) AS lucros_brutos, CAST(NULL AS BIGINT) AS lucro_liquido,
+       CAST(NULL AS BIGINT) AS ebitda, CAST(NULL AS BIGINT) AS divida_total, CAST(NULL AS BIGINT) AS caixa_total,
+       CAST(NULL AS DOUBLE) AS dividend_yield, {_AUDIT}
+FROM {_CUST}"""
+ORACLE["company_split_market"] = f"""
+SELECT c_name AS ticker, {_PRICE} AS preco_atual, {_PRICE} AS fechamento_anterior,
+       CAST(NULL AS DOUBLE) AS abertura, CAST(NULL AS DOUBLE) AS minimo_dia, CAST(NULL AS DOUBLE) AS maximo_dia,
+       CAST(NULL AS DOUBLE) AS minimo_52_semanas, CAST(NULL AS DOUBLE) AS maximo_52_semanas,
+       c_custkey AS volume, CAST(c_nationkey AS BIGINT) AS volume_medio, CAST(NULL AS DOUBLE) AS beta, {_AUDIT}
+FROM {_CUST}"""
+ORACLE["company_split_dividend"] = f"""
+SELECT c_name AS ticker, CAST(NULL AS DOUBLE) AS taxa_dividendo,
+       strftime(make_timestamp((c_custkey * 86400 + 1700000000) * 1000000), '%Y-%m-%d %H:%M:%S') AS data_exdividendo,
+       CAST(NULL AS DOUBLE) AS indice_distribuicao, {_AUDIT}
+FROM {_CUST}"""
+ORACLE["company_split_valuation"] = f"""
+SELECT c_name AS ticker, CAST(NULL AS DOUBLE) AS pl_futuro, CAST(NULL AS DOUBLE) AS pl_retroativo,
+       CAST(NULL AS DOUBLE) AS preco_booking, CAST(NULL AS DOUBLE) AS indice_preco_lucro_cresc, {_AUDIT}
+FROM {_CUST}"""
+
+# ---------------------------------------------------------------- scalar functions
+ORACLE["epoch_to_text_utc"] = """
+SELECT event_id, epoch_s, strftime(make_timestamp(epoch_s * 1000000), '%Y-%m-%d %H:%M:%S') AS ts_text
+FROM (SELECT event_id, date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS epoch_s FROM events)"""
+ORACLE["round_prices"] = """
+SELECT l_orderkey, l_linenumber, l_extendedprice, round(l_extendedprice / 3, 2) AS instalment FROM lineitem"""
+ORACLE["upper_labels"] = "SELECT event_id, upper(event_type) AS label FROM events"
+ORACLE["distinct_from_prev"] = """
+SELECT event_id, user_id, event_type, prev_type FROM (
+  SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_type FROM events)
+WHERE event_type IS DISTINCT FROM prev_type"""
+
+# ---------------------------------------------------------------- aggregates / sets
+ORACLE["row_count"] = "SELECT count(*) AS n FROM lineitem"
+ORACLE["high_watermark"] = "SELECT max(o_orderdate) AS high_watermark FROM orders"
+ORACLE["union_series"] = """
+SELECT 'orders' AS source, o_orderstatus AS series, CAST(o_orderdate AS DATE) AS data, o_totalprice AS price FROM orders
+UNION ALL SELECT 'lineitem', l_returnflag, CAST(l_shipdate AS DATE), l_extendedprice FROM lineitem
+UNION ALL SELECT 'events', event_type, CAST(ts AS DATE), value FROM events"""
+
+# ---------------------------------------------------------------- mutation
+ORACLE["update_where"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 100 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority FROM orders"""
+ORACLE["delete_where"] = "SELECT * FROM orders WHERE NOT COALESCE(o_orderstatus = 'P', FALSE)"
+
+_ARRIVING = """SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS o_orderstatus, o_totalprice * 2 AS o_totalprice,
+         o_orderdate, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '{since} 00:00:00'"""
+ORACLE["merge_upsert"] = f"""
+WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'),
+s AS ({_ARRIVING.format(since="1997-01-01")})
+SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+       CASE WHEN t.o_orderkey IS NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
+       CASE WHEN t.o_orderkey IS NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       CASE WHEN t.o_orderkey IS NULL THEN s.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
+       CASE WHEN t.o_orderkey IS NULL THEN s.o_orderpriority ELSE t.o_orderpriority END AS o_orderpriority
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey"""
+
+ORACLE["upsert_changed"] = """
+WITH t AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority,
+         '2025-09-01' AS dt_ptcao, TIMESTAMP '2025-09-01 03:00:00' AS dthr_igtao
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'
+), s AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+         o_totalprice, o_orderdate, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority,
+         '2025-09-08' AS dt_ptcao, TIMESTAMP '2025-09-08 03:00:00' AS dthr_igtao
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'
+), j AS (
+  SELECT t.o_orderkey AS tk, s.o_orderkey AS sk,
+         t.o_custkey AS t_custkey, s.o_custkey AS s_custkey, t.o_orderstatus AS t_status, s.o_orderstatus AS s_status,
+         t.o_totalprice AS t_price, s.o_totalprice AS s_price, t.o_orderdate AS t_date, s.o_orderdate AS s_date,
+         t.o_orderpriority AS t_prio, s.o_orderpriority AS s_prio, t.dt_ptcao AS t_dt, s.dt_ptcao AS s_dt,
+         t.dthr_igtao AS t_th, s.dthr_igtao AS s_th,
+         (t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL AND (
+            t.o_custkey IS DISTINCT FROM s.o_custkey OR t.o_orderstatus IS DISTINCT FROM s.o_orderstatus
+            OR t.o_totalprice IS DISTINCT FROM s.o_totalprice OR t.o_orderdate IS DISTINCT FROM s.o_orderdate
+            OR t.o_orderpriority IS DISTINCT FROM s.o_orderpriority)) AS chg
+  FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey
+)
+SELECT COALESCE(tk, sk) AS o_orderkey,
+       CASE WHEN tk IS NULL OR chg THEN s_custkey ELSE t_custkey END AS o_custkey,
+       CASE WHEN tk IS NULL OR chg THEN s_status ELSE t_status END AS o_orderstatus,
+       CASE WHEN tk IS NULL OR chg THEN s_price ELSE t_price END AS o_totalprice,
+       CASE WHEN tk IS NULL OR chg THEN s_date ELSE t_date END AS o_orderdate,
+       CASE WHEN tk IS NULL OR chg THEN s_prio ELSE t_prio END AS o_orderpriority,
+       CASE WHEN tk IS NULL THEN s_dt ELSE t_dt END AS dt_ptcao,
+       CASE WHEN tk IS NULL OR chg THEN s_th ELSE t_th END AS dthr_igtao
+FROM j"""
+
+ORACLE["replace_by_key"] = f"""
+WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+s AS ({_ARRIVING.format(since="1998-01-01")})
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM s"""
+
+# ---------------------------------------------------------------- versions
+_LOG = """log AS (
+  SELECT user_id, event_type, value, ts, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS _version,
+         CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS _op, event_id AS _seq, ts AS _commit_ts
+  FROM events)"""
+ORACLE["version_history"] = f"""
+WITH {_LOG}
+SELECT _version AS version, max(_commit_ts) AS timestamp,
+       CASE WHEN bool_or(_op = 'overwrite') THEN 'WRITE' WHEN bool_and(_op = 'delete') THEN 'DELETE'
+            WHEN bool_and(_op = 'upsert') THEN 'UPDATE' ELSE 'MERGE' END AS operation,
+       count(*) AS num_rows, count(*) FILTER (WHERE _op = 'delete') AS num_deleted,
+       count(*) FILTER (WHERE _op <> 'delete') AS num_written
+FROM log GROUP BY _version"""
+
+
+def _as_of(cut_filter: str) -> str:
+    return f"""
+WITH {_LOG},
+cut AS (SELECT * FROM log {cut_filter}),
+b AS (SELECT max(_version) AS v FROM cut WHERE _op = 'overwrite'),
+c AS (SELECT * FROM cut WHERE (SELECT v FROM b) IS NULL OR _version >= (SELECT v FROM b)),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY _version DESC, _seq DESC) AS rn FROM c)
+SELECT user_id, event_type, value, ts FROM r WHERE rn = 1 AND _op <> 'delete'"""
+
+
+ORACLE["as_of_version"] = _as_of("WHERE _version <= date_diff('day', DATE '1970-01-01', DATE '2024-01-15')")
+ORACLE["versioned_current"] = _as_of("")
+
+# ---------------------------------------------------------------- incremental
+ORACLE["incremental_filter"] = """
+SELECT * FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders
+                                          WHERE o_orderdate < TIMESTAMP '1999-06-01 00:00:00')"""
+
+# ---------------------------------------------------------------- data tests
+_GOLD = "WITH " + LANDING + ",\n" + _silver_cte() + ",\ngold AS (" + GOLD_SELECT.format(base="silver", usd="silver") + ")\n"
+ORACLE["check_not_null"] = _GOLD + """SELECT * FROM gold
+WHERE dataCotacao IS NULL OR ticker IS NULL OR fechamento IS NULL OR dolar_fechamento IS NULL"""
+ORACLE["check_rows"] = _GOLD + "SELECT * FROM gold WHERE dataCotacao IS NULL OR ticker IS NULL"
+ORACLE["check_unique"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1"""
+ORACLE["pk_conflicts"] = """
+WITH e AS (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+n AS (SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND o_orderkey IS NOT NULL)
+SELECT o_orderkey, count(*) AS n FROM (
+  SELECT o_orderkey FROM e WHERE o_orderkey IN (SELECT o_orderkey FROM n)
+  UNION ALL SELECT o_orderkey FROM n) GROUP BY o_orderkey HAVING count(*) > 1"""

@@ -2,20 +2,40 @@
 DataFrame`` over the driver's tables, plus the matching DuckDB SQL in ``oracle.py``.
 
 Builders call the real operators, so each registered query exercises the library code
-a user would run."""
+a user would run. Splits of one table into "stored" and "arriving" parts (for merges,
+upserts and incremental loads) are by date, and every row of the input is read.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import distinct_from, epoch_to_text, round_price
+from ..operators import clean as C
+from ..operators import incremental as I
+from ..operators import mutate as MU
+from ..operators import quality as Q
+from ..operators import versions as V
+from ..operators.asof import asof_left
+from ..operators.reshape import dedupe, wide_to_long
+from ..operators.returns import with_previous, with_returns, with_variation
+from ..operators.setops import top, union_all
+from . import equities as EQ
 from . import landing as L
 from . import macro as M
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+RUN_TS = L.RUN_TS
+EARLIER_RUN_TS = "2025-09-01 03:00:00"
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+SILVER_CUT = "2024-01-20"   # the stored silver/gold tables hold rows up to this day
+VERSION_CUT = date(2024, 1, 15)
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
@@ -26,12 +46,478 @@ def _t(spark, sf, name):
     return L.table(spark, sf, name)
 
 
+def _raw(spark, sf):
+    ev = _t(spark, sf, "events")
+    return L.landed_macro(_t(spark, sf, "orders")), L.landed_quotes(ev), L.landed_fx(ev)
+
+
 def _silver(spark, sf):
+    return M.silver_variation(*_raw(spark, sf))
+
+
+def _stored_silver(spark, sf):
+    macro, quotes, fx = _raw(spark, sf)
+    cut = F.lit(SILVER_CUT).cast("date")
+    return M.silver_variation(macro.filter(F.col("data") <= cut), quotes.filter(F.col("dataCotacao") <= cut),
+                              fx.filter(F.col("dataCotacao") <= cut))
+
+
+def _zeroed_ticks(spark, sf):
+    """Ticks whose price is below 1 are set to 0 so the zero-division path is exercised."""
+    ev = _t(spark, sf, "events")
+    return ev.withColumn("close", F.when(F.col("value") < 1, F.lit(0.0)).otherwise(F.col("value")))
+
+
+def _changelog(spark, sf):
+    """Events as a change log: user = key, day = version, an ``error`` event deletes."""
     ev = _t(spark, sf, "events")
-    return M.silver_variation(L.landed_macro(_t(spark, sf, "orders")), L.landed_quotes(ev), L.landed_fx(ev))
+    return ev.select("user_id", "event_type", "value", "ts",
+                     F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint").alias(V.VERSION),
+                     F.when(F.col("event_type") == "error", F.lit("delete")).otherwise(F.lit("upsert")).alias(V.OP),
+                     F.col("event_id").alias(V.SEQ),
+                     F.col("ts").alias(V.COMMIT_TS))
+
+
+def _before(df, col, day):
+    return df.filter(F.col(col) < F.lit(day + " 00:00:00").cast("timestamp_ntz"))
 
 
+def _from(df, col, day):
+    return df.filter(F.col(col) >= F.lit(day + " 00:00:00").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------------------ L1 macro job
+
 @query
 def gold_returns(spark: SparkSession, sf: str) -> DataFrame:
     """L1 flagship: raw extracts -> silver -> gold with the as-of USD join."""
     return M.gold_returns(_silver(spark, sf))
+
+
+@query
+def silver_variation(spark, sf):
+    """5-way union of macro, index and FX series with their variation."""
+    return _silver(spark, sf)
+
+
+@query
+def silver_increment(spark, sf):
+    """I3 with ``lookback="none"`` (the reference's incremental LAG)."""
+    macro, quotes, fx = _raw(spark, sf)
+    return M.silver_increment(_stored_silver(spark, sf), macro, quotes, fx, lookback="none")
+
+
+@query
+def silver_increment_last(spark, sf):
+    """I3 with ``lookback="last"`` (LAG seeded with the last stored row)."""
+    macro, quotes, fx = _raw(spark, sf)
+    return M.silver_increment(_stored_silver(spark, sf), macro, quotes, fx, lookback="last")
+
+
+@query
+def gold_increment(spark, sf):
+    """I4 with the USD series cut to the new rows (the reference)."""
+    stored = M.gold_returns(_stored_silver(spark, sf))
+    return M.gold_increment(stored, _silver(spark, sf), lookback="none")
+
+
+@query
+def gold_increment_last(spark, sf):
+    """I4 with the as-of over the whole USD history."""
+    stored = M.gold_returns(_stored_silver(spark, sf))
+    return M.gold_increment(stored, _silver(spark, sf), lookback="last")
+
+
+# ------------------------------------------------------------------ joins
+
+@query
+def asof_rate(spark, sf):
+    """Every tick with the last USD closing bulletin published at or before it."""
+    ev = _t(spark, sf, "events")
+    fx = L.landed_fx(ev).select(F.col("dataHoraCotacao").alias("bulletin_ts"),
+                                F.col("cotacaoVenda").alias("usd_rate"))
+    left = ev.select("event_id", "ts", "event_type", "value")
+    return asof_left(left, fx, on="ts", right_on="bulletin_ts", payload=["usd_rate", "bulletin_ts"])
+
+
+@query
+def asof_by_user(spark, sf):
+    """Every event with the same user's latest purchase at or before it."""
+    ev = _t(spark, sf, "events")
+    right = (ev.filter(F.col("event_type") == "purchase")
+               .select(F.col("user_id").alias("buyer"), F.col("ts").alias("purchase_ts"),
+                       F.col("event_id").alias("last_purchase_id"), F.col("value").alias("last_purchase_value")))
+    left = ev.select("event_id", "ts", "user_id", "event_type", "value")
+    return asof_left(left, right, on="ts", right_on="purchase_ts", by=["user_id"], right_by=["buyer"],
+                     payload=["last_purchase_id", "last_purchase_value"], right_order=["last_purchase_id"])
+
+
+@query
+def changed_rows_semi(spark, sf):
+    """Arriving orders whose key exists and some column changed."""
+    o = _t(spark, sf, "orders")
+    src = o.withColumn("o_orderstatus", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("F"))
+                       .otherwise(F.col("o_orderstatus")))
+    return MU.changed_rows(o, src, ["o_orderkey"])
+
+
+# ------------------------------------------------------------------ windows / returns
+
+@query
+def prev_close(spark, sf):
+    """Previous tick price per event type (bucketed lag, skew-safe)."""
+    ev = _t(spark, sf, "events")
+    d = with_previous(ev, "event_type", "ts", "value", "previous_close", order=["event_id"], bucketed=True)
+    return d.select("event_id", "event_type", "ts", "value", "previous_close")
+
+
+@query
+def period_returns(spark, sf):
+    """Absolute and percent return per event type, zero prices included."""
+    d = with_returns(_zeroed_ticks(spark, sf), "event_type", "ts", "close", "previous_close",
+                     "price_change", "pct_change", order=["event_id"], bucketed=True)
+    return d.select("event_id", "event_type", "ts", "close", "previous_close", "price_change", "pct_change")
+
+
+@query
+def daily_variation(spark, sf):
+    """Null-safe variation per event type, zero prices included."""
+    d = with_variation(_zeroed_ticks(spark, sf), "event_type", "ts", "close", "variation",
+                       order=["event_id"], bucketed=True)
+    return d.select("event_id", "event_type", "ts", "close", "variation")
+
+
+@query
+def monthly_returns(spark, sf):
+    """L2: monthly bars per supplier -> previous close and returns, audited."""
+    return EQ.monthly_returns(L.landed_monthly_bars(_t(spark, sf, "lineitem")), RUN_TS)
+
+
+@query
+def index_daily_returns(spark, sf):
+    """L2 index table: daily return per index from the landed quotes."""
+    q = L.landed_quotes(_t(spark, sf, "events"))
+    prices = q.select(F.col("ticker").alias("indice"), "abertura", F.col("maiorAlta").alias("alta"),
+                      "fechamento", F.col("tickerNome").alias("nome_indice"), F.col("dataCotacao").alias("data"))
+    return EQ.index_returns(prices, RUN_TS)
+
+
+@query
+def dedupe_latest(spark, sf):
+    """One line per (order, line number): latest ship date, then highest price,
+    then lowest part key."""
+    li = _t(spark, sf, "lineitem")
+    return dedupe(li, ["l_orderkey", "l_linenumber"],
+                  [("l_shipdate", "desc"), ("l_extendedprice", "desc"), ("l_partkey", "asc")])
+
+
+@query
+def wide_to_long_bars(spark, sf):
+    """Daily bars pivoted wide (one column per event type and field), then back to
+    one row per (day, type)."""
+    ev = _t(spark, sf, "events")
+    wide = (ev.groupBy(F.to_date("ts").alias("d")).pivot("event_type", EVENT_TYPES)
+              .agg(F.max_by("value", F.struct("ts", "event_id")).alias("close"), F.max("value").alias("high")))
+    return wide_to_long(wide, ["d"], ["close", "high"], EVENT_TYPES, name="{ticker}_{field}")
+
+
+# ------------------------------------------------------------------ cleansing
+
+def _quotes(spark, sf):
+    return EQ.active_companies(L.landed_active_quotes(_t(spark, sf, "orders")), RUN_TS)
+
+
+@query
+def standardise_quotes(spark, sf):
+    """Whitelist, rename, audit, cast and null-key drop of screener quotes."""
+    return _quotes(spark, sf)
+
+
+@query
+def top_by_cap(spark, sf):
+    """O1-O3: the 200 largest by market cap (the screener's report size)."""
+    return top(_quotes(spark, sf), [("capitalizacao_mercado", "desc"), ("ticker", "asc")], 200)
+
+
+@query
+def audit_columns(spark, sf):
+    """Audit columns with an injected run time."""
+    return C.with_audit(_t(spark, sf, "events").select("event_id"), RUN_TS)
+
+
+@query
+def cast_keys(spark, sf):
+    """Key columns to text, order timestamp to a date."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return C.cast_columns(o, {"o_orderkey": "string", "o_custkey": "string", "o_orderdate": "date"})
+
+
+@query
+def drop_null_keys(spark, sf):
+    """P5: ticks below 5 lose their ticker; those rows are dropped."""
+    ev = _t(spark, sf, "events")
+    d = ev.select("event_id", F.when(F.col("value") < 5, F.lit(None)).otherwise(F.col("event_type")).alias("ticker"),
+                  "value")
+    return C.drop_null_keys(d, ["ticker"])
+
+
+@query
+def filter_ge(spark, sf):
+    """Numeric lower bound, pushed into the scan."""
+    return _t(spark, sf, "orders").filter(F.col("o_totalprice") >= F.lit(150000.0))
+
+
+@query
+def filter_eq(spark, sf):
+    """Keep one kind of record (closing bulletins <- purchase ticks)."""
+    return _t(spark, sf, "events").filter(F.col("event_type") == "purchase")
+
+
+@query
+def after_date(spark, sf):
+    """Strictly after the start day (the day itself excluded)."""
+    return C.after(_t(spark, sf, "orders"), "o_orderdate", "1998-08-02")
+
+
+@query
+def map_codes(spark, sf):
+    """Event type -> ticker -> code and display name (CASE lookups)."""
+    ev = _t(spark, sf, "events").select("event_id", C.map_values("event_type", L.EVENT_TICKERS).alias("ticker"))
+    return ev.select("event_id", "ticker", C.map_values("ticker", L.TICKER_CODES).alias("codigoTicker"),
+                     C.map_values("ticker", L.TICKER_NAMES).alias("tickerNome"))
+
+
+@query
+def cleanse_sentinel(spark, sf):
+    """Text prices with Infinity sentinels and gaps -> default 0.0, nulls kept."""
+    ev = _t(spark, sf, "events")
+    v = F.col("value")
+    txt = (F.when(v < 2, F.lit("Infinity")).when(v > 300, F.lit("-Infinity")).when(v > 250, F.lit(None))
+            .otherwise(v.cast("string")))
+    d = ev.select("event_id", txt.alias("price"))
+    return C.cleanse_sentinel(d, {"price": 0.0}, {"price": "double"})
+
+
+def _quarantine(spark, sf):
+    ev = _t(spark, sf, "events")
+    raw = F.when(F.col("value") < 5, F.col("props")).otherwise(F.col("event_id").cast("string"))
+    return C.convert_or_quarantine(ev.select("event_id", raw.alias("raw_id")), {"raw_id": "bigint"})
+
+
+@query
+def quarantine_bad(spark, sf):
+    """Rows whose text id does not convert, with the failing column names."""
+    return _quarantine(spark, sf)[1]
+
+
+@query
+def quarantine_good(spark, sf):
+    """The converted rows."""
+    return _quarantine(spark, sf)[0]
+
+
+def _company(spark, sf, table):
+    info = L.landed_company_info(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
+    return EQ.split_company_info(info, RUN_TS, zone="UTC")[table]
+
+
+@query
+def company_split_general(spark, sf):
+    """General company dimension."""
+    return _company(spark, sf, "cadastro")
+
+
+@query
+def company_split_financial(spark, sf):
+    """Financial dimension (bigint fields)."""
+    return _company(spark, sf, "financas")
+
+
+@query
+def company_split_market(spark, sf):
+    """Market dimension, sentinel prices defaulted."""
+    return _company(spark, sf, "mercado")
+
+
+@query
+def company_split_dividend(spark, sf):
+    """Dividend dimension, ex-dividend epoch as UTC text."""
+    return _company(spark, sf, "dividendos")
+
+
+@query
+def company_split_valuation(spark, sf):
+    """Valuation dimension (all fields absent -> null)."""
+    return _company(spark, sf, "valuation")
+
+
+# ------------------------------------------------------------------ scalar functions
+
+@query
+def epoch_to_text_utc(spark, sf):
+    """Unix seconds -> text in UTC whatever the session zone."""
+    ev = _t(spark, sf, "events")
+    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    d = ev.select("event_id", secs.alias("epoch_s"))
+    return d.withColumn("ts_text", epoch_to_text("epoch_s", "UTC"))
+
+
+@query
+def round_prices(spark, sf):
+    """a price split in three instalments, rounded to cents."""
+    li = _t(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_extendedprice",
+                     round_price(F.col("l_extendedprice") / F.lit(3), 2).alias("instalment"))
+
+
+@query
+def upper_labels(spark, sf):
+    """upper-case labels."""
+    return _t(spark, sf, "events").select("event_id", F.upper("event_type").alias("label"))
+
+
+@query
+def distinct_from_prev(spark, sf):
+    """events whose type IS DISTINCT FROM the user's previous event type."""
+    ev = _t(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    d = with_previous(ev, "user_id", "ts", "event_type", "prev_type", order=["event_id"], bucketed=True)
+    return d.filter(distinct_from("event_type", "prev_type")).select("event_id", "user_id", "event_type", "prev_type")
+
+
+# ------------------------------------------------------------------ aggregates / sets
+
+@query
+def row_count(spark, sf):
+    """A1: row count."""
+    return _t(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def high_watermark(spark, sf):
+    """A2: the stored table's latest date."""
+    return _t(spark, sf, "orders").agg(F.max("o_orderdate").alias("high_watermark"))
+
+
+@query
+def union_series(spark, sf):
+    """Three differently sourced price series in one shape, matched by name."""
+    o = _t(spark, sf, "orders").select(F.lit("orders").alias("source"), F.col("o_orderstatus").alias("series"),
+                                       F.to_date("o_orderdate").alias("data"), F.col("o_totalprice").alias("price"))
+    li = _t(spark, sf, "lineitem").select(F.lit("lineitem").alias("source"), F.col("l_returnflag").alias("series"),
+                                          F.to_date("l_shipdate").alias("data"), F.col("l_extendedprice").alias("price"))
+    ev = _t(spark, sf, "events").select(F.lit("events").alias("source"), F.col("event_type").alias("series"),
+                                        F.to_date("ts").alias("data"), F.col("value").alias("price"))
+    return union_all([o, li, ev])
+
+
+# ------------------------------------------------------------------ mutation
+
+@query
+def update_where(spark, sf):
+    """M1: add 100 to urgent orders' price."""
+    return MU.update_where(_t(spark, sf, "orders"), "o_orderpriority = '1-URGENT'",
+                           {"o_totalprice": "o_totalprice + 100"})
+
+
+@query
+def delete_where(spark, sf):
+    """M2: delete pending orders."""
+    return MU.delete_where(_t(spark, sf, "orders"), F.col("o_orderstatus") == "P")
+
+
+def _arriving_orders(spark, sf, since):
+    o = _from(_t(spark, sf, "orders"), "o_orderdate", since)
+    return o.withColumns({"o_orderstatus": F.lower("o_orderstatus"), "o_totalprice": F.col("o_totalprice") * 2})
+
+
+@query
+def merge_upsert(spark, sf):
+    """M3: merge arriving orders, updating only the price; new keys inserted whole."""
+    tgt = _before(_t(spark, sf, "orders"), "o_orderdate", "1998-01-01")
+    src = _arriving_orders(spark, sf, "1997-01-01")
+    return MU.merge_into(tgt, src, ["o_orderkey"], update={"o_totalprice": "src.o_totalprice"})
+
+
+def _audited_orders(df, run_ts):
+    d = df.withColumn("o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
+    return C.with_audit(d, run_ts)
+
+
+@query
+def upsert_changed(spark, sf):
+    """M4: change-aware upsert of arriving orders (status changed for urgent ones,
+    null priorities on both sides)."""
+    o = _t(spark, sf, "orders")
+    tgt = _audited_orders(_before(o, "o_orderdate", "1999-01-01"), EARLIER_RUN_TS)
+    src = _from(o, "o_orderdate", "1998-01-01").withColumn(
+        "o_orderstatus", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("F")).otherwise(F.col("o_orderstatus")))
+    return MU.upsert_changed(tgt, _audited_orders(src, RUN_TS), ["o_orderkey"])
+
+
+@query
+def replace_by_key(spark, sf):
+    """M5: delete+insert by key of arriving orders."""
+    tgt = _before(_t(spark, sf, "orders"), "o_orderdate", "1999-01-01")
+    return MU.replace_by_key(tgt, _arriving_orders(spark, sf, "1998-01-01"), ["o_orderkey"])
+
+
+# ------------------------------------------------------------------ versions
+
+@query
+def version_history(spark, sf):
+    """M6: one row per version of the events change log."""
+    return V.history(_changelog(spark, sf))
+
+
+@query
+def as_of_version(spark, sf):
+    """M7: state of the change log as of 2024-01-15."""
+    v = (VERSION_CUT - date(1970, 1, 1)).days
+    return V.as_of_version(_changelog(spark, sf), ["user_id"], v)
+
+
+@query
+def versioned_current(spark, sf):
+    """Latest state of the change log."""
+    return V.current(_changelog(spark, sf), ["user_id"])
+
+
+# ------------------------------------------------------------------ incremental
+
+@query
+def incremental_filter(spark, sf):
+    """Orders newer than the stored table's high-watermark."""
+    o = _t(spark, sf, "orders")
+    return I.newer_than_target(o, _before(o, "o_orderdate", "1999-06-01"), "o_orderdate")
+
+
+# ------------------------------------------------------------------ data tests
+
+def _gold(spark, sf):
+    return M.gold_returns(_silver(spark, sf))
+
+
+@query
+def check_not_null(spark, sf):
+    """Gold rows lacking a date, ticker, close or USD close."""
+    return Q.check_not_null(_gold(spark, sf), ["dataCotacao", "ticker", "fechamento", "dolar_fechamento"])
+
+
+@query
+def check_unique(spark, sf):
+    """Duplicated (order, line number) keys."""
+    return Q.check_unique(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def check_rows(spark, sf):
+    """The gold singular test (null date or ticker)."""
+    return Q.check_rows(_gold(spark, sf), "dataCotacao IS NULL OR ticker IS NULL")
+
+
+@query
+def pk_conflicts(spark, sf):
+    """T4: arriving order keys that already exist."""
+    o = _t(spark, sf, "orders")
+    return Q.pk_conflicts(_before(o, "o_orderdate", "1999-01-01"), _from(o, "o_orderdate", "1998-01-01"),
+                          ["o_orderkey"])
