@@ -521,3 +521,58 @@ def pk_conflicts(spark, sf):
     o = _t(spark, sf, "orders")
     return Q.pk_conflicts(_before(o, "o_orderdate", "1999-01-01"), _from(o, "o_orderdate", "1998-01-01"),
                           ["o_orderkey"])
+
+
+# ------------------------------------------------------------------ IO and streams
+# These write under the shared folder named by spark.checkpoint.dir (a fresh path per
+# call) and return the data read back.
+
+@query
+def roundtrip_parquet(spark, sf):
+    """K1 + S6: overwrite orders as parquet (partitioned by status), read back."""
+    from ..session import scratch_path
+    from ..sinks.files import write_parquet
+    from ..sources.files import read_parquet
+    out = scratch_path(spark, "roundtrip-parquet")
+    o = _t(spark, sf, "orders")
+    write_parquet(o, out, partition_by=["o_orderstatus"])
+    return read_parquet(spark, out).select(*o.columns)
+
+
+@query
+def roundtrip_csv_typed(spark, sf):
+    """K2 + S5: parts as CSV with a header, read back as text, cast back to the
+    declared types."""
+    from ..session import scratch_path
+    from ..sinks.files import write_csv
+    from ..sources.files import read_csv
+    out = scratch_path(spark, "roundtrip-csv")
+    p = _t(spark, sf, "part")
+    write_csv(p, out)
+    back = read_csv(spark, out)
+    return C.cast_columns(back, {f.name: f.dataType.simpleString() for f in p.schema.fields})
+
+
+def _stream_copy(spark, sf, runs):
+    from ..session import scratch_path
+    from ..streaming.sinks import drain, stream_append
+    from ..streaming.sources import table_stream
+    schema = _t(spark, sf, "events").schema
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    for _ in range(runs):
+        sdf = table_stream(spark, sf, schema, glob="events.parquet")
+        drain(stream_append(sdf, out, ckpt, trigger="availableNow"), timeout=300)
+    return spark.read.schema(schema).parquet(out)
+
+
+@query
+def stream_table_copy(spark, sf):
+    """S11 + K8 + K10: the events table as a stream appended into a table with a
+    checkpoint (availableNow run), read back."""
+    return _stream_copy(spark, sf, 1)
+
+
+@query
+def stream_restart_no_dup(spark, sf):
+    """The same stream run twice on one checkpoint; the second run adds nothing."""
+    return _stream_copy(spark, sf, 2)
