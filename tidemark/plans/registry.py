@@ -27,6 +27,7 @@ from ..operators.setops import top, union_all
 from . import equities as EQ
 from . import landing as L
 from . import macro as M
+from ..session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -47,19 +48,22 @@ def _t(spark, sf, name):
 
 
 def _raw(spark, sf):
+    """The raw layer: landed extracts (scanned once by whichever job reads them)."""
     ev = _t(spark, sf, "events")
     return L.landed_macro(_t(spark, sf, "orders")), L.landed_quotes(ev), L.landed_fx(ev)
 
 
-def _silver(spark, sf):
-    return M.silver_variation(*_raw(spark, sf))
+def _silver(spark, sf, raw=None):
+    """The silver layer, stored once: gold reads it several times (rows, USD, dates)."""
+    return materialize(M.silver_variation(*(raw or _raw(spark, sf))))
 
 
-def _stored_silver(spark, sf):
-    macro, quotes, fx = _raw(spark, sf)
+def _stored_silver(spark, sf, raw=None):
+    macro, quotes, fx = raw or _raw(spark, sf)
     cut = F.lit(SILVER_CUT).cast("date")
-    return M.silver_variation(macro.filter(F.col("data") <= cut), quotes.filter(F.col("dataCotacao") <= cut),
-                              fx.filter(F.col("dataCotacao") <= cut))
+    return materialize(M.silver_variation(macro.filter(F.col("data") <= cut),
+                                          quotes.filter(F.col("dataCotacao") <= cut),
+                                          fx.filter(F.col("dataCotacao") <= cut)))
 
 
 def _zeroed_ticks(spark, sf):
@@ -103,29 +107,31 @@ def silver_variation(spark, sf):
 @query
 def silver_increment(spark, sf):
     """I3 with ``lookback="none"`` (the reference's incremental LAG)."""
-    macro, quotes, fx = _raw(spark, sf)
-    return M.silver_increment(_stored_silver(spark, sf), macro, quotes, fx, lookback="none")
+    raw = _raw(spark, sf)
+    return M.silver_increment(_stored_silver(spark, sf, raw), *raw, lookback="none")
 
 
 @query
 def silver_increment_last(spark, sf):
     """I3 with ``lookback="last"`` (LAG seeded with the last stored row)."""
-    macro, quotes, fx = _raw(spark, sf)
-    return M.silver_increment(_stored_silver(spark, sf), macro, quotes, fx, lookback="last")
+    raw = _raw(spark, sf)
+    return M.silver_increment(_stored_silver(spark, sf, raw), *raw, lookback="last")
 
 
 @query
 def gold_increment(spark, sf):
     """I4 with the USD series cut to the new rows (the reference)."""
-    stored = M.gold_returns(_stored_silver(spark, sf))
-    return M.gold_increment(stored, _silver(spark, sf), lookback="none")
+    raw = _raw(spark, sf)
+    stored = materialize(M.gold_returns(_stored_silver(spark, sf, raw)))
+    return M.gold_increment(stored, _silver(spark, sf, raw), lookback="none")
 
 
 @query
 def gold_increment_last(spark, sf):
     """I4 with the as-of over the whole USD history."""
-    stored = M.gold_returns(_stored_silver(spark, sf))
-    return M.gold_increment(stored, _silver(spark, sf), lookback="last")
+    raw = _raw(spark, sf)
+    stored = materialize(M.gold_returns(_stored_silver(spark, sf, raw)))
+    return M.gold_increment(stored, _silver(spark, sf, raw), lookback="last")
 
 
 # ------------------------------------------------------------------ joins
