@@ -125,7 +125,18 @@ def convert_or_quarantine(df: DataFrame, casts: Mapping[str, str]):
     return good, bad
 
 
-def stringify_time(df: DataFrame, type_names: Sequence[str] = ("time",)) -> DataFrame:
-    """Time-of-day columns to text, found by walking the schema."""
-    targets = [f.name for f in df.schema.fields if f.dataType.typeName() in type_names]
-    return df.withColumns({c: F.col(c).cast("string") for c in targets}) if targets else df
+def stringify_time(df, type_names: Sequence[str] = ("time",)):
+    """Time-of-day columns to text.
+
+    A Spark frame: columns found by walking the schema (the TIME type needs
+    ``spark.sql.timeType.enabled``). A pandas frame (a small decoded extract, before
+    ``createDataFrame``): object columns holding ``datetime.time`` values."""
+    if isinstance(df, DataFrame):
+        targets = [f.name for f in df.schema.fields if f.dataType.typeName() in type_names]
+        return df.withColumns({c: F.col(c).cast("string") for c in targets}) if targets else df
+    import datetime as _dt
+    out = df.copy()
+    for c in out.columns:
+        if out[c].dtype == object and out[c].map(lambda v: isinstance(v, _dt.time)).any():
+            out[c] = out[c].map(lambda v: v.isoformat() if isinstance(v, _dt.time) else v)
+    return out

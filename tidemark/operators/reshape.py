@@ -43,27 +43,35 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]
     Planned as ``groupBy(keys).agg(max_by(struct(row), struct(order)))``: a partial
     aggregate runs before the shuffle, so a key holding a third of the rows is collapsed
     map-side instead of being sorted in one task. Ordering follows Spark's defaults
-    (asc NULLS FIRST, desc NULLS LAST). Text ordered ascending cannot be flipped for
-    ``max_by``; that case falls back to ``row_number``. Without an order the survivor is
-    chosen by the full row (still deterministic)."""
+    (asc NULLS FIRST, desc NULLS LAST); ties on ``order`` go to the largest remaining
+    row, so the survivor is always deterministic. Text ordered ascending cannot be
+    flipped for ``max_by``; that case falls back to ``row_number``."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
+    tie = _tiebreak(df, keys, order)
     sk = []
     for name, direction in order:
         k = _sort_key(F.col(name), df.schema[name].dataType, direction.lower() == "desc")
         if k is None:
-            return _dedupe_window(df, keys, order)
+            return _dedupe_window(df, keys, order, tie)
         sk.append(k.alias(f"__o{len(sk)}"))
+    sk += [F.col(c).alias(f"__o{len(sk) + i}") for i, c in enumerate(tie)]
     if not sk:
-        sk = [F.col(c) for c in rest] or [F.lit(0)]
-    if not rest:
-        return df.select(*keys).distinct()
+        sk = [F.lit(0)]
     agg = F.max_by(F.struct(*rest), F.struct(*sk)).alias("__row")
     return df.groupBy(*keys).agg(agg).select(*keys, "__row.*").select(*df.columns)
 
 
-def _dedupe_window(df, keys, order):
+def _tiebreak(df, keys, order) -> list[str]:
+    used = set(keys) | {n for n, _ in order}
+    return [f.name for f in df.schema.fields
+            if f.name not in used and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
+def _dedupe_window(df, keys, order, tie):
     cols = [F.col(n).desc_nulls_last() if d.lower() == "desc" else F.col(n).asc_nulls_first()
-            for n, d in order]
+            for n, d in order] + [F.col(c).desc_nulls_last() for c in tie]
     w = Window.partitionBy(*keys).orderBy(*cols)
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

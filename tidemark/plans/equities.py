@@ -142,3 +142,30 @@ def info_schema() -> T.StructType:
     the API returns mixed types)."""
     names = ["symbol"] + [src for fields in COMPANY_TABLES.values() for src, *_ in fields]
     return T.StructType([T.StructField(n, T.StringType(), n != "symbol") for n in names])
+
+
+def run_job(spark, extracts: Mapping[str, DataFrame], base: str, run_ts=None) -> dict[str, int]:
+    """L2 end to end: stage every table from the extracts (``quotes``, ``history``,
+    ``info``, ``index``) and upsert each into its stored fact table under ``base``
+    (M4: first-seen date kept, touched time only on change). Returns fact row counts."""
+    from ..operators.incremental import table_or_none
+    from ..session import materialize
+
+    stages: dict[str, DataFrame] = {}
+    if "quotes" in extracts:
+        stages["captacao_mercado"] = active_companies(extracts["quotes"], run_ts)
+    if "history" in extracts:
+        stages["retorno_mensal"] = monthly_returns(extracts["history"], run_ts)
+    if "info" in extracts:
+        stages.update(split_company_info(extracts["info"], run_ts))
+    if "index" in extracts:
+        stages["indices"] = index_returns(extracts["index"], run_ts)
+    counts = {}
+    for name, stage in stages.items():
+        path = f"{base.rstrip('/')}/{name}"
+        tgt = table_or_none(spark, path)
+        out = stage if tgt is None else upsert_changed(tgt, stage.select(*tgt.columns), UPSERT_KEYS[name])
+        out = materialize(out, f"fact-{name}")   # the next write replaces the table being read
+        out.write.mode("overwrite").parquet(path)
+        counts[name] = spark.read.parquet(path).count()
+    return counts
