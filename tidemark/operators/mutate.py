@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import distinct_from
@@ -40,16 +40,16 @@ def delete_where(df: DataFrame, cond) -> DataFrame:
 def unique_source(src: DataFrame, keys: Sequence[str], what: str = "merge") -> DataFrame:
     """Q1: fail the job when two source rows share a key.
 
-    The check is inside the plan (one aggregate on the keys, raising on a count > 1), so it
-    costs no extra job; its output is hash-partitioned on the keys, which the following
-    join on the same keys reuses."""
+    The check is inside the plan: a ``count`` window over the key raises on a count
+    above 1. The window's hash partitioning and sort on the key are exactly what the
+    following sort-merge join on the same key needs, so the check adds no shuffle and no
+    extra job."""
     keys = list(keys)
-    rest = [c for c in src.columns if c not in keys]
     msg = F.lit(f"{what}: more than one source row for a key")
-    g = src.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N),
-                               *([F.first(F.struct(*rest)).alias("__r")] if rest else []))
-    g = g.filter(F.when(F.col(_N) > 1, F.raise_error(msg)).otherwise(F.lit(True)))
-    return g.select(*keys, "__r.*") if rest else g.select(*keys)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return (src.withColumn(_N, n)
+               .filter(F.when(F.col(_N) > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+               .drop(_N))
 
 
 def _strip(ref: str) -> str:
