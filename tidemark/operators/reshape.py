@@ -30,8 +30,10 @@ def _sort_key(c: Column, dtype: T.DataType, descending: bool) -> Column | None:
         return -c
     if isinstance(dtype, T.DateType):
         return -F.datediff(c, F.lit("1970-01-01").cast("date"))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
+    if isinstance(dtype, T.TimestampNTZType):   # zone-free: monotone whatever the session zone
+        return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dtype, T.TimestampType):
+        return -F.unix_micros(c)
     if isinstance(dtype, T.BooleanType):
         return ~c
     return None
