@@ -33,10 +33,10 @@ def _mk(rng, n_left, n_right, keys, span_h, hot=0.0):
     return left, right
 
 
-@pytest.mark.parametrize("width", [None, 1, 3, 40])
+@pytest.mark.parametrize("width", [None, "1 day", "3 days", "40 days", "5 hours", "auto"])
 @pytest.mark.parametrize("hot", [0.0, 0.8])
 def test_keyed_asof_matches_brute_force(spark, width, hot):
-    rng = random.Random(7 + int(hot * 10) + (width or 0))
+    rng = random.Random(7 + int(hot * 10) + len(str(width)))
     left, right = _mk(rng, 300, 120, [1, 2, 3, None], 24 * 20, hot)
     right.append((2, None, 999, 9.0))   # null time never matches
     ldf = spark.createDataFrame(left, "id long, k long, t timestamp_ntz")
@@ -47,7 +47,7 @@ def test_keyed_asof_matches_brute_force(spark, width, hot):
     assert got.count() == len(left)
 
 
-@pytest.mark.parametrize("width", [None, 2])
+@pytest.mark.parametrize("width", [None, "2 days", "1 hour", "auto"])
 def test_global_asof_timestamps_distinct_probes(spark, width):
     rng = random.Random(3)
     left, right = _mk(rng, 200, 40, [0], 24 * 15)
@@ -74,7 +74,7 @@ def test_global_asof_on_dates_calendar_path(spark):
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 200), st.floats(-5, 5, allow_nan=False)),
                 min_size=1, max_size=60),
-       st.sampled_from([1, 2, 5]))
+       st.sampled_from(["1 day", "2 days", "5 days", "3 hours", "auto"]))
 def test_bucketed_lag_equals_plain_lag(spark, rows, width):
     data = [(k, BASE + timedelta(hours=h), i, v) for i, (k, h, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "k long, t timestamp_ntz, id long, v double")

@@ -55,3 +55,19 @@ def test_equities_job_upserts(spark, tmp):
     n3 = EQ.run_job(spark, {"quotes": changed}, tmp, run_ts="2025-09-09 03:00:00")
     fact = spark.read.parquet(f"{tmp}/captacao_mercado")
     assert n3 == n2 and fact.filter(F.col("dthr_igtao") > F.lit("2025-09-08 03:00:00").cast("timestamp_ntz")).count() == 0
+
+
+def test_notebook_jobs(spark, tmp):
+    import datetime as dt
+
+    import pandas as pd
+
+    from tidemark.plans import notebooks as NB
+    from tidemark.sources.rows import from_rows
+    people = from_rows(spark, [("Alice", 30), ("Bob", 25), ("Carol", 40), ("David", 22)], ["nome", "idade"])
+    assert sorted(r.nome for r in NB.adults(people).collect()) == ["Alice", "Carol"]
+    pdf = pd.DataFrame({"id": [1, 2, 3], "hora": [dt.time(8, 0), dt.time(9, 15), None]})
+    assert NB.extract_to_table(spark, pdf, "extrato_nb") == 3
+    w = NB.versioned_walkthrough(spark, f"{tmp}/vt")
+    assert w["latest"] == list(range(20)) and w["v0"] == [0, 1, 2, 3, 4] and w["v3"] == [5, 7, 9]
+    assert w["history"] == {0: "WRITE", 1: "WRITE", 2: "UPDATE", 3: "DELETE", 4: "MERGE"}

@@ -14,6 +14,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def ntz_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, computed from its wall-clock
+    fields only. (``timestamp_diff``/``unix_micros`` would cast it to a session-zone
+    instant first, which shifts DST-period values and is not monotone in a DST gap.)"""
+    c = _c(ts)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    secs = days * F.lit(86400) + F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60)
+    frac = (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint")
+    return secs * F.lit(1_000_000) + frac
+
+
 def to_day(ts) -> Column:
     """calendar day of a timestamp (``to_date``)."""
     return F.to_date(_c(ts))

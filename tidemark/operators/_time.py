@@ -4,41 +4,99 @@ A hot series (one ticker holding a third of all ticks) must not become one windo
 partition. The bucketed operators therefore window over ``(key, bucket)`` and carry the
 last value of the previous non-empty bucket in from a small per-bucket summary. The
 bucket id must be a non-decreasing function of the time column; these helpers build one.
+
+Widths are in the time column's own units - days for DATE, microseconds for timestamps
+(zone-free for TIMESTAMP_NTZ), the value itself for numerics - or a text interval
+(``"1 day"``, ``"6 hours"``, ``"15 minutes"``), or ``"auto"``: sized from the data so
+that one bucket of the densest key holds about ``AUTO_TARGET_ROWS`` rows.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import ntz_micros
+
+AUTO_TARGET_ROWS = 2_000_000
+_UNIT_SECONDS = {"day": 86400, "hour": 3600, "minute": 60, "second": 1}
+_DAY_MICROS = 86_400_000_000
+
+
+def time_number(c: Column, dtype: T.DataType) -> Column:
+    """The time column as a monotone number in its native units."""
+    if isinstance(dtype, T.DateType):
+        return F.datediff(c, F.lit("1970-01-01").cast("date"))
+    if isinstance(dtype, T.TimestampNTZType):
+        return ntz_micros(c)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.NumericType):
+        return c
+    raise TypeError(f"cannot bucket a {dtype.simpleString()} column")
 
 
 def default_width(dtype: T.DataType):
-    """Bucket width: 31 days for dates, 1 day for timestamps; numerics must say."""
+    """31 days for dates, 1 day for timestamps; numerics must say."""
     if isinstance(dtype, T.DateType):
         return 31
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return 1
+        return _DAY_MICROS
     return None
 
 
-def bucket_of(c: Column, dtype: T.DataType, width) -> Column:
-    """Monotone bucket id of ``c``: days since epoch / width for dates and local
-    (NTZ) timestamps, UTC days for instants, ``floor(c / width)`` for numerics."""
+def parse_width(width, dtype: T.DataType):
+    """Width in native units from an int/float, a text interval or None (default)."""
+    if width is None:
+        return default_width(dtype)
+    if isinstance(width, (int, float)):
+        return width
+    m = re.fullmatch(r"\s*(\d+)\s*(day|hour|minute|second)s?\s*", str(width))
+    if not m:
+        raise ValueError(f"bad bucket width {width!r}")
+    seconds = int(m.group(1)) * _UNIT_SECONDS[m.group(2)]
     if isinstance(dtype, T.DateType):
-        n = F.datediff(c, F.lit("1970-01-01").cast("date"))
-    elif isinstance(dtype, T.TimestampNTZType):
-        n = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
-    elif isinstance(dtype, T.TimestampType):
-        n = F.floor(F.unix_seconds(c) / F.lit(86400))
-    elif isinstance(dtype, T.NumericType):
-        n = c
-    else:
-        raise TypeError(f"cannot bucket a {dtype.simpleString()} column")
+        return max(1, seconds // 86400)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return seconds * 1_000_000
+    raise ValueError("text widths apply to date and timestamp columns only")
+
+
+def auto_width(df: DataFrame, keys, time_col: str, dtype: T.DataType, target: int = AUTO_TARGET_ROWS):
+    """Width such that the densest key has about ``target`` rows per bucket.
+
+    One column-pruned, partially aggregated pass (count and span per key); a single
+    number reaches the driver. (As a scalar subquery it would be re-run in every branch
+    of the plan that buckets.) The width only shapes the work - results are the same for
+    any width."""
+    n = time_number(F.col(time_col), dtype)
+    per_key = (df.select(*keys, n.alias("__n")).filter(F.col("__n").isNotNull())
+                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("c"), (F.max("__n") - F.min("__n") + 1).alias("span")))
+    dens = per_key.agg(F.max(F.col("c") / F.col("span"))).first()[0]
+    if not dens:
+        return default_width(dtype)
+    floor_w = 1_000_000 if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else 1
+    if isinstance(dtype, T.FractionalType):
+        return target / dens
+    return max(floor_w, int(math.ceil(target / dens)))
+
+
+def bucket_of(c: Column, dtype: T.DataType, width) -> Column:
+    """Monotone bucket id of ``c`` for a width in native units."""
     if width is None:
         raise ValueError("numeric time columns need an explicit bucket width")
-    return F.floor(n / F.lit(width)).cast("bigint")
+    w = width if isinstance(width, Column) else F.lit(width)
+    return F.floor(time_number(c, dtype) / w).cast("bigint")
+
+
+def resolve_width(width, df: DataFrame, keys, time_col: str, dtype: T.DataType):
+    if isinstance(width, str) and width == "auto":
+        return auto_width(df, keys, time_col, dtype)
+    return parse_width(width, dtype)
 
 
 def dtype_of(df: DataFrame, name: str) -> T.DataType:

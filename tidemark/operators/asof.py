@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._time import bucket_of, default_width, dtype_of
+from ._time import bucket_of, dtype_of, resolve_width
 
 _T, _S, _B, _P, _LAST, _CARRY, _M = "__t", "__s", "__b", "__p", "__last", "__carry", "__m"
 _CARRY_SIDE, _RIGHT_SIDE, _PROBE_SIDE = 0, 1, 2
@@ -49,7 +49,8 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
 
     ``right_order`` breaks ties among right rows with equal time (larger wins).
     ``distinct_probes`` (default: only when there is no ``by`` key) resolves on the
-    distinct left ``(by, on)`` values and joins back by equality.
+    distinct left ``(by, on)`` values and joins back by equality. ``bucket_width``:
+    native units, a text interval (``"1 hour"``) or ``"auto"`` (see ``_time``).
     """
     by = list(by)
     right_by = list(right_by) if right_by is not None else list(by)
@@ -66,7 +67,6 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
         distinct_probes = not by
 
     t_type = dtype_of(left, on)
-    width = bucket_width if bucket_width is not None else default_width(t_type)
     keys = [f"__k{i}" for i in range(len(by))]
     orders = [f"__o{j}" for j in range(len(right_order))]
 
@@ -79,6 +79,7 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
         r = r.filter(F.col(k).isNotNull())
     if distinct_probes and not by and isinstance(t_type, T.DateType):
         return _calendar_asof(left, r, on, payload, orders)
+    width = resolve_width(bucket_width, left, by, on, t_type)
     r = r.withColumn(_B, bucket_of(F.col(_T), t_type, width))
     p_type = r.schema[_P].dataType
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import ntz_micros
+
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], fields: Sequence[str],
                  tickers: Sequence[str], name: str = "{field}_{ticker}",
@@ -31,7 +33,7 @@ def _sort_key(c: Column, dtype: T.DataType, descending: bool) -> Column | None:
     if isinstance(dtype, T.DateType):
         return -F.datediff(c, F.lit("1970-01-01").cast("date"))
     if isinstance(dtype, T.TimestampNTZType):   # zone-free: monotone whatever the session zone
-        return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+        return -ntz_micros(c)
     if isinstance(dtype, T.TimestampType):
         return -F.unix_micros(c)
     if isinstance(dtype, T.BooleanType):

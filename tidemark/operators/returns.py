@@ -1,10 +1,11 @@
 """Previous value, absolute/percent returns and null-safe variation per series.
 
-``bucket_width=None`` uses one window per series key: right for calendar-bounded
-series (one row per ticker per day or month). For tick-level input pass a bucket width
-(e.g. 1 day): the lag then runs per ``(key, bucket)`` and the first row of each bucket
-takes the last value of the previous non-empty bucket from a partially aggregated
-per-bucket summary, so a hot ticker is spread over its buckets.
+Without ``bucketed``/``bucket_width`` there is one window per series key: right for
+calendar-bounded series (one row per ticker per day or month). For tick-level input use
+``bucketed=True`` (1-day buckets), a width (``"1 hour"``) or ``"auto"``: the lag then runs
+per ``(key, bucket)`` and the first row of each bucket takes the last value of the
+previous non-empty bucket from a partially aggregated per-bucket summary, so a hot
+ticker is spread over its buckets.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pct_return, price_diff, variation
-from ._time import bucket_of, default_width, dtype_of
+from ._time import bucket_of, dtype_of, resolve_width
 
 _B, _S, _LAST = "__b", "__s", "__last"
 
@@ -37,7 +38,7 @@ def with_previous(df: DataFrame, key, time: str, value: str, out: str = "previou
         return df.withColumn(out, F.lag(value).over(w))
 
     t_type = dtype_of(df, time)
-    width = bucket_width if bucket_width is not None else default_width(t_type)
+    width = resolve_width(bucket_width, df, keys, time, t_type)
     cols = df.columns
     d = df.withColumn(_B, bucket_of(F.col(time), t_type, width))
     summary = (d.filter(F.col(_B).isNotNull())

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import distinct_from, epoch_to_text, round_price
+from ..functions.scalars import distinct_from, epoch_to_text, ntz_micros, round_price
 from ..operators import clean as C
 from ..operators import incremental as I
 from ..operators import mutate as MU
@@ -36,6 +36,9 @@ EARLIER_RUN_TS = "2025-09-01 03:00:00"
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 SILVER_CUT = "2024-01-20"   # the stored silver/gold tables hold rows up to this day
 VERSION_CUT = date(2024, 1, 15)
+# Tick-level windows and as-of joins size their time buckets from the data: one bucket
+# of the densest key holds about 2M rows, whatever the volume (see operators/_time.py).
+TICK_BUCKETS = "auto"
 
 
 def query(fn):
@@ -143,7 +146,8 @@ def asof_rate(spark, sf):
     fx = L.landed_fx(ev).select(F.col("dataHoraCotacao").alias("bulletin_ts"),
                                 F.col("cotacaoVenda").alias("usd_rate"))
     left = ev.select("event_id", "ts", "event_type", "value")
-    return asof_left(left, fx, on="ts", right_on="bulletin_ts", payload=["usd_rate", "bulletin_ts"])
+    return asof_left(left, fx, on="ts", right_on="bulletin_ts", payload=["usd_rate", "bulletin_ts"],
+                     bucket_width=TICK_BUCKETS)
 
 
 @query
@@ -155,7 +159,8 @@ def asof_by_user(spark, sf):
                        F.col("event_id").alias("last_purchase_id"), F.col("value").alias("last_purchase_value")))
     left = ev.select("event_id", "ts", "user_id", "event_type", "value")
     return asof_left(left, right, on="ts", right_on="purchase_ts", by=["user_id"], right_by=["buyer"],
-                     payload=["last_purchase_id", "last_purchase_value"], right_order=["last_purchase_id"])
+                     payload=["last_purchase_id", "last_purchase_value"], right_order=["last_purchase_id"],
+                     bucket_width=TICK_BUCKETS)
 
 
 @query
@@ -173,7 +178,8 @@ def changed_rows_semi(spark, sf):
 def prev_close(spark, sf):
     """Previous tick price per event type (bucketed lag, skew-safe)."""
     ev = _t(spark, sf, "events")
-    d = with_previous(ev, "event_type", "ts", "value", "previous_close", order=["event_id"], bucketed=True)
+    d = with_previous(ev, "event_type", "ts", "value", "previous_close", order=["event_id"],
+                      bucket_width=TICK_BUCKETS)
     return d.select("event_id", "event_type", "ts", "value", "previous_close")
 
 
@@ -181,7 +187,7 @@ def prev_close(spark, sf):
 def period_returns(spark, sf):
     """Absolute and percent return per event type, zero prices included."""
     d = with_returns(_zeroed_ticks(spark, sf), "event_type", "ts", "close", "previous_close",
-                     "price_change", "pct_change", order=["event_id"], bucketed=True)
+                     "price_change", "pct_change", order=["event_id"], bucket_width=TICK_BUCKETS)
     return d.select("event_id", "event_type", "ts", "close", "previous_close", "price_change", "pct_change")
 
 
@@ -189,7 +195,7 @@ def period_returns(spark, sf):
 def daily_variation(spark, sf):
     """Null-safe variation per event type, zero prices included."""
     d = with_variation(_zeroed_ticks(spark, sf), "event_type", "ts", "close", "variation",
-                       order=["event_id"], bucketed=True)
+                       order=["event_id"], bucket_width=TICK_BUCKETS)
     return d.select("event_id", "event_type", "ts", "close", "variation")
 
 
@@ -363,7 +369,7 @@ def company_split_valuation(spark, sf):
 def epoch_to_text_utc(spark, sf):
     """Unix seconds -> text in UTC whatever the session zone."""
     ev = _t(spark, sf, "events")
-    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    secs = F.floor(ntz_micros("ts") / F.lit(1_000_000)).cast("bigint")
     d = ev.select("event_id", secs.alias("epoch_s"))
     return d.withColumn("ts_text", epoch_to_text("epoch_s", "UTC"))
 
@@ -386,7 +392,8 @@ def upper_labels(spark, sf):
 def distinct_from_prev(spark, sf):
     """events whose type IS DISTINCT FROM the user's previous event type."""
     ev = _t(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    d = with_previous(ev, "user_id", "ts", "event_type", "prev_type", order=["event_id"], bucketed=True)
+    d = with_previous(ev, "user_id", "ts", "event_type", "prev_type", order=["event_id"],
+                      bucket_width=TICK_BUCKETS)
     return d.filter(distinct_from("event_type", "prev_type")).select("event_id", "user_id", "event_type", "prev_type")
 
 
