@@ -144,3 +144,10 @@ def test_cleanse_sentinel_keeps_null(spark):
     df = from_rows(spark, [("Infinity",), ("-Infinity",), (None,), ("2.5",)], "beta string")
     got = [r.beta for r in C.cleanse_sentinel(df, {"beta": 0.0}, {"beta": "double"}).collect()]
     assert got == [0.0, 0.0, None, 2.5]
+
+
+def test_cluster_conf_sizes_partitions():
+    from tidemark.session import cluster_conf
+    c = cluster_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert cluster_conf(1 << 20, 10, 4)["spark.sql.shuffle.partitions"] == "80"

@@ -70,3 +70,28 @@ def materialize(df, tag: str = "layer"):
     path = scratch_path(spark, tag)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spill-aware settings for a cluster run, from the input size and the cluster shape.
+
+    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
+    * initial shuffle partitions = input / target, at least 2 waves of the cluster's
+      cores, so each reduce task's share fits in its memory; AQE then coalesces small
+      partitions to the same advisory size and splits skewed join partitions;
+    * broadcasts stay at the default threshold: AQE broadcasts a side only after
+      measuring it.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
