@@ -104,3 +104,37 @@ def test_dedupe_max_by_and_window_fallback_agree(spark):
         return sorted(v[2] for v in best.values())
     assert sorted(tuple(r) for r in fast.collect()) == brute(["x", "y"])
     assert sorted(tuple(r) for r in slow.collect()) == brute(["x", "s", "y"])
+
+
+def test_asof_null_payload_is_still_the_match(spark):
+    """LATERAL semantics: the latest right row wins even when its payload is null."""
+    left = spark.createDataFrame([(1, 1, BASE + timedelta(hours=5))], "id long, k long, t timestamp_ntz")
+    right = spark.createDataFrame([(1, BASE + timedelta(hours=1), 1, 10.0), (1, BASE + timedelta(hours=2), 2, None)],
+                                  "rk long, rt timestamp_ntz, seq long, val double")
+    for by in (["k"], []):
+        got = asof_left(left if by else left.drop("k"), right if by else right.drop("rk"), on="t", right_on="rt",
+                        by=by, right_by=["rk"] if by else None, payload=["val", "seq"], right_order=["seq"]).first()
+        assert (got.val, got.seq) == (None, 2)
+
+
+def test_asof_empty_right(spark):
+    left = spark.createDataFrame([(1, 1, BASE)], "id long, k long, t timestamp_ntz")
+    right = spark.createDataFrame([], "rk long, rt timestamp_ntz, val double")
+    got = asof_left(left, right, on="t", right_on="rt", by=["k"], right_by=["rk"], payload=["val"]).collect()
+    assert [(r.id, r.val) for r in got] == [(1, None)]
+
+
+def test_compacted_log_prunes_old_versions(spark, tmp):
+    from tidemark.operators import versions as V
+    path = f"{tmp}/log"
+    V.commit_overwrite(spark, path, spark.range(0, 3))
+    V.commit_merge(spark, path, ["id"], spark.range(2, 5))
+    V.commit_overwrite(spark, path, V.read_version(spark, path, ["id"]))   # compaction
+    df = V.read_version(spark, path, ["id"])
+    assert sorted(r.id for r in df.collect()) == [0, 1, 2, 3, 4]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[[^\]]*\(_version#\d+ >= 2\)", plan)   # versions before compaction pruned
+    commits = V.read_commits(spark, path)
+    assert [(r.version, r.operation, r.num_rows) for r in commits.orderBy("version").collect()] == \
+        [(0, "WRITE", 3), (1, "MERGE", 3), (2, "WRITE", 5)]

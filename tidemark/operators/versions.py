@@ -82,14 +82,29 @@ def next_version(spark: SparkSession, path: str) -> int:
     return 0 if v is None else int(v) + 1
 
 
+def _commits_path(path: str) -> str:
+    return path.rstrip("/") + "_commits"
+
+
 def _append(changes: DataFrame, path: str, version: int, commit_op: str) -> int:
+    """Append the rows of one version, then its one-row commit record (version,
+    timestamp, operation, row metrics). The record is written last, so a version is
+    visible to ``read_commits`` only once its rows are in place."""
+    spark = changes.sparkSession
     out = changes.withColumns({VERSION: F.lit(version).cast("bigint"),
                                COMMIT_OP: F.lit(commit_op),
                                COMMIT_TS: F.current_timestamp()})
     out.write.mode("append").partitionBy(VERSION).parquet(path)
+    written = spark.read.parquet(path).filter(F.col(VERSION) == version)   # one partition
+    history(written).write.mode("append").parquet(_commits_path(path))
     return version
 
 
+def read_commits(spark: SparkSession, path: str) -> DataFrame:
+    """M6 from the commit records: one small row per version, whatever the data size."""
+    return spark.read.parquet(_commits_path(path))
+
+
 def commit_overwrite(spark: SparkSession, path: str, df: DataFrame) -> int:
     """K5 / M8: the whole content of ``df`` becomes the next version."""
     v = next_version(spark, path)
@@ -133,5 +148,15 @@ def commit_merge(spark: SparkSession, path: str, keys: Sequence[str], src: DataF
 
 
 def read_version(spark: SparkSession, path: str, keys: Sequence[str], version=None) -> DataFrame:
-    """``versionAsOf``: partitions above ``version`` are pruned by the scan."""
-    return as_of_version(read_log(spark, path), keys, version)
+    """``versionAsOf``: the last overwrite at or before ``version`` comes from the commit
+    records (no scan of the rows), and the row scan is pruned to the partitions between
+    it and ``version``."""
+    log = read_log(spark, path)
+    commits = read_commits(spark, path)
+    if version is not None:
+        log = log.filter(F.col(VERSION) <= F.lit(version))
+        commits = commits.filter(F.col("version") <= F.lit(version))
+    start = commits.filter(F.col("operation") == "WRITE").agg(F.max("version")).first()[0]
+    if start is not None:
+        log = log.filter(F.col(VERSION) >= F.lit(start))
+    return as_of_version(log, keys, version)
