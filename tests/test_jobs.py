@@ -71,3 +71,28 @@ def test_notebook_jobs(spark, tmp):
     w = NB.versioned_walkthrough(spark, f"{tmp}/vt")
     assert w["latest"] == list(range(20)) and w["v0"] == [0, 1, 2, 3, 4] and w["v3"] == [5, 7, 9]
     assert w["history"] == {0: "WRITE", 1: "WRITE", 2: "UPDATE", 3: "DELETE", 4: "MERGE"}
+
+
+def test_extract_files_to_raw(spark, tmp):
+    import json
+
+    from tidemark.plans.raw import fx_to_raw, index_to_raw, macro_to_raw
+    from tidemark.sources.files import read_extract
+    rows = {
+        "fx": [{"moeda": "USD", "cotacaoVenda": 5.1, "dataHoraCotacao": "2025-09-04T13:00:00", "tipoBoletim": "Fechamento"},
+               {"moeda": "USD", "cotacaoVenda": 5.0, "dataHoraCotacao": "2025-09-04T10:00:00", "tipoBoletim": "Abertura"},
+               {"moeda": "USD", "cotacaoVenda": 5.2, "dataHoraCotacao": "2025-09-05T13:00:00", "tipoBoletim": "Fechamento"}],
+        "index_daily": [{"Date": "2025-09-05T00:00:00", "Ticker": "^BVSP", "Close": 140000.456, "Repaired?": False},
+                        {"Date": "2025-09-05T00:00:00", "Ticker": "VT", "Close": 130.005, "Repaired?": True}],
+        "macro": [{"data": "2025-09-04", "valor": "0.0551"}, {"data": "2025-09-05", "valor": "0.0551"}],
+    }
+    for kind, rs in rows.items():
+        with open(f"{tmp}/{kind}.json", "w") as fh:
+            fh.write("\n".join(json.dumps(r) for r in rs))
+    fx = fx_to_raw(read_extract(spark, "fx", f"{tmp}/fx.json"), start="2025-09-04").collect()
+    assert [(str(r.dataCotacao), r.cotacaoVenda) for r in fx] == [("2025-09-05", 5.2)]     # start day excluded
+    ix = {r.ticker: r for r in index_to_raw(read_extract(spark, "index_daily", f"{tmp}/index_daily.json")).collect()}
+    assert ix["^BVSP"].codigoTicker == "IBOV" and ix["^BVSP"].fechamento == 140000.46
+    assert ix["VT"].tickerNome == "Vanguard Total World" and ix["VT"].fechamento == 130.01   # HALF_UP on the decimal text
+    mc = macro_to_raw(read_extract(spark, "macro", f"{tmp}/macro.json"), 12, "cdi").collect()
+    assert sorted((str(r.data), r.valor, r.cod_sgs) for r in mc) == [("2025-09-04", 0.0551, 12), ("2025-09-05", 0.0551, 12)]

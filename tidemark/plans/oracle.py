@@ -405,3 +405,36 @@ ORACLE["roundtrip_parquet"] = "SELECT * FROM orders"
 ORACLE["roundtrip_csv_typed"] = "SELECT * FROM part"
 ORACLE["stream_table_copy"] = "SELECT * FROM events"
 ORACLE["stream_restart_no_dup"] = "SELECT * FROM events"
+
+# ---------------------------------------------------------------- raw layer
+ORACLE["macro_extract_to_raw"] = """
+SELECT CAST(12 AS BIGINT) AS cod_sgs, 'cdi' AS nm_indice, CAST(o_orderdate AS DATE) AS data,
+       max(o_totalprice) AS valor, TIMESTAMP '2025-09-08 03:00:00' AS dt_ingestao
+FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1995-06-30' GROUP BY CAST(o_orderdate AS DATE)"""
+
+ORACLE["fx_extract_to_raw"] = """
+SELECT CAST(ts AS DATE) AS dataCotacao, 'USD' AS moeda, arg_max(value, ts) AS cotacaoCompra,
+       arg_max(value, ts) AS cotacaoVenda, CAST(1.0 AS DOUBLE) AS paridadeCompra, CAST(1.0 AS DOUBLE) AS paridadeVenda,
+       max(ts) AS dataHoraCotacao, 'Fechamento' AS tipoBoletim, TIMESTAMP '2025-09-08 03:00:00' AS dt_ingestao
+FROM events WHERE event_type = 'purchase' AND isodow(CAST(ts AS DATE)) < 6
+  AND CAST(ts AS DATE) > DATE '2024-01-02'
+GROUP BY CAST(ts AS DATE)"""
+
+ORACLE["index_extract_to_raw"] = """
+WITH t AS (
+  SELECT *, CASE event_type WHEN 'click' THEN 'VT' WHEN 'view' THEN '^GSPC' WHEN 'signup' THEN '^BVSP'
+                            WHEN 'error' THEN 'IDIV.SA' ELSE event_type END AS tk
+  FROM events WHERE event_type <> 'purchase'
+), last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE), tk ORDER BY ts DESC) AS rn FROM t)
+  WHERE rn = 1
+)
+SELECT CAST(ts AS DATE) AS dataCotacao, tk AS ticker,
+       CASE tk WHEN 'VT' THEN 'VT' WHEN '^BVSP' THEN 'IBOV' WHEN '^GSPC' THEN 'S&P500'
+               WHEN 'IDIV.SA' THEN 'IDIV' WHEN 'DIVO11.SA' THEN 'IDIV - DIVO11 IT ETF' ELSE tk END AS codigoTicker,
+       CASE tk WHEN 'VT' THEN 'Vanguard Total World' WHEN '^BVSP' THEN 'Ibovespa'
+               WHEN '^GSPC' THEN 'S&P 500' WHEN 'IDIV.SA' THEN 'IDIV' ELSE tk END AS tickerNome,
+       round(value, 2) AS fechamento, round(value, 2) AS maiorAlta, round(value / 3, 2) AS abertura,
+       FALSE AS corrigiuDividendos, round(CAST(user_id AS DOUBLE), 2) AS volume, ts AS dataHoraCotacao,
+       TIMESTAMP '2025-09-08 03:00:00' AS dt_ingestao
+FROM last"""

@@ -586,3 +586,42 @@ def stream_table_copy(spark, sf):
 def stream_restart_no_dup(spark, sf):
     """The same stream run twice on one checkpoint; the second run adds nothing."""
     return _stream_copy(spark, sf, 2)
+
+
+# ------------------------------------------------------------------ raw layer (extract -> raw)
+
+@query
+def macro_extract_to_raw(spark, sf):
+    """L1 raw: a macro extract (orders' total price by order day plays the CDI series)
+    -> keyed raw rows, start day excluded, one row per day."""
+    from .raw import macro_to_raw
+    o = _t(spark, sf, "orders")
+    ext = o.select(F.to_date("o_orderdate").alias("data"), F.col("o_totalprice").alias("valor"))
+    return macro_to_raw(ext, 12, "cdi", start="1995-06-30", run_ts=RUN_TS)
+
+
+@query
+def fx_extract_to_raw(spark, sf):
+    """L1 raw: every purchase tick as a USD bulletin (closing on weekdays, intermediate
+    on weekends) -> closing bulletins, latest per day."""
+    from .raw import fx_to_raw
+    ev = _t(spark, sf, "events").filter(F.col("event_type") == L.FX_EVENT)
+    ext = ev.select(F.lit("USD").alias("moeda"), F.col("value").alias("cotacaoCompra"),
+                    F.col("value").alias("cotacaoVenda"), F.lit(1.0).alias("paridadeCompra"),
+                    F.lit(1.0).alias("paridadeVenda"), F.col("ts").alias("dataHoraCotacao"),
+                    F.when(F.weekday(F.to_date("ts")) < 5, F.lit("Fechamento"))
+                     .otherwise(F.lit("Intermediário")).alias("tipoBoletim"))
+    return fx_to_raw(ext, start="2024-01-02", run_ts=RUN_TS)
+
+
+@query
+def index_extract_to_raw(spark, sf):
+    """L1 raw: ticks as an index quote extract -> rounded, named, latest quote per
+    (day, ticker)."""
+    from .raw import index_to_raw
+    ev = _t(spark, sf, "events").filter(F.col("event_type") != L.FX_EVENT)
+    ext = ev.select(F.col("ts").alias("Date"), C.map_values("event_type", L.EVENT_TICKERS).alias("Ticker"),
+                    (F.col("value") / F.lit(3)).alias("Open"), F.col("value").alias("High"),
+                    F.col("value").alias("Low"), F.col("value").alias("Close"),
+                    F.col("user_id").cast("double").alias("Volume"), F.lit(False).alias("Repaired?"))
+    return index_to_raw(ext, run_ts=RUN_TS)

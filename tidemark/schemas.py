@@ -47,6 +47,7 @@ EXTRACTS = {
                   ("regularMarketPrice", D, True), ("regularMarketChange", D, True),
                   ("regularMarketChangePercent", D, True), ("regularMarketVolume", L, True),
                   ("marketCap", L, True), ("fullExchangeName", S, True), ("quoteSourceName", S, True)),
+    "info": None,  # filled below: every company-info field as text
     "history": _st(("symbol", S, True), ("Date", TS, True), ("Open", D, True), ("High", D, True),
                    ("Low", D, True), ("Close", D, True), ("Volume", L, True), ("Dividends", D, True),
                    ("Stock Splits", D, True)),

@@ -34,6 +34,10 @@ def read_extract(spark: SparkSession, kind: str, path: str, fmt: str = "json") -
     distributed scan with the declared schema; ``source_file`` tells rows apart."""
     if kind not in EXTRACTS:
         raise ValueError(f"unknown extract kind {kind!r}; one of {sorted(EXTRACTS)}")
-    df = (spark.read.schema(EXTRACTS[kind]).option("recursiveFileLookup", True)
+    schema = EXTRACTS[kind]
+    if schema is None:                      # company info: all fields text
+        from ..plans.equities import info_schema
+        schema = info_schema()
+    df = (spark.read.schema(schema).option("recursiveFileLookup", True)
           .format(fmt).load(path))
     return df.withColumn("source_file", F.col("_metadata.file_name"))
