@@ -96,3 +96,28 @@ def test_extract_files_to_raw(spark, tmp):
     assert ix["VT"].tickerNome == "Vanguard Total World" and ix["VT"].fechamento == 130.01   # HALF_UP on the decimal text
     mc = macro_to_raw(read_extract(spark, "macro", f"{tmp}/macro.json"), 12, "cdi").collect()
     assert sorted((str(r.data), r.valor, r.cod_sgs) for r in mc) == [("2025-09-04", 0.0551, 12), ("2025-09-05", 0.0551, 12)]
+
+
+def test_macro_job_from_extract_files(spark, tmp):
+    import json
+    import os
+
+    src = f"{tmp}/landed"
+    os.makedirs(f"{src}/macro/cdi")
+    os.makedirs(f"{src}/fx")
+    os.makedirs(f"{src}/index_daily")
+    with open(f"{src}/macro/cdi/part.json", "w") as fh:
+        fh.write("\n".join(json.dumps({"data": f"2025-09-0{d}", "valor": "0.05"}) for d in (1, 2, 3)))
+    with open(f"{src}/fx/part.json", "w") as fh:
+        fh.write("\n".join(json.dumps({"moeda": "USD", "cotacaoVenda": 5.0 + d / 10, "tipoBoletim": "Fechamento",
+                                       "dataHoraCotacao": f"2025-09-0{d}T13:00:00"}) for d in (1, 2)))
+    with open(f"{src}/index_daily/part.json", "w") as fh:
+        fh.write("\n".join(json.dumps({"Date": f"2025-09-0{d}T00:00:00", "Ticker": "VT", "Close": 100.0 + d,
+                                       "Repaired?": False}) for d in (1, 2, 3)))
+    counts = M.run_job_from_extracts(spark, src, f"{tmp}/lake", run_ts="2025-09-08 03:00:00")
+    assert counts["silver_new"] == 3 + 2 + 3
+    gold = {(str(r.dataCotacao), r.ticker): r for r in spark.read.parquet(f"{tmp}/lake/gold").collect()}
+    vt3 = gold[("2025-09-03", "VT")]
+    assert vt3.dolar_fechamento == 5.2                         # as of 09-02: no bulletin on 09-03
+    assert vt3.retorno_em_reais == vt3.variacao_diaria + vt3.dolar_variacao + vt3.variacao_diaria * vt3.dolar_variacao
+    assert M.run_job_from_extracts(spark, src, f"{tmp}/lake")["silver_new"] == 0

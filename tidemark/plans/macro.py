@@ -210,3 +210,30 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
 def materialize_small(df):
     from ..session import materialize
     return materialize(df, "increment")
+
+
+def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | None = None,
+                          lookback: str = "last", run_ts=None) -> dict:
+    """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines or
+    parquet, one scan per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``.
+    ``series`` maps macro series names to SGS codes (default: CDI, IPCA, IGP-M)."""
+    import os
+
+    from ..sources.files import read_extract
+    from .landing import MACRO_SERIES
+    from .raw import fx_to_raw, index_to_raw, macro_to_raw
+
+    d = extract_dir.rstrip("/")
+    extracts = {}
+    macros = []
+    for name, code in (series or MACRO_SERIES).items():
+        path = f"{d}/macro/{name}"
+        if os.path.exists(path):
+            macros.append(macro_to_raw(read_extract(spark, "macro", path), code, name, run_ts=run_ts))
+    if macros:
+        extracts["macro"] = union_all(macros)
+    if os.path.exists(f"{d}/fx"):
+        extracts["fx"] = fx_to_raw(read_extract(spark, "fx", f"{d}/fx"), run_ts=run_ts)
+    if os.path.exists(f"{d}/index_daily"):
+        extracts["quotes"] = index_to_raw(read_extract(spark, "index_daily", f"{d}/index_daily"), run_ts=run_ts)
+    return run_job(spark, extracts, base, lookback=lookback)
