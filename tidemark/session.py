@@ -39,15 +39,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster that folder is the shared location every executor can reach; we only
     pick our own (a fresh local temp folder) when the session has none, as in tests.
-    """
+    Works on classic and Spark Connect sessions (no SparkContext needed)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
