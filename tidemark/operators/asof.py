@@ -79,7 +79,14 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
         r = r.filter(F.col(k).isNotNull())
     if distinct_probes and not by and isinstance(t_type, T.DateType):
         return _calendar_asof(left, r, on, payload, orders)
-    width = resolve_width(bucket_width, left, by, on, t_type)
+    if isinstance(bucket_width, str) and bucket_width == "auto":
+        # both sides enter the window: size buckets on the densest key of their union
+        both = (left.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(on).alias(_T))
+                .unionByName(right.select(*[F.col(c).alias(k) for c, k in zip(right_by, keys)],
+                                          F.col(right_on).cast(t_type).alias(_T))))
+        width = resolve_width("auto", both, keys, _T, t_type)
+    else:
+        width = resolve_width(bucket_width, left, by, on, t_type)
     r = r.withColumn(_B, bucket_of(F.col(_T), t_type, width))
     p_type = r.schema[_P].dataType
 
