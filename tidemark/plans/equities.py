@@ -126,8 +126,10 @@ def split_company_info(info: DataFrame, run_ts=None, zone: str | None = None) ->
 
 
 def index_returns(prices: DataFrame, run_ts=None) -> DataFrame:
-    """Daily index table: previous close, absolute and percent return per index."""
-    d = with_returns(prices, "indice", "data", "fechamento", "fechamento_mes_anterior",
+    """Daily index table: previous close, absolute and percent return per index. The
+    previous value is the previous *trading day*, so it is named ``previous_close``
+    (Q13), not "previous month"."""
+    d = with_returns(prices, "indice", "data", "fechamento", "previous_close",
                      "valor_retorno", "porcentagem_retorno")
     return with_audit(d, run_ts)
 

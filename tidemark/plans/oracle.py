@@ -187,10 +187,10 @@ bars AS (
   SELECT b.*, q.ticker AS indice, q.tickerNome AS nome_indice
   FROM bars b JOIN quotes q ON q.dataCotacao = b.data AND q.ticker =
        CASE b.event_type WHEN 'click' THEN 'VT' WHEN 'view' THEN '^GSPC' WHEN 'signup' THEN '^BVSP' WHEN 'error' THEN 'IDIV.SA' END
-), p AS (SELECT *, LAG(fechamento) OVER (PARTITION BY indice ORDER BY data) AS fechamento_mes_anterior FROM named)
-SELECT indice, abertura, alta, fechamento, nome_indice, data, fechamento_mes_anterior,
-       fechamento - fechamento_mes_anterior AS valor_retorno,
-       ((fechamento - fechamento_mes_anterior) / NULLIF(fechamento_mes_anterior, 0)) * 100 AS porcentagem_retorno,
+), p AS (SELECT *, LAG(fechamento) OVER (PARTITION BY indice ORDER BY data) AS previous_close FROM named)
+SELECT indice, abertura, alta, fechamento, nome_indice, data, previous_close,
+       fechamento - previous_close AS valor_retorno,
+       ((fechamento - previous_close) / NULLIF(previous_close, 0)) * 100 AS porcentagem_retorno,
        {_AUDIT}
 FROM p"""
 
