@@ -121,3 +121,28 @@ def test_macro_job_from_extract_files(spark, tmp):
     assert vt3.dolar_fechamento == 5.2                         # as of 09-02: no bulletin on 09-03
     assert vt3.retorno_em_reais == vt3.variacao_diaria + vt3.dolar_variacao + vt3.variacao_diaria * vt3.dolar_variacao
     assert M.run_job_from_extracts(spark, src, f"{tmp}/lake")["silver_new"] == 0
+
+
+def test_equities_job_from_extract_files_and_cli(spark, tmp):
+    import json
+    import os
+
+    from tidemark import cli
+    src = f"{tmp}/landed"
+    for k in ("quotes", "index_daily", "info"):
+        os.makedirs(f"{src}/{k}")
+    with open(f"{src}/quotes/p.json", "w") as fh:
+        fh.write("\n".join(json.dumps({"symbol": s, "shortName": s, "marketCap": c}) for s, c in (("AAA", 10), ("BBB", 20))))
+    with open(f"{src}/index_daily/p.json", "w") as fh:
+        rows = [{"Ticker": "^BVSP", "Date": f"2025-09-0{d}T00:00:00", "Open": 1.0, "High": 2.0, "Low": 0.5,
+                 "Close": 100.0 + d, "Volume": 1000.0} for d in (1, 2)]
+        rows.append({"Ticker": "XYZ", "Date": "2025-09-01T00:00:00", "Close": 1.0})          # not a tracked index
+        fh.write("\n".join(json.dumps(r) for r in rows))
+    with open(f"{src}/info/p.json", "w") as fh:
+        fh.write(json.dumps({"symbol": "AAA", "beta": "Infinity", "marketCap": "123", "exDividendDate": "1700000000"}))
+    out = cli.main(["equities", "--extracts", src, "--lake", f"{tmp}/lake"])
+    assert out["captacao_mercado"] == 2 and out["indices"] == 2 and out["mercado"] == 1
+    idx = sorted(spark.read.parquet(f"{tmp}/lake/indices").collect(), key=lambda r: r.data)
+    assert idx[0].nome_indice == "Ibovespa" and idx[0].fechamento_ajustado == 101.0 and idx[1].previous_close == 101.0
+    m = spark.read.parquet(f"{tmp}/lake/mercado").first()
+    assert m.beta == 0.0 and m.preco_atual is None                                         # sentinel -> default; absent -> null

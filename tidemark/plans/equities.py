@@ -73,6 +73,18 @@ COMPANY_TABLES = {
     ],
 }
 
+# The world indices of the equities job and their display names.
+WORLD_INDICES = {
+    "^BVSP": "Ibovespa",
+    "BOVA11.SA": "BOVA11",
+    "^GSPC": "S&P 500",
+    "^DJI": "Dow Jones",
+    "^IXIC": "NASDAQ",
+    "^FTSE": "FTSE 100",
+    "^GDAXI": "DAX 30",
+    "^N225": "Nikkei 225",
+}
+
 # Upsert keys of the fact tables.
 UPSERT_KEYS = {
     "retorno_mensal": ["ticker", "data"], "cadastro": ["ticker"], "captacao_mercado": ["ticker"],
@@ -125,6 +137,24 @@ def split_company_info(info: DataFrame, run_ts=None, zone: str | None = None) ->
     return out
 
 
+def index_prices_from_extract(extract: DataFrame, names=WORLD_INDICES) -> DataFrame:
+    """Daily index extract (``Ticker``, ``Date``, OHLC, optional ``Adj Close``, ``Volume``)
+    -> the typed index table: adjusted close when present, else close (P13); known
+    indices only, with their display names; volume as bigint (F12, ``try_cast``)."""
+    from ..operators.clean import first_present, map_values
+    d = first_present(extract, ["Adj Close", "Close"], "__adj")
+    d = d.filter(F.col("Ticker").isin(*names))
+    return d.select(F.col("Ticker").alias("indice"),
+                    F.col("Open").try_cast("double").alias("abertura"),
+                    F.col("High").try_cast("double").alias("alta"),
+                    F.col("Low").try_cast("double").alias("baixa"),
+                    F.col("Close").try_cast("double").alias("fechamento"),
+                    F.col("__adj").try_cast("double").alias("fechamento_ajustado"),
+                    F.col("Volume").try_cast("bigint").alias("volume"),
+                    map_values("Ticker", names).alias("nome_indice"),
+                    F.to_date("Date").alias("data"))
+
+
 def index_returns(prices: DataFrame, run_ts=None) -> DataFrame:
     """Daily index table: previous close, absolute and percent return per index. The
     previous value is the previous *trading day*, so it is named ``previous_close``
@@ -139,6 +169,22 @@ def upsert_all(targets: Mapping[str, DataFrame], stages: Mapping[str, DataFrame]
     return {n: upsert_changed(targets[n], stages[n], UPSERT_KEYS[n]) for n in stages}
 
 
+def run_job_from_extracts(spark, extract_dir: str, base: str, run_ts=None) -> dict[str, int]:
+    """L2 from landed files under ``extract_dir``: ``quotes``, ``history``, ``info`` and
+    ``index_daily`` (each optional; JSON lines or parquet; one scan per kind)."""
+    import os
+
+    from ..sources.files import read_extract
+    d = extract_dir.rstrip("/")
+    x: dict[str, DataFrame] = {}
+    for kind in ("quotes", "history", "info"):
+        if os.path.exists(f"{d}/{kind}"):
+            x[kind] = read_extract(spark, kind, f"{d}/{kind}").drop("source_file")
+    if os.path.exists(f"{d}/index_daily"):
+        x["index"] = index_prices_from_extract(read_extract(spark, "index_daily", f"{d}/index_daily"))
+    return run_job(spark, x, base, run_ts)
+
+
 def info_schema() -> T.StructType:
     """Declared text schema of a landed company-info extract (every field text, as
     the API returns mixed types)."""
