@@ -120,3 +120,23 @@ def test_epoch_text_zones(spark):
 def test_variation_matches_sql_text(spark):
     df = from_rows(spark, [(1.0, None), (2.0, 0.0), (3.0, 2.0)], "x double, p double")
     assert [r.v for r in df.select(variation("x", "p").alias("v")).collect()] == [0.0, 0.0, 0.5]
+
+
+def test_one_row_series(spark):
+    df = from_rows(spark, [(1, "T", 7.0)], ["d", "k", "x"])
+    assert with_variation(df, "k", "d", "x", "v").first().v == 0.0
+    r = with_returns(df, "k", "d", "x", "p", "diff", "pct").first()
+    assert (r.p, r.diff, r.pct) == (None, None, None)
+
+
+def test_incremental_filter_scopes(spark):
+    from tidemark.operators.incremental import newer_than_target
+    src = from_rows(spark, [("A", 1), ("A", 5), ("B", 2), ("B", 4)], "s string, d long")
+    tgt = from_rows(spark, [("A", 3), ("B", 1)], "s string, d long")
+    glob = sorted(tuple(r) for r in newer_than_target(src, tgt, "d").collect())
+    assert glob == [("A", 5), ("B", 4)]                        # one watermark (3) for every series
+    per = sorted(tuple(r) for r in newer_than_target(src, tgt, "d", scope="series", series=["s"]).collect())
+    assert per == [("A", 5), ("B", 2), ("B", 4)]
+    empty = tgt.limit(0)
+    assert newer_than_target(src, empty, "d").count() == 4      # existing but empty target: full load (Q6)
+    assert newer_than_target(src, None, "d").count() == 4       # missing target: full load
