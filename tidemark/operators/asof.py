@@ -47,7 +47,8 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
               bucket_width=None, distinct_probes: bool | None = None) -> DataFrame:
     """Left rows plus the payload columns of their as-of right row.
 
-    ``right_order`` breaks ties among right rows with equal time (larger wins).
+    ``right_order`` breaks ties among right rows with equal time (larger wins; the
+    payload itself breaks any tie left, so the match is always deterministic).
     ``distinct_probes`` (default: only when there is no ``by`` key) resolves on the
     distinct left ``(by, on)`` values and joins back by equality. ``bucket_width``:
     native units, a text interval (``"1 hour"``) or ``"auto"`` (see ``_time``).
@@ -100,7 +101,7 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
 
     # Bucket level: last right row per (by, bucket), carried to later probe buckets.
     summary = (r.groupBy(*keys, _B)
-                .agg(F.max_by(_P, F.struct(_T, *orders)).alias(_LAST))
+                .agg(F.max_by(_P, F.struct(_T, *orders, _P)).alias(_LAST))
                 .withColumn(_S, F.lit(_RIGHT_SIDE)))
     probe_buckets = (probes.select(*keys, _B).filter(F.col(_B).isNotNull()).distinct()
                      .withColumn(_LAST, F.lit(None).cast(p_type))
@@ -117,7 +118,7 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
          .unionByName(rows, allowMissingColumns=True)
          .unionByName(carry, allowMissingColumns=True))
     w = (Window.partitionBy(*keys, _B)
-         .orderBy(F.col(_T).asc_nulls_first(), F.col(_S), *[F.col(o) for o in orders])
+         .orderBy(F.col(_T).asc_nulls_first(), F.col(_S), *[F.col(o) for o in orders], F.col(_P))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     matched = (u.withColumn(_M, F.last(_P, ignorenulls=True).over(w))
                .filter(F.col(_S) == _PROBE_SIDE))
@@ -132,7 +133,7 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
 
 def _calendar_asof(left: DataFrame, r: DataFrame, on: str, payload, orders) -> DataFrame:
     """Global as-of on a date column: both sides reduced to one row per date first."""
-    per_day = r.groupBy(_T).agg(F.max_by(_P, F.struct(*orders) if orders else F.lit(0)).alias(_P))
+    per_day = r.groupBy(_T).agg(F.max_by(_P, F.struct(*orders, _P)).alias(_P))
     probes = left.select(F.col(on).alias(_T)).distinct()
     u = (probes.withColumn(_S, F.lit(_PROBE_SIDE))
          .unionByName(per_day.withColumn(_S, F.lit(_RIGHT_SIDE)), allowMissingColumns=True))
