@@ -50,3 +50,40 @@ def test_merge_check_reuses_join_shuffle(spark):
     p = _plan(spark, "upsert_changed")
     # one exchange per side: the duplicate-key window feeds the sort-merge join directly
     assert p.count("Exchange hashpartitioning(o_orderkey") == 2
+
+
+def test_bucketed_tables_upsert_without_shuffle(spark):
+    """Both sides stored bucketed on the key: the upsert (with its duplicate-key check)
+    plans no exchange at all."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.mutate import upsert_changed
+    from tidemark.sinks.files import save_table
+    base = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"),
+                                       F.lit("d0").alias("dt_ptcao"),
+                                       F.lit("2025-01-01 00:00:00").cast("timestamp_ntz").alias("dthr_igtao"))
+    save_table(base, "fact_b", bucket_by=(8, ["k"]))
+    save_table(base.withColumn("v", F.col("v") + 1), "stage_b", bucket_by=(8, ["k"]))
+    out = upsert_changed(spark.table("fact_b"), spark.table("stage_b"), ["k"])
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in p
+    assert out.count() == 2000
+
+
+def test_auto_width_splits_a_hot_key(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators._time import auto_width, bucket_of
+    rng = random.Random(5)
+    base = datetime(2024, 1, 1)
+    rows = [(0 if rng.random() < 0.8 else rng.randrange(1, 20), base + timedelta(seconds=rng.randrange(86400 * 30)))
+            for _ in range(5000)]
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz")
+    dtype = df.schema["t"].dataType
+    w = auto_width(df, ["k"], "t", dtype, target=100)
+    sizes = df.groupBy("k", bucket_of(F.col("t"), dtype, w).alias("b")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200          # the hot key (80 % of rows) is cut up
+    assert sizes.filter(F.col("k") == 0).count() >= 4000 // 200
