@@ -201,7 +201,7 @@ SELECT * EXCLUDE (rn) FROM (
                                         l_partkey ASC NULLS FIRST) AS rn
   FROM lineitem) WHERE rn = 1"""
 
-ORACLE["wide_to_long_bars"] = """
+ORACLE["wide_to_long"] = """
 WITH b AS (SELECT CAST(ts AS DATE) AS d, event_type AS ticker, arg_max(value, ts) AS close, max(value) AS high
            FROM events GROUP BY ALL),
 days AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events),
@@ -276,13 +276,13 @@ SELECT c_name AS ticker, CAST(NULL AS DOUBLE) AS pl_futuro, CAST(NULL AS DOUBLE)
 FROM {_CUST}"""
 
 # ---------------------------------------------------------------- scalar functions
-ORACLE["epoch_to_text_utc"] = """
+ORACLE["epoch_to_text"] = """
 SELECT event_id, epoch_s, strftime(make_timestamp(epoch_s * 1000000), '%Y-%m-%d %H:%M:%S') AS ts_text
 FROM (SELECT event_id, date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS epoch_s FROM events)"""
 ORACLE["round_prices"] = """
 SELECT l_orderkey, l_linenumber, l_extendedprice, round(l_extendedprice / 3, 2) AS instalment FROM lineitem"""
 ORACLE["upper_labels"] = "SELECT event_id, upper(event_type) AS label FROM events"
-ORACLE["distinct_from_prev"] = """
+ORACLE["distinct_from"] = """
 SELECT event_id, user_id, event_type, prev_type FROM (
   SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_type FROM events)
 WHERE event_type IS DISTINCT FROM prev_type"""

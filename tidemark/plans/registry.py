@@ -41,9 +41,13 @@ VERSION_CUT = date(2024, 1, 15)
 TICK_BUCKETS = "auto"
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn=None, *, name: str | None = None):
+    """Register a builder under its function name, or under ``name`` when that would
+    clash with an imported operator."""
+    def reg(f):
+        QUERIES[name or f.__name__] = f
+        return f
+    return reg(fn) if fn is not None else reg
 
 
 def _t(spark, sf, name):
@@ -220,7 +224,7 @@ def dedupe_latest(spark, sf):
                   [("l_shipdate", "desc"), ("l_extendedprice", "desc"), ("l_partkey", "asc")])
 
 
-@query
+@query(name="wide_to_long")
 def wide_to_long_bars(spark, sf):
     """Daily bars pivoted wide (one column per event type and field), then back to
     one row per (day, type)."""
@@ -362,7 +366,7 @@ def company_split_valuation(spark, sf):
 
 # ------------------------------------------------------------------ scalar functions
 
-@query
+@query(name="epoch_to_text")
 def epoch_to_text_utc(spark, sf):
     """Unix seconds -> text in UTC whatever the session zone."""
     ev = _t(spark, sf, "events")
@@ -385,7 +389,7 @@ def upper_labels(spark, sf):
     return _t(spark, sf, "events").select("event_id", F.upper("event_type").alias("label"))
 
 
-@query
+@query(name="distinct_from")
 def distinct_from_prev(spark, sf):
     """events whose type IS DISTINCT FROM the user's previous event type."""
     ev = _t(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
