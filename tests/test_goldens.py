@@ -140,3 +140,15 @@ def test_incremental_filter_scopes(spark):
     empty = tgt.limit(0)
     assert newer_than_target(src, empty, "d").count() == 4      # existing but empty target: full load (Q6)
     assert newer_than_target(src, None, "d").count() == 4       # missing target: full load
+
+
+def test_versioned_table_handle(spark, tmp):
+    t = V.VersionedTable(spark, f"{tmp}/vt", ["id"])
+    t.overwrite(spark.range(0, 5))
+    t.overwrite(spark.range(5, 10))
+    t.update("id % 2 = 0", {"id": "id + 100"})
+    t.delete("id % 2 = 0")
+    t.merge(spark.range(0, 20))
+    assert sorted(r.id for r in t.to_df().collect()) == list(range(20))
+    assert sorted(r.id for r in t.to_df(3).collect()) == [5, 7, 9]
+    assert [r.operation for r in t.history().orderBy("version").collect()] == ["WRITE", "WRITE", "UPDATE", "DELETE", "MERGE"]

@@ -160,3 +160,31 @@ def read_version(spark: SparkSession, path: str, keys: Sequence[str], version=No
     if start is not None:
         log = log.filter(F.col(VERSION) >= F.lit(start))
     return as_of_version(log, keys, version)
+
+
+class VersionedTable:
+    """A handle on a change-log table at ``path`` keyed by ``keys``: the same verbs as a
+    versioned-table API (overwrite, update, delete, merge, history, read as of a version),
+    each delegating to the functions above. Holds no data; every call is a Spark job."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+        self.spark, self.path, self.keys = spark, path, list(keys)
+
+    def overwrite(self, df: DataFrame) -> int:
+        return commit_overwrite(self.spark, self.path, df)
+
+    def update(self, condition, set_exprs: Mapping[str, object]) -> int:
+        return commit_update(self.spark, self.path, self.keys, condition, set_exprs)
+
+    def delete(self, condition) -> int:
+        return commit_delete(self.spark, self.path, self.keys, condition)
+
+    def merge(self, source: DataFrame, update: Mapping[str, str] | None = None,
+              insert: Mapping[str, str] | None = None) -> int:
+        return commit_merge(self.spark, self.path, self.keys, source, update, insert)
+
+    def to_df(self, version=None) -> DataFrame:
+        return read_version(self.spark, self.path, self.keys, version)
+
+    def history(self) -> DataFrame:
+        return read_commits(self.spark, self.path)
