@@ -16,10 +16,10 @@ Plan (all DataFrame operators, no Python in the data path):
    before the shuffle) is as-of'ed at bucket level and injected as one synthetic
    "carry" row at the head of each probe bucket.
 
-So a hot key is split across its buckets and never lands whole in one task. For a
-global series (no ``by``) the default resolves the as-of on the *distinct* left times
-and joins the answer back by equality; AQE turns that join into a broadcast only when
-the runtime size is under the threshold.
+So a hot key is split across its buckets and never lands whole in one task. With
+``distinct_probes`` the as-of is resolved on the *distinct* left times and joined back by
+equality (AQE turns that join into a broadcast only when the runtime size is under the
+threshold); that pays off when many left rows share a time (dates), not for ticks.
 
 Calendar path: for a global series on a DATE column, the distinct left dates and the
 last right row per date are both bounded by the calendar (at most 366 rows a year,
@@ -49,7 +49,7 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
 
     ``right_order`` breaks ties among right rows with equal time (larger wins; the
     payload itself breaks any tie left, so the match is always deterministic).
-    ``distinct_probes`` (default: only when there is no ``by`` key) resolves on the
+    ``distinct_probes`` (default: a global series on a DATE column) resolves on the
     distinct left ``(by, on)`` values and joins back by equality. ``bucket_width``:
     native units, a text interval (``"1 hour"``) or ``"auto"`` (see ``_time``).
     """
@@ -64,10 +64,11 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
     clash = set(payload) & set(left.columns)
     if clash:
         raise ValueError(f"payload columns {sorted(clash)} already exist on the left; rename them")
-    if distinct_probes is None:
-        distinct_probes = not by
-
     t_type = dtype_of(left, on)
+    if distinct_probes is None:
+        # dates repeat across many rows (one per ticker per day): resolve once per date;
+        # tick timestamps are nearly unique, so resolving on the rows saves a shuffle
+        distinct_probes = not by and isinstance(t_type, T.DateType)
     keys = [f"__k{i}" for i in range(len(by))]
     orders = [f"__o{j}" for j in range(len(right_order))]
 
