@@ -146,3 +146,12 @@ def test_equities_job_from_extract_files_and_cli(spark, tmp):
     assert idx[0].nome_indice == "Ibovespa" and idx[0].fechamento_ajustado == 101.0 and idx[1].previous_close == 101.0
     m = spark.read.parquet(f"{tmp}/lake/mercado").first()
     assert m.beta == 0.0 and m.preco_atual is None                                         # sentinel -> default; absent -> null
+
+
+def test_publish_registers_and_documents(spark, tmp):
+    M.run_job(spark, _extracts(spark, "2024-01-05"), tmp)
+    silver, gold = M.publish(spark, tmp, db="gold_t")
+    assert spark.table(gold).count() == spark.read.parquet(f"{tmp}/gold").count()
+    desc = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {gold}").collect()}
+    assert desc["dolar_fechamento"] == "Fechamento do dólar no dia"
+    assert spark.table(silver).filter("ticker = 'USD'").count() > 0

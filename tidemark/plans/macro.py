@@ -237,3 +237,32 @@ def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | Non
     if os.path.exists(f"{d}/index_daily"):
         extracts["quotes"] = index_to_raw(read_extract(spark, "index_daily", f"{d}/index_daily"), run_ts=run_ts)
     return run_job(spark, extracts, base, lookback=lookback)
+
+
+# The gold table's column documentation.
+GOLD_COMMENTS = {
+    "dataCotacao": "Data da cotação",
+    "indicador": "Nome do indicador",
+    "ticker": "Código do ticker",
+    "tickernome": "Nome completo do ticker",
+    "fechamento": "Preço de fechamento do índice ou moeda",
+    "variacao_diaria": "Variação diária do índice ou moeda (em percentual)",
+    "retorno_em_reais": "Retorno em reais para índices globais (USD), ou igual à variacao_diaria para outros",
+    "dolar_fechamento": "Fechamento do dólar no dia",
+    "dolar_variacao": "Variação diária do dólar",
+}
+
+
+def publish(spark, base: str, db: str = "gold") -> list[str]:
+    """Register the stored silver and gold tables of ``run_job`` in the catalog
+    (schema from the files, partitions discovered) and document gold's columns."""
+    from ..catalog import comment_columns, ensure_database, register
+    ensure_database(spark, db)
+    names = []
+    for layer in ("silver", "gold"):
+        name = f"{db}.{'variacao_indices' if layer == 'silver' else 'retorno_indices'}"
+        register(spark, name, f"{base.rstrip('/')}/{layer}")
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        names.append(name)
+    comment_columns(spark, names[1], GOLD_COMMENTS)
+    return names
