@@ -123,14 +123,14 @@ def split_company_info(info: DataFrame, run_ts=None, zone: str | None = None) ->
     values are ``try_cast`` (Q15). The ex-dividend epoch becomes text (F3)."""
     out = {}
     for name, fields in COMPANY_TABLES.items():
-        present = [(src, dst, typ, dflt) for src, dst, typ, dflt in fields]
         cols = [F.col("symbol").cast("string").alias("ticker")]
-        for src, dst, typ, dflt in present:
-            c = F.col(src) if src in info.columns else F.lit(None)
-            if dflt is not None:
-                c = F.when(c.cast("string").isin("Infinity", "-Infinity"), F.lit(dflt)).otherwise(c)
-            cols.append(c.try_cast(typ).alias(dst))
+        cols += [(F.col(src) if src in info.columns else F.lit(None).cast("string")).alias(dst)
+                 for src, dst, _, _ in fields]
         t = info.select(*cols)
+        defaults = {dst: dflt for _, dst, _, dflt in fields if dflt is not None}
+        types = {dst: typ for _, dst, typ, _ in fields}
+        t = cleanse_sentinel(t, defaults, types)                      # P11 + try_cast
+        t = t.withColumns({dst: F.col(dst).try_cast(typ) for _, dst, typ, dflt in fields if dflt is None})
         if name == "dividendos":
             t = t.withColumn("data_exdividendo", epoch_to_text("data_exdividendo", zone))
         out[name] = with_audit(drop_null_keys(t, ["ticker"]), run_ts)
