@@ -152,3 +152,37 @@ def test_versioned_table_handle(spark, tmp):
     assert sorted(r.id for r in t.to_df().collect()) == list(range(20))
     assert sorted(r.id for r in t.to_df(3).collect()) == [5, 7, 9]
     assert [r.operation for r in t.history().orderBy("version").collect()] == ["WRITE", "WRITE", "UPDATE", "DELETE", "MERGE"]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_KEYS = st.one_of(st.none(), st.integers(0, 6))
+_VALS = st.one_of(st.none(), st.integers(0, 2))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(_KEYS, _VALS, _VALS), max_size=8), st.lists(st.tuples(_KEYS, _VALS, _VALS), max_size=8))
+def test_upsert_changed_matches_model(spark, tgt_rows, src_rows):
+    """M4 against a plain-Python model: null keys never match, unchanged rows keep their
+    audit values, changed rows keep the first-seen date."""
+    tgt_rows = list({k: (k, a, b) for k, a, b in tgt_rows if k is not None}.values()) + \
+        [r for r in tgt_rows if r[0] is None]
+    src_rows = list({k: (k, a, b) for k, a, b in src_rows if k is not None}.values())   # unique source keys
+    schema = "k long, a long, b long, dt_ptcao string, dthr_igtao string"
+    tgt = spark.createDataFrame([(*r, "d0", "h0") for r in tgt_rows], schema)
+    src = spark.createDataFrame([(*r, "d1", "h1") for r in src_rows], schema)
+    got = sorted((tuple(r) for r in MU.upsert_changed(tgt, src, ["k"]).collect()), key=repr)
+    model = []
+    src_by_key = {r[0]: r for r in src_rows}
+    for k, a, b in tgt_rows:
+        s = src_by_key.get(k) if k is not None else None
+        if s is None:
+            model.append((k, a, b, "d0", "h0"))
+        elif (a, b) != (s[1], s[2]):
+            model.append((k, s[1], s[2], "d0", "h1"))
+        else:
+            model.append((k, a, b, "d0", "h0"))
+    tkeys = {r[0] for r in tgt_rows if r[0] is not None}
+    model += [(*r, "d1", "h1") for r in src_rows if r[0] not in tkeys]
+    assert got == sorted(model, key=repr)
