@@ -186,3 +186,31 @@ def test_upsert_changed_matches_model(spark, tgt_rows, src_rows):
     tkeys = {r[0] for r in tgt_rows if r[0] is not None}
     model += [(*r, "d1", "h1") for r in src_rows if r[0] not in tkeys]
     assert got == sorted(model, key=repr)
+
+
+_LOG_ROW = st.tuples(st.integers(0, 4), st.integers(0, 3), st.sampled_from(["upsert", "delete", "overwrite"]),
+                     st.integers(0, 5), st.integers(0, 9))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_LOG_ROW, max_size=12), st.one_of(st.none(), st.integers(0, 4)))
+def test_as_of_version_matches_model(spark, rows, version):
+    """M7: per key the greatest (_version, _seq) at or below the version and not before
+    the last overwrite; absent when that row is a delete."""
+    seen, log = set(), []
+    for v, k, op, seq, val in rows:           # (version, key, seq) unique, like a real log
+        if (v, k, seq) not in seen:
+            seen.add((v, k, seq))
+            log.append((k, val, v, op, seq))
+    df = spark.createDataFrame(log, "k long, val long, _version long, _op string, _seq long")
+    got = sorted(tuple(r) for r in V.as_of_version(df, ["k"], version).collect())
+    cut = [r for r in log if version is None or r[2] <= version]
+    ow = [r[2] for r in cut if r[3] == "overwrite"]
+    if ow:
+        cut = [r for r in cut if r[2] >= max(ow)]
+    best = {}
+    for r in cut:
+        if r[0] not in best or (r[2], r[4]) > (best[r[0]][2], best[r[0]][4]):
+            best[r[0]] = r
+    model = sorted((r[0], r[1]) for r in best.values() if r[3] != "delete")
+    assert got == model
