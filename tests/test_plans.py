@@ -87,3 +87,18 @@ def test_auto_width_splits_a_hot_key(spark):
     sizes = df.groupBy("k", bucket_of(F.col("t"), dtype, w).alias("b")).count()
     assert sizes.agg(F.max("count")).first()[0] <= 200          # the hot key (80 % of rows) is cut up
     assert sizes.filter(F.col("k") == 0).count() >= 4000 // 200
+
+
+def test_keyed_write_reads_only_touched_months(spark, tmp):
+    """M5 at scale: the stored table is read through dynamic partition pruning."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.incremental import table_or_none
+    from tidemark.sinks.tables import MONTH, with_month
+    df = spark.range(0, 3000).select(F.col("id").alias("k"),
+                                     F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("d"))
+    with_month(df, "d").write.partitionBy(MONTH).parquet(f"{tmp}/t")
+    new = with_month(df.filter("id < 50"), "d")
+    old = table_or_none(spark, f"{tmp}/t").join(new.select(MONTH).distinct(), on=MONTH, how="left_semi")
+    old.collect()
+    assert "dynamicpruningexpression(mes" in old._jdf.queryExecution().executedPlan().toString()
