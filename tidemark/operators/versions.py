@@ -75,10 +75,15 @@ def read_log(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def next_version(spark: SparkSession, path: str) -> int:
-    log = read_log(spark, path)
-    if log is None:
+    """One past the last committed version, read from the small commit records."""
+    if read_log(spark, path) is None:
         return 0
-    v = log.agg(F.max(VERSION)).first()[0]
+    try:
+        v = read_commits(spark, path).agg(F.max("version")).first()[0]
+    except Exception as e:  # a log written without commit records
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        v = read_log(spark, path).agg(F.max(VERSION)).first()[0]
     return 0 if v is None else int(v) + 1
 
 
