@@ -230,3 +230,16 @@ def test_merge_into_matches_model(spark, tgt_rows, src_rows):
     model = [(k, s[k][1], b) if k in s else (k, a, b) for k, a, b in tgt_rows]
     model += [r for r in src_rows if r[0] not in {t[0] for t in tgt_rows}]
     assert got == sorted(model, key=repr)
+
+
+def test_null_safe_keys_option(spark):
+    schema = "k long, d string, v long, dt_ptcao string, dthr_igtao timestamp_ntz"
+    h0, h1 = datetime(2025, 1, 1), datetime(2025, 1, 2)
+    tgt = from_rows(spark, [(1, None, 10, "d0", h0), (2, "x", 20, "d0", h0)], schema)
+    src = from_rows(spark, [(1, None, 11, "d1", h1), (2, "x", 20, "d1", h1)], schema)
+    default = MU.upsert_changed(tgt, src, ["k", "d"])
+    assert default.count() == 3                                   # null key part never matches (Q3)
+    safe = {(r.k, r.d): (r.v, r.dt_ptcao) for r in MU.upsert_changed(tgt, src, ["k", "d"], null_safe_keys=True).collect()}
+    assert safe == {(1, None): (11, "d0"), (2, "x"): (20, "d0")}
+    merged = MU.merge_into(tgt, src, ["k", "d"], update={"v": "src.v"}, null_safe_keys=True)
+    assert sorted((r.k, r.v) for r in merged.collect()) == [(1, 11), (2, 20)]

@@ -52,6 +52,17 @@ def unique_source(src: DataFrame, keys: Sequence[str], what: str = "merge") -> D
                .drop(_N))
 
 
+def _full_join(t: DataFrame, s: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
+    """Full outer join on the keys, key columns coalesced. ``null_safe`` matches null
+    keys to each other (``<=>``); the default never matches a null key (Q3)."""
+    if not null_safe:
+        return t.join(s, on=keys, how="full")
+    s2 = s.withColumnsRenamed({k: f"__sk_{k}" for k in keys})
+    cond = [t[k].eqNullSafe(s2[f"__sk_{k}"]) for k in keys]
+    j = t.join(s2, on=cond, how="full")
+    return j.withColumns({k: F.coalesce(t[k], s2[f"__sk_{k}"]) for k in keys}).drop(*[f"__sk_{k}" for k in keys])
+
+
 def _strip(ref: str) -> str:
     for p in ("src.", "source.", "new_data."):
         if ref.startswith(p):
@@ -61,7 +72,7 @@ def _strip(ref: str) -> str:
 
 def merge_into(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
                update: Mapping[str, str] | None = None, insert: Mapping[str, str] | None = None,
-               check_unique: bool = True) -> DataFrame:
+               check_unique: bool = True, null_safe_keys: bool = False) -> DataFrame:
     """``MERGE INTO tgt USING src ON keys``.
 
     matched -> the ``update`` columns take the named source columns, the others keep the
@@ -79,7 +90,7 @@ def merge_into(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
     scols = [c for c in src.columns if c not in keys]
     s = src.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in scols], F.lit(True).alias(_IN_S))
     t = tgt.withColumn(_IN_T, F.lit(True))
-    j = t.join(s, on=keys, how="full")
+    j = _full_join(t, s, keys, null_safe_keys)
     matched = F.col(_IN_T).isNotNull() & F.col(_IN_S).isNotNull()
     only_s = F.col(_IN_T).isNull()
 
@@ -100,14 +111,14 @@ def merge_into(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
 
 def upsert_changed(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
                    first_seen: str = "dt_ptcao", touched: str = "dthr_igtao",
-                   check_unique: bool = True) -> DataFrame:
+                   check_unique: bool = True, null_safe_keys: bool = False) -> DataFrame:
     """M4: change-aware upsert.
 
     New keys are inserted as they come. For an existing key the non-key columns and
     ``touched`` are written only when some non-key column ``IS DISTINCT FROM`` the source;
     ``first_seen`` is never updated, so the first-seen date survives. Non-key columns are
     discovered from the target. A null key never matches (Q3), so such a source row is
-    inserted again."""
+    inserted again; ``null_safe_keys=True`` matches null keys to each other instead."""
     keys = list(keys)
     if check_unique:
         src = unique_source(src, keys, "upsert_changed")
@@ -118,7 +129,7 @@ def upsert_changed(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
     s = src.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in carried if c in src.columns],
                    F.lit(True).alias(_IN_S))
     t = tgt.withColumn(_IN_T, F.lit(True))
-    j = t.join(s, on=keys, how="full")
+    j = _full_join(t, s, keys, null_safe_keys)
 
     def sv(c):
         return F.col(f"__s_{c}") if c in src.columns else F.lit(None)
