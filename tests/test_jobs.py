@@ -155,3 +155,21 @@ def test_publish_registers_and_documents(spark, tmp):
     desc = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {gold}").collect()}
     assert desc["dolar_fechamento"] == "Fechamento do dólar no dia"
     assert spark.table(silver).filter("ticker = 'USD'").count() > 0
+
+
+def test_silver_increment_scopes_slow_series(spark):
+    """Q6: a slow series whose new rows are older than the newest stored row is skipped
+    by the global watermark and kept by the per-series one."""
+    from datetime import date
+
+    from tidemark.sources.rows import from_rows
+    q_schema = "dataCotacao date, ticker string, codigoTicker string, tickerNome string, fechamento double"
+    quotes = from_rows(spark, [(date(2024, 1, d), "A", "A", "A", 10.0 + d) for d in (1, 5, 10, 11)] +
+                       [(date(2024, 1, d), "B", "B", "B", 20.0 + d) for d in (1, 5, 7)], q_schema)
+    stored = M.silver_variation(None, quotes.filter("dataCotacao <= '2024-01-05' OR ticker = 'A' AND dataCotacao <= '2024-01-10'"))
+    glob = M.silver_increment(stored, None, quotes, None, lookback="last")
+    per = M.silver_increment(stored, None, quotes, None, lookback="last", scope="series")
+    g = {(r.ticker, r.dataCotacao.day) for r in glob.collect()}
+    p = {(r.ticker, r.dataCotacao.day): r.variacao_diaria for r in per.collect()}
+    assert ("B", 7) not in g and ("A", 11) in g
+    assert p[("B", 7)] == 27.0 / 25.0 - 1 and p[("A", 11)] == 21.0 / 20.0 - 1

@@ -86,45 +86,67 @@ def gold_returns(silver: DataFrame, fx_ticker: str = FX_TICKER,
 
 # ------------------------------------------------------------------ incremental
 
-def _lookback_rows(raw: DataFrame, series: str, date_col: str, wm) -> DataFrame:
-    """The last stored row per series at or before the watermark (one partial
-    aggregate; feeds LAG for the first new row)."""
-    cols = [c for c in raw.columns if c != series]
-    return (raw.filter(F.col(date_col) <= wm)
-               .groupBy(series).agg(F.max_by(F.struct(*cols), F.col(date_col)).alias("__r"))
-               .select(series, "__r.*").select(*raw.columns))
-
-
 def silver_increment(silver: DataFrame | None, macro: Sequence[DataFrame] | DataFrame | None = None,
                      quotes: DataFrame | None = None, fx: DataFrame | None = None,
-                     lookback: str = "none") -> DataFrame:
-    """Rows newer than the whole silver table's ``max(dataCotacao)`` (global
-    watermark, Q6) from every source -> variation -> union -> replace by key.
+                     lookback: str = "none", scope: str = "global") -> DataFrame:
+    """Rows newer than the stored silver's watermark from every source -> variation
+    -> union -> replace by key.
 
+    ``scope="global"`` (the reference): one ``max(dataCotacao)`` over the whole silver
+    table, so a slower series older than the newest row is skipped (Q6).
+    ``scope="series"``: one watermark per silver ticker (a small grouped aggregate).
     ``lookback="none"`` reproduces the reference: LAG only sees the new rows, so each
     series' first new row has variation 0 (Q8). ``lookback="last"`` pulls in the last
     stored row per series so the first new variation is the true one."""
     if lookback not in ("none", "last"):
         raise ValueError("lookback must be 'none' or 'last'")
+    if scope not in ("global", "series"):
+        raise ValueError("scope must be 'global' or 'series'")
     macros = [macro] if isinstance(macro, DataFrame) else list(macro or [])
     if silver is None:
         return silver_variation(macros, quotes, fx)
-    wm = silver.select(F.max("dataCotacao")).scalar()
-    parts = [silver_macro(newer_than_target(m, silver, "data", "dataCotacao")) for m in macros]
+    if scope == "global":
+        gwm = silver.select(F.max("dataCotacao")).scalar()
+
+        def with_wm(raw, series_key):
+            return raw.withColumn("__wm", gwm)
+
+        def keep_new(out):
+            return out.filter(gwm.isNull() | (F.col("dataCotacao") > gwm))
+    else:
+        wm_tbl = silver.groupBy("ticker").agg(F.max("dataCotacao").alias("__wm"))
+
+        def with_wm(raw, series_key):
+            w = wm_tbl.withColumnRenamed("ticker", "__series")
+            return raw.withColumn("__series", series_key).join(w, on="__series", how="left").drop("__series")
+
+        def keep_new(out):
+            return (out.join(wm_tbl, on="ticker", how="left")
+                    .filter(F.col("__wm").isNull() | (F.col("dataCotacao") > F.col("__wm")))
+                    .drop("__wm").select(*SILVER_COLS))
+
+    def newer(raw_w, date_col):
+        return raw_w.filter(F.col("__wm").isNull() | (F.col(date_col) > F.col("__wm"))).drop("__wm")
+
+    parts = [silver_macro(newer(with_wm(m, F.col("cod_sgs").cast("string")), "data")) for m in macros]
 
-    def branch(raw, series, date_col, builder):
-        new = newer_than_target(raw, silver, date_col, "dataCotacao")
+    def branch(raw, series, series_key, date_col, builder):
+        raw_w = with_wm(raw, series_key)
+        new = newer(raw_w, date_col)
         if lookback == "none":
             return builder(new)
-        # the stored row per series only seeds LAG; everything at or before the
-        # watermark is dropped again after the variation is computed
-        seeded = builder(new.unionByName(_lookback_rows(raw, series, date_col, wm)))
-        return seeded.filter(wm.isNull() | (F.col("dataCotacao") > wm))
+        # the last stored row per series only seeds LAG; rows at or before the series'
+        # watermark are dropped again after the variation is computed
+        cols = [c for c in raw.columns if c != series]
+        prev = (raw_w.filter(F.col(date_col) <= F.col("__wm")).drop("__wm")
+                .groupBy(series).agg(F.max_by(F.struct(*cols), F.col(date_col)).alias("__r"))
+                .select(series, "__r.*").select(*raw.columns))
+        return keep_new(builder(new.unionByName(prev)))
 
     if quotes is not None:
-        parts.append(branch(quotes, "ticker", "dataCotacao", silver_quotes))
+        parts.append(branch(quotes, "ticker", F.upper("ticker"), "dataCotacao", silver_quotes))
     if fx is not None:
-        parts.append(branch(fx, "moeda", "dataCotacao", silver_fx))
+        parts.append(branch(fx, "moeda", F.upper("moeda"), "dataCotacao", silver_fx))
     return replace_by_key(silver.select(*SILVER_COLS), union_all(parts), SILVER_KEY)
 
 

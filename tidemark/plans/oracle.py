@@ -438,3 +438,9 @@ SELECT CAST(ts AS DATE) AS dataCotacao, tk AS ticker,
        FALSE AS corrigiuDividendos, round(CAST(user_id AS DOUBLE), 2) AS volume, ts AS dataHoraCotacao,
        TIMESTAMP '2025-09-08 03:00:00' AS dt_ingestao
 FROM last"""
+
+ORACLE["silver_increment_series"] = ("WITH " + LANDING + STORED + ",\n" + _silver_cte() + """,
+wmt AS (SELECT ticker, max(dataCotacao) AS m FROM stored GROUP BY ticker),
+new AS (SELECT s.* FROM silver s LEFT JOIN wmt w ON w.ticker = s.ticker
+        WHERE w.m IS NULL OR s.dataCotacao > w.m)
+""" + _replace("stored", "new"))

@@ -124,6 +124,13 @@ def silver_increment_last(spark, sf):
     return M.silver_increment(_stored(_silver(spark, sf, raw)), *raw, lookback="last")
 
 
+@query
+def silver_increment_series(spark, sf):
+    """I3 with one watermark per series (Q6 option) and LAG seeded from the store."""
+    raw = _raw(spark, sf)
+    return M.silver_increment(_stored(_silver(spark, sf, raw)), *raw, lookback="last", scope="series")
+
+
 @query
 def gold_increment(spark, sf):
     """I4 with the USD series cut to the new rows (the reference)."""
