@@ -173,3 +173,17 @@ def test_silver_increment_scopes_slow_series(spark):
     p = {(r.ticker, r.dataCotacao.day): r.variacao_diaria for r in per.collect()}
     assert ("B", 7) not in g and ("A", 11) in g
     assert p[("B", 7)] == 27.0 / 25.0 - 1 and p[("A", 11)] == 21.0 / 20.0 - 1
+
+
+def test_gold_increment_series_scope(spark):
+    from datetime import date
+
+    from tidemark.sources.rows import from_rows
+    schema = "dataCotacao date, indicador string, ticker string, tickernome string, fechamento double, variacao_diaria double"
+    silver = from_rows(spark, [(date(2024, 1, d), "USD", "USD", "USD", 5.0, 0.01) for d in (1, 2, 3)] +
+                       [(date(2024, 1, d), "VT", "VT", "VT", 10.0, 0.02) for d in (1, 2)], schema)
+    gold = M.gold_returns(silver.filter("dataCotacao <= '2024-01-03' AND ticker = 'USD' OR dataCotacao = '2024-01-01'"))
+    glob = {(r.ticker, r.dataCotacao.day) for r in M.gold_increment(gold, silver, "last").collect()}
+    per = {(r.ticker, r.dataCotacao.day): r for r in M.gold_increment(gold, silver, "last", scope="series").collect()}
+    assert ("VT", 2) not in glob
+    assert per[("VT", 2)].retorno_em_reais == 0.02 + 0.01 + 0.02 * 0.01

@@ -151,15 +151,17 @@ def silver_increment(silver: DataFrame | None, macro: Sequence[DataFrame] | Data
 
 
 def gold_increment(gold: DataFrame | None, silver: DataFrame, lookback: str = "none",
-                   fx_ticker: str = FX_TICKER, foreign: Sequence[str] = FOREIGN_TICKERS) -> DataFrame:
-    """I4: silver rows newer than gold's watermark -> as-of USD -> compound -> replace
-    by key. ``lookback="none"`` cuts the USD series to the new rows too (the reference,
-    Q8); ``"last"`` lets the as-of see the whole USD history."""
+                   fx_ticker: str = FX_TICKER, foreign: Sequence[str] = FOREIGN_TICKERS,
+                   scope: str = "global") -> DataFrame:
+    """I4: silver rows newer than gold's watermark (global, or per ticker with
+    ``scope="series"``) -> as-of USD -> compound -> replace by key. ``lookback="none"``
+    cuts the USD series to the new rows too (the reference, Q8); ``"last"`` lets the
+    as-of see the whole USD history."""
     if lookback not in ("none", "last"):
         raise ValueError("lookback must be 'none' or 'last'")
     if gold is None:
         return gold_returns(silver, fx_ticker, foreign)
-    base = newer_than_target(silver, gold, "dataCotacao")
+    base = newer_than_target(silver, gold, "dataCotacao", scope=scope, series=["ticker"])
     usd_src = base if lookback == "none" else silver
     new = gold_returns(base, fx_ticker, foreign, usd_source=usd_src)
     return replace_by_key(gold.select(*GOLD_COLS), new, SILVER_KEY)
