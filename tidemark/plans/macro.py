@@ -169,7 +169,8 @@ def gold_increment(gold: DataFrame | None, silver: DataFrame, lookback: str = "n
 
 # ------------------------------------------------------------------ the job
 
-def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks: bool = True) -> dict:
+def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks: bool = True,
+            scope: str = "global") -> dict:
     """L1 end to end over stored tables under ``base``:
 
     1. raw: each extract (``macro``/``quotes``/``fx`` frames in the raw shapes) keeps rows
@@ -209,16 +210,18 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     silver_path, gold_path = f"{base}/silver", f"{base}/gold"
     silver_old = table_or_none(spark, silver_path)
     silver_old = None if silver_old is None else silver_old.drop(MONTH)
-    merged_silver = silver_increment(silver_old, macro, quotes, fx, lookback=lookback)
-    new_silver = merged_silver if silver_old is None else newer_than_target(merged_silver, silver_old, "dataCotacao")
+    merged_silver = silver_increment(silver_old, macro, quotes, fx, lookback=lookback, scope=scope)
+    new_silver = merged_silver if silver_old is None else newer_than_target(
+        merged_silver, silver_old, "dataCotacao", scope=scope, series=["ticker"])
     new_silver = materialize_small(new_silver)
     replace_by_key_write(spark, new_silver, silver_path, SILVER_KEY, "dataCotacao")
 
     silver_all = table_or_none(spark, silver_path).drop(MONTH)
     gold_old = table_or_none(spark, gold_path)
     gold_old = None if gold_old is None else gold_old.drop(MONTH)
-    merged_gold = gold_increment(gold_old, silver_all, lookback=lookback)
-    new_gold = merged_gold if gold_old is None else newer_than_target(merged_gold, gold_old, "dataCotacao")
+    merged_gold = gold_increment(gold_old, silver_all, lookback=lookback, scope=scope)
+    new_gold = merged_gold if gold_old is None else newer_than_target(
+        merged_gold, gold_old, "dataCotacao", scope=scope, series=["ticker"])
     new_gold = materialize_small(new_gold)
     replace_by_key_write(spark, new_gold, gold_path, SILVER_KEY, "dataCotacao")
 
@@ -237,7 +240,7 @@ def materialize_small(df):
 
 
 def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | None = None,
-                          lookback: str = "last", run_ts=None) -> dict:
+                          lookback: str = "last", run_ts=None, scope: str = "global") -> dict:
     """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines or
     parquet, one scan per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``.
     ``series`` maps macro series names to SGS codes (default: CDI, IPCA, IGP-M)."""
@@ -260,7 +263,7 @@ def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | Non
         extracts["fx"] = fx_to_raw(read_extract(spark, "fx", f"{d}/fx"), run_ts=run_ts)
     if os.path.exists(f"{d}/index_daily"):
         extracts["quotes"] = index_to_raw(read_extract(spark, "index_daily", f"{d}/index_daily"), run_ts=run_ts)
-    return run_job(spark, extracts, base, lookback=lookback)
+    return run_job(spark, extracts, base, lookback=lookback, scope=scope)
 
 
 # The gold table's column documentation.
