@@ -1,6 +1,7 @@
 """The user-visible jobs: L1 incremental equals a full recompute and is idempotent;
 L2 upserts keep first-seen dates."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -22,17 +23,18 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select(*sorted(df.columns)).collect())
 
 
-def test_macro_job_incremental_equals_full(spark, tmp):
-    c1 = M.run_job(spark, _extracts(spark, "2024-01-15"), tmp)
+@pytest.mark.parametrize("scope", ["global", "series"])
+def test_macro_job_incremental_equals_full(spark, tmp, scope):
+    c1 = M.run_job(spark, _extracts(spark, "2024-01-15"), tmp, scope=scope)
     assert c1["silver_new"] > 0 and c1["gold_new"] > 0
-    c2 = M.run_job(spark, _extracts(spark), tmp)
+    c2 = M.run_job(spark, _extracts(spark), tmp, scope=scope)
     assert c2["silver_new"] > 0
     silver = spark.read.parquet(f"{tmp}/silver").drop("mes")
     gold = spark.read.parquet(f"{tmp}/gold").drop("mes")
     full_silver = M.silver_variation(*[_extracts(spark)[k] for k in ("macro", "quotes", "fx")])
     assert _rows(silver) == _rows(full_silver)
     assert _rows(gold) == _rows(M.gold_returns(full_silver))
-    c3 = M.run_job(spark, _extracts(spark), tmp)          # rerun: nothing new anywhere
+    c3 = M.run_job(spark, _extracts(spark), tmp, scope=scope)   # rerun: nothing new anywhere
     assert c3 == {"raw_macro": False, "raw_quotes": False, "raw_fx": False, "silver_new": 0, "gold_new": 0}
 
 
