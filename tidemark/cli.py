@@ -1,7 +1,7 @@
-"""Command line for the two jobs, e.g. under spark-submit:
+"""Command line for the two jobs:
 
-    spark-submit -m tidemark.cli macro --extracts s3://.../landed/macro --lake s3://.../lake
-    python -m tidemark.cli equities --extracts /data/landed/equities --lake /data/lake
+    python -m tidemark macro --extracts /data/landed/macro --lake /data/lake
+    spark-submit --py-files tidemark.zip tidemark/cli.py equities --extracts ... --lake ...
 
 The session comes from the submitter's configuration (master, memory, checkpoint folder).
 """
