@@ -92,6 +92,12 @@ def test_append_if_any(spark, tmp):
     assert calls == [] and spark.read.parquet(f"{tmp}/a").count() == 3
 
 
+def test_jdbc_url():
+    from tidemark.sinks.jdbc import jdbc_url
+    assert jdbc_url("db", 5432, "sgs", "raw") == "jdbc:postgresql://db:5432/sgs?currentSchema=raw"
+    assert jdbc_url("db", 5432, "sgs") == "jdbc:postgresql://db:5432/sgs"
+
+
 def test_jdbc_options_take_credentials_as_arguments():
     o = jdbc_options("jdbc:postgresql://h:5432/db", "cdi", user="u", password="p", schema="raw",
                      num_partitions=4, batch_size=1000)

@@ -9,6 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def jdbc_url(host: str, port: int, database: str, schema: str | None = None,
+             engine: str = "postgresql") -> str:
+    """``jdbc:<engine>://host:port/database`` with the default schema when given."""
+    url = f"jdbc:{engine}://{host}:{port}/{database}"
+    return f"{url}?currentSchema={schema}" if schema else url
+
+
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, num_partitions: int | None = None,
                  batch_size: int | None = None, schema: str | None = None) -> dict[str, str]:
