@@ -243,3 +243,26 @@ def test_null_safe_keys_option(spark):
     assert safe == {(1, None): (11, "d0"), (2, "x"): (20, "d0")}
     merged = MU.merge_into(tgt, src, ["k", "d"], update={"v": "src.v"}, null_safe_keys=True)
     assert sorted((r.k, r.v) for r in merged.collect()) == [(1, 11), (2, 20)]
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 5), _VALS), max_size=8), st.lists(st.tuples(_KEYS, _VALS), max_size=8))
+def test_changed_rows_and_pk_conflicts_match_model(spark, tgt_rows, src_rows):
+    """Source rows whose key exists in the target with some column IS DISTINCT FROM;
+    T4: new keys that already exist or repeat (null keys ignored)."""
+    from tidemark.operators.quality import pk_conflicts
+    tgt_rows = list({r[0]: r for r in tgt_rows}.values())
+    tgt = spark.createDataFrame(tgt_rows, "k long, v long")
+    src = spark.createDataFrame(src_rows, "k long, v long")
+    got = sorted((tuple(r) for r in MU.changed_rows(tgt, src, ["k"]).collect()), key=repr)
+    t = dict(tgt_rows)
+    model = sorted((r for r in src_rows if r[0] is not None and r[0] in t and t[r[0]] != r[1]), key=repr)
+    assert got == model
+    conflicts = {r.k: r.n for r in pk_conflicts(tgt, src, ["k"]).collect()}
+    new_keys = [r[0] for r in src_rows if r[0] is not None]
+    expect = {}
+    for k in set(new_keys):
+        n = new_keys.count(k) + (1 if k in t else 0)
+        if n > 1:
+            expect[k] = n
+    assert conflicts == expect
