@@ -152,7 +152,9 @@ def test_equities_job_from_extract_files_and_cli(spark, tmp):
 
 def test_publish_registers_and_documents(spark, tmp):
     M.run_job(spark, _extracts(spark, "2024-01-05"), tmp)
-    silver, gold = M.publish(spark, tmp, db="gold_t")
+    silver, gold, *raw = M.publish(spark, tmp, db="gold_t", raw_db="raw_pub")
+    assert raw == ["raw_pub.indices_sgs", "raw_pub.cotacao_moedas", "raw_pub.cotacoes_indices"]
+    assert spark.table("raw_pub.cotacao_moedas").count() == spark.read.parquet(f"{tmp}/raw/fx").count()
     assert spark.table(gold).count() == spark.read.parquet(f"{tmp}/gold").count()
     desc = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {gold}").collect()}
     assert desc["dolar_fechamento"] == "Fechamento do dólar no dia"

@@ -280,16 +280,26 @@ GOLD_COMMENTS = {
 }
 
 
-def publish(spark, base: str, db: str = "gold") -> list[str]:
-    """Register the stored silver and gold tables of ``run_job`` in the catalog
-    (schema from the files, partitions discovered) and document gold's columns."""
+def publish(spark, base: str, db: str = "gold", raw_db: str | None = "raw") -> list[str]:
+    """Register the stored tables of ``run_job`` in the catalog (schema from the
+    files, month partitions discovered) and document gold's columns. Returns the silver
+    and gold names first, then the raw ones (``raw_db=None`` skips the raw layer)."""
+    import os
+
     from ..catalog import comment_columns, ensure_database, register
-    ensure_database(spark, db)
-    names = []
-    for layer in ("silver", "gold"):
-        name = f"{db}.{'variacao_indices' if layer == 'silver' else 'retorno_indices'}"
-        register(spark, name, f"{base.rstrip('/')}/{layer}")
+    root = base.rstrip("/")
+
+    def reg(name, path):
+        register(spark, name, path)
         spark.sql(f"MSCK REPAIR TABLE {name}")
-        names.append(name)
+        return name
+
+    ensure_database(spark, db)
+    names = [reg(f"{db}.variacao_indices", f"{root}/silver"), reg(f"{db}.retorno_indices", f"{root}/gold")]
     comment_columns(spark, names[1], GOLD_COMMENTS)
+    if raw_db:
+        ensure_database(spark, raw_db)
+        for kind, table in (("macro", "indices_sgs"), ("fx", "cotacao_moedas"), ("quotes", "cotacoes_indices")):
+            if os.path.exists(f"{root}/raw/{kind}") or "://" in root:
+                names.append(reg(f"{raw_db}.{table}", f"{root}/raw/{kind}"))
     return names
