@@ -71,11 +71,13 @@ def landed_fx(events: DataFrame, run_ts=RUN_TS) -> DataFrame:
     ev = (events.filter(F.col("event_type") == FX_EVENT)
                 .withColumn("dataCotacao", F.to_date("ts"))
                 .filter(F.weekday("dataCotacao") < 5))
-    day = (ev.groupBy("dataCotacao")
+    # the currency comes from the data (event type -> currency), as a real bulletin
+    # feed carries it per row, rather than a constant the optimizer would fold away
+    day = (ev.groupBy("dataCotacao", map_values("event_type", {FX_EVENT: FX_CURRENCY}).alias("moeda"))
              .agg(F.max_by("value", _tick_order()).alias("cotacaoVenda"),
                   F.min("value").alias("cotacaoCompra"),
                   F.max("ts").alias("dataHoraCotacao")))
-    out = day.withColumns({"moeda": F.lit(FX_CURRENCY), "paridadeCompra": F.lit(1.0),
+    out = day.withColumns({"paridadeCompra": F.lit(1.0),
                            "paridadeVenda": F.lit(1.0), "tipoBoletim": F.lit("Fechamento")})
     out = with_audit(out, run_ts, date_col=None, ts_col="dt_ingestao")
     return out.select("dataCotacao", "moeda", "cotacaoCompra", "cotacaoVenda", "paridadeCompra",
