@@ -9,15 +9,19 @@ from tidemark.streaming.sources import rate_source, table_stream
 
 def test_rate_stream_append_and_restart(spark):
     out, ckpt = scratch_path(spark, "rate-out"), scratch_path(spark, "rate-ckpt")
-    q = stream_append(rate_source(spark, rows_per_batch=5), out, ckpt, trigger="0 seconds")
-    deadline = time.time() + 60          # an infinite source: bounded wait, then stop
-    while time.time() < deadline and sum(p["numInputRows"] for p in q.recentProgress) < 15:
-        q.awaitTermination(0.5)
-    q.stop()
-    n = spark.read.parquet(out).count()
-    assert n >= 5 and n % 5 == 0
+    def run(min_rows):
+        q = stream_append(rate_source(spark, rows_per_batch=5), out, ckpt, trigger="0 seconds")
+        deadline = time.time() + 60      # an infinite source: bounded wait, then stop
+        while time.time() < deadline and sum(p["numInputRows"] for p in q.recentProgress) < min_rows:
+            q.awaitTermination(0.5)
+        q.stop()
+
+    run(15)
+    n1 = spark.read.parquet(out).count()
+    assert n1 >= 15 and n1 % 5 == 0
+    run(10)                               # restart on the same checkpoint: resumes after the last batch
     ids = sorted(r.id for r in spark.read.parquet(out).collect())
-    assert ids == list(range(n))          # value AS id, no gaps, no duplicates
+    assert len(ids) > n1 and ids == list(range(len(ids)))   # value AS id: no gaps, no duplicates
 
 
 def test_table_stream_copy_then_restart_adds_nothing(spark, tmp):
