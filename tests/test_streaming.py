@@ -47,3 +47,12 @@ def test_console_sink_via_foreach_batch(spark, tmp):
                        each_batch=lambda df, epoch: seen.append(df.count()))
     drain(q, timeout=120)
     assert sum(seen) == 4
+
+
+def test_console_format_runs_and_drains(spark, tmp):
+    src = f"{tmp}/src3"
+    spark.range(0, 3).write.parquet(src)
+    q = stream_console(table_stream(spark, src, spark.read.parquet(src).schema),
+                       checkpoint=scratch_path(spark, "console-fmt-ckpt"), trigger="availableNow")
+    assert drain(q, timeout=120)
+    assert q.lastProgress["numInputRows"] == 3
