@@ -32,6 +32,7 @@ from .common import Written, words_of
 WEIGHTS = (5, 2, 1)
 BLOCK = 1024
 EPS = 1e-9
+MENDS = 32
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = 3) -> DataFrame:
@@ -87,12 +88,22 @@ def flight(size: list[int], p: list[float], rng: np.random.Generator) -> list[in
 
 
 def land(size: list[int], p: list[float], act: list[int]) -> None:
-    """Rounds the last open documents so that first the words, then the documents are closest."""
+    """Rounds the last open documents so that first the words, then the documents are closest to the totals that
+    the flight kept; then single documents change sides as long as that brings the words closer."""
+    whole = sum(v * s for v, s in zip(p, size))
     options = [[(m >> i) & 1 for i in range(len(act))] for m in range(1 << len(act))]
     best = min(options, key=lambda x: (abs(sum((v - p[j]) * size[j] for v, j in zip(x, act))),
                                        abs(sum(v - p[j] for v, j in zip(x, act))), x))
     for v, j in zip(best, act):
         p[j] = float(v)
+    off = sum(v * s for v, s in zip(p, size)) - whole
+    for _ in range(MENDS):
+        side = 1.0 if off > 0 else 0.0
+        at = min((j for j in range(len(p)) if p[j] == side), key=lambda j: (abs(abs(off) - size[j]), j), default=None)
+        if at is None or abs(abs(off) - size[at]) >= abs(off):
+            break
+        p[at] = 1.0 - side
+        off += size[at] * (-1 if side else 1)
 
 
 def _settler(cols: list[str], seed: int, rounds: int):

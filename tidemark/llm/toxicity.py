@@ -134,6 +134,13 @@ def typical_segments(toxic: list[str], ordinary: list[str], least: int = 5, rati
     return sorted(best, key=lambda g: (typical[g], g))
 
 
+def _dictionaries(base: bytes, toxic: list[str], ordinary: list[str]) -> dict[str, bytes]:
+    segments = typical_segments(toxic, ordinary, max(3, len(toxic) // 50))
+    words = [g for t in toxic for w in windows(t) for g in segments if w.startswith(g)]
+    special = (_trained(TOXIC_BYTES // 2, words) + b"".join(segments))[-TOXIC_BYTES:] if segments else b""
+    return {"ordinary": base + b"\x01" * len(special), "toxic": base + special}
+
+
 def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
     """{ordinary, toxic: dictionaries, threshold, slope} from the sample, or None without toxic texts."""
     if not toxic:
@@ -141,10 +148,7 @@ def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
     toxic, ordinary = distinct_texts(toxic), distinct_texts(ordinary)
     ta, tb, oa, ob = toxic[0::2], toxic[1::2] or toxic, ordinary[0::2], ordinary[1::2] or ordinary
     base = CARRIER + _trained(BASE_BYTES, [x for t in oa for x in re.findall(rb".{1,200}", t.lower().encode()[:8000], re.S)])
-    segments = typical_segments(ta, oa, max(3, len(ta) // 50))
-    words = [g for t in ta for w in windows(t) for g in segments if w.startswith(g)]
-    special = (_trained(TOXIC_BYTES // 2, words) + b"".join(g for g in segments))[-TOXIC_BYTES:] if segments else b""
-    model = {"ordinary": base + b"\x01" * len(special), "toxic": base + special}
+    model = _dictionaries(base, ta, oa)
     d = Distance(model["ordinary"], model["toxic"])
     in1, in0 = (Counter(c for t in ts for c in map(d.of, set(windows(t))) if c[0] > 1) for ts in (tb, ob))
     n1, n0 = (sum(len(set(windows(t))) for t in ts) + 1 for ts in (tb, ob))
@@ -158,7 +162,7 @@ def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
     steps = sorted({*f1, *f0}) or [0.0]
     options = [(x + y) / 2 for x, y in zip(steps, [*steps[1:], steps[-1] + 2])]
     model["threshold"] = min((t for t in options if t > 0), key=lambda t: (wrong(t), t), default=1.0)
-    return model
+    return model | _dictionaries(base, toxic, ordinary)  # calibrated: now from the whole sample
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn) -> DataFrame:
