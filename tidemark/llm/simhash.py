@@ -77,14 +77,15 @@ def links(fps: DataFrame, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
         d = f"((x ^ y) & {signed(seg_masks[s])}L)"
         own = (f"CASE WHEN {d} = 0 THEN p = {spans[s][0]} WHEN bit_count({d}) = 1 "
                f"THEN {d} = shiftleft(1L, p) ELSE {own} END")
-    some = (index.join(shared.df.where(f"n > 2 AND n <= {bucket}").select("p", "rest"), ["p", "rest"])
+    # always a sort-merge join: the shared buckets grow with the input, and the plan should not turn on their size
+    some = (index.join(shared.df.where(f"n > 2 AND n <= {bucket}").select("p", "rest").hint("merge"), ["p", "rest"])
             .groupBy("p", "rest").agg(F.sort_array(F.collect_list("fp")).alias("f"))
             .select(F.explode(F.expr(
                 f"flatten(transform(f, (x, i) -> transform(filter(slice(f, i + 2, size(f)), "
                 f"y -> bit_count(x ^ y) <= {max_bits} AND {own}), y -> struct(x AS a, y AS b))))")).alias("e"))
             .select("e.*"))
 
-    wide = (index.join(shared.df.where(f"n > {bucket}").select("p", "rest"), ["p", "rest"], "left_semi")
+    wide = (index.join(shared.df.where(f"n > {bucket}").select("p", "rest").hint("merge"), ["p", "rest"], "left_semi")
             .select("fp").distinct())
     gone = [signed(((1 << 64) - 1) & ~sum(1 << b for b in c)) for c in combinations(range(64), max_bits)]
     def key(batches):
