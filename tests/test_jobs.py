@@ -191,3 +191,39 @@ def test_gold_increment_series_scope(spark):
     per = {(r.ticker, r.dataCotacao.day): r for r in M.gold_increment(gold, silver, "last", scope="series").collect()}
     assert ("VT", 2) not in glob
     assert per[("VT", 2)].retorno_em_reais == 0.02 + 0.01 + 0.02 * 0.01
+
+
+def test_bad_row_is_not_stored_and_fails_the_retry(spark, tmp):
+    import datetime as dt
+
+    from tidemark.operators.incremental import table_or_none
+    from tidemark.plans.macro import run_job
+    quotes = spark.createDataFrame([("VT", "VT", dt.date(2024, 1, 2), None)],
+                                   "ticker string, tickerNome string, dataCotacao date, fechamento double")
+    for _ in range(2):
+        with pytest.raises(Exception):
+            run_job(spark, {"quotes": quotes}, tmp)
+        assert table_or_none(spark, f"{tmp}/silver") is None
+
+
+def test_null_month_survives_a_keyed_write(spark, tmp):
+    from tidemark.sinks.tables import replace_by_key_write
+    path = f"{tmp}/t"
+    rows = lambda *r: spark.createDataFrame(list(r), "k long, day date")
+    replace_by_key_write(spark, rows((1, None)), path, ["k"], "day")
+    replace_by_key_write(spark, rows((9, None)), path, ["k"], "day")
+    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [1, 9]
+
+
+def test_sentinel_text_never_fails_the_job(spark):
+    from tidemark.operators.clean import cleanse_sentinel
+    df = spark.createDataFrame([("3000000000000.0", "oops"), ("Infinity", "1.5"), ("1.5", None)], "cap string, x string")
+    got = cleanse_sentinel(df, {"cap": 0, "x": 0.0}, {"cap": "bigint", "x": "double"}).collect()
+    assert [tuple(r) for r in got] == [(3000000000000, None), (0, 1.5), (None, None)]
+
+
+def test_upsert_keeps_a_column_that_the_source_lacks(spark):
+    from tidemark.operators.mutate import upsert_changed
+    tgt = spark.createDataFrame([(1, "a", "b", "d0", "h0")], "k long, x string, y string, dt_ptcao string, dthr_igtao string")
+    src = spark.createDataFrame([(1, "z", "d1", "h1")], "k long, x string, dt_ptcao string, dthr_igtao string")
+    assert [tuple(r) for r in upsert_changed(tgt, src, ["k"]).collect()] == [(1, "z", "b", "d0", "h1")]

@@ -20,7 +20,7 @@ def main(argv=None) -> dict:
     ap.add_argument("--extracts", required=True, help="folder of landed extract files")
     ap.add_argument("--lake", required=True, help="folder of the stored raw/silver/gold or fact tables")
     ap.add_argument("--lookback", default="last", choices=["none", "last"], help="macro: LAG seeding (Q8)")
-    ap.add_argument("--scope", default="global", choices=["global", "series"], help="macro: watermark scope (Q6)")
+    ap.add_argument("--scope", default="series", choices=["global", "series"], help="macro: watermark scope (Q6)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"tidemark-{args.job}").getOrCreate()
     from .session import ensure_checkpoint_dir

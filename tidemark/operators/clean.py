@@ -91,12 +91,21 @@ def map_values(column, mapping: Mapping[str, str], default: Column | None = None
 def cleanse_sentinel(df: DataFrame, defaults: Mapping[str, object],
                      types: Mapping[str, str] | None = None) -> DataFrame:
     """The text sentinels ``Infinity``/``-Infinity`` become the column default;
-    null stays null (Q9). With ``types`` the result is then ``try_cast``."""
+    null stays null (Q9). With ``types`` the text is ``try_cast`` before the default joins it, so
+    one bad cell becomes null and never fails the job; whole numbers written with a point
+    (``3000000000000.0``) reach integer types."""
     out = {}
     for c, d in defaults.items():
-        v = F.when(F.col(c).cast("string").isin(*INFINITY_SENTINELS), F.lit(d)).otherwise(F.col(c))
+        text = F.col(c).cast("string")
         if types and c in types:
-            v = v.try_cast(types[c])
+            value = text.try_cast(types[c])
+            if types[c].lower() in ("tinyint", "smallint", "int", "integer", "bigint", "long"):
+                whole = text.try_cast("decimal(38,6)")
+                value = F.coalesce(value, F.when(whole == F.floor(whole), whole.cast("string")
+                                                 .substr(F.lit(1), F.length(whole.cast("string")) - 7).try_cast(types[c])))
+            v = F.when(text.isin(*INFINITY_SENTINELS), F.lit(d).cast(types[c])).otherwise(value)
+        else:
+            v = F.when(text.isin(*INFINITY_SENTINELS), F.lit(d)).otherwise(F.col(c))
         out[c] = v
     return df.withColumns(out)
 

@@ -118,7 +118,8 @@ def upsert_changed(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
     ``touched`` are written only when some non-key column ``IS DISTINCT FROM`` the source;
     ``first_seen`` is never updated, so the first-seen date survives. Non-key columns are
     discovered from the target. A null key never matches (Q3), so such a source row is
-    inserted again; ``null_safe_keys=True`` matches null keys to each other instead."""
+    inserted again; ``null_safe_keys=True`` matches null keys to each other instead. A target column
+    that the source lacks is no change: matched rows keep it, new rows have null there."""
     keys = list(keys)
     if check_unique:
         src = unique_source(src, keys, "upsert_changed")
@@ -136,15 +137,16 @@ def upsert_changed(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
 
     changed = F.lit(False)
     for c in nonkey:
-        changed = changed | distinct_from(F.col(c), sv(c))
+        if c in src.columns:
+            changed = changed | distinct_from(F.col(c), sv(c))
     only_s = F.col(_IN_T).isNull()
     write = F.col(_IN_T).isNotNull() & F.col(_IN_S).isNotNull() & changed
     out = []
     for c in tcols:
         if c in keys:
             out.append(F.col(c))
-        elif c == first_seen:
-            out.append(F.when(only_s, sv(c)).otherwise(F.col(c)).alias(c))
+        elif c == first_seen or c not in src.columns:
+            out.append(F.when(only_s, sv(c)).otherwise(F.col(c)).cast(tgt.schema[c].dataType).alias(c))
         else:
             out.append(F.when(only_s | write, sv(c)).otherwise(F.col(c)).cast(tgt.schema[c].dataType).alias(c))
     return j.select(*out)

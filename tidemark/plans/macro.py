@@ -170,7 +170,7 @@ def gold_increment(gold: DataFrame | None, silver: DataFrame, lookback: str = "n
 # ------------------------------------------------------------------ the job
 
 def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks: bool = True,
-            scope: str = "global") -> dict:
+            scope: str = "series") -> dict:
     """L1 end to end over stored tables under ``base``:
 
     1. raw: each extract (``macro``/``quotes``/``fx`` frames in the raw shapes) keeps rows
@@ -179,7 +179,8 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     2. silver: I3 against the stored silver (watermark, LAG lookback), written by
        replacing keys in the touched months only;
     3. gold: I4 against the stored gold, same write;
-    4. data tests on the new rows (T1/T2/T3) - the job fails on a bad row.
+    The new rows of 2 and 3 pass the data tests (T1/T2/T3) before they are written; the job fails on
+    a bad row. The watermark is per series by default, so a slower series is not held back by a faster one.
 
     Returns row counts of the increments. Reruns are idempotent: a second run with the
     same extracts adds nothing.
@@ -214,6 +215,9 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     new_silver = merged_silver if silver_old is None else newer_than_target(
         merged_silver, silver_old, "dataCotacao", scope=scope, series=["ticker"])
     new_silver = materialize_small(new_silver)
+    if run_checks:  # before the write: a bad row must not be stored, and must fail the retry as well
+        assert_empty(check_not_null(new_silver, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
+        assert_empty(check_unique(new_silver, SILVER_KEY), "silver unique")
     replace_by_key_write(spark, new_silver, silver_path, SILVER_KEY, "dataCotacao")
 
     silver_all = table_or_none(spark, silver_path).drop(MONTH)
@@ -223,12 +227,10 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     new_gold = merged_gold if gold_old is None else newer_than_target(
         merged_gold, gold_old, "dataCotacao", scope=scope, series=["ticker"])
     new_gold = materialize_small(new_gold)
-    replace_by_key_write(spark, new_gold, gold_path, SILVER_KEY, "dataCotacao")
-
     if run_checks:
-        assert_empty(check_not_null(new_silver, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
-        assert_empty(check_unique(new_silver, SILVER_KEY), "silver unique")
         assert_empty(check_rows(new_gold, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular")
+    replace_by_key_write(spark, new_gold, gold_path, SILVER_KEY, "dataCotacao")
+
     counts["silver_new"] = new_silver.count()
     counts["gold_new"] = new_gold.count()
     return counts
@@ -240,7 +242,7 @@ def materialize_small(df):
 
 
 def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | None = None,
-                          lookback: str = "last", run_ts=None, scope: str = "global") -> dict:
+                          lookback: str = "last", run_ts=None, scope: str = "series") -> dict:
     """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines or
     parquet, one scan per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``.
     ``series`` maps macro series names to SGS codes (default: CDI, IPCA, IGP-M)."""

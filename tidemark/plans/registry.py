@@ -582,7 +582,7 @@ def _stream_copy(spark, sf, runs):
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     for _ in range(runs):
         sdf = table_stream(spark, sf, schema, glob="events.parquet")
-        drain(stream_append(sdf, out, ckpt, trigger="availableNow"), timeout=300)
+        drain(stream_append(sdf, out, ckpt, trigger="availableNow"))
     return spark.read.schema(schema).parquet(out)
 
 

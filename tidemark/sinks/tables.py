@@ -32,7 +32,8 @@ def replace_by_key_write(spark: SparkSession, new_rows: DataFrame, path: str, ke
         new.write.mode("overwrite").partitionBy(MONTH).parquet(path)
         return
     touched = new.select(MONTH).distinct()
-    old = stored.join(touched, on=MONTH, how="left_semi")
+    # null-safe: rows without a date share the null partition, which the overwrite replaces as a whole
+    old = stored.join(touched.withColumnRenamed(MONTH, "__m"), F.col(MONTH).eqNullSafe(F.col("__m")), "left_semi")
     merged = materialize(replace_by_key(old, new.select(*old.columns), list(keys)), "merge-stage")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(MONTH).parquet(path))

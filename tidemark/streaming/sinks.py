@@ -44,11 +44,11 @@ def stream_console(sdf: DataFrame, checkpoint: str | None = None, trigger: str |
     return _trigger(w, trigger).start()
 
 
-def drain(query: StreamingQuery, timeout: float = 120.0) -> bool:
-    """Wait at most ``timeout`` seconds for the query to finish (an
-    ``availableNow`` run ends by itself), then stop it; re-raise a query failure.
-    Returns True when it finished on its own."""
-    done = query.awaitTermination(timeout)
+def drain(query: StreamingQuery, timeout: float | None = None) -> bool:
+    """Wait for the query to finish (an ``availableNow`` run ends by itself); re-raise a query
+    failure. With ``timeout`` seconds an unfinished query is stopped and False returned - for endless
+    sources only: what it wrote by then is not the whole input."""
+    done = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination() or True
     if not done:
         query.stop()
     exc = query.exception()
