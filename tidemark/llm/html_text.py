@@ -113,6 +113,9 @@ class _Builder(HTMLParser):
 
 def build(html: str) -> Node:
     b = _Builder()
+    last = html.rfind("<")
+    if last >= 0 and html.find(">", last) < 0 and re.match(r"</?[A-Za-z]", html[last:last + 3]):
+        html = html[:last]  # a tag that the page ends in
     b.feed(html)
     b.close()
     return b.root

@@ -57,7 +57,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def links(fps: DataFrame, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` at 1..max_bits differing bits."""
+    """Links (a, b) between distinct fingerprints ``fp`` at 1..max_bits differing bits: all of them, but for
+    buckets of more than ``bucket``, whose members are linked to the smallest that shares a key (the same components)."""
     segs = max_bits // 2 + 1
     width = -(-64 // segs)
     spans = [(s * width, min(64, (s + 1) * width)) for s in range(segs)]
