@@ -227,3 +227,45 @@ def test_upsert_keeps_a_column_that_the_source_lacks(spark):
     tgt = spark.createDataFrame([(1, "a", "b", "d0", "h0")], "k long, x string, y string, dt_ptcao string, dthr_igtao string")
     src = spark.createDataFrame([(1, "z", "d1", "h1")], "k long, x string, dt_ptcao string, dthr_igtao string")
     assert [tuple(r) for r in upsert_changed(tgt, src, ["k"]).collect()] == [(1, "z", "b", "d0", "h1")]
+
+
+def test_backfill_equals_full_and_is_idempotent(spark, tmp):
+    """A window older than the watermark is filled: silver and gold equal a full recompute, and a second run
+    changes nothing."""
+    full = _extracts(spark)
+
+    def held(kind, df):
+        c = "data" if kind == "macro" else "dataCotacao"
+        return df.filter(~F.col(c).between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-12").cast("date")))
+    M.run_job(spark, {k: held(k, v) for k, v in full.items()}, tmp)
+    assert M.run_job(spark, full, tmp)["silver_new"] == 0             # the increment cannot see them
+    n = M.run_backfill(spark, full, tmp, "2024-01-07", "2024-01-12")
+    assert n["silver_changed"] > 0 and n["gold_changed"] > 0
+    silver = M.silver_variation(*[full[k] for k in ("macro", "quotes", "fx")])
+    assert _rows(spark.read.parquet(f"{tmp}/silver").drop("mes")) == _rows(silver)
+    assert _rows(spark.read.parquet(f"{tmp}/gold").drop("mes")) == _rows(M.gold_returns(silver))
+    again = M.run_backfill(spark, full, tmp, "2024-01-07", "2024-01-12")
+    assert not any(again.values())
+
+
+def test_extracts_are_found_by_uri_and_none_is_an_error(spark, tmp):
+    import json
+    import os
+
+    os.makedirs(f"{tmp}/in/index_daily")
+    with open(f"{tmp}/in/index_daily/p.json", "w") as fh:
+        fh.write(json.dumps({"Ticker": "^BVSP", "Date": "2025-09-01T00:00:00", "Close": 100.0, "Adj Close": 90.0}))
+    assert EQ.run_job_from_extracts(spark, f"file://{tmp}/in", f"{tmp}/lake") == {"indices": 1}
+    assert spark.read.parquet(f"{tmp}/lake/indices").first().fechamento_ajustado == 90.0
+    assert M.run_job_from_extracts(spark, f"file://{tmp}/in", f"{tmp}/macro")["silver_new"] == 1
+    for job in (EQ, M):
+        with pytest.raises(FileNotFoundError):
+            job.run_job_from_extracts(spark, f"file://{tmp}/nowhere", f"{tmp}/lake2")
+
+
+def test_rows_without_a_time_give_the_same_answer_in_both_forms(spark):
+    from tidemark.operators.returns import with_previous
+    df = spark.createDataFrame([("a", None, 1, 1.0), ("a", None, 2, 2.0), ("a", 10, 3, 3.0), ("a", 25, 4, 4.0), ("b", 3, 5, 5.0)],
+                               "k string, t int, o int, v double")
+    plain = with_previous(df, "k", "t", "v", order=["o"])
+    assert _rows(with_previous(df, "k", "t", "v", order=["o"], bucket_width=10)) == _rows(plain)

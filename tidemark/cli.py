@@ -21,13 +21,18 @@ def main(argv=None) -> dict:
     ap.add_argument("--lake", required=True, help="folder of the stored raw/silver/gold or fact tables")
     ap.add_argument("--lookback", default="last", choices=["none", "last"], help="macro: LAG seeding (Q8)")
     ap.add_argument("--scope", default="series", choices=["global", "series"], help="macro: watermark scope (Q6)")
+    ap.add_argument("--start", help="macro: backfill the days after this one, whatever is stored already (yyyy-mm-dd)")
+    ap.add_argument("--end", help="macro: last day of the backfill (default: a fixed span per kind)")
     args = ap.parse_args(argv)
+    if args.end and not args.start:
+        ap.error("--end needs --start")
     spark = SparkSession.builder.appName(f"tidemark-{args.job}").getOrCreate()
     from .session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     if args.job == "macro":
         from .plans.macro import run_job_from_extracts
-        out = run_job_from_extracts(spark, args.extracts, args.lake, lookback=args.lookback, scope=args.scope)
+        out = run_job_from_extracts(spark, args.extracts, args.lake, lookback=args.lookback, scope=args.scope,
+                                    start=args.start, end=args.end)
     else:
         from .plans.equities import run_job_from_extracts
         out = run_job_from_extracts(spark, args.extracts, args.lake)

@@ -19,6 +19,7 @@ from ..functions.scalars import pct_return, price_diff, variation
 from ._time import bucket_of, dtype_of, resolve_width
 
 _B, _S, _LAST = "__b", "__s", "__last"
+_FIRST = -2**63   # bucket of the rows without a time
 
 
 def _keys(key) -> list[str]:
@@ -29,8 +30,8 @@ def with_previous(df: DataFrame, key, time: str, value: str, out: str = "previou
                   order: Sequence[str] = (), bucket_width=None, bucketed: bool = False) -> DataFrame:
     """``lag(value)`` per series ordered by ``(time, *order)``.
 
-    Rows with a null ``time`` sort first in the plain form; in the bucketed form they
-    form their own group (price series have non-null times)."""
+    Rows with a null ``time`` sort first. In the bucketed form they are the first bucket, so both
+    forms give the same answer."""
     keys = _keys(key)
     order_cols = [F.col(time)] + [F.col(o) for o in order]
     if not bucketed and bucket_width is None:
@@ -40,9 +41,8 @@ def with_previous(df: DataFrame, key, time: str, value: str, out: str = "previou
     t_type = dtype_of(df, time)
     width = resolve_width(bucket_width, df, keys, time, t_type)
     cols = df.columns
-    d = df.withColumn(_B, bucket_of(F.col(time), t_type, width))
-    summary = (d.filter(F.col(_B).isNotNull())
-               .groupBy(*keys, _B)
+    d = df.withColumn(_B, F.coalesce(bucket_of(F.col(time), t_type, width), F.lit(_FIRST)))
+    summary = (d.groupBy(*keys, _B)
                .agg(F.max_by(F.col(value), F.struct(time, *order)).alias(_LAST)))
     wb = Window.partitionBy(*keys).orderBy(_B)
     carry = (summary.withColumn(value, F.lag(_LAST).over(wb))

@@ -141,15 +141,16 @@ def index_prices_from_extract(extract: DataFrame, names=WORLD_INDICES) -> DataFr
     """Daily index extract (``Ticker``, ``Date``, OHLC, optional ``Adj Close``, ``Volume``)
     -> the typed index table: adjusted close when present, else close (P13); known
     indices only, with their display names; volume as bigint (F12, ``try_cast``)."""
-    from ..operators.clean import first_present, map_values
-    d = first_present(extract, ["Adj Close", "Close"], "__adj")
+    from ..operators.clean import map_values
+    closes = [F.col(f"`{c}`").try_cast("double") for c in ("Adj Close", "Close") if c in extract.columns]
+    d = extract.withColumn("__adj", F.coalesce(*closes))   # a declared column that the file lacks is null
     d = d.filter(F.col("Ticker").isin(*names))
     return d.select(F.col("Ticker").alias("indice"),
                     F.col("Open").try_cast("double").alias("abertura"),
                     F.col("High").try_cast("double").alias("alta"),
                     F.col("Low").try_cast("double").alias("baixa"),
                     F.col("Close").try_cast("double").alias("fechamento"),
-                    F.col("__adj").try_cast("double").alias("fechamento_ajustado"),
+                    F.col("__adj").alias("fechamento_ajustado"),
                     F.col("Volume").try_cast("bigint").alias("volume"),
                     map_values("Ticker", names).alias("nome_indice"),
                     F.to_date("Date").alias("data"))
@@ -171,17 +172,17 @@ def upsert_all(targets: Mapping[str, DataFrame], stages: Mapping[str, DataFrame]
 
 def run_job_from_extracts(spark, extract_dir: str, base: str, run_ts=None) -> dict[str, int]:
     """L2 from landed files under ``extract_dir``: ``quotes``, ``history``, ``info`` and
-    ``index_daily`` (each optional; JSON lines or parquet; one scan per kind)."""
-    import os
-
-    from ..sources.files import read_extract
+    ``index_daily`` (each optional, at least one; JSON lines or parquet; one scan per kind)."""
+    from ..sources.files import read_extract_or_none
     d = extract_dir.rstrip("/")
     x: dict[str, DataFrame] = {}
     for kind in ("quotes", "history", "info"):
-        if os.path.exists(f"{d}/{kind}"):
-            x[kind] = read_extract(spark, kind, f"{d}/{kind}").drop("source_file")
-    if os.path.exists(f"{d}/index_daily"):
-        x["index"] = index_prices_from_extract(read_extract(spark, "index_daily", f"{d}/index_daily"))
+        if (got := read_extract_or_none(spark, kind, f"{d}/{kind}")) is not None:
+            x[kind] = got.drop("source_file")
+    if (got := read_extract_or_none(spark, "index_daily", f"{d}/index_daily")) is not None:
+        x["index"] = index_prices_from_extract(got)
+    if not x:
+        raise FileNotFoundError(f"no extract under {d}")
     return run_job(spark, x, base, run_ts)
 
 

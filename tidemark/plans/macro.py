@@ -167,6 +167,20 @@ def gold_increment(gold: DataFrame | None, silver: DataFrame, lookback: str = "n
     return replace_by_key(gold.select(*GOLD_COLS), new, SILVER_KEY)
 
 
+def silver_backfill(silver: DataFrame, macro: Sequence[DataFrame] | DataFrame | None = None,
+                    quotes: DataFrame | None = None, fx: DataFrame | None = None) -> DataFrame:
+    """The stored silver after raw rows older than its watermark arrived: rows whose recomputed value is
+    new or other than the stored one replace it by key. The row after a filled gap changes as well, since its
+    previous close is another. Equals the full recompute for every series that the raw layer holds."""
+    return replace_by_key(silver.select(*SILVER_COLS), _other(silver_variation(macro, quotes, fx), silver), SILVER_KEY)
+
+
+def _other(fresh: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of ``fresh`` that ``stored`` does not hold just so (null-safe on the key and every value)."""
+    s = stored.select(*[F.col(c).alias(f"__{c}") for c in fresh.columns])
+    return fresh.join(s, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in fresh.columns], "left_anti")
+
+
 # ------------------------------------------------------------------ the job
 
 def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks: bool = True,
@@ -236,35 +250,85 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     return counts
 
 
+def run_backfill(spark, extracts: dict, base: str, start, end=None) -> dict:
+    """L1 over a custom window: raw rows after ``start`` up to ``end`` (``fetch_window``: a default span per
+    kind) whose key is not stored yet are appended, whatever the watermark; the silver and gold rows that
+    come out new or different are tested and replace the stored ones in the months they touch. Idempotent."""
+    from ..functions.fetch_window import fetch_window
+    from ..operators.clean import after
+    from ..operators.incremental import table_or_none
+    from ..operators.quality import assert_empty, check_not_null, check_rows, check_unique
+    from ..operators.reshape import dedupe
+    from ..schemas import RAW_KEYS
+    from ..sinks.tables import MONTH, append_new_keys, replace_by_key_write
+
+    base = base.rstrip("/")
+    counts, raw = {}, {}
+    for kind, date_col in {"macro": "data", "quotes": "dataCotacao", "fx": "dataCotacao"}.items():
+        path, keys = f"{base}/raw/{kind}", RAW_KEYS[kind]
+        stored = table_or_none(spark, path)
+        if kind in extracts:
+            first, last = fetch_window({"quotes": "index"}.get(kind, kind), start=start, end=end)
+            rows = after(extracts[kind], date_col, first).filter(F.col(date_col) <= F.lit(last))
+            if stored is not None:
+                rows = rows.join(stored.select(*keys), keys, "left_anti").select(*extracts[kind].columns)
+            rows = dedupe(rows, keys, [("dt_ingestao", "desc")] if "dt_ingestao" in rows.columns else ())
+            counts[f"raw_{kind}"] = append_new_keys(spark, materialize_small(rows), path, keys, date_col)
+            stored = table_or_none(spark, path)
+        raw[kind] = None if stored is None else stored.drop(MONTH)
+
+    def put(layer, fresh, test):
+        path = f"{base}/{layer}"
+        old = table_or_none(spark, path)
+        rows = materialize_small(fresh if old is None else _other(fresh, old))
+        test(rows)
+        replace_by_key_write(spark, rows, path, SILVER_KEY, "dataCotacao")
+        counts[f"{layer}_changed"] = rows.count()
+        return table_or_none(spark, path).drop(MONTH)
+
+    def silver_tests(rows):
+        assert_empty(check_not_null(rows, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
+        assert_empty(check_unique(rows, SILVER_KEY), "silver unique")
+
+    silver = put("silver", silver_variation(raw["macro"], raw["quotes"], raw["fx"]), silver_tests)
+    put("gold", gold_returns(silver),
+        lambda rows: assert_empty(check_rows(rows, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular"))
+    return counts
+
+
 def materialize_small(df):
     from ..session import materialize
     return materialize(df, "increment")
 
 
-def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | None = None,
-                          lookback: str = "last", run_ts=None, scope: str = "series") -> dict:
-    """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines or
-    parquet, one scan per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``.
-    ``series`` maps macro series names to SGS codes (default: CDI, IPCA, IGP-M)."""
-    import os
-
-    from ..sources.files import read_extract
+def _landed(spark, extract_dir: str, series: dict | None, run_ts) -> dict[str, DataFrame]:
+    """The raw rows of every extract found below ``extract_dir``; none at all is an error."""
+    from ..sources.files import read_extract_or_none
     from .landing import MACRO_SERIES
     from .raw import fx_to_raw, index_to_raw, macro_to_raw
 
     d = extract_dir.rstrip("/")
-    extracts = {}
-    macros = []
-    for name, code in (series or MACRO_SERIES).items():
-        path = f"{d}/macro/{name}"
-        if os.path.exists(path):
-            macros.append(macro_to_raw(read_extract(spark, "macro", path), code, name, run_ts=run_ts))
-    if macros:
-        extracts["macro"] = union_all(macros)
-    if os.path.exists(f"{d}/fx"):
-        extracts["fx"] = fx_to_raw(read_extract(spark, "fx", f"{d}/fx"), run_ts=run_ts)
-    if os.path.exists(f"{d}/index_daily"):
-        extracts["quotes"] = index_to_raw(read_extract(spark, "index_daily", f"{d}/index_daily"), run_ts=run_ts)
+    macros = [(got, code, name) for name, code in (series or MACRO_SERIES).items()
+              if (got := read_extract_or_none(spark, "macro", f"{d}/macro/{name}")) is not None]
+    extracts = {"macro": union_all([macro_to_raw(*m, run_ts=run_ts) for m in macros])} if macros else {}
+    for kind, name, to_raw in (("fx", "fx", fx_to_raw), ("quotes", "index_daily", index_to_raw)):
+        if (got := read_extract_or_none(spark, name, f"{d}/{name}")) is not None:
+            extracts[kind] = to_raw(got, run_ts=run_ts)
+    if not extracts:
+        raise FileNotFoundError(f"no extract under {d}")
+    return extracts
+
+
+def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | None = None,
+                          lookback: str = "last", run_ts=None, scope: str = "series",
+                          start=None, end=None) -> dict:
+    """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines or
+    parquet, one scan per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``.
+    ``series`` maps macro series names to SGS codes (default: CDI, IPCA, IGP-M). With ``start`` the window after
+    it (up to ``end``) is backfilled instead (``run_backfill``)."""
+    extracts = _landed(spark, extract_dir, series, run_ts)
+    if start is not None:
+        return run_backfill(spark, extracts, base, start, end)
     return run_job(spark, extracts, base, lookback=lookback, scope=scope)
 
 
@@ -286,14 +350,13 @@ def publish(spark, base: str, db: str = "gold", raw_db: str | None = "raw") -> l
     """Register the stored tables of ``run_job`` in the catalog (schema from the
     files, month partitions discovered) and document gold's columns. Returns the silver
     and gold names first, then the raw ones (``raw_db=None`` skips the raw layer)."""
-    import os
-
-    from ..catalog import comment_columns, ensure_database, register
+    from ..catalog import _q, comment_columns, ensure_database, register
+    from ..operators.incremental import table_or_none
     root = base.rstrip("/")
 
     def reg(name, path):
         register(spark, name, path)
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {_q(name)}")
         return name
 
     ensure_database(spark, db)
@@ -302,6 +365,6 @@ def publish(spark, base: str, db: str = "gold", raw_db: str | None = "raw") -> l
     if raw_db:
         ensure_database(spark, raw_db)
         for kind, table in (("macro", "indices_sgs"), ("fx", "cotacao_moedas"), ("quotes", "cotacoes_indices")):
-            if os.path.exists(f"{root}/raw/{kind}") or "://" in root:
+            if table_or_none(spark, f"{root}/raw/{kind}") is not None:
                 names.append(reg(f"{raw_db}.{table}", f"{root}/raw/{kind}"))
     return names

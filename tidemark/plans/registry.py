@@ -131,6 +131,18 @@ def silver_increment_series(spark, sf):
     return M.silver_increment(_stored(_silver(spark, sf, raw)), *raw, lookback="last", scope="series")
 
 
+@query
+def silver_backfill(spark, sf):
+    """A gap of five days in every index and FX series of the stored silver, and of two years in the macro
+    ones, filled by a backfill."""
+    raw = _raw(spark, sf)
+
+    def gap(df, col, first, last):
+        return df.filter(~F.col(col).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    held = (gap(raw[0], "data", "1995-03-01", "1997-02-28"), *[gap(r, "dataCotacao", "2024-01-08", "2024-01-12") for r in raw[1:]])
+    return M.silver_backfill(materialize(M.silver_variation(*held)), *raw)
+
+
 @query
 def gold_increment(spark, sf):
     """I4 with the USD series cut to the new rows (the reference)."""

@@ -42,7 +42,8 @@ EXTRACTS = {
               ("paridadeCompra", D, True), ("paridadeVenda", D, True), ("dataHoraCotacao", TS, True),
               ("tipoBoletim", S, True)),
     "index_daily": _st(("Date", TS, True), ("Ticker", S, True), ("Open", D, True), ("High", D, True),
-                       ("Low", D, True), ("Close", D, True), ("Volume", D, True), ("Repaired?", B, True)),
+                       ("Low", D, True), ("Close", D, True), ("Adj Close", D, True), ("Volume", D, True),
+                       ("Repaired?", B, True)),
     "quotes": _st(("symbol", S, True), ("shortName", S, True), ("displayName", S, True),
                   ("regularMarketPrice", D, True), ("regularMarketChange", D, True),
                   ("regularMarketChangePercent", D, True), ("regularMarketVolume", L, True),

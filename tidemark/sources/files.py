@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,3 +44,15 @@ def read_extract(spark: SparkSession, kind: str, path: str, fmt: str = "json") -
     df = (spark.read.schema(schema).option("recursiveFileLookup", True)
           .format(fmt).load(path))
     return df.withColumn("source_file", F.col("_metadata.file_name"))
+
+
+def read_extract_or_none(spark: SparkSession, kind: str, path: str, fmt: str = "json") -> DataFrame | None:
+    """``read_extract``, or None (logged) when Spark finds nothing at ``path``. The read itself decides, so any
+    file system that Spark reaches works; every other error is raised."""
+    try:
+        return read_extract(spark, kind, path, fmt)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        logging.getLogger(__name__).warning("no %s extract at %s", kind, path)
+        return None
