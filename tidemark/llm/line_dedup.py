@@ -94,7 +94,8 @@ class LineRuns:
         met = Written(own.join(old, ["hi", "lo"], "left"), "batch-keys")
         contested = (met.df.select("hi", "lo", F.coalesce("owner", "first").alias("owner"), "first", "last")
                      .where("first <> owner OR last <> owner").select("hi", "lo", "owner"))
-        drops = Written(lines.join(contested, ["hi", "lo"]).where("d <> owner")
+        # sort-merge at every size: contested keys grow with the input, and the plan should not turn on their size
+        drops = Written(lines.join(contested.hint("merge"), ["hi", "lo"]).where("d <> owner")
                         .groupBy("d", "th", "pos").agg(F.lit(1).alias("one"))
                         .groupBy("d", "th").agg(F.collect_list("pos").alias("drop")), "line-drops").df
         self._put(met.df.where("owner IS NULL").withColumn("owner", F.col("first")), 0)
@@ -118,19 +119,20 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(row: the input's columns, n_lines, n_dropped, text: what is left of it)."""
     spark = docs.sparkSession
     base = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), doc_key(docs[id_col]).alias("d"),
-                       F.xxhash64(docs[text_col]).alias("th"), docs[text_col].alias("t"))
+                       F.xxhash64(docs[text_col]).alias("th"))
     cuts = sorted(set(docs.select(docs[id_col].cast("long").alias("d")).approxQuantile(
         "d", [i / batches for i in range(1, batches)], 0.02)))
     batch = F.lit(0)
     for c in cuts:
         batch = batch + (F.col("d") > int(c)).cast("int")
-    lines = Written(line_hashes(base.select("d", "th", "t"), min_chars).withColumn("batch", batch), "lines", "batch")
+    text = F.col("row").getField(text_col)
+    lines = Written(line_hashes(base.select("d", "th", text.alias("t")), min_chars).withColumn("batch", batch), "lines", "batch")
     index = LineRuns(spark, fanout=fanout)
     drops = None
     for i in range(len(cuts) + 1):
         got = index.add(lines.df.where(F.col("batch") == i))
         drops = got if drops is None else drops.union(got)
-    out = base.join(drops, ["d", "th"], "left")
+    out = base.join(drops.hint("merge"), ["d", "th"], "left").withColumn("t", text)  # the text travels once, in the row
     lost = F.coalesce(F.size("drop"), F.lit(0))
     n = F.size(F.split(F.coalesce("t", F.lit("")), "\n"))
     return out.select("row", n.cast("long").alias("n_lines"),
