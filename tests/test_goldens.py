@@ -94,21 +94,29 @@ def test_upsert_null_key_is_inserted_again(spark):
 def test_versioned_walkthrough(spark, tmp):
     """v0 overwrite 0..4, v1 overwrite 5..9, v2 update id+100 where even, v3 delete even,
     v4 merge 0..19; time travel to v0 and v3."""
-    path = f"{tmp}/delta-like"
-    keys = ["id"]
-    assert V.commit_overwrite(spark, path, spark.range(0, 5)) == 0
-    assert V.commit_overwrite(spark, path, spark.range(5, 10)) == 1
-    assert V.commit_update(spark, path, keys, "id % 2 = 0", {"id": "id + 100"}) == 2
-    ids = lambda v=None: sorted(r.id for r in V.read_version(spark, path, keys, v).collect())
-    assert ids() == [5, 7, 9, 106, 108]
-    assert V.commit_delete(spark, path, keys, "id % 2 = 0") == 3
-    assert ids() == [5, 7, 9]
-    assert V.commit_merge(spark, path, keys, spark.range(0, 20)) == 4
-    assert ids() == list(range(20))
-    assert ids(0) == [0, 1, 2, 3, 4]
-    assert ids(3) == [5, 7, 9]
-    hist = {r.version: r.operation for r in V.history(V.read_log(spark, path)).collect()}
-    assert hist == {0: "WRITE", 1: "WRITE", 2: "UPDATE", 3: "DELETE", 4: "MERGE"}
+    from tidemark.plans.notebooks import versioned_walkthrough
+    assert versioned_walkthrough(spark) == {
+        "latest": list(range(20)), "v0": [0, 1, 2, 3, 4], "v3": [5, 7, 9],
+        "history": {0: "WRITE", 1: "WRITE", 2: "UPDATE", 3: "DELETE", 4: "MERGE"}}
+
+
+def test_update_moves_keys(spark):
+    log = V.commit(None, spark.range(5, 10), "overwrite")
+    log = V.commit(log, V.update_changes(V.current(log, ["id"]), "id % 2 = 0", {"id": "id + 100"}), "update")
+    assert sorted(r.id for r in V.current(log, ["id"]).collect()) == [5, 7, 9, 106, 108]
+
+
+def test_empty_commits_are_versions(spark):
+    log = V.commit(None, spark.range(0, 5), "overwrite")
+    log = V.commit(log, V.delete_changes(V.current(log, ["id"]), "id > 99"), "delete")
+    assert V.current(log, ["id"]).count() == 5
+    log = V.commit(log, spark.range(0), "overwrite")
+    assert V.current(log, ["id"]).count() == 0
+    assert V.as_of_version(log, ["id"], 1).count() == 5
+    assert [(r.version, r.operation, r.num_rows) for r in V.history(log).orderBy("version").collect()] == \
+        [(0, "WRITE", 5), (1, "DELETE", 0), (2, "WRITE", 0)]
+    log = V.commit(log, spark.range(7, 8), "merge")
+    assert [r.id for r in V.current(log, ["id"]).collect()] == [7]
 
 
 def test_epoch_text_zones(spark):
@@ -142,18 +150,6 @@ def test_incremental_filter_scopes(spark):
     assert newer_than_target(src, None, "d").count() == 4       # missing target: full load
 
 
-def test_versioned_table_handle(spark, tmp):
-    t = V.VersionedTable(spark, f"{tmp}/vt", ["id"])
-    t.overwrite(spark.range(0, 5))
-    t.overwrite(spark.range(5, 10))
-    t.update("id % 2 = 0", {"id": "id + 100"})
-    t.delete("id % 2 = 0")
-    t.merge(spark.range(0, 20))
-    assert sorted(r.id for r in t.to_df().collect()) == list(range(20))
-    assert sorted(r.id for r in t.to_df(3).collect()) == [5, 7, 9]
-    assert [r.operation for r in t.history().orderBy("version").collect()] == ["WRITE", "WRITE", "UPDATE", "DELETE", "MERGE"]
-
-
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 

@@ -70,7 +70,7 @@ def test_notebook_jobs(spark, tmp):
     assert sorted(r.nome for r in NB.adults(people).collect()) == ["Alice", "Carol"]
     pdf = pd.DataFrame({"id": [1, 2, 3], "hora": [dt.time(8, 0), dt.time(9, 15), None]})
     assert NB.extract_to_table(spark, pdf, "extrato_nb") == 3
-    w = NB.versioned_walkthrough(spark, f"{tmp}/vt")
+    w = NB.versioned_walkthrough(spark)
     assert w["latest"] == list(range(20)) and w["v0"] == [0, 1, 2, 3, 4] and w["v3"] == [5, 7, 9]
     assert w["history"] == {0: "WRITE", 1: "WRITE", 2: "UPDATE", 3: "DELETE", 4: "MERGE"}
 

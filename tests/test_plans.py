@@ -4,17 +4,17 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from tidemark.plans.registry import QUERIES
 
 IO = {"roundtrip_parquet", "roundtrip_csv_typed", "stream_table_copy", "stream_restart_no_dup"}
 
 
 def _plan(spark, name):
-    return E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - IO))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - IO))
 def test_no_nested_loop_cartesian_or_python(spark, name):
     p = _plan(spark, name)
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
@@ -102,3 +102,9 @@ def test_keyed_write_reads_only_touched_months(spark, tmp):
     old = table_or_none(spark, f"{tmp}/t").join(new.select(MONTH).distinct(), on=MONTH, how="left_semi")
     old.collect()
     assert "dynamicpruningexpression(mes" in old._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedupe_limits_groups_before_the_shuffle(spark):
+    p = _plan(spark, "dedupe_latest")
+    assert re.search(r"WindowGroupLimit.*Partial[\s\S]*\bScan\b", p) and "SortAggregate" not in p
+    assert p.index("Exchange") < p.index("Partial")   # the limit lies below the exchange

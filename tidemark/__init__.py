@@ -23,12 +23,12 @@ from .operators.mutate import changed_rows, delete_where, merge_into, replace_by
 from .operators.quality import check_not_null, check_rows, check_unique, pk_conflicts
 from .operators.reshape import dedupe, wide_to_long
 from .operators.returns import with_previous, with_returns, with_variation
-from .operators.versions import VersionedTable, as_of_version, current, history
+from .operators.versions import as_of_version, commit, current, history
 
 __all__ = [
     "asof_left", "after", "cast_columns", "cleanse_sentinel", "convert_or_quarantine", "drop_null_keys", "keep",
     "map_values", "rename", "with_audit", "high_watermark", "newer_than_target", "changed_rows", "delete_where",
     "merge_into", "replace_by_key", "update_where", "upsert_changed", "check_not_null", "check_rows",
     "check_unique", "pk_conflicts", "dedupe", "wide_to_long", "with_previous", "with_returns", "with_variation",
-    "VersionedTable", "as_of_version", "current", "history",
+    "as_of_version", "commit", "current", "history",
 ]

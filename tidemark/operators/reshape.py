@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import ntz_micros
-
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], fields: Sequence[str],
                  tickers: Sequence[str], name: str = "{field}_{ticker}",
@@ -23,59 +21,24 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], fields: Sequence[str],
     return df.select(*ids, F.inline(F.array(*structs)))
 
 
-def _sort_key(c: Column, dtype: T.DataType, descending: bool) -> Column | None:
-    """Map an ascending/descending order column onto a 'larger is better' key for
-    ``max_by``; None when that is impossible (ascending text)."""
-    if descending:
-        return c
-    if isinstance(dtype, T.NumericType):
-        return -c
-    if isinstance(dtype, T.DateType):
-        return -F.datediff(c, F.lit("1970-01-01").cast("date"))
-    if isinstance(dtype, T.TimestampNTZType):   # zone-free: monotone whatever the session zone
-        return -ntz_micros(c)
-    if isinstance(dtype, T.TimestampType):
-        return -F.unix_micros(c)
-    if isinstance(dtype, T.BooleanType):
-        return ~c
-    return None
-
-
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """One row per key - the first by ``order`` (``[(col, 'asc'|'desc'), ...]``).
 
-    Planned as ``groupBy(keys).agg(max_by(struct(row), struct(order)))``: a partial
-    aggregate runs before the shuffle, so a key holding a third of the rows is collapsed
-    map-side instead of being sorted in one task. Ordering follows Spark's defaults
-    (asc NULLS FIRST, desc NULLS LAST); ties on ``order`` go to the largest remaining
-    row, so the survivor is always deterministic. Text ordered ascending cannot be
-    flipped for ``max_by``; that case falls back to ``row_number``."""
+    Planned as ``row_number() = 1``, which Catalyst turns into a group limit before the
+    shuffle: every map task sends one row per key, so a key holding a third of the rows
+    never gathers in one task, and each column travels once. Ordering follows Spark's
+    defaults (asc NULLS FIRST, desc NULLS LAST); ties on ``order`` go to the largest
+    remaining row, so the survivor is always deterministic."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
+    if all(c in keys for c in df.columns):
         return df.select(*keys).distinct()
-    tie = _tiebreak(df, keys, order)
-    sk = []
-    for name, direction in order:
-        k = _sort_key(F.col(name), df.schema[name].dataType, direction.lower() == "desc")
-        if k is None:
-            return _dedupe_window(df, keys, order, tie)
-        sk.append(k.alias(f"__o{len(sk)}"))
-    sk += [F.col(c).alias(f"__o{len(sk) + i}") for i, c in enumerate(tie)]
-    if not sk:
-        sk = [F.lit(0)]
-    agg = F.max_by(F.struct(*rest), F.struct(*sk)).alias("__row")
-    return df.groupBy(*keys).agg(agg).select(*keys, "__row.*").select(*df.columns)
+    cols = [F.col(n).desc_nulls_last() if d.lower() == "desc" else F.col(n).asc_nulls_first() for n, d in order]
+    cols += [F.col(c).desc_nulls_last() for c in _tiebreak(df, keys, order)]
+    w = Window.partitionBy(*keys).orderBy(*(cols or keys))
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def _tiebreak(df, keys, order) -> list[str]:
     used = set(keys) | {n for n, _ in order}
     return [f.name for f in df.schema.fields
             if f.name not in used and not isinstance(f.dataType, (T.MapType, T.VariantType))]
-
-
-def _dedupe_window(df, keys, order, tie):
-    cols = [F.col(n).desc_nulls_last() if d.lower() == "desc" else F.col(n).asc_nulls_first()
-            for n, d in order] + [F.col(c).desc_nulls_last() for c in tie]
-    w = Window.partitionBy(*keys).orderBy(*cols)
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

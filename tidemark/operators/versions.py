@@ -4,37 +4,47 @@ A change log is any DataFrame with the key columns, the payload columns and
 ``_version`` (long), ``_op`` (``overwrite`` | ``upsert`` | ``delete``) and ``_seq`` (order
 inside a version). The state at version *v* is, per key, the row with the greatest
 ``(_version, _seq)`` among versions ``<= v`` and not older than the last overwrite
-``<= v``; it is absent when that row is a delete.
+``<= v``; it is absent when that row is a delete. ``commit`` adds one marker row per
+version (``_op`` ``begin`` or ``begin_overwrite``), so that a version without rows - an
+overwrite with nothing, an update that hits nothing - counts too.
 
 Reading a version is one grouped ``max_by`` (partially aggregated before the shuffle, so
 a hot key does not land whole in one task) plus one scalar subquery for the last
-overwrite. On disk the log is parquet partitioned by ``_version`` (one writer assumed);
-a version read prunes partitions.
+overwrite. The log is an ordinary DataFrame: where it is stored, and how its writers take
+turns, is the caller's affair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .mutate import update_where
+from .mutate import merge_into, update_where
 
 VERSION, OP, SEQ, COMMIT_OP, COMMIT_TS = "_version", "_op", "_seq", "_commit_op", "_commit_ts"
 META = (VERSION, OP, SEQ, COMMIT_OP, COMMIT_TS)
+BEGIN, BEGIN_OVERWRITE = "begin", "begin_overwrite"
+#: op of a commit -> (its name in the history, ``_op`` of rows that carry none)
+COMMITS = {"overwrite": ("WRITE", "overwrite"), "update": ("UPDATE", "upsert"),
+           "delete": ("DELETE", "delete"), "merge": ("MERGE", "upsert")}
 
 
 def _payload(log: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in log.columns if c not in set(keys) and c not in META]
 
 
+def _is_marker() -> Column:
+    return F.col(OP).isin(BEGIN, BEGIN_OVERWRITE)
+
+
 def as_of_version(log: DataFrame, keys: Sequence[str], version=None) -> DataFrame:
     """M7: table state as of ``version`` (``None`` = latest)."""
     keys = list(keys)
     cl = log if version is None else log.filter(F.col(VERSION) <= F.lit(version))
-    boundary = cl.filter(F.col(OP) == "overwrite").select(F.max(VERSION)).scalar()
-    cl = cl.filter(boundary.isNull() | (F.col(VERSION) >= boundary))
+    boundary = cl.filter(F.col(OP).isin("overwrite", BEGIN_OVERWRITE)).select(F.max(VERSION)).scalar()
+    cl = cl.filter((boundary.isNull() | (F.col(VERSION) >= boundary)) & ~_is_marker())
     payload = _payload(log, keys)
     latest = (cl.groupBy(*keys)
               .agg(F.max_by(F.struct(*payload, OP), F.struct(VERSION, SEQ)).alias("__r")))
@@ -49,147 +59,67 @@ def current(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 def history(log: DataFrame, ts_col: str = COMMIT_TS) -> DataFrame:
     """M6: one row per version: version, timestamp, operation and row metrics."""
     has_ts = ts_col in log.columns
-    op = (F.max(COMMIT_OP) if COMMIT_OP in log.columns else
-          F.when(F.bool_or(F.col(OP) == "overwrite"), F.lit("WRITE"))
-           .when(F.bool_and(F.col(OP) == "delete"), F.lit("DELETE"))
-           .when(F.bool_and(F.col(OP) == "upsert"), F.lit("UPDATE"))
+    row_op = F.when(~_is_marker(), F.col(OP))
+    op = (F.when(F.bool_or(row_op == "overwrite"), F.lit("WRITE"))
+           .when(F.bool_and(row_op == "delete"), F.lit("DELETE"))
+           .when(F.bool_and(row_op == "upsert"), F.lit("UPDATE"))
            .otherwise(F.lit("MERGE")))
+    if COMMIT_OP in log.columns:
+        op = F.coalesce(F.max(COMMIT_OP), op)
     return (log.groupBy(VERSION)
             .agg((F.max(ts_col) if has_ts else F.lit(None).cast("timestamp")).alias("timestamp"),
                  op.alias("operation"),
-                 F.count(F.lit(1)).alias("num_rows"),
-                 F.count_if(F.col(OP) == "delete").alias("num_deleted"),
-                 F.count_if(F.col(OP) != "delete").alias("num_written"))
+                 F.count(row_op).alias("num_rows"),
+                 F.count_if(row_op == "delete").alias("num_deleted"),
+                 F.count_if(row_op != "delete").alias("num_written"))
             .withColumnRenamed(VERSION, "version"))
 
 
-# ---------------------------------------------------------------- M8 on disk
-
-def read_log(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # only a missing path means "no table yet"
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-def next_version(spark: SparkSession, path: str) -> int:
-    """One past the last committed version, read from the small commit records."""
-    if read_log(spark, path) is None:
-        return 0
-    try:
-        v = read_commits(spark, path).agg(F.max("version")).first()[0]
-    except Exception as e:  # a log written without commit records
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        v = read_log(spark, path).agg(F.max(VERSION)).first()[0]
-    return 0 if v is None else int(v) + 1
-
-
-def _commits_path(path: str) -> str:
-    return path.rstrip("/") + "_commits"
-
-
-def _append(changes: DataFrame, path: str, version: int, commit_op: str) -> int:
-    """Append the rows of one version, then its one-row commit record (version,
-    timestamp, operation, row metrics). The record is written last, so a version is
-    visible to ``read_commits`` only once its rows are in place."""
-    spark = changes.sparkSession
-    out = changes.withColumns({VERSION: F.lit(version).cast("bigint"),
-                               COMMIT_OP: F.lit(commit_op),
-                               COMMIT_TS: F.current_timestamp()})
-    out.write.mode("append").partitionBy(VERSION).parquet(path)
-    written = spark.read.parquet(path).filter(F.col(VERSION) == version)   # one partition
-    history(written).write.mode("append").parquet(_commits_path(path))
-    return version
-
-
-def read_commits(spark: SparkSession, path: str) -> DataFrame:
-    """M6 from the commit records: one small row per version, whatever the data size."""
-    return spark.read.parquet(_commits_path(path))
-
-
-def commit_overwrite(spark: SparkSession, path: str, df: DataFrame) -> int:
-    """K5 / M8: the whole content of ``df`` becomes the next version."""
-    v = next_version(spark, path)
-    rows = df.withColumns({OP: F.lit("overwrite"), SEQ: F.lit(0).cast("bigint")})
-    return _append(rows, path, v, "WRITE")
-
-
-def commit_update(spark: SparkSession, path: str, keys: Sequence[str], cond, set_exprs: Mapping[str, object]) -> int:
+# ---------------------------------------------------------------- M8
+
+def commit(log: DataFrame | None, changes: DataFrame, op: str, ts: Column | None = None) -> DataFrame:
+    """M8 / K5: the log with ``changes`` as its next version (0 for no log).
+
+    ``op`` is ``overwrite`` (the whole new content), ``update``, ``delete`` or ``merge``; see
+    ``update_changes``, ``delete_changes`` and ``merge_changes`` for what these three log.
+    Rows may carry ``_op`` and ``_seq`` of their own. The plan reads the log's largest version
+    as a scalar subquery; write the result, or only its last version, where the table lives."""
+    name, row_op = COMMITS[op]
+    if log is None:
+        version = F.lit(0).cast("bigint")
+    else:
+        version = F.coalesce(log.select(F.max(VERSION)).scalar() + 1, F.lit(0)).cast("bigint")
+    ts_type = log.schema[COMMIT_TS].dataType if log is not None and COMMIT_TS in log.columns else "timestamp"
+    rows = changes.withColumns({c: v for c, v in {OP: F.lit(row_op), SEQ: F.lit(0).cast("bigint")}.items()
+                                if c not in changes.columns})
+    marker = changes.sparkSession.range(1).select(
+        F.lit(BEGIN_OVERWRITE if op == "overwrite" else BEGIN).alias(OP), F.lit(-1).cast("bigint").alias(SEQ))
+    out = rows.unionByName(marker, allowMissingColumns=True).withColumns({
+        VERSION: version, COMMIT_OP: F.lit(name),
+        COMMIT_TS: (F.current_timestamp() if ts is None else ts).cast(ts_type)})
+    return out if log is None else log.unionByName(out, allowMissingColumns=True)
+
+
+def update_changes(state: DataFrame, cond, set_exprs: Mapping[str, object]) -> DataFrame:
     """M8 update: matched rows are logged as delete(old key) + upsert(new row), so an
     update that rewrites a key column is handled too."""
-    keys = list(keys)
-    v = next_version(spark, path)
-    cur = current(read_log(spark, path), keys)
-    hit = F.coalesce(F.expr(cond) if isinstance(cond, str) else cond, F.lit(False))
-    old = cur.filter(hit)
+    old = _matched(state, cond)
     new = update_where(old, F.lit(True), set_exprs)
-    dels = old.withColumns({OP: F.lit("delete"), SEQ: F.lit(0).cast("bigint")})
-    ups = new.withColumns({OP: F.lit("upsert"), SEQ: F.lit(1).cast("bigint")})
-    return _append(dels.unionByName(ups), path, v, "UPDATE")
+    return (old.withColumns({OP: F.lit("delete"), SEQ: F.lit(0).cast("bigint")})
+            .unionByName(new.withColumns({OP: F.lit("upsert"), SEQ: F.lit(1).cast("bigint")})))
 
 
-def commit_delete(spark: SparkSession, path: str, keys: Sequence[str], cond) -> int:
-    v = next_version(spark, path)
-    cur = current(read_log(spark, path), list(keys))
-    hit = F.coalesce(F.expr(cond) if isinstance(cond, str) else cond, F.lit(False))
-    dels = cur.filter(hit).withColumns({OP: F.lit("delete"), SEQ: F.lit(0).cast("bigint")})
-    return _append(dels, path, v, "DELETE")
+def delete_changes(state: DataFrame, cond) -> DataFrame:
+    """M8 delete: the matched rows."""
+    return _matched(state, cond)
 
 
-def commit_merge(spark: SparkSession, path: str, keys: Sequence[str], src: DataFrame,
-                 update: Mapping[str, str] | None = None, insert: Mapping[str, str] | None = None) -> int:
+def merge_changes(state: DataFrame, keys: Sequence[str], src: DataFrame, update: Mapping[str, str] | None = None,
+                  insert: Mapping[str, str] | None = None) -> DataFrame:
     """M8 merge: only matched-and-updated and inserted rows are logged."""
-    from .mutate import merge_into
-    keys = list(keys)
-    v = next_version(spark, path)
-    cur = current(read_log(spark, path), keys)
     touched = src.select(*keys).distinct()
-    merged = merge_into(cur.join(touched, keys, "left_semi"), src, keys, update, insert)
-    ups = merged.withColumns({OP: F.lit("upsert"), SEQ: F.lit(0).cast("bigint")})
-    return _append(ups, path, v, "MERGE")
-
-
-def read_version(spark: SparkSession, path: str, keys: Sequence[str], version=None) -> DataFrame:
-    """``versionAsOf``: the last overwrite at or before ``version`` comes from the commit
-    records (no scan of the rows), and the row scan is pruned to the partitions between
-    it and ``version``."""
-    log = read_log(spark, path)
-    commits = read_commits(spark, path)
-    if version is not None:
-        log = log.filter(F.col(VERSION) <= F.lit(version))
-        commits = commits.filter(F.col("version") <= F.lit(version))
-    start = commits.filter(F.col("operation") == "WRITE").agg(F.max("version")).first()[0]
-    if start is not None:
-        log = log.filter(F.col(VERSION) >= F.lit(start))
-    return as_of_version(log, keys, version)
-
-
-class VersionedTable:
-    """A handle on a change-log table at ``path`` keyed by ``keys``: the same verbs as a
-    versioned-table API (overwrite, update, delete, merge, history, read as of a version),
-    each delegating to the functions above. Holds no data; every call is a Spark job."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
-        self.spark, self.path, self.keys = spark, path, list(keys)
-
-    def overwrite(self, df: DataFrame) -> int:
-        return commit_overwrite(self.spark, self.path, df)
-
-    def update(self, condition, set_exprs: Mapping[str, object]) -> int:
-        return commit_update(self.spark, self.path, self.keys, condition, set_exprs)
-
-    def delete(self, condition) -> int:
-        return commit_delete(self.spark, self.path, self.keys, condition)
-
-    def merge(self, source: DataFrame, update: Mapping[str, str] | None = None,
-              insert: Mapping[str, str] | None = None) -> int:
-        return commit_merge(self.spark, self.path, self.keys, source, update, insert)
+    return merge_into(state.join(touched, list(keys), "left_semi"), src, list(keys), update, insert)
 
-    def to_df(self, version=None) -> DataFrame:
-        return read_version(self.spark, self.path, self.keys, version)
 
-    def history(self) -> DataFrame:
-        return read_commits(self.spark, self.path)
+def _matched(state: DataFrame, cond) -> DataFrame:
+    return state.filter(F.coalesce(F.expr(cond) if isinstance(cond, str) else cond, F.lit(False)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import versions as V
 from ..operators.clean import stringify_time
+from ..session import materialize
 from ..sinks.files import save_table
 from ..sources.rows import from_pandas
 
@@ -23,19 +24,20 @@ def extract_to_table(spark: SparkSession, pdf, table: str) -> int:
     return spark.table(table).count()
 
 
-def versioned_walkthrough(spark: SparkSession, path: str) -> dict:
+def versioned_walkthrough(spark: SparkSession) -> dict:
     """v0 overwrite 0..4, v1 overwrite 5..9, v2 update id+100 where even, v3 delete
     even, v4 merge 0..19 on id; returns the latest ids, the reads at v0 and v3 and the
-    history operations."""
+    history operations. The log is written after every commit."""
     keys = ["id"]
-    V.commit_overwrite(spark, path, spark.range(0, 5))
-    V.commit_overwrite(spark, path, spark.range(5, 10))
-    V.commit_update(spark, path, keys, "id % 2 = 0", {"id": "id + 100"})
-    V.commit_delete(spark, path, keys, "id % 2 = 0")
-    V.commit_merge(spark, path, keys, spark.range(0, 20))
+    put = lambda log: materialize(log, "walkthrough")
+    log = put(V.commit(None, spark.range(0, 5), "overwrite"))
+    log = put(V.commit(log, spark.range(5, 10), "overwrite"))
+    log = put(V.commit(log, V.update_changes(V.current(log, keys), "id % 2 = 0", {"id": "id + 100"}), "update"))
+    log = put(V.commit(log, V.delete_changes(V.current(log, keys), "id % 2 = 0"), "delete"))
+    log = put(V.commit(log, V.merge_changes(V.current(log, keys), keys, spark.range(0, 20)), "merge"))
 
     def ids(v=None):
-        return sorted(r.id for r in V.read_version(spark, path, keys, v).collect())
+        return sorted(r.id for r in V.as_of_version(log, keys, v).collect())
 
-    hist = {r.version: r.operation for r in V.history(V.read_log(spark, path)).collect()}
+    hist = {r.version: r.operation for r in V.history(log).collect()}
     return {"latest": ids(), "v0": ids(0), "v3": ids(3), "history": hist}

@@ -515,6 +515,20 @@ def versioned_current(spark, sf):
     return V.current(_changelog(spark, sf), ["user_id"])
 
 
+@query
+def commit_versions(spark, sf):
+    """M8 / K5: three commits on the change log - delete the clicks, overwrite with nothing, merge
+    the state of 2024-01-15 - and the state after each (``step`` 2 has no row)."""
+    keys, log = ["user_id"], _changelog(spark, sf)
+    last = log.select(F.max(V.VERSION)).scalar()
+    state, cut = V.current(log, keys), V.as_of_version(log, keys, (VERSION_CUT - date(1970, 1, 1)).days)
+    after = materialize(V.commit(log, V.delete_changes(state, "event_type = 'click'"), "delete"), "commit-1")
+    after = materialize(V.commit(after, cut.limit(0), "overwrite"), "commit-2")
+    after = materialize(V.commit(after, V.merge_changes(V.current(after, keys), keys, cut), "merge"), "commit-3")
+    steps = [V.as_of_version(after, keys, last + n).withColumn("step", F.lit(n)) for n in (1, 2, 3)]
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
 # ------------------------------------------------------------------ incremental
 
 @query
