@@ -213,6 +213,14 @@ def test_quality_cases(docs, empty):
     assert quality.quality_verdicts(empty).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op5_pii", "op8_quality"])
+def test_native_plans(spark, name):
+    """The operators marked native run no Python and no RDD code, and join on keys only."""
+    p = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("Python", "Arrow", "Pandas", "InPandas", "ExistingRDD", "SerializeFromObject", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in p, bad
+
+
 def test_line_cases(docs, empty):
     rows = collections.defaultdict(list)
     for r in line_dedup.dedupe_lines(docs, batches=3).collect():
