@@ -141,6 +141,15 @@ def test_personal_data(spark, docs, empty, table):
     assert [(s["kind"], s["start"], s["end"]) for s in seven if s["base"]] == B.base_spans(CASES[8][1])
 
 
+def test_ip_with_parts_of_zero(spark):
+    texts = ["10.0.0.1", "0.0.0.0", "010.00.0.1", "127.0.0.1, 192.168.0.255;256.0.0.1", "0.0.0.256", "000.000.000.000255 1.2.3.4",
+             "0" * 3000 + ".0.0." + "0" * 3000 + "7"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["base"]] for r in pii.find(df).collect()}
+    assert got == {i: B.base_spans(t) for i, t in enumerate(texts)}
+    assert [sum(k == "ip" for k, _, _ in got[i]) for i in range(7)] == [1, 1, 1, 2, 0, 2, 1]
+
+
 def test_em_finds_reliable_labelers():
     post = pii.expectation_maximisation({(1, 1, -1): 50, (0, 0, -1): 60, (1, 0, 1): 5, (0, 0, 0): 30, (1, 1, 1): 20})
     assert post[1, 1, 1] > 0.9 > 0.1 > post[0, 0, 0]
