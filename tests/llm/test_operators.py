@@ -259,6 +259,16 @@ def test_contaminated(spark, docs, empty, chars):
     assert decontam.contaminated(empty, items, broadcast_chars=chars).count() == 0
 
 
+@pytest.mark.parametrize("chars", [10**7, 0])
+def test_only_the_contaminated_row_of_an_id_goes(spark, chars):
+    leak, clean = "Say: one two three four five six seven.", "nothing of the kind is in here at all"
+    docs = spark.createDataFrame([(None, leak), (None, clean), (None, None), (5, leak), (5, clean), (5, clean)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    left = decontam.without_contaminated(docs, items, broadcast_chars=chars).collect()
+    assert sorted(map(str, left)) == sorted(map(str, docs.where("text IS NULL OR text LIKE 'nothing%'").collect()))
+    assert decontam.contaminated(docs, items, broadcast_chars=chars).count() == 2
+
+
 def test_empty_tables(empty, docs, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert mixing.mix(empty).count() == 0 and language.identify(empty).count() == 0

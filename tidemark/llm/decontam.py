@@ -12,8 +12,8 @@ and one scan without a shuffle does all. Beyond it, the seeds of both sides are
 candidate pair is tiled after joining its texts; the results are the same.
 
 Defined cases: null and empty texts match nothing; items of fewer than ``min_match`` tokens are not
-tested; repeated documents or items are reported for each row; a null id stays null; empty tables
-give no rows; other columns are ignored."""
+tested; repeated documents or items are reported for each row; a null id stays null; rows that share an id, or have none,
+are judged each by its own text; empty tables give no rows; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -152,7 +152,8 @@ class Bench:
 
 
 def _rows(found: list) -> pa.RecordBatch:
-    names, types = ["key", "item", "coverage", "n_tiles", "longest"], [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
+    names = ["key", "th", "item", "coverage", "n_tiles", "longest"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
     return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)], names)
 
 
@@ -160,10 +161,10 @@ def _by_scan(docs: DataFrame, items: list, threshold: float, n: int) -> DataFram
     def run(batches):
         bench = Bench(items, n)
         for b in batches:
-            yield _rows([(k, *m) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+            yield _rows([(k, h, *m) for k, h, t in zip(*(b.column(j).to_pylist() for j in range(3)))
                          for m in bench.matches(t, threshold)])
 
-    return docs.select("key", "text").mapInArrow(run, f"key bigint, {SCHEMA}")
+    return docs.select("key", "th", "text").mapInArrow(run, f"key bigint, th bigint, {SCHEMA}")
 
 
 def _seed_rows(df: DataFrame, n: int) -> DataFrame:
@@ -185,8 +186,7 @@ def _seed_rows(df: DataFrame, n: int) -> DataFrame:
     return df.select("key", "th", "text").mapInArrow(run, "key bigint, th bigint, seed bigint")
 
 
-def _by_join(docs: DataFrame, items: DataFrame, threshold: float, n: int) -> DataFrame:
-    d = docs.withColumn("th", F.xxhash64("text"))
+def _by_join(d: DataFrame, items: DataFrame, threshold: float, n: int) -> DataFrame:
     i = items.withColumn("th", F.xxhash64("text"))
     seeds = _seed_rows(i, n).selectExpr("key AS item", "th AS item_th", "seed")
     pairs = (_seed_rows(d.select("key", "th", "text").dropDuplicates(["key", "th"]), n).join(seeds, "seed")
@@ -196,29 +196,38 @@ def _by_join(docs: DataFrame, items: DataFrame, threshold: float, n: int) -> Dat
 
     def run(batches):
         for b in batches:
-            yield _rows([(k, *m) for k, item, text, it in zip(*(b.column(j).to_pylist() for j in range(4)))
+            yield _rows([(k, h, *m) for k, h, item, text, it in zip(*(b.column(j).to_pylist() for j in range(5)))
                          for m in Bench([(item, it)], n).matches(text, threshold)])
 
-    return texts.select("key", "item", "text", "item_text").mapInArrow(run, f"key bigint, {SCHEMA}")
+    return texts.select("key", "th", "item", "text", "item_text").mapInArrow(run, f"key bigint, th bigint, {SCHEMA}")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD,
+           min_match: int = MIN_MATCH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+    """(key, th: hash of the text, item, coverage, n_tiles, longest) for every contaminated document and item."""
+    d = docs.select(doc_key(docs[id_col]).alias("key"), F.xxhash64(docs[text_col]).alias("th"), docs[text_col].alias("text"))
+    items = benchmark.select(doc_key(benchmark[item_id_col]).alias("key"), benchmark[item_text_col].alias("text"))
+    chars = items.agg(F.sum(F.char_length("text") + 16)).first()[0] or 0
+    if chars <= broadcast_chars:
+        return _by_scan(d, [tuple(r) for r in items.collect()], threshold, min_match)
+    return _by_join(d, items, threshold, min_match)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD,
                  min_match: int = MIN_MATCH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
     """(doc_id, item_id, coverage, n_tiles, longest) for every contaminated document and item."""
-    d = docs.select(doc_key(docs[id_col]).alias("key"), docs[text_col].alias("text"))
-    items = benchmark.select(doc_key(benchmark[item_id_col]).alias("key"), benchmark[item_text_col].alias("text"))
-    chars = items.agg(F.sum(F.char_length("text") + 16)).first()[0] or 0
-    if chars <= broadcast_chars:
-        got = _by_scan(d, [tuple(r) for r in items.collect()], threshold, min_match)
-    else:
-        got = _by_join(d, items, threshold, min_match)
+    got = _found(docs, benchmark, id_col, text_col, item_id_col, item_text_col, threshold, min_match, broadcast_chars)
     none = lambda c: F.when(F.col(c) < F.lit(2**63 - 1), F.col(c))
     return got.select(none("key").alias("doc_id"), none("item").alias("item_id"), "coverage", "n_tiles", "longest")
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that no item contaminates (all input columns)."""
-    found = contaminated(docs, benchmark, id_col=id_col, **options)
-    bad = Written(found.select(doc_key(F.col("doc_id")).alias("__bad")).distinct(), "contaminated").df
-    return docs.join(bad, doc_key(docs[id_col]) == F.col("__bad"), "left_anti")
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         **options) -> DataFrame:
+    """The documents that no item contaminates (all input columns). A row goes for its own text only: others
+    with its id, or without any id as well, stay."""
+    found = _found(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    bad = Written(found.selectExpr("key AS __bad", "th AS __th").distinct(), "contaminated").df
+    mine = (doc_key(docs[id_col]) == bad["__bad"]) & (F.xxhash64(docs[text_col]) == bad["__th"])
+    return docs.join(bad, mine, "left_anti")
