@@ -171,6 +171,25 @@ def test_visible_text(html, text):
     assert html_text.visible_text(html) == text
 
 
+ODD_PAGES = [
+    ("a<![0]>b", "ab"), ("a<![foo[bar]]>b", "ab"), ("a<!x>b<![CDATA[c>d]]>e<!", "abd]]>e"), ("a<![", "a"), ("<!doctype html>a<!-- > -->b", "ab"),
+    ("<table><tr><td colspan='²'>a<td>b</table>", "a | b"), ("<table><tr><td colspan=" + "9" * 5000 + ">a<td>b</table>", "a |" + "  |" * 99 + " b"),
+    ("<ol start='²'><li>a</ol>", "1. a"), ("<ol start=" + "9" * 5000 + "><li>a</ol>", "1. a"), ("<ol start=-1><li>a</ol>", "-1. a"),
+    ("a&#" + "9" * 5000 + ";b&#0065;", "a\ufffdbA"),
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>", "x=2"),
+    ("a<svg><title>no</title><path d=''/><defs><text>no</text></defs>no<text>b<tspan>c</tspan></text><text/><text>d</text></svg>e", "a\nbc\nd\ne"),
+    ("<svg><text><![CDATA[x<y]]></text></svg>", "x<y"), ("<svg><foreignObject><p>a</foreignObject></svg><svg><path><p>b", "a\n\nb"),
+    ("<div style='backface-visibility:hidden'>a</div>", "a"), ("<b style='--display:none'>a</b>", "a"),
+    ("<b style='background:url(x;display:none);color:red'>a</b><b style='color:red; DISPLAY : none !important; display:block'>b</b>", "a"),
+    ("<div style='visibility:hidden'>a<b style='visibility:inherit'>b</b><i style='visibility:\tvisible'>c</i></div>", "c"),
+]
+
+
+@pytest.mark.parametrize("html,text", ODD_PAGES)
+def test_odd_markup(html, text):
+    assert html_text.visible_text(html) == text
+
+
 def test_extract(spark, empty):
     pages = spark.createDataFrame([(1, "<p>x", "t"), (1, None, "t")], "page_id long, html string, text string")
     assert sorted(str(r["text"]) for r in html_text.extract(pages).collect()) == ["None", "x"]

@@ -5,13 +5,15 @@ paragraph; li, dt/dd, option, tr, td and row groups close their open siblings; a
 an end tag closes what is open inside it, and one that matches nothing is ignored. The renderer walks the
 tree without recursion. Invisible are head, script, style, template, noscript and other elements without
 rendering, ``hidden``, ``display:none``, ``visibility:hidden`` (a visible descendant shows again), closed
-details but for their summary, closed dialogs and hidden inputs. Blanks collapse except in pre and
+details but for their summary, closed dialogs and hidden inputs. Of SVG the text in ``text`` and ``foreignObject`` elements is rendered, each a block;
+MathML text stands in its line, without annotations and phantoms. Blanks collapse except in pre and
 textarea; blocks start new lines, paragraphs, headings, lists and tables stand between blank lines; list
 items get bullets or numbers and indent; the cells of a table are aligned in columns (cells wider than
 ``MAX_PAD`` are not padded to, which bounds the output).
 
 Defined cases: a null page has null text, an empty one the empty text; malformed markup gives what can be
-read; repeated rows are rendered each; an empty table gives no rows; other columns pass through."""
+read (an unknown ``<!`` is a comment up to the next ``>``, CDATA is text in SVG and MathML only; numbers are read as
+far as they are ASCII digits); repeated rows are rendered each; an empty table gives no rows; other columns pass through."""
 
 from __future__ import annotations
 
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript iframe object audio video canvas svg math datalist noframes title".split())
+HIDDEN = frozenset("head script style template noscript iframe object audio video canvas datalist noframes title".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset".split())
 BLOCK = SPACED | frozenset("""address article aside body center dd details dialog dir div dt figcaption footer form header
 hgroup html legend li main menu nav option optgroup section summary caption tr tbody thead tfoot""".split())
@@ -36,15 +38,50 @@ IMPLIED = {
     **{t: ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}) for t in ("thead", "tbody", "tfoot")},
 }
 SCOPE = frozenset({"table", "td", "th", "caption", "button"})
+#: In SVG and MathML: not rendered; where HTML begins again; and HTML tags that end the SVG or MathML.
+UNDRAWN = {"svg": frozenset("defs symbol clippath mask marker pattern lineargradient radialgradient filter desc metadata".split()),
+           "math": frozenset("annotation annotation-xml mphantom".split())}
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing
+menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
 MAX_PAD = 40
 _BLANK = re.compile(r"[ \t\n\r\f]+")
+_INT = re.compile(r"[ \t\n\r\f]*([+-]?)(?=[0-9])0*([0-9]*)")
+_LONG_REF = re.compile(r"&#0*([0-9]{8})[0-9]*")
+#: Declarations of a style: semicolons in quotes and brackets part nothing.
+_DECLARATION = re.compile(r"""(?:[^;"'(]|"[^"]*"?|'[^']*'?|\([^)]*\)?)+""")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+
+
+def _number(s: str, large: int) -> int | None:
+    """The whole number that an attribute begins with, ``large`` beyond nine digits; None without one."""
+    m = _INT.match(s)
+    return None if m is None else large if len(m[2]) > 9 else int(m[1] + (m[2] or "0"))
+
+
+def _style(text: str) -> dict[str, str]:
+    """property -> value of a style attribute, lower-cased; the last one counts, and before all an important one."""
+    out, fixed = {}, set()
+    for d in _DECLARATION.findall(_COMMENT.sub(" ", text.lower())):
+        name, _, value = d.partition(":")
+        name, (value, bang, _) = name.strip(), value.partition("!")
+        if bang or name not in fixed:
+            out[name] = value.strip()
+        if bang:
+            fixed.add(name)
+    return out
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    """``foreign``: "svg" in an SVG, "text" in a text of it, "math" in MathML, else empty."""
+
+    __slots__ = ("tag", "attrs", "children", "parent", "foreign")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        was = parent.foreign if parent else ""
+        self.foreign = (tag if tag in ("svg", "math") else "" if was and tag == "foreignobject" else
+                        "text" if was == "svg" and tag == "text" else was)
 
 
 class _Builder(HTMLParser):
@@ -79,6 +116,8 @@ class _Builder(HTMLParser):
             self.depth[tag] = self.depth.get(tag, 0) + 1
 
     def handle_starttag(self, tag, attrs):
+        if self.at.foreign and tag in BREAKOUT:
+            self._close_open({"svg", "math"}, INTEGRATION)
         if tag in ("html", "body") and self.depth.get(tag):
             return
         if self.depth.get("head") and (tag in BLOCK or tag in ("a", "span", "img")):
@@ -93,6 +132,17 @@ class _Builder(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        if self.at.tag == tag and (self.at.foreign or tag == "foreignobject") and tag not in VOID:
+            self._close(self.at)  # elements of SVG and MathML may close themselves
+
+    def parse_html_declaration(self, i):
+        """Never raises: what is no comment, CDATA or doctype is a comment up to the next ``>``."""
+        data = self.rawdata
+        cdata = data.startswith("<![CDATA[", i) and self.at.foreign
+        end = data.find("]]>" if cdata else ">", i)
+        if cdata:
+            self.handle_data(data[i + 9:end if end >= 0 else len(data)])
+        return len(data) if end < 0 else end + (3 if cdata else 1)
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -116,7 +166,7 @@ def build(html: str) -> Node:
     last = html.rfind("<")
     if last >= 0 and html.find(">", last) < 0 and re.match(r"</?[A-Za-z]", html[last:last + 3]):
         html = html[:last]  # a tag that the page ends in
-    b.feed(html)
+    b.feed(_LONG_REF.sub(r"&#\1", html))  # all beyond Unicode, but not beyond int()
     b.close()
     return b.root
 
@@ -205,14 +255,22 @@ def _shown(node: Node, visible: bool) -> tuple[bool, bool]:
     a, tag = node.attrs, node.tag
     if tag in HIDDEN or "hidden" in a or tag == "dialog" and "open" not in a or tag == "input" and a.get("type", "").lower() == "hidden":
         return False, False
-    style = a.get("style", "").lower().replace(" ", "")
-    if "display:none" in style:
+    if tag in UNDRAWN.get("svg" if node.foreign == "text" else node.foreign, ()):
+        return False, False
+    style = _style(a["style"]) if "style" in a else {}
+    if style.get("display") == "none":
         return False, False
-    if "visibility:" in style:
-        visible = "visibility:hidden" not in style and "visibility:collapse" not in style
+    if style.get("visibility") in ("hidden", "collapse"):
+        visible = False
+    elif style.get("visibility") in ("visible", "initial"):
+        visible = True
     return True, visible
 
 
+def _is_block(node: Node) -> bool:
+    return node.tag in BLOCK or node.tag == "text" and node.foreign == "text" or node.tag == "foreignobject"
+
+
 def render(root: Node) -> str:
     flow, flows, tables, lists = _Flow(), [], [], []
     todo: list = [(root, True, False)]
@@ -226,8 +284,8 @@ def render(root: Node) -> str:
                 flow = flows.pop()
                 if not tables[-1]:
                     tables[-1].append([])
-                span = node.attrs.get("colspan", "")
-                tables[-1][-1] += [cell] + [[]] * (min(int(span), 100) - 1 if span.isdigit() and int(span) > 1 else 0)
+                span = _number(node.attrs.get("colspan", ""), 100) or 1
+                tables[-1][-1] += [cell] + [[]] * (min(span, 100) - 1 if span > 1 else 0)
             elif tag == "table":
                 rows = tables.pop()
                 flow.block(2)
@@ -245,7 +303,7 @@ def render(root: Node) -> str:
             elif tag in ("blockquote", "dd"):
                 flow.indent.pop()
                 flow.block(2 if tag == "blockquote" else 1)
-            elif tag in BLOCK:
+            elif _is_block(node):
                 flow.block(2 if tag in SPACED else 1)
             continue
         node, visible, keep = item
@@ -261,11 +319,11 @@ def render(root: Node) -> str:
         if tag == "br":
             flow.line()
             continue
-        if tag in BLOCK:
+        if _is_block(node):
             flow.block(2 if tag in SPACED and not (tag in ("ul", "ol") and lists) else 1)
         if tag in ("ul", "ol", "menu", "dir"):
-            start = node.attrs.get("start", "")
-            lists.append(int(start) if tag == "ol" and start.isdigit() else 1 if tag == "ol" else None)
+            start = _number(node.attrs.get("start", ""), 1)
+            lists.append(None if tag != "ol" else 1 if start is None else start)
         elif tag == "li":
             mark = "- "
             if lists and lists[-1] is not None:
@@ -289,6 +347,8 @@ def render(root: Node) -> str:
         inside = node.children
         if tag == "details" and "open" not in node.attrs:
             inside = [c for c in inside if not isinstance(c, str) and c.tag == "summary"]
+        if node.foreign == "svg":
+            inside = [c for c in inside if not isinstance(c, str)]  # only text elements draw text
         todo.extend((c, visible, keep) for c in reversed(inside))
     return "\n".join(flow.done())
 
