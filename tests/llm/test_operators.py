@@ -79,6 +79,17 @@ def test_language_and_toxicity_on_held_out_rows(spark):
     assert sum(r["predicted"] == toxic[r["doc_id"]] for r in known) >= 0.93 * len(known)
 
 
+def test_a_long_labelled_text_shuts_out_no_other(spark):
+    huge = "word " * (toxicity.SAMPLE_CHARS // 5 + 1)
+    rows = [(i, huge if i % 10 < 2 else f"text {i}", i % 2) for i in range(40)]  # the shares of both classes vary in the hash order
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    every = lambda k: k.isNotNull()
+    got = toxicity.sample(docs, labels, "doc_id", "text", "toxic", every).collect()
+    assert sorted((r["label"], r["text"]) for r in got) == sorted((y, t) for _, t, y in rows if t != huge)
+    only = toxicity.sample(docs.where("doc_id = 1 OR doc_id % 2 = 0"), labels, "doc_id", "text", "toxic", every).collect()
+    assert [len(r["text"]) for r in only if r["label"] == 1] == [len(huge)]
+
+
 def test_kernel_counts_shared_grams():
     a, b = np.zeros(language.BUCKETS, np.float32), np.zeros(language.BUCKETS, np.float32)
     language.presence("Abba", a)

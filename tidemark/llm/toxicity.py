@@ -35,6 +35,8 @@ from .common import Written
 WINDOW, MAX_WINDOW = 1, 256
 #: The training sample: documents per class and characters per class, at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 4_000_000
+#: Longer texts come last in the sample, the shorter of them first: they get the room that the others leave.
+LONG_CHARS = 40_000
 BASE_BYTES, TOXIC_BYTES = 8192, 8192
 KNOWN = 200_000
 EMPTY_SCORE = 0.01
@@ -167,15 +169,18 @@ def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn) -> DataFrame:
     """(label, text): the labelled rows to learn from, by hash of the id; bounded by ``SAMPLE_DOCS`` and ``SAMPLE_CHARS``
-    per class."""
+    per class, but for a class whose every text is longer: it has one, the shortest. No long text shuts out another."""
     known = (labels.where(labels[label_col].isNotNull() & labels[id_col].isNotNull())
              .groupBy(labels[id_col].cast("long").alias("k")).agg(F.max(label_col).alias("label")).where(learn(F.col("k"))))
     top = Window.partitionBy("label").orderBy(F.xxhash64("k"), "k")
     ids = known.withColumn("n", F.row_number().over(top)).where(f"n <= {SAMPLE_DOCS}")
     texts = docs.select(docs[id_col].cast("long").alias("k"), docs[text_col].alias("text")).where("text IS NOT NULL")
     got = Written(texts.join(F.broadcast(ids.select("k", "label", "n")), "k").dropDuplicates(["k"]), "labelled").df
-    upto = F.sum(F.char_length("text")).over(Window.partitionBy("label").orderBy("n"))  # over the sample only
-    return got.withColumn("upto", upto).where(f"upto <= {SAMPLE_CHARS}").select("label", "text", "n").orderBy("label", "n")
+    size = F.char_length("text")
+    late = F.when(size > LONG_CHARS, size).otherwise(0)
+    order = Window.partitionBy("label").orderBy(late, "n")  # over the sample only
+    return (got.withColumns({"upto": F.sum(size).over(order), "nth": F.row_number().over(order)})
+            .where(f"upto <= {SAMPLE_CHARS} OR nth = 1").select("label", "text", "n").orderBy("label", "n"))
 
 
 def score(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
