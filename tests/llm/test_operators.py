@@ -90,6 +90,21 @@ def test_a_long_labelled_text_shuts_out_no_other(spark):
     assert [len(r["text"]) for r in only if r["label"] == 1] == [len(huge)]
 
 
+def test_toxicity_does_not_grow_with_length():
+    sf = "/root/testdata/sf0.01"
+    rows = duckdb.sql(f"SELECT doc_id, text, toxic FROM '{sf}/documents.parquet' JOIN '{sf}/labels.parquet' USING (doc_id) "
+                      "WHERE text IS NOT NULL ORDER BY doc_id").fetchall()
+    learned = [[t for i, t, y in rows if y == k and B.crc(i) % 5] for k in (0, 1)]
+    model = toxicity.fit(learned[1], learned[0])
+    d = toxicity.Distance(model["ordinary"], model["toxic"], model["odds"])
+    rng = np.random.default_rng(7)
+    clean, toxic = [t for i, t, y in rows if not y and B.crc(i) % 5 == 0], [t for t in learned[1] if d.feature(t) >= model["threshold"] + 3]
+    some = lambda n: [clean[i] for i in rng.integers(0, len(clean), n)]
+    assert sum(d.feature("\n".join(some(40))) >= model["threshold"] for _ in range(50)) <= 2
+    found = [d.feature("\n".join([*some(4), t, *some(5)])) >= model["threshold"] for t in toxic]
+    assert len(found) >= 10 and sum(found) >= 0.7 * len(found)
+
+
 def test_kernel_counts_shared_grams():
     a, b = np.zeros(language.BUCKETS, np.float32), np.zeros(language.BUCKETS, np.float32)
     language.presence("Abba", a)

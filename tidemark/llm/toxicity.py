@@ -6,8 +6,10 @@ text (word beginnings that toxic documents hold far more often than ordinary one
 size and layout (the ordinary one has filler there), so they compress ordinary text alike. Every window of a text - ``WINDOW`` words with the
 blanks around them, all windows of the whole text - is compressed with both; the window's distance is
 the length with the ordinary dictionary less the length with the toxic one. On labelled documents that
-trained no dictionary, the odds of each (distance, bytes left under the toxic dictionary) are counted; a
-document's feature is the sum of the log odds of its different windows. A window stands between carriers that both
+trained no dictionary, the odds of each (distance, bytes left under the toxic dictionary) are counted. The sum of the
+log odds of its different windows, those that speak against included, is taken of every stretch of ``STRETCH`` windows
+(half overlapping, the whole text); a document's feature is the largest sum less the log of the number of stretches, so
+that neither more clean text alone lifts it nor a toxic passage drowns in clean text. A window stands between carriers that both
 dictionaries hold, as zstandard seeks no match in the last bytes of a block and stores a block that hardly shrinks uncompressed, which would hide the distance. The threshold is calibrated on the same
 documents, and the feature is mapped to a score of 0.5 at the threshold.
 
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import Written
 
-WINDOW, MAX_WINDOW = 1, 256
+WINDOW, MAX_WINDOW, STRETCH = 1, 256, 400
 #: The training sample: documents per class and characters per class, at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 4_000_000
 #: Longer texts come last in the sample, the shorter of them first: they get the room that the others leave.
@@ -88,9 +90,15 @@ class Distance:
         return cell
 
     def feature(self, text: str | None) -> float | None:
-        """The summed log odds of a text's different windows; None without a window."""
-        w = set(windows(text))
-        return math.fsum(self.odds.get(self.of(x), 0.0) for x in w) if w else None
+        """The summed log odds of the different windows of a text's most toxic stretch, less the log of the number of
+        stretches; None without a window."""
+        w = windows(text)
+        if not w:
+            return None
+        odds = [self.odds.get(self.of(x), 0.0) for x in w]
+        starts = range(0, max(1, len(w) - STRETCH // 2), STRETCH // 2)
+        sums = (math.fsum(dict(zip(w[i:i + STRETCH], odds[i:i + STRETCH])).values()) for i in starts)
+        return max(sums) - math.log(len(starts))
 
 
 def distinct_texts(texts: list[str], k: int = 16, shared: int = 6) -> list[str]:
@@ -152,10 +160,9 @@ def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
     base = CARRIER + _trained(BASE_BYTES, [x for t in oa for x in re.findall(rb".{1,200}", t.lower().encode()[:8000], re.S)])
     model = _dictionaries(base, ta, oa)
     d = Distance(model["ordinary"], model["toxic"])
-    in1, in0 = (Counter(c for t in ts for c in map(d.of, set(windows(t))) if c[0] > 1) for ts in (tb, ob))
+    in1, in0 = (Counter(c for t in ts for c in map(d.of, set(windows(t)))) for ts in (tb, ob))
     n1, n0 = (sum(len(set(windows(t))) for t in ts) + 1 for ts in (tb, ob))
     model["odds"] = {c: math.log((in1[c] + 0.2) / n1 / ((in0[c] + 0.2) / n0)) for c in {*in1, *in0}}
-    model["odds"] = {c: x for c, x in model["odds"].items() if x > 0.5}
     d.odds = model["odds"]
     f1 = [x for x in map(d.feature, tb) if x is not None]
     f0 = [x for x in map(d.feature, ob) if x is not None]
