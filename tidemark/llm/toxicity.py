@@ -2,7 +2,8 @@
 
 Two zstandard dictionaries are trained on a bounded sample of labelled documents: one on ordinary
 text, one that has the same base and then what is typical of toxic
-text (word beginnings that toxic documents hold far more often than ordinary ones). Both have the same
+text: a lexicon of word beginnings that at least three, and a fiftieth, of the sampled toxic documents hold, 30 times
+more often than ordinary ones. Toxicity that lies in rarer words, or in ordinary words put together, is not seen (README). Both have the same
 size and layout (the ordinary one has filler there), so they compress ordinary text alike. Every window of a text - ``WINDOW`` words with the
 blanks around them, all windows of the whole text - is compressed with both; the window's distance is
 the length with the ordinary dictionary less the length with the toxic one. On labelled documents that
@@ -157,7 +158,7 @@ def fit(toxic: list[str], ordinary: list[str]) -> dict | None:
         return None
     toxic, ordinary = distinct_texts(toxic), distinct_texts(ordinary)
     ta, tb, oa, ob = toxic[0::2], toxic[1::2] or toxic, ordinary[0::2], ordinary[1::2] or ordinary
-    base = CARRIER + _trained(BASE_BYTES, [x for t in oa for x in re.findall(rb".{1,200}", t.lower().encode()[:8000], re.S)])
+    base = CARRIER + _trained(BASE_BYTES, [x for t in oa for x in re.findall(rb".{1,200}", t.lower().encode(), re.S)])
     model = _dictionaries(base, ta, oa)
     d = Distance(model["ordinary"], model["toxic"])
     in1, in0 = (Counter(c for t in ts for c in map(d.of, set(windows(t)))) for ts in (tb, ob))
