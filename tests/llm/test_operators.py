@@ -314,6 +314,15 @@ def test_only_the_contaminated_row_of_an_id_goes(spark, chars):
     assert decontam.contaminated(docs, items, broadcast_chars=chars).count() == 2
 
 
+@pytest.mark.parametrize("chars", [10**7, 0])
+def test_items_in_scripts_without_blanks(spark, chars):
+    assert decontam.tokens("Ab_1 東京tower は、x") == ["ab_1", "東", "京", "tower", "は", "x"]
+    docs = spark.createDataFrame([(1, "前文。日本の首都はどこですか?答え"), (2, "日本の山はどれほど高いのだろう")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "日本の首都はどこですか")], "item_id long, text string")
+    got = decontam.contaminated(docs, items, broadcast_chars=chars).collect()
+    assert [(r["doc_id"], r["item_id"], r["coverage"]) for r in got] == [(1, 7, 1.0)]
+
+
 def test_empty_tables(empty, docs, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert mixing.mix(empty).count() == 0 and language.identify(empty).count() == 0

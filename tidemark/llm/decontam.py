@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items are token sequences (``\\w+``, lower-cased). Seeds are the items' runs
+Documents and benchmark items are token sequences (``\\w+``, lower-cased; in scripts without blanks each letter). Seeds are the items' runs
 of ``min_match`` tokens; a document that shares a seed with an item is tiled against it: the
 longest common runs of unmarked tokens, found by running Karp-Rabin hashes over ever shorter lengths,
 are marked on both sides until no run of ``min_match`` is left. Tiles are one to one and in any
@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import Written, doc_key
 
-TOKEN = re.compile(r"\w+")
+#: Scripts written without blanks: Thai, Lao, Burmese, Khmer, Kana, Han.
+UNSPACED = (r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+            r"\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+TOKEN = re.compile(rf"[^\W{UNSPACED}]+|\w")
 MIN_MATCH = 5
 THRESHOLD = 0.5
 BROADCAST_CHARS = 16_000_000
