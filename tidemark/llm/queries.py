@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, language, line_dedup, mixing, pii, quality, simhash, suffix_dedup, toxicity
+from . import (decontam, divergence, html_text, language, line_dedup, mixing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, toxicity,
+               whitening)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +66,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf_dir))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return sentencepiece_bpe.encode(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_language, op3_toxicity, op4_simhash, op5_pii, op6_html, op7_suffix_dedup, op8_quality,
-                                   op9_line_dedup, op10_decontamination)}
+                                   op9_line_dedup, op10_decontamination, op11_whitening, op12_divergence, op13_sentencepiece)}
 
 _KEY = r"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -132,4 +149,31 @@ d AS (SELECT k.*, coalesce(owner <> doc_id, false) AS gone FROM k LEFT JOIN o ON
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM d GROUP BY doc_id""",
+    "op12_divergence": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS lang_n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+counted AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.lang_n FROM g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT *, 1 + {divergence.UNIT}::HUGEINT * (n + 2) // (sum(n) OVER s + 2 * count(*) OVER s) AS p,
+    1 + {divergence.UNIT}::HUGEINT * (lang_n + 2) // (sum(lang_n) OVER s + 2 * count(*) OVER s) AS q
+  FROM counted WINDOW s AS (PARTITION BY lang, source)),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= {divergence.TOP}""",
 }
