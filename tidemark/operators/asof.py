@@ -16,7 +16,10 @@ Plan (all DataFrame operators, no Python in the data path):
    before the shuffle) is as-of'ed at bucket level and injected as one synthetic
    "carry" row at the head of each probe bucket.
 
-So a hot key is split across its buckets and never lands whole in one task. With
+So a hot key is split across its buckets and never lands whole in one task. Buckets by row count
+(``"auto"``, ``Rows(n)``) cut both sides at the same points of (time, side, order): bursts are cut up, right rows of one
+instant by their first order column if it is a whole number, probes of one instant by a hash of the
+row; if no key has more rows than a bucket holds, steps 2 and 3 need no carry rows. With
 ``distinct_probes`` the as-of is resolved on the *distinct* left times and joined back by
 equality (AQE turns that join into a broadcast only when the runtime size is under the
 threshold); that pays off when many left rows share a time (dates), not for ticks.
@@ -35,9 +38,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._time import bucket_of, dtype_of, resolve_width
+from ._time import RowCuts, bucket_of, dtype_of, resolve_width, row_target
 
-_T, _S, _B, _P, _LAST, _CARRY, _M = "__t", "__s", "__b", "__p", "__last", "__carry", "__m"
+_T, _S, _B, _P, _LAST, _CARRY, _M, _X = "__t", "__s", "__b", "__p", "__last", "__carry", "__m", "__x"
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 _CARRY_SIDE, _RIGHT_SIDE, _PROBE_SIDE = 0, 1, 2
 
 
@@ -51,7 +55,7 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
     payload itself breaks any tie left, so the match is always deterministic).
     ``distinct_probes`` (default: a global series on a DATE column) resolves on the
     distinct left ``(by, on)`` values and joins back by equality. ``bucket_width``:
-    native units, a text interval (``"1 hour"``) or ``"auto"`` (see ``_time``).
+    native units, a text interval (``"1 hour"``), ``Rows(n)`` or ``"auto"`` (see ``_time``).
     """
     by = list(by)
     right_by = list(right_by) if right_by is not None else list(by)
@@ -81,24 +85,28 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
         r = r.filter(F.col(k).isNotNull())
     if distinct_probes and not by and isinstance(t_type, T.DateType):
         return _calendar_asof(left, r, on, payload, orders)
-    if isinstance(bucket_width, str) and bucket_width == "auto":
-        # both sides enter the window: size buckets on the densest key of their union
-        both = (left.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(on).alias(_T))
-                .unionByName(right.select(*[F.col(c).alias(k) for c, k in zip(right_by, keys)],
-                                          F.col(right_on).cast(t_type).alias(_T))))
-        width = resolve_width("auto", both, keys, _T, t_type)
-    else:
-        width = resolve_width(bucket_width, left, by, on, t_type)
-    r = r.withColumn(_B, bucket_of(F.col(_T), t_type, width))
     p_type = r.schema[_P].dataType
-
     if distinct_probes:
         probes = left.select(*[F.col(c).alias(k) for c, k in zip(by, keys)],
                              F.col(on).alias(_T)).distinct()
     else:
         probes = left.select("*", *[F.col(c).alias(k) for c, k in zip(by, keys)],
                              F.col(on).alias(_T))
-    probes = probes.withColumn(_B, bucket_of(F.col(_T), t_type, width))
+    target, carried = row_target(bucket_width), True
+    if target is not None:
+        def position(side, salt):
+            return F.struct(F.col(_T).alias("t"), F.lit(side).alias("s"), salt.cast("bigint").alias("o"))
+
+        first = F.col(orders[0]) if orders and isinstance(r.schema[orders[0]].dataType, T.IntegralType) else F.lit(0)
+        r = r.withColumn(_X, position(_RIGHT_SIDE, first))
+        probes = probes.withColumn(_X, position(_PROBE_SIDE, F.lit(0) if distinct_probes else F.xxhash64(*left.columns)))
+        cuts = RowCuts(r.select(*keys, _X).unionByName(probes.select(*keys, _X)), keys, _X, target)
+        carried = cuts.cuts is not None
+        r, probes = cuts.assign(r, _B).drop(_X), cuts.assign(probes, _B).drop(_X)
+    else:
+        width = resolve_width(bucket_width, left, by, on, t_type)
+        r = r.withColumn(_B, bucket_of(F.col(_T), t_type, width))
+        probes = probes.withColumn(_B, bucket_of(F.col(_T), t_type, width))
 
     # Bucket level: last right row per (by, bucket), carried to later probe buckets.
     summary = (r.groupBy(*keys, _B)
@@ -116,8 +124,9 @@ def asof_left(left: DataFrame, right: DataFrame, on: str, *, right_on: str | Non
 
     rows = r.select(*keys, _B, _T, *orders, _P, F.lit(_RIGHT_SIDE).alias(_S))
     u = (probes.withColumn(_S, F.lit(_PROBE_SIDE))
-         .unionByName(rows, allowMissingColumns=True)
-         .unionByName(carry, allowMissingColumns=True))
+         .unionByName(rows, allowMissingColumns=True))
+    if carried:
+        u = u.unionByName(carry, allowMissingColumns=True)
     w = (Window.partitionBy(*keys, _B)
          .orderBy(F.col(_T).asc_nulls_first(), F.col(_S), *[F.col(o) for o in orders], F.col(_P))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -143,5 +152,8 @@ def _calendar_asof(left: DataFrame, r: DataFrame, on: str, payload, orders) -> D
     resolved = (u.withColumn(_M, F.last(_P, ignorenulls=True).over(w))
                 .filter((F.col(_S) == _PROBE_SIDE) & F.col(_T).isNotNull())
                 .select(_T, *[F.col(f"{_M}.{c}").alias(c) for c in payload]))
+    # at most one row per calendar day (3.7 million from year 1 to 9999): a bounded table while its columns are
+    if all(isinstance(resolved.schema[c].dataType, _FIXED_WIDTH) for c in payload):
+        resolved = F.broadcast(resolved)
     return (left.join(resolved, on=left[on] == resolved[_T], how="left")
             .select(*[left[c] for c in left.columns], *[resolved[c] for c in payload]))

@@ -2,10 +2,10 @@
 
 Without ``bucketed``/``bucket_width`` there is one window per series key: right for
 calendar-bounded series (one row per ticker per day or month). For tick-level input use
-``bucketed=True`` (1-day buckets), a width (``"1 hour"``) or ``"auto"``: the lag then runs
-per ``(key, bucket)`` and the first row of each bucket takes the last value of the
-previous non-empty bucket from a partially aggregated per-bucket summary, so a hot
-ticker is spread over its buckets.
+``bucketed=True`` (1-day buckets), a width (``"1 hour"``), ``Rows(n)`` or ``"auto"`` (buckets by
+row count, see ``_time``): the lag then runs per ``(key, bucket)`` and the first row of each
+bucket takes the last value of the previous non-empty bucket from a partially aggregated
+per-bucket summary, so a hot ticker, or a burst of it, is spread over its buckets.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pct_return, price_diff, variation
-from ._time import bucket_of, dtype_of, resolve_width
+from ._time import RowCuts, bucket_of, dtype_of, resolve_width, row_target
 
-_B, _S, _LAST = "__b", "__s", "__last"
+_B, _S, _LAST, _X = "__b", "__s", "__last", "__x"
 _FIRST = -2**63   # bucket of the rows without a time
 
 
@@ -38,10 +38,18 @@ def with_previous(df: DataFrame, key, time: str, value: str, out: str = "previou
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.lag(value).over(w))
 
-    t_type = dtype_of(df, time)
-    width = resolve_width(bucket_width, df, keys, time, t_type)
-    cols = df.columns
-    d = df.withColumn(_B, F.coalesce(bucket_of(F.col(time), t_type, width), F.lit(_FIRST)))
+    cols, target = df.columns, row_target(bucket_width)
+    if target is not None:
+        d = df.withColumn(_X, F.struct(time, *order))
+        cuts = RowCuts(d, keys, _X, target)
+        d = cuts.assign(d, _B).drop(_X)
+        if cuts.cuts is None:      # no key has more rows than a bucket holds: nothing to carry
+            w = Window.partitionBy(*keys, _B).orderBy(*order_cols)
+            return d.withColumn(out, F.lag(value).over(w)).drop(_B)
+    else:
+        t_type = dtype_of(df, time)
+        width = resolve_width(bucket_width, df, keys, time, t_type)
+        d = df.withColumn(_B, F.coalesce(bucket_of(F.col(time), t_type, width), F.lit(_FIRST)))
     summary = (d.groupBy(*keys, _B)
                .agg(F.max_by(F.col(value), F.struct(time, *order)).alias(_LAST)))
     wb = Window.partitionBy(*keys).orderBy(_B)

@@ -132,6 +132,42 @@ FROM events l
 ASOF LEFT JOIN (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'purchase') r
   ON l.user_id = r.user_id AND l.ts >= r.ts"""
 
+_BURST = """burst AS (
+  SELECT event_id, event_type, value, user_id % 5 AS desk, CASE WHEN value < 1 THEN 0.0 ELSE value END AS close,
+         CASE WHEN event_id % 200 = 0 THEN ts ELSE TIMESTAMP '2024-01-15 00:00:00' + to_seconds(event_id * 7919 % 1000) END AS ts
+  FROM events)"""
+
+ORACLE["burst_asof_rate"] = f"""
+WITH {_BURST},
+rates AS (SELECT ts, max(event_id) AS rate_id, arg_max(value, event_id) AS rate FROM burst WHERE event_type = 'purchase' GROUP BY ts)
+SELECT b.event_id, b.ts, r.rate_id, r.rate FROM burst b ASOF LEFT JOIN rates r ON b.ts >= r.ts"""
+
+ORACLE["burst_asof_by_desk"] = f"""
+WITH {_BURST},
+rates AS (SELECT desk, ts, max(event_id) AS rate_id, arg_max(value, event_id) AS rate FROM burst WHERE event_type = 'purchase' GROUP BY ALL)
+SELECT b.event_id, b.ts, b.desk, r.rate_id, r.rate FROM burst b ASOF LEFT JOIN rates r ON b.desk = r.desk AND b.ts >= r.ts"""
+
+ORACLE["burst_prev_close"] = f"""
+WITH {_BURST}
+SELECT event_id, event_type, ts, value, LAG(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous_close FROM burst"""
+
+_BURST_LAG = f"""
+WITH {_BURST},
+p AS (SELECT *, LAG(close) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous_close FROM burst)"""
+
+ORACLE["burst_returns"] = f"""{_BURST_LAG}
+SELECT event_id, close, previous_close, close - previous_close AS price_change,
+       ((close - previous_close) / NULLIF(previous_close, 0)) * 100 AS pct_change FROM p"""
+
+ORACLE["burst_variation"] = f"""{_BURST_LAG}
+SELECT event_id, close, COALESCE(close / NULLIF(previous_close, 0) - 1, 0) AS variation FROM p"""
+
+ORACLE["burst_distinct_from"] = f"""
+WITH {_BURST}
+SELECT event_id, desk, event_type, prev_type
+FROM (SELECT *, LAG(event_type) OVER (PARTITION BY desk ORDER BY ts, event_id) AS prev_type FROM burst)
+WHERE event_type IS DISTINCT FROM prev_type"""
+
 ORACLE["changed_rows_semi"] = """
 WITH s AS (
   SELECT o_orderkey, o_custkey,

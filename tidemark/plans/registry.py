@@ -20,6 +20,7 @@ from ..operators import incremental as I
 from ..operators import mutate as MU
 from ..operators import quality as Q
 from ..operators import versions as V
+from ..operators._time import Rows
 from ..operators.asof import asof_left
 from ..operators.reshape import dedupe, wide_to_long
 from ..operators.returns import with_previous, with_returns, with_variation
@@ -36,8 +37,8 @@ EARLIER_RUN_TS = "2025-09-01 03:00:00"
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 SILVER_CUT = "2024-01-20"   # the stored silver/gold tables hold rows up to this day
 VERSION_CUT = date(2024, 1, 15)
-# Tick-level windows and as-of joins size their time buckets from the data: one bucket
-# of the densest key holds about 2M rows, whatever the volume (see operators/_time.py).
+# Tick-level windows and as-of joins cut a key that has more than 2M rows into buckets of
+# about as many, whatever the volume and however the rows crowd (see operators/_time.py).
 TICK_BUCKETS = "auto"
 
 
@@ -183,6 +184,75 @@ def asof_by_user(spark, sf):
                      bucket_width=TICK_BUCKETS)
 
 
+# The same operators on crowded ticks: 99.5% of the rows within 1000 seconds, many at one instant, and buckets that hold
+# a share of the rows such that every key has more than 20 of them at any scale.
+BURST_BUCKETS = 24
+
+
+def _burst(spark, sf):
+    crowded = F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00' + make_dt_interval(0, 0, 0, CAST(event_id * 7919 % 1000 AS INT))")
+    ev = _t(spark, sf, "events")
+    return ev.withColumns({"ts": F.when(F.col("event_id") % 200 == 0, F.col("ts")).otherwise(crowded), "desk": F.col("user_id") % 5,
+                           "close": F.when(F.col("value") < 1, F.lit(0.0)).otherwise(F.col("value"))})
+
+
+def _share(df, keys):
+    return Rows(max(1, df.count() // (BURST_BUCKETS * keys)))
+
+
+@query
+def burst_asof_rate(spark, sf):
+    """J1 on crowded ticks: the latest purchase of all, the largest id of an instant."""
+    ev = _burst(spark, sf)
+    right = ev.filter(F.col("event_type") == "purchase").select(
+        F.col("ts").alias("rate_ts"), F.col("event_id").alias("rate_id"), F.col("value").alias("rate"))
+    return asof_left(ev.select("event_id", "ts"), right, on="ts", right_on="rate_ts", payload=["rate_id", "rate"],
+                     right_order=["rate_id"], bucket_width=_share(ev, 1))
+
+
+@query
+def burst_asof_by_desk(spark, sf):
+    """J2 on crowded ticks: the same desk's latest purchase."""
+    ev = _burst(spark, sf)
+    right = ev.filter(F.col("event_type") == "purchase").select(
+        F.col("desk").alias("at_desk"), F.col("ts").alias("rate_ts"), F.col("event_id").alias("rate_id"), F.col("value").alias("rate"))
+    return asof_left(ev.select("event_id", "ts", "desk"), right, on="ts", right_on="rate_ts", by=["desk"], right_by=["at_desk"],
+                     payload=["rate_id", "rate"], right_order=["rate_id"], bucket_width=_share(ev, 5))
+
+
+@query
+def burst_prev_close(spark, sf):
+    """W1 on crowded ticks."""
+    ev = _burst(spark, sf)
+    d = with_previous(ev, "event_type", "ts", "value", "previous_close", order=["event_id"], bucket_width=_share(ev, 5))
+    return d.select("event_id", "event_type", "ts", "value", "previous_close")
+
+
+@query
+def burst_returns(spark, sf):
+    """W2/W3 on crowded ticks, zero prices included."""
+    ev = _burst(spark, sf)
+    d = with_returns(ev, "event_type", "ts", "close", "previous_close", "price_change", "pct_change", order=["event_id"],
+                     bucket_width=_share(ev, 5))
+    return d.select("event_id", "close", "previous_close", "price_change", "pct_change")
+
+
+@query
+def burst_variation(spark, sf):
+    """W4 on crowded ticks, zero prices included."""
+    ev = _burst(spark, sf)
+    d = with_variation(ev, "event_type", "ts", "close", "variation", order=["event_id"], bucket_width=_share(ev, 5))
+    return d.select("event_id", "close", "variation")
+
+
+@query
+def burst_distinct_from(spark, sf):
+    """F7 over W1 on crowded ticks: events whose type differs from their desk's event before."""
+    ev = _burst(spark, sf)
+    d = with_previous(ev, "desk", "ts", "event_type", "prev_type", order=["event_id"], bucket_width=_share(ev, 5))
+    return d.filter(distinct_from("event_type", "prev_type")).select("event_id", "desk", "event_type", "prev_type")
+
+
 @query
 def changed_rows_semi(spark, sf):
     """Arriving orders whose key exists and some column changed."""
