@@ -6,8 +6,9 @@ hashed to ``BUCKETS`` places. Per language ``LANDMARKS`` landmark texts span the
 K_mm^(-1/2) k(x); ``TRAIN`` texts per language fit one ridge regression per language against the rest
 there. A batch of whole texts is scored by two matrix products: presence x landmarks, then x weights.
 
-Both samples are the texts with the smallest hash of their id, so the fit is the same on every run. Only the
-packed presence bits of the sample (4 kB a text) reach the driver, never texts.
+Both samples are the different (id, text) rows with the smallest hash of their id, so the fit is the same on every run and a
+row that repeats counts once. Only the packed presence bits of the sample (4 kB a text, ``TRAIN`` texts for each of
+the ``LANGS`` languages that most rows have) reach the driver, never texts.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, and so are all if there is
 nothing to learn from; rows with a null language, text or id teach nothing; with one language all texts
@@ -25,6 +26,7 @@ from .common import Written
 
 N, BUCKETS = 4, 1 << 15
 LANDMARKS, TRAIN = 32, 256  # texts per language
+LANGS = 200  # languages that are learned at most
 RIDGE = 1e-2
 UNKNOWN = "und"
 PIECE, ROWS = 1 << 18, 128
@@ -99,21 +101,31 @@ class KernelRidge:
         return [self.langs[i] for i in f.argmax(axis=1)], e.max(axis=1).astype(np.float64).tolist()
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn) -> KernelRidge | None:
-    """Fits on the bounded sample; None if no row can be learned from."""
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn) -> DataFrame:
+    """(n, lang, bits): packed presence of the texts to learn from, n from 1 per language; at most ``TRAIN`` rows for each of at most
+    ``LANGS`` languages, however often a row, an id or a text repeats."""
     rows = docs.select(docs[id_col].cast("long").alias("k"), docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("t"))
-    known = rows.where("k IS NOT NULL AND lang IS NOT NULL AND t RLIKE '\\\\p{L}'").where(learn(F.col("k")))
-    top = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k")
-    ids = known.select("k", "lang").withColumn("n", F.row_number().over(top)).where(f"n <= {TRAIN}").select("k", "n")
+    known = (rows.where("k IS NOT NULL AND lang IS NOT NULL AND t RLIKE '\\\\p{L}'").where(learn(F.col("k")))
+             .withColumn("th", F.xxhash64("t")))
+    langs = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).select("lang")
+    top = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k", "th")
+    ids = (known.select("k", "lang", "th").distinct().join(langs, "lang")
+           .withColumn("n", F.row_number().over(top)).where(f"n <= {TRAIN}"))
 
     def run(batches):
         for b in batches:
             bits = [np.packbits(_matrix([t]).astype(bool)).tobytes() for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bits, pa.binary())], ["n", "lang", "bits"])
 
-    # at most TRAIN ids a language
-    chosen = known.join(F.broadcast(Written(ids, "language-ids").df), "k").select("n", "lang", "t")
-    got = sorted(chosen.mapInArrow(run, "n int, lang string, bits binary").collect())
+    # one text for each of them: at most TRAIN x LANGS
+    chosen = (known.join(F.broadcast(Written(ids, "language-ids").df), ["k", "lang", "th"])
+              .groupBy("n", "lang").agg(F.min("t").alias("t")))
+    return chosen.mapInArrow(run, "n int, lang string, bits binary")
+
+
+def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn) -> KernelRidge | None:
+    """Fits on the bounded sample; None if no row can be learned from."""
+    got = sorted(sample(docs, id_col, text_col, lang_col, learn).collect())
     if not got:
         return None
     return KernelRidge(np.frombuffer(b"".join(bytes(r["bits"]) for r in got), np.uint8).reshape(len(got), -1),

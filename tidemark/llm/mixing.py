@@ -134,6 +134,15 @@ def cube_sample(units: DataFrame, seed: int = 7, block: int = BLOCK) -> DataFram
             return done
 
 
+def numbered(sized: DataFrame, file: str) -> DataFrame:
+    """(doc_id, source, size, copy): rows that are equal in all three are numbered from 0, so that no hash puts them all into
+    one block. They are counted per ``file`` of theirs and the counts added up over the files, so no group is gathered."""
+    per = sized.groupBy("source", "doc_id", "size", file).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("source", "doc_id", "size").orderBy(file).rowsBetween(Window.unboundedPreceding, -1))
+    first = per.withColumn("first", F.coalesce(before, F.lit(0)))
+    return first.select("doc_id", "source", "size", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("copy"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
         max_repeats: int = 3, seed: int = 7) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) per row of ``docs``."""
@@ -142,9 +151,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     src = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats)
     src = Written(src.withColumnRenamed("source", "s_"), "targets").df
     r = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    units = (sized.join(src, F.expr("source <=> s_")).drop("s_").withColumn("r", r)
+    rows = numbered(sized.select("*", F.col("_metadata.file_name").alias("f")), "f")
+    tie = F.when(F.col("copy") == 0, F.xxhash64("doc_id", "size", F.lit(seed))).otherwise(F.xxhash64("doc_id", "size", "copy", F.lit(seed)))
+    units = (rows.join(src, F.expr("source <=> s_")).drop("s_").withColumn("r", r)
              .withColumn("whole", F.floor("r").cast("long")).withColumn("p", F.col("r") - F.col("whole")).drop("r")
-             .withColumn("tie", F.xxhash64("doc_id", "size", F.lit(seed))))
+             .withColumn("tie", tie).drop("copy"))
     taken = cube_sample(Written(units, "units").df, seed).withColumn("copies", F.col("whole") + F.col("p").cast("long"))
     return taken.select("doc_id", "source", "size", "source_size", "target", "copies",
                         (F.col("size") * F.col("copies")).alias("taken"))
