@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED, SHORT = 1 << 18, 48  # cuts and pairs that a worker remembers; the longest remembered cut
+REMEMBERED, SHORT = 1 << 19, 48  # cuts and pairs that a worker remembers; the longest remembered cut
 ROWS = 128  # rows of an output batch
 UNKNOWN = " ⁇ "
 
