@@ -127,7 +127,8 @@ def cube_sample(units: DataFrame, seed: int = 7, block: int = BLOCK) -> DataFram
         blocked = (open_.join(counts, F.col("k") == F.col("kk")).drop("kk")
                    .withColumn("block", F.pmod(F.xxhash64("tie", F.lit(rounds)), F.col("blocks"))))
 
-        ran = Written(blocked.groupBy("k", "block").applyInArrow(_settler(cols, seed, rounds), schema), "flight").df
+        # dealt by block: else a join that has dealt the rows by stratum would leave a whole stratum to one task
+        ran = Written(blocked.repartition("k", "block").groupBy("k", "block").applyInArrow(_settler(cols, seed, rounds), schema), "flight").df
         done = done.union(ran.where("p <= 0 OR p >= 1"))
         open_, rounds = ran.where("p > 0 AND p < 1"), rounds + 1
         if open_.isEmpty():
