@@ -134,6 +134,13 @@ def convert_or_quarantine(df: DataFrame, casts: Mapping[str, str]):
     return good, bad
 
 
+def rejected(bad: DataFrame, kind: str, reason: Column, source: Column | None = None,
+             record: Sequence[str] | None = None) -> DataFrame:
+    """Rows as the quarantine keeps them: (kind, source_file, reason, record: the ``record`` columns, by default all, as JSON)."""
+    return bad.select(F.lit(kind).alias("kind"), (F.lit(None) if source is None else source).cast("string").alias("source_file"),
+                      reason.alias("reason"), F.to_json(F.struct(*(record or bad.columns))).alias("record"))
+
+
 def stringify_time(df, type_names: Sequence[str] = ("time",)):
     """Time-of-day columns to text.
 

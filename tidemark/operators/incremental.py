@@ -16,6 +16,42 @@ def high_watermark(df: DataFrame | None, column: str):
     return df.agg(F.max(column)).first()[0]
 
 
+def footer_watermark(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """A2 on a stored Parquet table as one row (``high_watermark``): the scan takes the largest value from the file footers and
+    reads no row group. The push-down belongs to the V2 file source, so the plan is made in a session of its own, with the
+    caller's time zone. For dates and numbers; timestamps and text, whose
+    footer statistics Spark does not trust, are aggregated from that one column."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.max(column).alias("high_watermark"))
+
+
+def series_state(rows: DataFrame, series: str, date: str, value: str, kind: str) -> DataFrame:
+    """What an increment needs of the stored rows: (kind, series, last_date, last_value), one row per series."""
+    return rows.groupBy(F.col(series).cast("string").alias("series")).agg(
+        F.max(date).alias("last_date"), F.max_by(F.col(value), F.col(date)).alias("last_value")).select(
+        F.lit(kind).alias("kind"), "series", "last_date", "last_value")
+
+
+def merge_state(state: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The state after ``fresh`` (a state of newer rows) arrived: per series the later row of the two."""
+    return (state.unionByName(fresh).groupBy("kind", "series")
+            .agg(F.max("last_date").alias("last_date"), F.max_by("last_value", "last_date").alias("last_value")))
+
+
+def newer_than_state(rows: DataFrame, state: DataFrame, series: str, date: str, kind: str, scope: str = "series",
+                     watermark=None) -> DataFrame:
+    """I2 by state: rows newer than the ``watermark`` (``scope="global"``: a literal, so it reaches the scan), or than their
+    own series' last date (a small table joined by series); a series without a state loads everything."""
+    if scope == "global":
+        return rows if watermark is None else rows.filter(F.col(date) > F.lit(watermark))
+    own = state.filter(F.col("kind") == kind).select(F.col("series").alias("__series"), F.col("last_date").alias("__wm"))
+    return (rows.join(own, F.col(series).cast("string").eqNullSafe(F.col("__series")), "left")
+            .filter(F.col("__wm").isNull() | (F.col(date) > F.col("__wm"))).drop("__series", "__wm"))
+
+
 def table_or_none(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame | None:
     """A catalog table or a stored path, or None when it does not exist."""
     if spark.catalog.tableExists(name_or_path) if "/" not in name_or_path else False:

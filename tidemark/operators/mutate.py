@@ -37,8 +37,9 @@ def delete_where(df: DataFrame, cond) -> DataFrame:
     return df.filter(~F.coalesce(_cond(cond), F.lit(False)))
 
 
-def unique_source(src: DataFrame, keys: Sequence[str], what: str = "merge") -> DataFrame:
-    """Q1: fail the job when two source rows share a key.
+def unique_source(src: DataFrame, keys: Sequence[str], what: str = "merge", null_safe_keys: bool = False) -> DataFrame:
+    """Q1: fail the job when two source rows share a key. A key with a null in it matches nothing (Q3), so rows may share
+    it, unless ``null_safe_keys``.
 
     The check is inside the plan: a ``count`` window over the key raises on a count
     above 1. The window's hash partitioning and sort on the key are exactly what the
@@ -47,8 +48,11 @@ def unique_source(src: DataFrame, keys: Sequence[str], what: str = "merge") -> D
     keys = list(keys)
     msg = F.lit(f"{what}: more than one source row for a key")
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    shared = F.col(_N) > 1
+    for k in [] if null_safe_keys else keys:
+        shared = shared & F.col(k).isNotNull()
     return (src.withColumn(_N, n)
-               .filter(F.when(F.col(_N) > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+               .filter(F.when(shared, F.raise_error(msg)).otherwise(F.lit(True)))
                .drop(_N))
 
 
@@ -80,7 +84,7 @@ def merge_into(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
     via ``insert`` (``None``: same-named columns, others null); unmatched target -> kept."""
     keys = list(keys)
     if check_unique:
-        src = unique_source(src, keys, "merge_into")
+        src = unique_source(src, keys, "merge_into", null_safe_keys)
     tcols = tgt.columns
     nonkey = [c for c in tcols if c not in keys]
     if update is None:
@@ -122,7 +126,7 @@ def upsert_changed(tgt: DataFrame, src: DataFrame, keys: Sequence[str],
     that the source lacks is no change: matched rows keep it, new rows have null there."""
     keys = list(keys)
     if check_unique:
-        src = unique_source(src, keys, "upsert_changed")
+        src = unique_source(src, keys, "upsert_changed", null_safe_keys)
     tcols = tgt.columns
     audit = {first_seen, touched}
     nonkey = [c for c in tcols if c not in keys and c not in audit]

@@ -16,15 +16,16 @@ turns, is the caller's affair.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .mutate import merge_into, update_where
 
-VERSION, OP, SEQ, COMMIT_OP, COMMIT_TS = "_version", "_op", "_seq", "_commit_op", "_commit_ts"
-META = (VERSION, OP, SEQ, COMMIT_OP, COMMIT_TS)
+VERSION, OP, SEQ, COMMIT_OP, COMMIT_TS, PARAMS = "_version", "_op", "_seq", "_commit_op", "_commit_ts", "_commit_params"
+META = (VERSION, OP, SEQ, COMMIT_OP, COMMIT_TS, PARAMS)
 BEGIN, BEGIN_OVERWRITE = "begin", "begin_overwrite"
 #: op of a commit -> (its name in the history, ``_op`` of rows that carry none)
 COMMITS = {"overwrite": ("WRITE", "overwrite"), "update": ("UPDATE", "upsert"),
@@ -75,14 +76,46 @@ def history(log: DataFrame, ts_col: str = COMMIT_TS) -> DataFrame:
             .withColumnRenamed(VERSION, "version"))
 
 
+def commit_metrics(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """M6: what each version did to the table: version, parameters (the commit's, as JSON), and how many keys it inserted,
+    updated (rewritten while present) and deleted; ``num_live`` keys are left. Rows that an overwrite does not repeat are deleted by it.
+
+    Per key the version before is read by ``lag`` over the log reduced to one row per key and version, so no state is rebuilt; a
+    row of before the last overwrite is not present any more. What an overwrite removes is the count of keys that the
+    versions since the overwrite before it had left, less those that it repeats."""
+    keys = list(keys)
+    over = F.col(OP).isin("overwrite", BEGIN_OVERWRITE)
+    params = F.max(PARAMS) if PARAMS in log.columns else F.lit(None).cast("string")
+    in_order = Window.orderBy(VERSION)                       # one row per version
+    versions = (log.groupBy(VERSION).agg(F.bool_or(over).alias("__over"), params.alias("parameters"))
+                .withColumn("__since", F.max(F.when(F.col("__over"), F.col(VERSION)))
+                            .over(in_order.rowsBetween(Window.unboundedPreceding, -1))))
+    of_key = Window.partitionBy(*keys).orderBy(VERSION)
+    net = (log.filter(~_is_marker()).groupBy(*keys, VERSION).agg(F.max_by(OP, SEQ).alias("__op"))
+           .withColumns({"__prev": F.lag(VERSION).over(of_key), "__prev_op": F.lag("__op").over(of_key)}))
+    was = (F.col("__prev").isNotNull() & (F.col("__prev_op") != "delete")
+           & (F.col("__since").isNull() | (F.col("__prev") >= F.col("__since"))))
+    now = F.col("__op") != "delete"
+    per = (net.join(versions.select(VERSION, "__since"), VERSION).groupBy(VERSION)
+           .agg(F.count_if(now & ~was).alias("inserted"), F.count_if(now & was).alias("updated"), F.count_if(~now & was).alias("deleted")))
+    done = versions.join(per, VERSION, "left").fillna(0, ["inserted", "updated", "deleted"])
+    left = F.when(F.col("__over"), F.col("inserted") + F.col("updated")).otherwise(F.col("inserted") - F.col("deleted"))
+    segment = Window.partitionBy("__segment").orderBy(VERSION).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    done = (done.withColumn("__segment", F.count_if("__over").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("num_live", F.sum(left).over(segment)).withColumn("__before", F.lag("num_live", 1, 0).over(in_order)))
+    gone = F.when(F.col("__over"), F.col("__before") - F.col("updated")).otherwise(F.col("deleted"))
+    return done.select(F.col(VERSION).alias("version"), "parameters", "inserted", "updated", gone.alias("deleted"), "num_live")
+
+
 # ---------------------------------------------------------------- M8
 
-def commit(log: DataFrame | None, changes: DataFrame, op: str, ts: Column | None = None) -> DataFrame:
+def commit(log: DataFrame | None, changes: DataFrame, op: str, ts: Column | None = None,
+           params: Mapping[str, object] | None = None) -> DataFrame:
     """M8 / K5: the log with ``changes`` as its next version (0 for no log).
 
     ``op`` is ``overwrite`` (the whole new content), ``update``, ``delete`` or ``merge``; see
     ``update_changes``, ``delete_changes`` and ``merge_changes`` for what these three log.
-    Rows may carry ``_op`` and ``_seq`` of their own. The plan reads the log's largest version
+    Rows may carry ``_op`` and ``_seq`` of their own; ``params`` (a predicate, a mode) are kept for the history. The plan reads the log's largest version
     as a scalar subquery; write the result, or only its last version, where the table lives."""
     name, row_op = COMMITS[op]
     if log is None:
@@ -97,6 +130,8 @@ def commit(log: DataFrame | None, changes: DataFrame, op: str, ts: Column | None
     out = rows.unionByName(marker, allowMissingColumns=True).withColumns({
         VERSION: version, COMMIT_OP: F.lit(name),
         COMMIT_TS: (F.current_timestamp() if ts is None else ts).cast(ts_type)})
+    if params is not None:
+        out = out.withColumn(PARAMS, F.lit(json.dumps(params, sort_keys=True)))
     return out if log is None else log.unionByName(out, allowMissingColumns=True)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import brl_compound
 from ..operators.asof import asof_left
-from ..operators.incremental import newer_than_target
+from ..operators.incremental import merge_state, newer_than_state, newer_than_target, series_state
 from ..operators.mutate import replace_by_key
 from ..operators.returns import with_variation
 from ..operators.setops import union_all
@@ -38,18 +38,26 @@ def silver_macro(macro: DataFrame) -> DataFrame:
                         F.col("valor").alias("fechamento"), F.col("valor").alias("variacao_diaria"))
 
 
-def silver_quotes(quotes: DataFrame) -> DataFrame:
+def _varied(rows: DataFrame, seeds: DataFrame | None, series: str, value: str) -> DataFrame:
+    """``rows`` with their variation; ``seeds`` are rows before them that only feed the LAG."""
+    if seeds is None:
+        return with_variation(rows, series, "dataCotacao", value, "__var")
+    both = rows.withColumn("__seed", F.lit(False)).unionByName(seeds.withColumn("__seed", F.lit(True)), allowMissingColumns=True)
+    return with_variation(both, series, "dataCotacao", value, "__var").filter(~F.col("__seed")).drop("__seed")
+
+
+def silver_quotes(quotes: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """Index branch: variation per raw ticker by date; ticker upper-cased in the output
     only (Q17)."""
-    v = with_variation(quotes, "ticker", "dataCotacao", "fechamento", "__var")
+    v = _varied(quotes, seeds, "ticker", "fechamento")
     return v.select("dataCotacao", F.upper("codigoTicker").alias("indicador"),
                     F.upper("ticker").alias("ticker"), F.upper("tickerNome").alias("tickernome"),
                     "fechamento", F.col("__var").alias("variacao_diaria"))
 
 
-def silver_fx(fx: DataFrame) -> DataFrame:
+def silver_fx(fx: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """FX branch: selling rate as the close, variation per currency by date."""
-    v = with_variation(fx, "moeda", "dataCotacao", "cotacaoVenda", "__var")
+    v = _varied(fx, seeds, "moeda", "cotacaoVenda")
     cur = F.upper("moeda")
     return v.select("dataCotacao", cur.alias("indicador"), cur.alias("ticker"), cur.alias("tickernome"),
                     F.col("cotacaoVenda").alias("fechamento"), F.col("__var").alias("variacao_diaria"))
@@ -86,9 +94,49 @@ def gold_returns(silver: DataFrame, fx_ticker: str = FX_TICKER,
 
 # ------------------------------------------------------------------ incremental
 
+# Where each raw extract has its series, date and value.
+RAW_SHAPE = {"macro": ("cod_sgs", "data", "valor"), "quotes": ("ticker", "dataCotacao", "fechamento"),
+             "fx": ("moeda", "dataCotacao", "cotacaoVenda")}
+
+
+def raw_state(macro: Sequence[DataFrame] | DataFrame | None = None, quotes: DataFrame | None = None,
+              fx: DataFrame | None = None) -> DataFrame | None:
+    """The state table of raw rows: (kind, series, last_date, last_value) per series; None without any extract."""
+    macros = [macro] if isinstance(macro, DataFrame) else list(macro or [])
+    parts = [series_state(df, *RAW_SHAPE[kind], kind) for kind, dfs in (("macro", macros), ("quotes", [quotes]), ("fx", [fx]))
+             for df in dfs if df is not None]
+    return union_all(parts) if parts else None
+
+
+def silver_new_rows(state: DataFrame, macro: Sequence[DataFrame] | DataFrame | None = None,
+                    quotes: DataFrame | None = None, fx: DataFrame | None = None,
+                    lookback: str = "last", scope: str = "series") -> DataFrame:
+    """I3 from a state table: the silver rows of all raw rows newer than the state. Every raw extract is scanned once; the
+    LAG of a series begins with the state's last value (``lookback="last"``) instead of raw history."""
+    macros = [macro] if isinstance(macro, DataFrame) else list(macro or [])
+    wm = state.agg(F.max("last_date")).first()[0] if scope == "global" else None
+
+    def newer(df, kind):
+        series, date, _ = RAW_SHAPE[kind]
+        return newer_than_state(df, state, series, date, kind, scope, wm)
+
+    def seeds(df, kind):
+        if lookback == "none":
+            return None
+        series, date, value = RAW_SHAPE[kind]
+        return state.filter(F.col("kind") == kind).select(F.col("series").alias(series), F.col("last_date").alias(date),
+                                                          F.col("last_value").alias(value))
+
+    parts = [silver_macro(newer(m, "macro")) for m in macros]
+    for df, kind, build in ((quotes, "quotes", silver_quotes), (fx, "fx", silver_fx)):
+        if df is not None:
+            parts.append(build(newer(df, kind), seeds(df, kind)))
+    return union_all(parts)
+
+
 def silver_increment(silver: DataFrame | None, macro: Sequence[DataFrame] | DataFrame | None = None,
                      quotes: DataFrame | None = None, fx: DataFrame | None = None,
-                     lookback: str = "none", scope: str = "global") -> DataFrame:
+                     lookback: str = "none", scope: str = "global", state: DataFrame | None = None) -> DataFrame:
     """Rows newer than the stored silver's watermark from every source -> variation
     -> union -> replace by key.
 
@@ -97,7 +145,9 @@ def silver_increment(silver: DataFrame | None, macro: Sequence[DataFrame] | Data
     ``scope="series"``: one watermark per silver ticker (a small grouped aggregate).
     ``lookback="none"`` reproduces the reference: LAG only sees the new rows, so each
     series' first new row has variation 0 (Q8). ``lookback="last"`` pulls in the last
-    stored row per series so the first new variation is the true one."""
+    stored row per series so the first new variation is the true one. With a ``state`` table (``raw_state`` of the
+    rows that were loaded) watermarks and last rows come from it: the new rows are computed in one scan of each
+    extract and written once, since the replacement reads them twice."""
     if lookback not in ("none", "last"):
         raise ValueError("lookback must be 'none' or 'last'")
     if scope not in ("global", "series"):
@@ -105,6 +155,9 @@ def silver_increment(silver: DataFrame | None, macro: Sequence[DataFrame] | Data
     macros = [macro] if isinstance(macro, DataFrame) else list(macro or [])
     if silver is None:
         return silver_variation(macros, quotes, fx)
+    if state is not None:
+        new = materialize_small(silver_new_rows(state, macros, quotes, fx, lookback, scope))
+        return replace_by_key(silver.select(*SILVER_COLS), new, SILVER_KEY)
     if scope == "global":
         gwm = silver.select(F.max("dataCotacao")).scalar()
 
@@ -163,7 +216,7 @@ def gold_increment(gold: DataFrame | None, silver: DataFrame, lookback: str = "n
         return gold_returns(silver, fx_ticker, foreign)
     base = newer_than_target(silver, gold, "dataCotacao", scope=scope, series=["ticker"])
     usd_src = base if lookback == "none" else silver
-    new = gold_returns(base, fx_ticker, foreign, usd_source=usd_src)
+    new = materialize_small(gold_returns(base, fx_ticker, foreign, usd_source=usd_src))   # the replacement reads it twice
     return replace_by_key(gold.select(*GOLD_COLS), new, SILVER_KEY)
 
 
@@ -172,7 +225,8 @@ def silver_backfill(silver: DataFrame, macro: Sequence[DataFrame] | DataFrame |
     """The stored silver after raw rows older than its watermark arrived: rows whose recomputed value is
     new or other than the stored one replace it by key. The row after a filled gap changes as well, since its
     previous close is another. Equals the full recompute for every series that the raw layer holds."""
-    return replace_by_key(silver.select(*SILVER_COLS), _other(silver_variation(macro, quotes, fx), silver), SILVER_KEY)
+    new = materialize_small(_other(silver_variation(macro, quotes, fx), silver))   # the replacement reads it twice
+    return replace_by_key(silver.select(*SILVER_COLS), new, SILVER_KEY)
 
 
 def _other(fresh: DataFrame, stored: DataFrame) -> DataFrame:
@@ -183,99 +237,142 @@ def _other(fresh: DataFrame, stored: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ the job
 
+class RejectedRows(AssertionError):
+    """Raised when a job has stored all it could and some rows of the extracts are in the quarantine."""
+
+
+# A raw row without these is not stored.
+RAW_REQUIRED = {kind: [series, date, value] for kind, (series, date, value) in RAW_SHAPE.items()}
+
+
+def _accepted(df: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be stored, the others as the quarantine keeps them)."""
+    from ..operators.clean import rejected
+    need = [c for c in RAW_REQUIRED[kind] if c in df.columns]
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in need]))
+    bad = df.filter(F.size(missing) > 0)
+    kept = [c for c in df.columns if c != "dt_ingestao"]
+    return (df.filter(F.size(missing) == 0),
+            rejected(bad.select(*kept), kind, F.concat(F.lit("missing "), F.array_join(missing, ","))))
+
+
 def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks: bool = True,
-            scope: str = "series") -> dict:
+            scope: str = "series", rejects: DataFrame | None = None) -> dict:
     """L1 end to end over stored tables under ``base``:
 
-    1. raw: each extract (``macro``/``quotes``/``fx`` frames in the raw shapes) keeps rows
-       newer than its stored table's watermark (strict ``>``, Q5), deduped on the key
+    1. raw: rows of each extract (``macro``/``quotes``/``fx`` frames in the raw shapes) that lack key, date or value go to
+       ``quarantine`` with the ``rejects`` of the reader, so that no later run meets them; the others keep rows
+       newer than the stored table's watermark (strict ``>``, Q5), deduped on the key
        (D1), appended when non-empty with a primary-key check (T4, K11);
-    2. silver: I3 against the stored silver (watermark, LAG lookback), written by
-       replacing keys in the touched months only;
-    3. gold: I4 against the stored gold, same write;
+    2. silver: the raw rows newer than the ``state`` table (one row per series: last date and value) -> variation seeded by the
+       state, written by replacing keys in the touched months only; then the state is merged. A run that
+       ends between the two is made up by the next, which replaces the same keys;
+    3. gold: I4 against the stored gold, same write.
     The new rows of 2 and 3 pass the data tests (T1/T2/T3) before they are written; the job fails on
     a bad row. The watermark is per series by default, so a slower series is not held back by a faster one.
 
-    Returns row counts of the increments. Reruns are idempotent: a second run with the
-    same extracts adds nothing.
+    Returns row counts of the increments. Reruns are idempotent: a second run with the same extracts adds nothing.
+    With ``run_checks`` rejected rows raise ``RejectedRows`` once all the others are stored: a corrected extract, a
+    later day or a backfill then takes their place.
     """
     from ..operators.incremental import newer_than_target, table_or_none
     from ..operators.quality import assert_empty, check_not_null, check_rows, check_unique
     from ..operators.reshape import dedupe
     from ..schemas import RAW_KEYS
-    from ..sinks.tables import MONTH, append_new_keys, replace_by_key_write
+    from ..sinks.tables import MONTH, append_new_keys, quarantine_write, replace_by_key_write
 
     base = base.rstrip("/")
-    date_cols = {"macro": "data", "quotes": "dataCotacao", "fx": "dataCotacao"}
-    counts = {}
+    counts, bad = {}, [] if rejects is None else [rejects]
     for kind, df in extracts.items():
         path = f"{base}/raw/{kind}"
         stored = table_or_none(spark, path)
-        fresh = newer_than_target(df, stored, date_cols[kind], scope="series",
-                                  series=RAW_KEYS[kind][:1] if kind == "macro" else
-                                  (["moeda"] if kind == "fx" else ["ticker"]))
+        df, wrong = _accepted(df, kind)
+        bad.append(wrong)
+        series, date, _ = RAW_SHAPE[kind]
+        fresh = newer_than_target(df, stored, date, scope="series", series=[series])
         fresh = dedupe(fresh, RAW_KEYS[kind], [("dt_ingestao", "desc")] if "dt_ingestao" in df.columns else ())
-        counts[f"raw_{kind}"] = append_new_keys(spark, fresh, path, RAW_KEYS[kind], date_cols[kind])
+        counts[f"raw_{kind}"] = append_new_keys(spark, materialize_small(fresh), path, RAW_KEYS[kind], date)
+    refused = quarantine_write(spark, union_all(bad), f"{base}/quarantine") if bad else 0
 
-    def raw(kind):
+    raw = {}
+    for kind in RAW_SHAPE:
         t = table_or_none(spark, f"{base}/raw/{kind}")
-        return None if t is None else t.drop(MONTH)
-
-    macro, quotes, fx = raw("macro"), raw("quotes"), raw("fx")
-    silver_path, gold_path = f"{base}/silver", f"{base}/gold"
-    silver_old = table_or_none(spark, silver_path)
-    silver_old = None if silver_old is None else silver_old.drop(MONTH)
-    merged_silver = silver_increment(silver_old, macro, quotes, fx, lookback=lookback, scope=scope)
-    new_silver = merged_silver if silver_old is None else newer_than_target(
-        merged_silver, silver_old, "dataCotacao", scope=scope, series=["ticker"])
-    new_silver = materialize_small(new_silver)
-    if run_checks:  # before the write: a bad row must not be stored, and must fail the retry as well
-        assert_empty(check_not_null(new_silver, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
-        assert_empty(check_unique(new_silver, SILVER_KEY), "silver unique")
-    replace_by_key_write(spark, new_silver, silver_path, SILVER_KEY, "dataCotacao")
-
-    silver_all = table_or_none(spark, silver_path).drop(MONTH)
-    gold_old = table_or_none(spark, gold_path)
-    gold_old = None if gold_old is None else gold_old.drop(MONTH)
-    merged_gold = gold_increment(gold_old, silver_all, lookback=lookback, scope=scope)
-    new_gold = merged_gold if gold_old is None else newer_than_target(
-        merged_gold, gold_old, "dataCotacao", scope=scope, series=["ticker"])
-    new_gold = materialize_small(new_gold)
-    if run_checks:
-        assert_empty(check_rows(new_gold, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular")
-    replace_by_key_write(spark, new_gold, gold_path, SILVER_KEY, "dataCotacao")
-
-    counts["silver_new"] = new_silver.count()
-    counts["gold_new"] = new_gold.count()
+        raw[kind] = None if t is None else t.drop(MONTH)
+    args = (raw["macro"], raw["quotes"], raw["fx"])
+    if any(t is not None for t in args):
+        silver_path, gold_path, state_path = f"{base}/silver", f"{base}/gold", f"{base}/state"
+        silver_old, state = table_or_none(spark, silver_path), table_or_none(spark, state_path)
+        silver_old = None if silver_old is None else silver_old.drop(MONTH)
+        if silver_old is None:
+            new_silver = silver_variation(*args)
+        elif state is None:                       # a store of before there was a state table
+            merged = silver_increment(silver_old, *args, lookback=lookback, scope=scope)
+            new_silver = newer_than_target(merged, silver_old, "dataCotacao", scope=scope, series=["ticker"])
+        else:
+            new_silver = silver_new_rows(state, *args, lookback=lookback, scope=scope)
+        new_silver = materialize_small(new_silver)
+        if run_checks:  # before the write: a bad row must not be stored, and must fail the retry as well
+            assert_empty(check_not_null(new_silver, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
+            assert_empty(check_unique(new_silver, SILVER_KEY), "silver unique")
+        replace_by_key_write(spark, new_silver, silver_path, SILVER_KEY, "dataCotacao")
+        counts["silver_new"] = new_silver.count()
+        if state is None:
+            materialize_small(raw_state(*args)).write.mode("overwrite").parquet(state_path)
+        elif counts["silver_new"]:
+            wm = state.agg(F.max("last_date")).first()[0] if scope == "global" else None
+            newer = [None if raw[k] is None else newer_than_state(raw[k], state, *RAW_SHAPE[k][:2], k, scope, wm) for k in RAW_SHAPE]
+            materialize_small(merge_state(state, raw_state(*newer))).write.mode("overwrite").parquet(state_path)
+
+        silver_all = table_or_none(spark, silver_path).drop(MONTH)
+        gold_old = table_or_none(spark, gold_path)
+        gold_old = None if gold_old is None else gold_old.drop(MONTH)
+        base_rows = silver_all if gold_old is None else newer_than_target(
+            silver_all, gold_old, "dataCotacao", scope=scope, series=["ticker"])
+        new_gold = materialize_small(gold_returns(base_rows, usd_source=base_rows if lookback == "none" else silver_all))
+        if run_checks:
+            assert_empty(check_rows(new_gold, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular")
+        replace_by_key_write(spark, new_gold, gold_path, SILVER_KEY, "dataCotacao")
+        counts["gold_new"] = new_gold.count()
+    if refused and run_checks:
+        raise RejectedRows(f"{refused} rows of the extracts are in {base}/quarantine")
     return counts
 
 
-def run_backfill(spark, extracts: dict, base: str, start, end=None) -> dict:
+def run_backfill(spark, extracts: dict, base: str, start, end=None, rejects: DataFrame | None = None) -> dict:
     """L1 over a custom window: raw rows after ``start`` up to ``end`` (``fetch_window``: a default span per
-    kind) whose key is not stored yet are appended, whatever the watermark; the silver and gold rows that
-    come out new or different are tested and replace the stored ones in the months they touch. Idempotent."""
+    kind) that are not stored yet, or stored with other values, replace theirs by key, whatever the watermark; the silver and
+    gold rows that come out new or different are tested and replace the stored ones in the months they touch. Idempotent. Rows that lack key, date or value
+    go to the quarantine, as in ``run_job``."""
     from ..functions.fetch_window import fetch_window
     from ..operators.clean import after
     from ..operators.incremental import table_or_none
     from ..operators.quality import assert_empty, check_not_null, check_rows, check_unique
     from ..operators.reshape import dedupe
     from ..schemas import RAW_KEYS
-    from ..sinks.tables import MONTH, append_new_keys, replace_by_key_write
+    from ..sinks.tables import MONTH, quarantine_write, replace_by_key_write
 
     base = base.rstrip("/")
-    counts, raw = {}, {}
-    for kind, date_col in {"macro": "data", "quotes": "dataCotacao", "fx": "dataCotacao"}.items():
+    counts, raw, bad = {}, {}, [] if rejects is None else [rejects]
+    for kind, (series, date, value) in RAW_SHAPE.items():
         path, keys = f"{base}/raw/{kind}", RAW_KEYS[kind]
         stored = table_or_none(spark, path)
         if kind in extracts:
             first, last = fetch_window({"quotes": "index"}.get(kind, kind), start=start, end=end)
-            rows = after(extracts[kind], date_col, first).filter(F.col(date_col) <= F.lit(last))
-            if stored is not None:
-                rows = rows.join(stored.select(*keys), keys, "left_anti").select(*extracts[kind].columns)
+            rows, wrong = _accepted(extracts[kind], kind)
+            bad.append(wrong)
+            rows = after(rows, date, first).filter(F.col(date) <= F.lit(last))
             rows = dedupe(rows, keys, [("dt_ingestao", "desc")] if "dt_ingestao" in rows.columns else ())
-            counts[f"raw_{kind}"] = append_new_keys(spark, materialize_small(rows), path, keys, date_col)
+            if stored is not None:
+                same = [c for c in rows.columns if c in stored.columns and c != "dt_ingestao"]
+                old = stored.select(*[F.col(c).alias(f"__{c}") for c in same])
+                rows = rows.join(old, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in same], "left_anti")
+            rows = materialize_small(rows)
+            counts[f"raw_{kind}"] = not rows.isEmpty()
+            if counts[f"raw_{kind}"]:
+                replace_by_key_write(spark, rows, path, keys, date)
             stored = table_or_none(spark, path)
         raw[kind] = None if stored is None else stored.drop(MONTH)
+    refused = quarantine_write(spark, union_all(bad), f"{base}/quarantine") if bad else 0
 
     def put(layer, fresh, test):
         path = f"{base}/{layer}"
@@ -290,9 +387,15 @@ def run_backfill(spark, extracts: dict, base: str, start, end=None) -> dict:
         assert_empty(check_not_null(rows, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
         assert_empty(check_unique(rows, SILVER_KEY), "silver unique")
 
-    silver = put("silver", silver_variation(raw["macro"], raw["quotes"], raw["fx"]), silver_tests)
-    put("gold", gold_returns(silver),
-        lambda rows: assert_empty(check_rows(rows, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular"))
+    args = (raw["macro"], raw["quotes"], raw["fx"])
+    if any(t is not None for t in args):
+        silver = put("silver", silver_variation(*args), silver_tests)
+        if any(counts.get(f"raw_{kind}") for kind in RAW_SHAPE):
+            materialize_small(raw_state(*args)).write.mode("overwrite").parquet(f"{base}/state")
+        put("gold", gold_returns(silver),
+            lambda rows: assert_empty(check_rows(rows, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular"))
+    if refused:
+        raise RejectedRows(f"{refused} rows of the extracts are in {base}/quarantine")
     return counts
 
 
@@ -301,35 +404,43 @@ def materialize_small(df):
     return materialize(df, "increment")
 
 
-def _landed(spark, extract_dir: str, series: dict | None, run_ts) -> dict[str, DataFrame]:
-    """The raw rows of every extract found below ``extract_dir``; none at all is an error."""
-    from ..sources.files import read_extract_or_none
+def _landed(spark, extract_dir: str, series: dict | None, run_ts) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The raw rows of every extract found below ``extract_dir``, and what the reader rejects; no extract at all is an error."""
+    from ..operators.clean import convert_or_quarantine, rejected
+    from ..sources.files import read_checked_or_none
     from .landing import MACRO_SERIES
     from .raw import fx_to_raw, index_to_raw, macro_to_raw
 
     d = extract_dir.rstrip("/")
-    macros = [(got, code, name) for name, code in (series or MACRO_SERIES).items()
-              if (got := read_extract_or_none(spark, "macro", f"{d}/macro/{name}")) is not None]
-    extracts = {"macro": union_all([macro_to_raw(*m, run_ts=run_ts) for m in macros])} if macros else {}
+    macros, extracts, bad = [], {}, []
+    for name, code in (series or MACRO_SERIES).items():
+        if (got := read_checked_or_none(spark, "macro", f"{d}/macro/{name}")) is not None:
+            rows, wrong = convert_or_quarantine(got[0], {"valor": "double"})
+            bad += [got[1], rejected(wrong, "macro", F.concat(F.lit("cast of "), "bad_columns"), F.col("source_file"), ["data", "valor"])]
+            macros.append(macro_to_raw(rows, code, name, run_ts=run_ts))
+    if macros:
+        extracts["macro"] = union_all(macros)
     for kind, name, to_raw in (("fx", "fx", fx_to_raw), ("quotes", "index_daily", index_to_raw)):
-        if (got := read_extract_or_none(spark, name, f"{d}/{name}")) is not None:
-            extracts[kind] = to_raw(got, run_ts=run_ts)
+        if (got := read_checked_or_none(spark, name, f"{d}/{name}")) is not None:
+            extracts[kind] = to_raw(got[0], run_ts=run_ts)
+            bad.append(got[1])
     if not extracts:
         raise FileNotFoundError(f"no extract under {d}")
-    return extracts
+    return extracts, union_all(bad)
 
 
 def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | None = None,
                           lookback: str = "last", run_ts=None, scope: str = "series",
                           start=None, end=None) -> dict:
-    """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines or
-    parquet, one scan per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``.
+    """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines, one scan
+    per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``. Lines that are broken and values that do not
+    convert go to the quarantine with file and reason.
     ``series`` maps macro series names to SGS codes (default: CDI, IPCA, IGP-M). With ``start`` the window after
     it (up to ``end``) is backfilled instead (``run_backfill``)."""
-    extracts = _landed(spark, extract_dir, series, run_ts)
+    extracts, rejects = _landed(spark, extract_dir, series, run_ts)
     if start is not None:
-        return run_backfill(spark, extracts, base, start, end)
-    return run_job(spark, extracts, base, lookback=lookback, scope=scope)
+        return run_backfill(spark, extracts, base, start, end, rejects=rejects)
+    return run_job(spark, extracts, base, lookback=lookback, scope=scope, rejects=rejects)
 
 
 # The gold table's column documentation.

@@ -111,25 +111,65 @@ def silver_variation(spark, sf):
     return _silver(spark, sf)
 
 
+def _increment(spark, sf, cut=SILVER_CUT, macro_cut=SILVER_CUT, **how):
+    """The stored raw layer; silver and state of its rows up to the cut days; the increment by the rest."""
+    raw = [materialize(r, "raw") for r in _raw(spark, sf)]
+    held = [r.filter(F.col(c) <= F.lit(d).cast("date")) for r, c, d in zip(raw, ("data", "dataCotacao", "dataCotacao"), (macro_cut, cut, cut))]
+    return M.silver_increment(M.silver_variation(*held), *raw, state=materialize(M.raw_state(*held), "state"), **how)
+
+
 @query
 def silver_increment(spark, sf):
     """I3 with ``lookback="none"`` (the reference's incremental LAG)."""
-    raw = _raw(spark, sf)
-    return M.silver_increment(_stored(_silver(spark, sf, raw)), *raw, lookback="none")
+    return _increment(spark, sf, lookback="none")
 
 
 @query
 def silver_increment_last(spark, sf):
-    """I3 with ``lookback="last"`` (LAG seeded with the last stored row)."""
-    raw = _raw(spark, sf)
-    return M.silver_increment(_stored(_silver(spark, sf, raw)), *raw, lookback="last")
+    """I3 with ``lookback="last"`` (LAG seeded with the state's last value)."""
+    return _increment(spark, sf, lookback="last")
 
 
 @query
 def silver_increment_series(spark, sf):
-    """I3 with one watermark per series (Q6 option) and LAG seeded from the store."""
-    raw = _raw(spark, sf)
-    return M.silver_increment(_stored(_silver(spark, sf, raw)), *raw, lookback="last", scope="series")
+    """I3 with one watermark per series (Q6 option) and LAG seeded from the state."""
+    return _increment(spark, sf, lookback="last", scope="series")
+
+
+@query
+def silver_increment_slow(spark, sf):
+    """I3 where the macro series are held up to 1998 only: a watermark per series loads their later rows, though far older
+    than the newest quote."""
+    return _increment(spark, sf, macro_cut="1998-01-01", lookback="last", scope="series")
+
+
+@query
+def series_state(spark, sf):
+    """The state table of the raw layer, merged from the state up to the cut day and that of the rows after it."""
+    raw = [materialize(r, "raw") for r in _raw(spark, sf)]
+    cut = F.lit(SILVER_CUT).cast("date")
+    old = M.raw_state(*[r.filter(F.col(c) <= cut) for r, c in zip(raw, ("data", "dataCotacao", "dataCotacao"))])
+    new = M.raw_state(*[r.filter(F.col(c) > cut) for r, c in zip(raw, ("data", "dataCotacao", "dataCotacao"))])
+    return I.merge_state(old, new)
+
+
+@query
+def extract_quarantine(spark, sf):
+    """Orders as a macro extract of JSON lines, some cut short, some with a day that is none, some with a value that is
+    no number: the rows that the quarantine gets."""
+    from ..session import scratch_path
+    from ..sources.files import read_extract_checked
+    key = F.col("o_orderkey")
+    day = F.when(key % 89 == 0, F.lit("someday")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    value = F.when(key % 83 == 0, F.concat(F.lit("n/a "), key)).otherwise(F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string"))
+    line = F.concat(F.lit('{"data":"'), day, F.lit('","valor":"'), value, F.lit('"}'))
+    path = scratch_path(spark, "extract")
+    (_t(spark, sf, "orders").select(F.when(key % 97 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+     .write.text(path))
+    good, broken = read_extract_checked(spark, "macro", path)
+    _, failed = C.convert_or_quarantine(good, {"valor": "double"})
+    failed = C.rejected(failed, "macro", F.concat(F.lit("cast of "), "bad_columns"), F.col("source_file"), ["data", "valor"])
+    return broken.unionByName(failed).select("kind", "reason", "record", F.col("source_file").isNotNull().alias("has_file"))
 
 
 @query
@@ -498,7 +538,16 @@ def row_count(spark, sf):
 @query
 def high_watermark(spark, sf):
     """A2: the stored table's latest date."""
-    return _t(spark, sf, "orders").agg(F.max("o_orderdate").alias("high_watermark"))
+    return I.footer_watermark(spark, f"{sf.rstrip('/')}/orders.parquet", "o_orderdate")
+
+
+@query
+def high_watermark_day(spark, sf):
+    """A2: the latest day of the stored macro extract, from the Parquet footers alone."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "raw-macro")
+    L.landed_macro(_t(spark, sf, "orders")).write.parquet(path)
+    return I.footer_watermark(spark, path, "data")
 
 
 @query
@@ -572,6 +621,15 @@ def version_history(spark, sf):
     return V.history(_changelog(spark, sf))
 
 
+@query
+def version_metrics(spark, sf):
+    """M6: inserted, updated and deleted keys per version of the events change log, where every seventh day overwrites."""
+    log = _changelog(spark, sf)
+    log = log.withColumns({V.OP: F.when((F.col(V.VERSION) % 7 == 0) & (F.col(V.OP) != "delete"), F.lit("overwrite")).otherwise(F.col(V.OP)),
+                           V.PARAMS: F.concat(F.lit('{"day": '), F.col(V.VERSION), F.lit("}"))})
+    return V.commit_metrics(log, ["user_id"])
+
+
 @query
 def as_of_version(spark, sf):
     """M7: state of the change log as of 2024-01-15."""
@@ -626,6 +684,24 @@ def check_unique(spark, sf):
     return Q.check_unique(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def check_rows_failing(spark, sf):
+    """T3 with rows that fail: gold rows of a day that moved by more than half."""
+    return Q.check_rows(_gold(spark, sf), "abs(retorno_em_reais) > 0.5 AND ticker NOT IN ('12', '433', '189')")
+
+
+@query
+def upsert_null_keys(spark, sf):
+    """M4 / Q3: arriving orders of which some have no priority, a part of the key: none matches, all are inserted."""
+    o = _t(spark, sf, "orders")
+    part = F.nullif(F.col("o_orderpriority"), F.lit("5-LOW"))
+    tgt = _before(o, "o_orderdate", "1999-01-01").select((F.col("o_orderkey") % 1000).alias("k"), part.alias("p"), "o_orderkey", "o_totalprice")
+    src = _from(o, "o_orderdate", "1999-01-01").select((F.col("o_orderkey") % 1000).alias("k"), part.alias("p"), "o_orderkey", "o_totalprice")
+    one = src.filter("p IS NULL").unionByName(dedupe(src.filter("p IS NOT NULL"), ["k", "p"], [("o_orderkey", "asc")]))
+    tgt = tgt.filter("p IS NULL").unionByName(dedupe(tgt.filter("p IS NOT NULL"), ["k", "p"], [("o_orderkey", "asc")]))
+    return MU.upsert_changed(tgt, one, ["k", "p"])
+
+
 @query
 def check_rows(spark, sf):
     """The gold singular test (null date or ticker)."""

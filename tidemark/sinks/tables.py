@@ -50,3 +50,20 @@ def append_new_keys(spark: SparkSession, rows: DataFrame, path: str, keys: Seque
         raise ValueError(f"primary key conflict appending to {path}")
     return append_if_any(with_month(rows, date_col),
                          lambda d: d.write.mode("append").partitionBy(MONTH).parquet(path))
+
+
+QUARANTINE = ["kind", "source_file", "reason", "record"]
+
+
+def quarantine_write(spark: SparkSession, bad: DataFrame, path: str) -> int:
+    """Append rejected rows (``QUARANTINE`` columns) that the quarantine table does not hold yet; how many rows
+    this run rejected. A rerun over the same extract adds nothing, but rejects them again."""
+    rows = materialize(bad.select(*QUARANTINE).distinct(), "rejected")
+    n = rows.count()
+    if n:
+        stored = table_or_none(spark, path)
+        if stored is not None:
+            s = stored.select(*[F.col(c).alias(f"__{c}") for c in QUARANTINE])
+            rows = materialize(rows.join(s, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in QUARANTINE], "left_anti"), "rejected-new")
+        rows.withColumn("dt_ingestao", F.current_timestamp()).write.mode("append").partitionBy("kind").parquet(path)
+    return n
