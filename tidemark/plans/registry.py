@@ -115,7 +115,7 @@ def _increment(spark, sf, cut=SILVER_CUT, macro_cut=SILVER_CUT, **how):
     """The stored raw layer; silver and state of its rows up to the cut days; the increment by the rest."""
     raw = [materialize(r, "raw") for r in _raw(spark, sf)]
     held = [r.filter(F.col(c) <= F.lit(d).cast("date")) for r, c, d in zip(raw, ("data", "dataCotacao", "dataCotacao"), (macro_cut, cut, cut))]
-    return M.silver_increment(M.silver_variation(*held), *raw, state=materialize(M.raw_state(*held), "state"), **how)
+    return M.silver_increment(M.silver_variation(*held), *raw, state=M.raw_state(*held), **how)
 
 
 @query
