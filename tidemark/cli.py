@@ -23,6 +23,7 @@ def main(argv=None) -> dict:
     ap.add_argument("--scope", default="series", choices=["global", "series"], help="macro: watermark scope (Q6)")
     ap.add_argument("--start", help="macro: backfill the days after this one, whatever is stored already (yyyy-mm-dd)")
     ap.add_argument("--end", help="macro: last day of the backfill (default: a fixed span per kind)")
+    ap.add_argument("--db", help="equities: database of the fact tables, swapped in whole (default: folders under --lake)")
     args = ap.parse_args(argv)
     if args.end and not args.start:
         ap.error("--end needs --start")
@@ -35,7 +36,7 @@ def main(argv=None) -> dict:
                                     start=args.start, end=args.end)
     else:
         from .plans.equities import run_job_from_extracts
-        out = run_job_from_extracts(spark, args.extracts, args.lake)
+        out = run_job_from_extracts(spark, args.extracts, args.lake, db=args.db)
     print(json.dumps({k: (int(v) if isinstance(v, bool) else v) for k, v in out.items()}))
     return out
 

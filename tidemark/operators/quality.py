@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,11 @@ def assert_empty(df: DataFrame, name: str) -> None:
     """Fail the job when a data test returns rows (``isEmpty`` stops at the first row)."""
     if not df.isEmpty():
         raise AssertionError(f"data test {name} failed")
+
+
+def observe_checks(df: DataFrame, seen: Observation, checks: Mapping[str, str | Column]) -> DataFrame:
+    """T1/T3 during a write: ``df`` unchanged, while the job that consumes it counts ``rows`` and, per check, the rows
+    that match its predicate (= fail). Put it right below the write: metrics of the last stage are counted once
+    per task, whatever is retried."""
+    counts = [F.count(F.when(F.expr(p) if isinstance(p, str) else p, F.lit(1))).alias(name) for name, p in checks.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)

@@ -115,26 +115,40 @@ def monthly_returns(history: DataFrame, run_ts=None) -> DataFrame:
     return d.select(*[c for c in cols if c in d.columns])
 
 
+def _company_fields(info: DataFrame, zone: str | None) -> DataFrame:
+    """``ticker`` and every dimension's fields, typed, over one scan. Sentinel strings take the field default, absent values
+    stay null (Q9); values are ``try_cast`` (Q15). The ex-dividend epoch becomes text (F3)."""
+    fields = [f for table in COMPANY_TABLES.values() for f in table]
+    cols = [(F.col(src) if src in info.columns else F.lit(None).cast("string")).alias(dst) for src, dst, _, _ in fields]
+    t = info.select(F.col("symbol").cast("string").alias("ticker"), *cols)
+    t = cleanse_sentinel(t, {dst: dflt for _, dst, _, dflt in fields if dflt is not None},
+                         {dst: typ for _, dst, typ, _ in fields})           # P11 + try_cast
+    t = t.withColumns({dst: F.col(dst).try_cast(typ) for _, dst, typ, dflt in fields if dflt is None})
+    return drop_null_keys(t.withColumn("data_exdividendo", epoch_to_text("data_exdividendo", zone)), ["ticker"])
+
+
 def split_company_info(info: DataFrame, run_ts=None, zone: str | None = None) -> dict[str, DataFrame]:
-    """One wide info record per ticker -> five typed dimension tables.
-
-    One projection per table over the same scan (cache ``info`` when all five are
-    written). Sentinel strings take the field default, absent values stay null (Q9);
-    values are ``try_cast`` (Q15). The ex-dividend epoch becomes text (F3)."""
-    out = {}
-    for name, fields in COMPANY_TABLES.items():
-        cols = [F.col("symbol").cast("string").alias("ticker")]
-        cols += [(F.col(src) if src in info.columns else F.lit(None).cast("string")).alias(dst)
-                 for src, dst, _, _ in fields]
-        t = info.select(*cols)
-        defaults = {dst: dflt for _, dst, _, dflt in fields if dflt is not None}
-        types = {dst: typ for _, dst, typ, _ in fields}
-        t = cleanse_sentinel(t, defaults, types)                      # P11 + try_cast
-        t = t.withColumns({dst: F.col(dst).try_cast(typ) for _, dst, typ, dflt in fields if dflt is None})
-        if name == "dividendos":
-            t = t.withColumn("data_exdividendo", epoch_to_text("data_exdividendo", zone))
-        out[name] = with_audit(drop_null_keys(t, ["ticker"]), run_ts)
-    return out
+    """One wide info record per ticker -> five typed dimension tables, each a projection over ``info``. To write all
+    five, ``company_rows`` reads ``info`` once."""
+    wide = _company_fields(info, zone)
+    return {name: with_audit(wide.select("ticker", *[dst for _, dst, _, _ in fields]), run_ts)
+            for name, fields in COMPANY_TABLES.items()}
+
+
+def company_rows(info: DataFrame, run_ts=None, zone: str | None = None) -> DataFrame:
+    """P12 in one pass: every record exploded into one row per dimension (``tabela``), with that dimension's fields and
+    null in the others. Written partitioned by ``tabela``, one scan of the extract makes all five tables."""
+    wide = _company_fields(info, zone).withColumn("tabela", F.explode(F.array(*[F.lit(n) for n in COMPANY_TABLES])))
+    own = [F.when(F.col("tabela") == name, F.col(dst)).alias(dst)
+           for name, fields in COMPANY_TABLES.items() for _, dst, _, _ in fields]
+    return with_audit(wide.select("tabela", "ticker", *own), run_ts)
+
+
+def company_tables(rows: DataFrame) -> dict[str, DataFrame]:
+    """The five tables of stored ``company_rows``: each reads its own partition and its own columns."""
+    audit = [c for c in ("dt_ptcao", "dthr_igtao") if c in rows.columns]
+    return {name: rows.filter(F.col("tabela") == name).select("ticker", *[dst for _, dst, _, _ in fields], *audit)
+            for name, fields in COMPANY_TABLES.items()}
 
 
 def index_prices_from_extract(extract: DataFrame, names=WORLD_INDICES) -> DataFrame:
@@ -165,14 +179,10 @@ def index_returns(prices: DataFrame, run_ts=None) -> DataFrame:
     return with_audit(d, run_ts)
 
 
-def upsert_all(targets: Mapping[str, DataFrame], stages: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """M4 for every staged table against its fact table (keys from ``UPSERT_KEYS``)."""
-    return {n: upsert_changed(targets[n], stages[n], UPSERT_KEYS[n]) for n in stages}
-
-
-def run_job_from_extracts(spark, extract_dir: str, base: str, run_ts=None) -> dict[str, int]:
+def run_job_from_extracts(spark, extract_dir: str, base: str, run_ts=None, db: str | None = None) -> dict[str, int]:
     """L2 from landed files under ``extract_dir``: ``quotes``, ``history``, ``info`` and
-    ``index_daily`` (each optional, at least one; JSON lines or parquet; one scan per kind)."""
+    ``index_daily`` (each optional, at least one; JSON lines or parquet; one scan per kind).
+    With ``db`` the facts are catalog tables (``run_job_tables``), else folders under ``base``."""
     from ..sources.files import read_extract_or_none
     d = extract_dir.rstrip("/")
     x: dict[str, DataFrame] = {}
@@ -183,7 +193,7 @@ def run_job_from_extracts(spark, extract_dir: str, base: str, run_ts=None) -> di
         x["index"] = index_prices_from_extract(got)
     if not x:
         raise FileNotFoundError(f"no extract under {d}")
-    return run_job(spark, x, base, run_ts)
+    return run_job(spark, x, base, run_ts) if db is None else run_job_tables(spark, x, base, db, run_ts)
 
 
 def info_schema() -> T.StructType:
@@ -193,24 +203,31 @@ def info_schema() -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), n != "symbol") for n in names])
 
 
-def run_job(spark, extracts: Mapping[str, DataFrame], base: str, run_ts=None) -> dict[str, int]:
-    """L2 end to end: stage every table from the extracts (``quotes``, ``history``,
-    ``info``, ``index``) and upsert each into its stored fact table under ``base``
-    (M4: first-seen date kept, touched time only on change). Returns fact row counts."""
-    from ..operators.incremental import table_or_none
+def _stages(extracts: Mapping[str, DataFrame], run_ts) -> dict[str, DataFrame]:
+    """Every fact table's arriving rows. The company dimensions are written once, by table, and read back from there."""
     from ..session import materialize
-
     stages: dict[str, DataFrame] = {}
     if "quotes" in extracts:
         stages["captacao_mercado"] = active_companies(extracts["quotes"], run_ts)
     if "history" in extracts:
         stages["retorno_mensal"] = monthly_returns(extracts["history"], run_ts)
     if "info" in extracts:
-        stages.update(split_company_info(extracts["info"], run_ts))
+        stages.update(company_tables(materialize(company_rows(extracts["info"], run_ts), "company-rows", ["tabela"])))
     if "index" in extracts:
         stages["indices"] = index_returns(extracts["index"], run_ts)
+    return stages
+
+
+def run_job(spark, extracts: Mapping[str, DataFrame], base: str, run_ts=None) -> dict[str, int]:
+    """L2 end to end: stage every table from the extracts (``quotes``, ``history``,
+    ``info``, ``index``) and upsert each into its stored fact table under ``base``
+    (M4: first-seen date kept, touched time only on change). Returns fact row counts.
+    Folders have no pointer to move, so each is overwritten; ``run_job_tables`` swaps."""
+    from ..operators.incremental import table_or_none
+    from ..session import materialize
+
     counts = {}
-    for name, stage in stages.items():
+    for name, stage in _stages(extracts, run_ts).items():
         path = f"{base.rstrip('/')}/{name}"
         tgt = table_or_none(spark, path)
         out = stage if tgt is None else upsert_changed(tgt, stage.select(*tgt.columns), UPSERT_KEYS[name])
@@ -218,3 +235,23 @@ def run_job(spark, extracts: Mapping[str, DataFrame], base: str, run_ts=None) ->
         out.write.mode("overwrite").parquet(path)
         counts[name] = spark.read.parquet(path).count()
     return counts
+
+
+# Tests of each fact table, counted while its new state is written: (name, predicate of the rows that fail). The
+# ex-dividend date is a key that a company without dividends lacks, so only tickers and days are tested.
+FACT_CHECKS = {"retorno_mensal": {"no_ticker": "ticker IS NULL", "no_day": "data IS NULL"},
+               "indices": {"no_index": "indice IS NULL", "no_day": "data IS NULL"}}
+
+
+def run_job_tables(spark, extracts: Mapping[str, DataFrame], base: str, db: str, run_ts=None,
+                   buckets: int = 32) -> dict[str, int]:
+    """L2 into catalog tables ``db.<fact>``, bucketed by their keys, with files under ``base``: each is upserted into a staged
+    table, tested and swapped in (``sinks.swap``). A failed run leaves every table as some whole run left it, and is
+    run again as it is: rows that are stored already change nothing. Returns fact row counts."""
+    from ..catalog import ensure_database
+    from ..sinks.swap import upsert_table
+
+    ensure_database(spark, db)
+    return {name: upsert_table(spark, f"{db}.{name}", stage, UPSERT_KEYS[name], base, buckets,
+                               FACT_CHECKS.get(name, {"no_ticker": "ticker IS NULL"}))["rows"]
+            for name, stage in _stages(extracts, run_ts).items()}

@@ -131,22 +131,50 @@ def landed_active_quotes(orders: DataFrame) -> DataFrame:
 
 def landed_company_info(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Company-info extract, every field as text like the API's mixed JSON: a customer
-    plays a company. A negative balance arrives as the ``-Infinity`` sentinel; fields
-    the source lacks are absent (null). ``nation`` is TPC-H's fixed 25-row dimension;
+    plays a company. A negative balance arrives as the ``-Infinity`` sentinel; of the other numbers one key in five arrives as
+    ``Infinity``, one as ``-Infinity``, one is missing and one total debt is no number; whole numbers may be written with a
+    point. City and the texts are absent (null). ``nation`` is TPC-H's fixed 25-row dimension;
     the join is left to AQE (broadcast when the runtime size allows)."""
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name"))
     c = customer.join(n, on="c_nationkey", how="left")
-    bal = F.col("c_acctbal")
+    bal, key = F.col("c_acctbal"), F.col("c_custkey")
     price = F.when(bal < 0, F.lit("-Infinity")).otherwise(bal.cast("string"))
+    fifth = key % 5
+
+    def sometimes(value):
+        return (F.when(fifth == 0, F.lit("Infinity")).when(fifth == 1, F.lit("-Infinity"))
+                .when(fifth == 2, F.lit(None).cast("string")).otherwise(value.cast("string")))
     return c.select(
         F.col("c_name").alias("symbol"),
         F.col("c_mktsegment").alias("sector"),
         F.col("c_mktsegment").alias("industry"),
         F.col("c_nationkey").cast("string").alias("fullTimeEmployees"),
         F.col("n_name").alias("country"),
-        F.col("c_custkey").cast("string").alias("marketCap"),
+        F.upper("n_name").alias("state"),
+        F.concat(F.lit("X-"), F.col("c_mktsegment")).alias("exchange"),
+        key.cast("string").alias("marketCap"),
+        F.concat((key * 3).cast("string"), F.lit(".0")).alias("enterpriseValue"),
+        sometimes(key * 1000).alias("revenue"),
+        sometimes(key * 100).alias("grossProfits"),
+        (key - 500).cast("string").alias("netIncome"),
+        sometimes(key - 700).alias("ebitda"),
+        F.when(fifth == 3, F.lit("n/a")).otherwise(sometimes(key * 7)).alias("totalDebt"),
+        sometimes(F.concat(key.cast("string"), F.lit(".0"))).alias("totalCash"),
+        sometimes(bal / 100).alias("dividendYield"),
         price.alias("currentPrice"),
         price.alias("previousClose"),
-        F.col("c_custkey").cast("string").alias("volume"),
+        sometimes(bal + 1).alias("open"),
+        sometimes(bal - 1).alias("dayLow"),
+        sometimes(bal + 2).alias("dayHigh"),
+        (bal - 50).cast("string").alias("fiftyTwoWeekLow"),
+        (bal + 50).cast("string").alias("fiftyTwoWeekHigh"),
+        key.cast("string").alias("volume"),
         F.col("c_nationkey").cast("string").alias("averageVolume"),
-        (F.col("c_custkey") * F.lit(86400) + F.lit(1700000000)).cast("string").alias("exDividendDate"))
+        sometimes(bal / 1000).alias("beta"),
+        sometimes(bal / 10).alias("dividendRate"),
+        (key * F.lit(86400) + F.lit(1700000000)).cast("string").alias("exDividendDate"),
+        sometimes(bal / 3).alias("payoutRatio"),
+        sometimes(bal / 5).alias("forwardPE"),
+        sometimes(bal / 6).alias("trailingPE"),
+        (bal / 7).cast("string").alias("priceToBook"),
+        sometimes(bal / 9).alias("pegRatio"))

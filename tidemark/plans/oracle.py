@@ -303,33 +303,54 @@ FROM events WHERE NOT (value < 5 AND props IS NOT NULL AND TRY_CAST(props AS BIG
 
 _CUST = "customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE c.c_name IS NOT NULL"
 _PRICE = "CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END"
+
+
+def _sometimes(value, default):
+    """A number that one key in five has as each sentinel (both take the default) and one in five lacks."""
+    return f"CASE c_custkey % 5 WHEN 0 THEN {default} WHEN 1 THEN {default} WHEN 2 THEN NULL ELSE {value} END"
+
+
 ORACLE["company_split_general"] = f"""
 SELECT c_name AS ticker, c_mktsegment AS setor, c_mktsegment AS industria, c_nationkey AS funcionarios,
-       CAST(NULL AS VARCHAR) AS cidade, CAST(NULL AS VARCHAR) AS estado, n_name AS pais,
-       CAST(NULL AS VARCHAR) AS website, CAST(NULL AS VARCHAR) AS resumo_negocios, CAST(NULL AS VARCHAR) AS exchange,
+       CAST(NULL AS VARCHAR) AS cidade, upper(n_name) AS estado, n_name AS pais,
+       CAST(NULL AS VARCHAR) AS website, CAST(NULL AS VARCHAR) AS resumo_negocios, 'X-' || c_mktsegment AS exchange,
        {_AUDIT}
 FROM {_CUST}"""
 ORACLE["company_split_financial"] = f"""
-SELECT c_name AS ticker, c_custkey AS capitalizacao_mercado, CAST(NULL AS BIGINT) AS valor_empresa,
-       CAST(NULL AS BIGINT) AS receita, CAST(NULL AS BIGINT) AS lucros_brutos, CAST(NULL AS BIGINT) AS lucro_liquido,
-       CAST(NULL AS BIGINT) AS ebitda, CAST(NULL AS BIGINT) AS divida_total, CAST(NULL AS BIGINT) AS caixa_total,
-       CAST(NULL AS DOUBLE) AS dividend_yield, {_AUDIT}
+SELECT c_name AS ticker, c_custkey AS capitalizacao_mercado, c_custkey * 3 AS valor_empresa,
+       {_sometimes("c_custkey * 1000", "0")} AS receita, {_sometimes("c_custkey * 100", "0")} AS lucros_brutos,
+       c_custkey - 500 AS lucro_liquido, {_sometimes("c_custkey - 700", "0")} AS ebitda,
+       CASE WHEN c_custkey % 5 = 3 THEN NULL ELSE {_sometimes("c_custkey * 7", "0")} END AS divida_total,
+       {_sometimes("c_custkey", "0")} AS caixa_total,
+       {_sometimes("c_acctbal / 100", "0.0::DOUBLE")} AS dividend_yield, {_AUDIT}
 FROM {_CUST}"""
 ORACLE["company_split_market"] = f"""
 SELECT c_name AS ticker, {_PRICE} AS preco_atual, {_PRICE} AS fechamento_anterior,
-       CAST(NULL AS DOUBLE) AS abertura, CAST(NULL AS DOUBLE) AS minimo_dia, CAST(NULL AS DOUBLE) AS maximo_dia,
-       CAST(NULL AS DOUBLE) AS minimo_52_semanas, CAST(NULL AS DOUBLE) AS maximo_52_semanas,
-       c_custkey AS volume, CAST(c_nationkey AS BIGINT) AS volume_medio, CAST(NULL AS DOUBLE) AS beta, {_AUDIT}
+       {_sometimes("c_acctbal + 1", "0.0::DOUBLE")} AS abertura, {_sometimes("c_acctbal - 1", "0.0::DOUBLE")} AS minimo_dia,
+       {_sometimes("c_acctbal + 2", "0.0::DOUBLE")} AS maximo_dia,
+       c_acctbal - 50 AS minimo_52_semanas, c_acctbal + 50 AS maximo_52_semanas,
+       c_custkey AS volume, CAST(c_nationkey AS BIGINT) AS volume_medio,
+       {_sometimes("c_acctbal / 1000", "0.0::DOUBLE")} AS beta, {_AUDIT}
 FROM {_CUST}"""
 ORACLE["company_split_dividend"] = f"""
-SELECT c_name AS ticker, CAST(NULL AS DOUBLE) AS taxa_dividendo,
+SELECT c_name AS ticker, {_sometimes("c_acctbal / 10", "0.0::DOUBLE")} AS taxa_dividendo,
        strftime(make_timestamp((c_custkey * 86400 + 1700000000) * 1000000), '%Y-%m-%d %H:%M:%S') AS data_exdividendo,
-       CAST(NULL AS DOUBLE) AS indice_distribuicao, {_AUDIT}
+       {_sometimes("c_acctbal / 3", "0.0::DOUBLE")} AS indice_distribuicao, {_AUDIT}
 FROM {_CUST}"""
 ORACLE["company_split_valuation"] = f"""
-SELECT c_name AS ticker, CAST(NULL AS DOUBLE) AS pl_futuro, CAST(NULL AS DOUBLE) AS pl_retroativo,
-       CAST(NULL AS DOUBLE) AS preco_booking, CAST(NULL AS DOUBLE) AS indice_preco_lucro_cresc, {_AUDIT}
+SELECT c_name AS ticker, {_sometimes("c_acctbal / 5", "0.0::DOUBLE")} AS pl_futuro,
+       {_sometimes("c_acctbal / 6", "0.0::DOUBLE")} AS pl_retroativo, c_acctbal / 7 AS preco_booking,
+       {_sometimes("c_acctbal / 9", "0.0::DOUBLE")} AS indice_preco_lucro_cresc, {_AUDIT}
 FROM {_CUST}"""
+_SPLITS = {"cadastro": "general", "financas": "financial", "mercado": "market", "dividendos": "dividend", "valuation": "valuation"}
+ORACLE["company_rows"] = " UNION ALL BY NAME ".join(
+    f"SELECT '{table}' AS tabela, * FROM ({ORACLE[f'company_split_{split}']})" for table, split in _SPLITS.items())
+# all companies are stored on the first run; on the second those of a key divisible by 3 arrive with a balance one higher
+ORACLE["facts_upsert_swap"] = f"""
+SELECT c_name AS ticker, CAST(c_custkey AS BIGINT) AS volume, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS preco,
+       '2025-09-01' AS dt_ptcao,
+       CASE WHEN c_custkey % 3 = 0 THEN TIMESTAMP '2025-09-08 03:00:00' ELSE TIMESTAMP '2025-09-01 03:00:00' END AS dthr_igtao
+FROM customer WHERE c_name IS NOT NULL"""
 
 # ---------------------------------------------------------------- scalar functions
 ORACLE["epoch_to_text"] = """

@@ -489,10 +489,37 @@ def company_split_dividend(spark, sf):
 
 @query
 def company_split_valuation(spark, sf):
-    """Valuation dimension (all fields absent -> null)."""
+    """Valuation dimension."""
     return _company(spark, sf, "valuation")
 
 
+@query
+def company_rows(spark, sf):
+    """P12 in one pass: the five dimensions of every company as rows of one frame, from one scan of the extract."""
+    info = L.landed_company_info(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
+    return EQ.company_rows(info, RUN_TS, zone="UTC")
+
+
+@query
+def facts_upsert_swap(spark, sf):
+    """K3/C4/M4: two runs into a bucketed fact table, each staged, tested while written and swapped in; the second brings
+    changed prices for some companies and the others as they were."""
+    import uuid
+
+    from ..catalog import ensure_database
+    from ..session import scratch_path
+    from ..sinks.swap import upsert_table
+    c = _t(spark, sf, "customer").filter("c_name IS NOT NULL").selectExpr(
+        "c_name AS ticker", "c_custkey AS volume", "c_acctbal AS preco", "c_custkey % 3 = 0 AS moves")
+    db, base = f"swap_{uuid.uuid4().hex}", scratch_path(spark, "facts")
+    ensure_database(spark, db)
+    checks = {"no_ticker": "ticker IS NULL"}
+    upsert_table(spark, f"{db}.prices", C.with_audit(c.drop("moves"), EARLIER_RUN_TS), ["ticker"], base, 8, checks)
+    later = c.withColumn("preco", F.when(F.col("moves"), F.col("preco") + 1).otherwise(F.col("preco"))).drop("moves")
+    upsert_table(spark, f"{db}.prices", C.with_audit(later, RUN_TS), ["ticker"], base, 8, checks)
+    return spark.table(f"{db}.prices")
+
+
 # ------------------------------------------------------------------ scalar functions
 
 @query(name="epoch_to_text")

@@ -65,9 +65,9 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{base}/tidemark-scratch/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df, tag: str = "layer"):
-    """Write ``df`` once as parquet under the shared checkpoint folder and return a
-    frame reading it back.
+def materialize(df, tag: str = "layer", partition_by=()):
+    """Write ``df`` once as parquet under the shared checkpoint folder (optionally partitioned)
+    and return a frame reading it back.
 
     Used where a layer is a stored table in the real job (raw extracts, silver) and is
     read several times by the next step: the plan below is cut (no recomputation, no
@@ -75,7 +75,7 @@ def materialize(df, tag: str = "layer"):
     ``checkpoint(eager=True)`` which computes the plan twice. Never a local checkpoint."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.parquet(path)
 
 
