@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.scalars import brl_compound
@@ -276,7 +276,7 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     later day or a backfill then takes their place.
     """
     from ..operators.incremental import newer_than_target, table_or_none
-    from ..operators.quality import assert_empty, check_not_null, check_rows, check_unique
+    from ..operators.quality import assert_empty, check_unique
     from ..operators.reshape import dedupe
     from ..schemas import RAW_KEYS
     from ..sinks.tables import MONTH, append_new_keys, quarantine_write, replace_by_key_write
@@ -310,12 +310,10 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
             new_silver = newer_than_target(merged, silver_old, "dataCotacao", scope=scope, series=["ticker"])
         else:
             new_silver = silver_new_rows(state, *args, lookback=lookback, scope=scope)
-        new_silver = materialize_small(new_silver)
+        new_silver, counts["silver_new"] = staged(new_silver, SILVER_CHECKS if run_checks else {})
         if run_checks:  # before the write: a bad row must not be stored, and must fail the retry as well
-            assert_empty(check_not_null(new_silver, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
             assert_empty(check_unique(new_silver, SILVER_KEY), "silver unique")
         replace_by_key_write(spark, new_silver, silver_path, SILVER_KEY, "dataCotacao")
-        counts["silver_new"] = new_silver.count()
         if state is None:
             materialize_small(raw_state(*args)).write.mode("overwrite").parquet(state_path)
         elif counts["silver_new"]:
@@ -328,11 +326,9 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
         gold_old = None if gold_old is None else gold_old.drop(MONTH)
         base_rows = silver_all if gold_old is None else newer_than_target(
             silver_all, gold_old, "dataCotacao", scope=scope, series=["ticker"])
-        new_gold = materialize_small(gold_returns(base_rows, usd_source=base_rows if lookback == "none" else silver_all))
-        if run_checks:
-            assert_empty(check_rows(new_gold, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular")
+        new_gold, counts["gold_new"] = staged(gold_returns(base_rows, usd_source=base_rows if lookback == "none" else silver_all),
+                                              GOLD_CHECKS if run_checks else {})
         replace_by_key_write(spark, new_gold, gold_path, SILVER_KEY, "dataCotacao")
-        counts["gold_new"] = new_gold.count()
     if refused and run_checks:
         raise RejectedRows(f"{refused} rows of the extracts are in {base}/quarantine")
     return counts
@@ -346,7 +342,7 @@ def run_backfill(spark, extracts: dict, base: str, start, end=None, rejects: Dat
     from ..functions.fetch_window import fetch_window
     from ..operators.clean import after
     from ..operators.incremental import table_or_none
-    from ..operators.quality import assert_empty, check_not_null, check_rows, check_unique
+    from ..operators.quality import assert_empty, check_unique
     from ..operators.reshape import dedupe
     from ..schemas import RAW_KEYS
     from ..sinks.tables import MONTH, quarantine_write, replace_by_key_write
@@ -374,31 +370,43 @@ def run_backfill(spark, extracts: dict, base: str, start, end=None, rejects: Dat
         raw[kind] = None if stored is None else stored.drop(MONTH)
     refused = quarantine_write(spark, union_all(bad), f"{base}/quarantine") if bad else 0
 
-    def put(layer, fresh, test):
+    def put(layer, fresh, checks, unique):
         path = f"{base}/{layer}"
         old = table_or_none(spark, path)
-        rows = materialize_small(fresh if old is None else _other(fresh, old))
-        test(rows)
+        rows, counts[f"{layer}_changed"] = staged(fresh if old is None else _other(fresh, old), checks)
+        if unique:
+            assert_empty(check_unique(rows, SILVER_KEY), f"{layer} unique")
         replace_by_key_write(spark, rows, path, SILVER_KEY, "dataCotacao")
-        counts[f"{layer}_changed"] = rows.count()
         return table_or_none(spark, path).drop(MONTH)
 
-    def silver_tests(rows):
-        assert_empty(check_not_null(rows, ["dataCotacao", "ticker", "fechamento"]), "silver not_null")
-        assert_empty(check_unique(rows, SILVER_KEY), "silver unique")
-
     args = (raw["macro"], raw["quotes"], raw["fx"])
     if any(t is not None for t in args):
-        silver = put("silver", silver_variation(*args), silver_tests)
+        silver = put("silver", silver_variation(*args), SILVER_CHECKS, True)
         if any(counts.get(f"raw_{kind}") for kind in RAW_SHAPE):
             materialize_small(raw_state(*args)).write.mode("overwrite").parquet(f"{base}/state")
-        put("gold", gold_returns(silver),
-            lambda rows: assert_empty(check_rows(rows, "dataCotacao IS NULL OR ticker IS NULL"), "gold singular"))
+        put("gold", gold_returns(silver), GOLD_CHECKS, False)
     if refused:
         raise RejectedRows(f"{refused} rows of the extracts are in {base}/quarantine")
     return counts
 
 
+# T1/T3 of the layers: name -> predicate of the rows that fail.
+SILVER_CHECKS = {"silver not_null": "dataCotacao IS NULL OR ticker IS NULL OR fechamento IS NULL"}
+GOLD_CHECKS = {"gold singular": "dataCotacao IS NULL OR ticker IS NULL"}
+
+
+def staged(df: DataFrame, checks: dict) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder and its row count. The rows that fail a check are counted by that same write; any
+    fails the job before a stored table is touched."""
+    from ..operators.quality import observe_checks
+    seen = Observation()
+    rows = materialize_small(observe_checks(df, seen, checks))
+    for name in checks:
+        if seen.get[name]:
+            raise AssertionError(f"data test {name} failed")
+    return rows, seen.get["rows"]
+
+
 def materialize_small(df):
     from ..session import materialize
     return materialize(df, "increment")

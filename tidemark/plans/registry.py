@@ -14,6 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.fetch_window import fetch_plan as plan_fetches
 from ..functions.scalars import distinct_from, epoch_to_text, ntz_micros, round_price
 from ..operators import clean as C
 from ..operators import incremental as I
@@ -520,6 +521,20 @@ def facts_upsert_swap(spark, sf):
     return spark.table(f"{db}.prices")
 
 
+@query
+def fetch_plan(spark, sf):
+    """I1/F11 per series: what to fetch next, holes included. The stored raw layer lacks the 10th to 12th of every month, and
+    three wanted series have no rows at all."""
+    macro, quotes, fx = _raw(spark, sf)
+    day = lambda kind, df, series, d: df.select(F.lit(kind).alias("kind"), F.col(series).alias("series"), F.col(d).alias("day"))
+    stored = union_all([day("macro", macro, "nm_indice", "data"), day("index", quotes, "ticker", "dataCotacao"),
+                        day("fx", fx, "moeda", "dataCotacao")])
+    unseen = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(n).alias("series"))
+                                 for k, n in (("index", "DIVO11.SA"), ("fx", "EUR"), ("fx", "CHF"))])).alias("w")
+    wanted = stored.select("kind", "series").unionByName(spark.range(1).select(unseen).select("w.*"))
+    return plan_fetches(wanted, stored.filter(~F.dayofmonth("day").between(10, 12)), RUN_TS)
+
+
 # ------------------------------------------------------------------ scalar functions
 
 @query(name="epoch_to_text")
