@@ -1,11 +1,13 @@
 """Line de-duplication against levelled sorted runs of line hashes.
 
-The index is a set of *runs*: Parquet files of (key hash, owner document) sorted by hash. A
-batch of documents is matched against all runs with a sort-merge join, its new keys become a
-run of level 0, and when a level has ``fanout`` runs they are merged into one of the next level,
-so each key is rewritten once per level. The first batch that holds a key owns it; within a
-batch the smallest doc_id does. Batches cut by ascending doc_id therefore leave every line with
-the smallest doc_id that holds it.
+The index is a set of *runs*: tables of (key hash, owner document) bucketed and sorted by hash, one
+file a bucket. The keys of a batch are written the same way and merge-anti-joined with the runs, bucket by
+bucket: no run is shuffled or sorted again, whatever the number of batches. What is left becomes a
+run of level 0, and when a level has ``fanout`` runs they are merged into one of the next level, bucket
+by bucket too (the write puts each merged bucket in order), so each key is rewritten once per level. The first batch
+that holds a key owns it; within a batch the smallest doc_id does. Batches cut by ascending doc_id therefore leave every
+line with the smallest doc_id that holds it. Lines themselves are never dealt by the index: a line that a third of all documents
+hold is one key there, and the join that marks its copies is split by size.
 
 Key of a line: ASCII blanks stripped at both ends, A-Z lower-cased, 128-bit XXH3; keys under
 ``min_chars`` code points are not compared.
@@ -17,6 +19,9 @@ are read; other columns pass through whatever their names."""
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -56,50 +61,100 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return docs.mapInArrow(run, "d long, th long, pos int, hi long, lo long")
 
 
+@contextmanager
+def _sorted_scans(spark: SparkSession):
+    """Plans made inside read a bucket as one partition and trust its order where it is one file (Spark looks that up itself)."""
+    conf = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+            "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 class LineRuns:
-    """The index: runs per level, kept in a shared folder. ``add`` takes a batch of line hashes, returns
-    the lines to drop and makes the batch part of the index."""
+    """The index: runs per level, as tables over files in a shared folder. ``add`` takes a batch of line hashes, returns
+    the lines to drop and makes the batch part of the index; ``drop`` removes it."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = 2):
+    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = 2, buckets: int | None = None):
         self.spark, self.path, self.fanout = spark, path or scratch(spark, "line-runs"), fanout
+        # the number that an aggregate by key deals into, so that its tasks write one file a bucket
+        self.buckets = buckets or int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                                      or spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
-        self._made = 0
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        schema = "hi long, lo long, owner long"
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
-    def runs(self) -> DataFrame:
-        return self._read([p for level in self.levels for p in level])
-
-    def _put(self, keys: DataFrame, level: int) -> None:
-        """Write a sorted run; compact the level when it is full."""
-        self._made += 1
-        path = f"{self.path}/L{level}-{self._made}"
-        keys.select("hi", "lo", "owner").sortWithinPartitions("hi", "lo").write.parquet(path)
+        self._tables: set[str] = set()
+
+    def _write(self, keys: DataFrame) -> str:
+        table = f"line_run_{uuid.uuid4().hex}"
+        self._tables.add(table)
+        with _sorted_scans(self.spark):
+            (keys.write.format("parquet").option("path", f"{self.path}/{table}")
+                 .bucketBy(self.buckets, "hi", "lo").sortBy("hi", "lo").saveAsTable(table))
+        return table
+
+    def _remove(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(self.spark, f"{self.path}/{table}")
+        self._tables.discard(table)
+
+    def drop(self) -> None:
+        for t in list(self._tables):
+            self._remove(t)
+
+    def runs(self) -> list[str]:
+        """The tables of all runs; a key is in one of them."""
+        return [t for level in self.levels for t in level]
+
+    def _put(self, table: str, level: int) -> None:
+        """Make a run part of a level; compact the level when it is full."""
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(table)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            # runs hold disjoint keys, so compaction is a merge without any reduction
-            self._put(self._read(full).repartition("hi", "lo"), level + 1)
-            for p in full:
-                remove(self.spark, p)
+            while len(full) > 1:
+                merged = self._write(self.merged(*full[:2]))
+                for t in full[:2]:
+                    self._remove(t)
+                full = full[2:] + [merged]
+            self._put(full[0], level + 1)
+
+    def merged(self, one: str, two: str) -> DataFrame:
+        """Two runs as one. They hold disjoint keys, so the full outer merge join only interleaves them."""
+        b = self.spark.table(two).withColumnRenamed("owner", "other")
+        return (self.spark.table(one).join(b.hint("merge"), ["hi", "lo"], "full")
+                .select("hi", "lo", F.coalesce("owner", "other").alias("owner")))
+
+    def unseen(self, keys: str) -> DataFrame:
+        """The batch's keys (a table like a run) that no run holds."""
+        out = self.spark.table(keys)
+        for run in self.runs():
+            out = out.join(self.spark.table(run).select("hi", "lo").hint("merge"), ["hi", "lo"], "left_anti")
+        return out
+
+    def contested(self, keys: str) -> DataFrame:
+        """(hi, lo, owner) of the batch's keys that a document beside the owner holds; the batch is in the index."""
+        out = None
+        for run in self.runs():
+            got = (self.spark.table(keys).join(self.spark.table(run).hint("merge"), ["hi", "lo"])
+                   .where("first <> owner OR last <> owner").select("hi", "lo", "owner"))
+            out = got if out is None else out.union(got)
+        return out
 
     def add(self, lines: DataFrame) -> DataFrame:
         """(d, th, drop: positions) of the batch's lines owned by another document."""
-        own = lines.groupBy("hi", "lo").agg(F.min("d").alias("first"), F.max("d").alias("last"))
-        old = self.runs()
-        met = Written(own.join(old, ["hi", "lo"], "left"), "batch-keys")
-        contested = (met.df.select("hi", "lo", F.coalesce("owner", "first").alias("owner"), "first", "last")
-                     .where("first <> owner OR last <> owner").select("hi", "lo", "owner"))
-        # sort-merge at every size: contested keys grow with the input, and the plan should not turn on their size
-        drops = Written(lines.join(contested.hint("merge"), ["hi", "lo"]).where("d <> owner")
-                        .groupBy("d", "th", "pos").agg(F.lit(1).alias("one"))
-                        .groupBy("d", "th").agg(F.collect_list("pos").alias("drop")), "line-drops").df
-        self._put(met.df.where("owner IS NULL").withColumn("owner", F.col("first")), 0)
-        met.drop()
+        batch = self._write(lines.groupBy("hi", "lo").agg(F.min("d").alias("first"), F.max("d").alias("last")))
+        self._put(self._write(self.unseen(batch).select("hi", "lo", F.col("first").alias("owner"))), 0)
+        with _sorted_scans(self.spark):
+            # sort-merge at every size: contested keys grow with the input, and the plan should not turn on their size
+            drops = Written(lines.join(self.contested(batch).hint("merge"), ["hi", "lo"]).where("d <> owner")
+                            .groupBy("d", "th", "pos").agg(F.lit(1).alias("one"))
+                            .groupBy("d", "th").agg(F.collect_list("pos").alias("drop")), "line-drops").df
+        self._remove(batch)
         return drops
 
 
@@ -129,9 +184,13 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines = Written(line_hashes(base.select("d", "th", text.alias("t")), min_chars).withColumn("batch", batch), "lines", "batch")
     index = LineRuns(spark, fanout=fanout)
     drops = None
-    for i in range(len(cuts) + 1):
-        got = index.add(lines.df.where(F.col("batch") == i))
-        drops = got if drops is None else drops.union(got)
+    try:
+        for i in range(len(cuts) + 1):
+            got = index.add(lines.df.where(F.col("batch") == i))
+            drops = got if drops is None else drops.union(got)
+    finally:
+        index.drop()
+        lines.drop()
     out = base.join(drops.hint("merge"), ["d", "th"], "left").withColumn("t", text)  # the text travels once, in the row
     lost = F.coalesce(F.size("drop"), F.lit(0))
     n = F.size(F.split(F.coalesce("t", F.lit("")), "\n"))
