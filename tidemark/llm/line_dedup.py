@@ -92,7 +92,7 @@ class LineRuns:
         table = f"line_run_{uuid.uuid4().hex}"
         self._tables.add(table)
         with _sorted_scans(self.spark):
-            (keys.write.format("parquet").option("path", f"{self.path}/{table}")
+            (keys.write.format("parquet").option("compression", "zstd").option("path", f"{self.path}/{table}")
                  .bucketBy(self.buckets, "hi", "lo").sortBy("hi", "lo").saveAsTable(table))
         return table
 
