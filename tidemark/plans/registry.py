@@ -509,7 +509,7 @@ def facts_upsert_swap(spark, sf):
 
     from ..catalog import ensure_database
     from ..session import scratch_path
-    from ..sinks.swap import upsert_table
+    from ..sinks.swap import described, upsert_table
     c = _t(spark, sf, "customer").filter("c_name IS NOT NULL").selectExpr(
         "c_name AS ticker", "c_custkey AS volume", "c_acctbal AS preco", "c_custkey % 3 = 0 AS moves")
     db, base = f"swap_{uuid.uuid4().hex}", scratch_path(spark, "facts")
@@ -518,7 +518,9 @@ def facts_upsert_swap(spark, sf):
     upsert_table(spark, f"{db}.prices", C.with_audit(c.drop("moves"), EARLIER_RUN_TS), ["ticker"], base, 8, checks)
     later = c.withColumn("preco", F.when(F.col("moves"), F.col("preco") + 1).otherwise(F.col("preco"))).drop("moves")
     upsert_table(spark, f"{db}.prices", C.with_audit(later, RUN_TS), ["ticker"], base, 8, checks)
-    return spark.table(f"{db}.prices")
+    stored = spark.read.parquet(described(spark, f"{db}.prices")["Location"])
+    spark.sql(f"DROP DATABASE {db} CASCADE")          # external: the files stay, no database is left per call
+    return stored
 
 
 @query
