@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schemas import RAW_FX, RAW_MACRO, RAW_QUOTES
+from .schemas import RAW_SCHEMAS
 
 
 def _q(name: str) -> str:
@@ -60,15 +61,38 @@ def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+# Raw table -> the job's kind of extract, whose folder below ``raw/`` it stands on.
+RAW_TABLES = {"indices_sgs": "macro", "cotacao_moedas": "fx", "cotacoes_indices": "quotes"}
+# The public SGS codes of the three macro series, each a view on the one macro table.
+SERIES_VIEWS = {"cdi": 12, "ipca": 433, "igpm": 189}
+MONTH = "mes"
+
+
 def bootstrap_raw(spark: SparkSession, base_path: str, db: str = "raw") -> list[str]:
-    """Idempotent raw layer - the database plus the five keyed raw tables, each
-    skipped when present. Keys are checked on append by ``quality.pk_conflicts``."""
+    """Idempotent raw layer: the database and its keyed tables, each skipped when present. The tables are external,
+    ``PARTITIONED BY`` the month and stand on the folders below ``base_path/raw`` that the macro job writes, so
+    ``bootstrap_raw``, ``macro.run_job(raw_db=...)`` and ``macro.publish`` work on the same rows. The three macro series share one
+    table and are views of it. Keys are checked on append by ``quality.pk_conflicts``. Returns what the
+    fetchers name: the series and the two quote tables."""
     ensure_database(spark, db)
-    tables = {"ipca": RAW_MACRO, "cdi": RAW_MACRO, "igpm": RAW_MACRO,
-              "cotacao_moedas": RAW_FX, "cotacoes_indices": RAW_QUOTES}
-    for t, schema in tables.items():
-        ensure_external(spark, f"{db}.{t}", schema, f"{base_path.rstrip('/')}/{db}/{t}")
-    return sorted(tables)
+    for t, kind in RAW_TABLES.items():
+        schema = T.StructType(RAW_SCHEMAS[kind].fields + [T.StructField(MONTH, T.DateType())])
+        ensure_external(spark, f"{db}.{t}", schema, f"{base_path.rstrip('/')}/raw/{kind}", partitioned_by=(MONTH,))
+    cols = ", ".join(f"`{c}`" for c in RAW_SCHEMAS["macro"].names)
+    for view, code in SERIES_VIEWS.items():
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {_q(f'{db}.{view}')} AS SELECT {cols} FROM {_q(f'{db}.indices_sgs')} WHERE cod_sgs = {code}")
+    return sorted([*SERIES_VIEWS, *(t for t in RAW_TABLES if t != "indices_sgs")])
+
+
+def add_months(spark: SparkSession, table: str, rows: DataFrame, date_col: str) -> int:
+    """Make the months of ``rows`` partitions of ``table`` (``ALTER TABLE ... ADD PARTITION``), without listing the others. What
+    reaches the driver is one value per calendar month."""
+    months = [r[0] for r in rows.select(F.trunc(date_col, "month")).distinct().collect() if r[0] is not None]
+    if months:
+        parts = " ".join(f"PARTITION ({MONTH} = DATE'{m.isoformat()}')" for m in sorted(months))
+        spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS {parts}")
+        spark.catalog.refreshTable(table)
+    return len(months)
 
 
 def comment_columns(spark: SparkSession, table: str, comments: Mapping[str, str]) -> None:

@@ -23,7 +23,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--scope", default="series", choices=["global", "series"], help="macro: watermark scope (Q6)")
     ap.add_argument("--start", help="macro: backfill the days after this one, whatever is stored already (yyyy-mm-dd)")
     ap.add_argument("--end", help="macro: last day of the backfill (default: a fixed span per kind)")
-    ap.add_argument("--db", help="equities: database of the fact tables, swapped in whole (default: folders under --lake)")
+    ap.add_argument("--db", help="equities: database of the fact tables, swapped in whole (default: folders under --lake); "
+                                 "macro: database of the raw tables, created if missing")
     args = ap.parse_args(argv)
     if args.end and not args.start:
         ap.error("--end needs --start")
@@ -33,7 +34,7 @@ def main(argv=None) -> dict:
     if args.job == "macro":
         from .plans.macro import run_job_from_extracts
         out = run_job_from_extracts(spark, args.extracts, args.lake, lookback=args.lookback, scope=args.scope,
-                                    start=args.start, end=args.end)
+                                    start=args.start, end=args.end, raw_db=args.db)
     else:
         from .plans.equities import run_job_from_extracts
         out = run_job_from_extracts(spark, args.extracts, args.lake, db=args.db)

@@ -256,8 +256,24 @@ def _accepted(df: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
             rejected(bad.select(*kept), kind, F.concat(F.lit("missing "), F.array_join(missing, ","))))
 
 
+def _raw_tables(spark, base: str, raw_db: str | None) -> dict[str, str]:
+    """Kind of extract -> its table in ``raw_db``, created if missing; none without a database."""
+    from ..catalog import RAW_TABLES, bootstrap_raw
+    if not raw_db:
+        return {}
+    bootstrap_raw(spark, base, raw_db)
+    return {kind: f"{raw_db}.{t}" for t, kind in RAW_TABLES.items()}
+
+
+def _declared(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` in the declared columns and types of its raw table; a column that the extract lacks is null."""
+    from ..schemas import RAW_SCHEMAS
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in RAW_SCHEMAS[kind].fields])
+
+
 def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks: bool = True,
-            scope: str = "series", rejects: DataFrame | None = None) -> dict:
+            scope: str = "series", rejects: DataFrame | None = None, raw_db: str | None = None) -> dict:
     """L1 end to end over stored tables under ``base``:
 
     1. raw: rows of each extract (``macro``/``quotes``/``fx`` frames in the raw shapes) that lack key, date or value go to
@@ -273,8 +289,10 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
 
     Returns row counts of the increments. Reruns are idempotent: a second run with the same extracts adds nothing.
     With ``run_checks`` rejected rows raise ``RejectedRows`` once all the others are stored: a corrected extract, a
-    later day or a backfill then takes their place.
+    later day or a backfill then takes their place. With ``raw_db`` the raw rows go into the tables of ``catalog.bootstrap_raw``
+    (created if missing) in their declared columns and types, and new months become partitions of them.
     """
+    from ..catalog import add_months
     from ..operators.incremental import newer_than_target, table_or_none
     from ..operators.quality import assert_empty, check_unique
     from ..operators.reshape import dedupe
@@ -282,16 +300,20 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     from ..sinks.tables import MONTH, append_new_keys, quarantine_write, replace_by_key_write
 
     base = base.rstrip("/")
+    tables = _raw_tables(spark, base, raw_db)
     counts, bad = {}, [] if rejects is None else [rejects]
     for kind, df in extracts.items():
         path = f"{base}/raw/{kind}"
         stored = table_or_none(spark, path)
-        df, wrong = _accepted(df, kind)
+        df, wrong = _accepted(_declared(df, kind) if raw_db else df, kind)
         bad.append(wrong)
         series, date, _ = RAW_SHAPE[kind]
         fresh = newer_than_target(df, stored, date, scope="series", series=[series])
         fresh = dedupe(fresh, RAW_KEYS[kind], [("dt_ingestao", "desc")] if "dt_ingestao" in df.columns else ())
-        counts[f"raw_{kind}"] = append_new_keys(spark, materialize_small(fresh), path, RAW_KEYS[kind], date)
+        fresh = materialize_small(fresh)
+        counts[f"raw_{kind}"] = append_new_keys(spark, fresh, path, RAW_KEYS[kind], date)
+        if raw_db:   # also where an earlier run ended between the append and this
+            add_months(spark, tables[kind], fresh if counts[f"raw_{kind}"] else df, date)
     refused = quarantine_write(spark, union_all(bad), f"{base}/quarantine") if bad else 0
 
     raw = {}
@@ -334,11 +356,16 @@ def run_job(spark, extracts: dict, base: str, lookback: str = "last", run_checks
     return counts
 
 
-def run_backfill(spark, extracts: dict, base: str, start, end=None, rejects: DataFrame | None = None) -> dict:
+def run_backfill(spark, extracts: dict, base: str, start, end=None, rejects: DataFrame | None = None,
+                 raw_db: str | None = None) -> dict:
     """L1 over a custom window: raw rows after ``start`` up to ``end`` (``fetch_window``: a default span per
-    kind) that are not stored yet, or stored with other values, replace theirs by key, whatever the watermark; the silver and
-    gold rows that come out new or different are tested and replace the stored ones in the months they touch. Idempotent. Rows that lack key, date or value
-    go to the quarantine, as in ``run_job``."""
+    kind) that are not stored yet, or stored with other values, replace theirs by key, whatever the watermark. Then only what
+    they can change is computed again: silver for the window's series, each from its first day in the window on (the raw row before it
+    seeds the variation), gold for those rows and, where the FX series is among them, for every row since. Rows that come out new or
+    different are tested and replace the stored ones in the months they touch. Idempotent; a rerun of the
+    window makes up for a run that ended in between. Rows that lack key, date or value
+    go to the quarantine, as in ``run_job``; so does ``raw_db``."""
+    from ..catalog import add_months
     from ..functions.fetch_window import fetch_window
     from ..operators.clean import after
     from ..operators.incremental import table_or_none
@@ -348,48 +375,108 @@ def run_backfill(spark, extracts: dict, base: str, start, end=None, rejects: Dat
     from ..sinks.tables import MONTH, quarantine_write, replace_by_key_write
 
     base = base.rstrip("/")
-    counts, raw, bad = {}, {}, [] if rejects is None else [rejects]
+    tables = _raw_tables(spark, base, raw_db)
+    counts, raw, firsts, bad, since = {}, {}, {}, [] if rejects is None else [rejects], None
     for kind, (series, date, value) in RAW_SHAPE.items():
         path, keys = f"{base}/raw/{kind}", RAW_KEYS[kind]
         stored = table_or_none(spark, path)
         if kind in extracts:
-            first, last = fetch_window({"quotes": "index"}.get(kind, kind), start=start, end=end)
-            rows, wrong = _accepted(extracts[kind], kind)
+            since, last = fetch_window({"quotes": "index"}.get(kind, kind), start=start, end=end)
+            rows, wrong = _accepted(_declared(extracts[kind], kind) if raw_db else extracts[kind], kind)
             bad.append(wrong)
-            rows = after(rows, date, first).filter(F.col(date) <= F.lit(last))
-            rows = dedupe(rows, keys, [("dt_ingestao", "desc")] if "dt_ingestao" in rows.columns else ())
+            rows = after(rows, date, since).filter(F.col(date) <= F.lit(last))
+            window = materialize_small(dedupe(rows, keys, [("dt_ingestao", "desc")] if "dt_ingestao" in rows.columns else ()))
+            firsts[kind] = materialize_small(first_days(window, kind))
+            rows = window
             if stored is not None:
                 same = [c for c in rows.columns if c in stored.columns and c != "dt_ingestao"]
                 old = stored.select(*[F.col(c).alias(f"__{c}") for c in same])
-                rows = rows.join(old, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in same], "left_anti")
-            rows = materialize_small(rows)
+                rows = materialize_small(rows.join(old, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in same], "left_anti"))
             counts[f"raw_{kind}"] = not rows.isEmpty()
             if counts[f"raw_{kind}"]:
                 replace_by_key_write(spark, rows, path, keys, date)
+            if raw_db:
+                add_months(spark, tables[kind], window, date)
             stored = table_or_none(spark, path)
-        raw[kind] = None if stored is None else stored.drop(MONTH)
+        raw[kind] = stored
     refused = quarantine_write(spark, union_all(bad), f"{base}/quarantine") if bad else 0
 
+    def recent(df):
+        """The months that the window can change: a filter on the partitions."""
+        return df.filter(F.col(MONTH) >= F.lit(since.replace(day=1)))
+
     def put(layer, fresh, checks, unique):
         path = f"{base}/{layer}"
         old = table_or_none(spark, path)
-        rows, counts[f"{layer}_changed"] = staged(fresh if old is None else _other(fresh, old), checks)
+        rows, counts[f"{layer}_changed"] = staged(fresh if old is None else _other(fresh, recent(old)), checks)
         if unique:
             assert_empty(check_unique(rows, SILVER_KEY), f"{layer} unique")
         replace_by_key_write(spark, rows, path, SILVER_KEY, "dataCotacao")
-        return table_or_none(spark, path).drop(MONTH)
-
-    args = (raw["macro"], raw["quotes"], raw["fx"])
-    if any(t is not None for t in args):
-        silver = put("silver", silver_variation(*args), SILVER_CHECKS, True)
-        if any(counts.get(f"raw_{kind}") for kind in RAW_SHAPE):
+        return table_or_none(spark, path)
+
+    args = tuple(None if raw[kind] is None else raw[kind].drop(MONTH) for kind in ("macro", "quotes", "fx"))
+    held = {kind: first for kind, first in firsts.items() if raw[kind] is not None}
+    silver_old, state = (table_or_none(spark, f"{base}/{t}") for t in ("silver", "state"))
+    if silver_old is None or state is None:
+        if any(t is not None for t in args):
+            silver = put("silver", silver_variation(*args), SILVER_CHECKS, True).drop(MONTH)
             materialize_small(raw_state(*args)).write.mode("overwrite").parquet(f"{base}/state")
-        put("gold", gold_returns(silver), GOLD_CHECKS, False)
+            put("gold", gold_returns(silver), GOLD_CHECKS, False)
+    elif held:
+        own = {kind: touched_series(raw[kind], first, kind) for kind, first in held.items()}
+        silver = put("silver", silver_touched({kind: (recent(df), df) for kind, df in own.items()}), SILVER_CHECKS, True)
+        states = union_all([series_state(df, *RAW_SHAPE[kind], kind) for kind, df in own.items()])
+        others = state.join(states.select("kind", "series"), ["kind", "series"], "left_anti")
+        materialize_small(others.unionByName(states)).write.mode("overwrite").parquet(f"{base}/state")
+        firsts = union_all([first.select(F.upper("series").alias("ticker"), "first_day") for first in held.values()])
+        gold_old = table_or_none(spark, f"{base}/gold")
+        rows = silver if gold_old is None else gold_touched(recent(silver), firsts)
+        put("gold", gold_returns(rows, usd_source=silver), GOLD_CHECKS, False)
     if refused:
         raise RejectedRows(f"{refused} rows of the extracts are in {base}/quarantine")
     return counts
 
 
+def first_days(rows: DataFrame, kind: str) -> DataFrame:
+    """(series, first_day): the first day of every series in ``rows``, raw rows that are new or restated."""
+    series, date, _ = RAW_SHAPE[kind]
+    return rows.groupBy(F.col(series).cast("string").alias("series")).agg(F.min(date).alias("first_day"))
+
+
+def touched_series(raw: DataFrame, firsts: DataFrame, kind: str) -> DataFrame:
+    """The raw rows of the series in ``firsts`` (one row per series), each with its ``first_day``."""
+    series = F.col(RAW_SHAPE[kind][0]).cast("string")
+    return raw.join(firsts.withColumnRenamed("series", "__series"), series == F.col("__series")).drop("__series")
+
+
+def silver_touched(own: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Silver rows of the touched series from their first touched day on. ``own`` holds per kind the ``touched_series`` twice: rows that
+    hold all from the first day on, and rows that hold all before it, whose last value seeds the variation."""
+    parts = []
+    for kind, (later, earlier) in own.items():
+        series, date, value = RAW_SHAPE[kind]
+        rows = later.filter(F.col(date) >= F.col("first_day")).drop("first_day")
+        if kind == "macro":
+            parts.append(silver_macro(rows))
+            continue
+        seeds = earlier.filter(F.col(date) < F.col("first_day")).groupBy(series).agg(
+            F.max_by(value, date).alias(value), F.max(date).alias(date))
+        parts.append((silver_quotes if kind == "quotes" else silver_fx)(rows, seeds))
+    return union_all(parts)
+
+
+def gold_touched(silver: DataFrame, firsts: DataFrame, fx_ticker: str = FX_TICKER) -> DataFrame:
+    """The silver rows whose gold rows may change: those of the tickers in ``firsts`` (ticker, first_day) from that day on, and
+    all rows since the first day of the FX series, which every later row looks back at."""
+    own = firsts.groupBy("ticker").agg(F.min("first_day").alias("__first"))
+    usd = own.filter(F.col("ticker") == fx_ticker).agg(F.min("__first")).first()[0]
+    day = F.col("dataCotacao")
+    hit = day >= F.col("__first")
+    if usd is not None:
+        hit = F.coalesce(hit, F.lit(False)) | (day >= F.lit(usd))
+    return silver.join(own, "ticker", "left").filter(hit).select(*SILVER_COLS)
+
+
 # T1/T3 of the layers: name -> predicate of the rows that fail.
 SILVER_CHECKS = {"silver not_null": "dataCotacao IS NULL OR ticker IS NULL OR fechamento IS NULL"}
 GOLD_CHECKS = {"gold singular": "dataCotacao IS NULL OR ticker IS NULL"}
@@ -439,7 +526,7 @@ def _landed(spark, extract_dir: str, series: dict | None, run_ts) -> tuple[dict[
 
 def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | None = None,
                           lookback: str = "last", run_ts=None, scope: str = "series",
-                          start=None, end=None) -> dict:
+                          start=None, end=None, raw_db: str | None = None) -> dict:
     """L1 from landed files: ``extract_dir/{macro/<name>, fx, index_daily}`` (JSON lines, one scan
     per kind over all series) -> raw rows (``plans.raw``) -> ``run_job``. Lines that are broken and values that do not
     convert go to the quarantine with file and reason.
@@ -447,8 +534,8 @@ def run_job_from_extracts(spark, extract_dir: str, base: str, series: dict | Non
     it (up to ``end``) is backfilled instead (``run_backfill``)."""
     extracts, rejects = _landed(spark, extract_dir, series, run_ts)
     if start is not None:
-        return run_backfill(spark, extracts, base, start, end, rejects=rejects)
-    return run_job(spark, extracts, base, lookback=lookback, scope=scope, rejects=rejects)
+        return run_backfill(spark, extracts, base, start, end, rejects=rejects, raw_db=raw_db)
+    return run_job(spark, extracts, base, lookback=lookback, scope=scope, rejects=rejects, raw_db=raw_db)
 
 
 # The gold table's column documentation.
@@ -469,7 +556,7 @@ def publish(spark, base: str, db: str = "gold", raw_db: str | None = "raw") -> l
     """Register the stored tables of ``run_job`` in the catalog (schema from the
     files, month partitions discovered) and document gold's columns. Returns the silver
     and gold names first, then the raw ones (``raw_db=None`` skips the raw layer)."""
-    from ..catalog import _q, comment_columns, ensure_database, register
+    from ..catalog import RAW_TABLES, _q, comment_columns, ensure_database, register
     from ..operators.incremental import table_or_none
     root = base.rstrip("/")
 
@@ -483,7 +570,7 @@ def publish(spark, base: str, db: str = "gold", raw_db: str | None = "raw") -> l
     comment_columns(spark, names[1], GOLD_COMMENTS)
     if raw_db:
         ensure_database(spark, raw_db)
-        for kind, table in (("macro", "indices_sgs"), ("fx", "cotacao_moedas"), ("quotes", "cotacoes_indices")):
+        for table, kind in RAW_TABLES.items():
             if table_or_none(spark, f"{root}/raw/{kind}") is not None:
                 names.append(reg(f"{raw_db}.{table}", f"{root}/raw/{kind}"))
     return names

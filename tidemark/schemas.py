@@ -29,6 +29,7 @@ RAW_QUOTES = _st(("dataCotacao", DT, True), ("ticker", S, True), ("codigoTicker"
                  ("corrigiuDividendos", B, True), ("volume", D, True), ("dataHoraCotacao", TS, True),
                  ("dt_ingestao", TS, False))
 RAW_KEYS = {"macro": ["cod_sgs", "data"], "fx": ["dataCotacao", "moeda"], "quotes": ["dataCotacao", "ticker"]}
+RAW_SCHEMAS = {"macro": RAW_MACRO, "fx": RAW_FX, "quotes": RAW_QUOTES}
 
 SILVER = _st(("dataCotacao", DT, True), ("indicador", S, True), ("ticker", S, True), ("tickernome", S, True),
              ("fechamento", D, True), ("variacao_diaria", D, True))
