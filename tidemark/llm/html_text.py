@@ -19,6 +19,7 @@ far as they are ASCII digits); repeated rows are rendered each; an empty table g
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -89,32 +90,36 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", {}, None)
-        self.depth: dict[str, int] = {}  # open elements by tag: spares a walk for tags that are not open
+        self.path: list[Node] = []             # open elements, the root's child first
+        self.depth: dict[str, list[int]] = {}  # where the open elements of a tag stand in it: no tag needs a walk
 
-    def _close(self, node: Node) -> None:
-        while True:
-            n, self.at = self.at, self.at.parent
-            self.depth[n.tag] -= 1
-            if n is node:
-                return
+    def _close(self, at: int) -> None:
+        """The open element at ``at`` and all in it."""
+        self.at = self.path[at].parent
+        for n in self.path[at:]:
+            self.depth[n.tag].pop()
+        del self.path[at:]
+
+    def _nearest(self, tags) -> int:
+        """Place of the innermost open element of these tags, -1 without one."""
+        return max((self.depth[t][-1] for t in tags if self.depth.get(t)), default=-1)
 
     def _close_open(self, tags, stops) -> None:
-        if not any(self.depth.get(t) for t in tags):
+        mine = [x for x in map(self.depth.get, tags) if x]
+        if not mine:
             return
-        n, last = self.at, None
-        while n.parent is not None and n.tag not in stops:
-            if n.tag in tags:
-                last = n
-            n = n.parent
-        if last is not None:
-            self._close(last)
+        stop = self._nearest(stops)
+        inside = [x[i] for x in mine if (i := bisect_right(x, stop)) < len(x)]
+        if inside:
+            self._close(min(inside))
 
     def _open(self, tag: str, attrs: dict) -> None:
         node = Node(tag, attrs, self.at)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
-            self.depth[tag] = self.depth.get(tag, 0) + 1
+            self.depth.setdefault(tag, []).append(len(self.path))
+            self.path.append(node)
 
     def handle_starttag(self, tag, attrs):
         if self.at.foreign and tag in BREAKOUT:
@@ -134,7 +139,7 @@ class _Builder(HTMLParser):
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if self.at.tag == tag and (self.at.foreign or tag == "foreignobject") and tag not in VOID:
-            self._close(self.at)  # elements of SVG and MathML may close themselves
+            self._close(len(self.path) - 1)  # elements of SVG and MathML may close themselves
 
     def parse_html_declaration(self, i):
         """Never raises: what is no comment, CDATA or doctype is a comment up to the next ``>``."""
@@ -150,13 +155,9 @@ class _Builder(HTMLParser):
             self._open("br", {})
         if not self.depth.get(tag) or tag in VOID:
             return
-        n, stops = self.at, (SCOPE - {tag} if tag not in ("table", "tr", "tbody", "thead", "tfoot", "html", "body") else ())
-        while n.parent is not None and n.tag != tag:
-            if n.tag in stops:
-                return
-            n = n.parent
-        if n.parent is not None:
-            self._close(n)
+        at = self.depth[tag][-1]
+        if tag in ("table", "tr", "tbody", "thead", "tfoot", "html", "body") or self._nearest(SCOPE - {tag}) < at:
+            self._close(at)
 
     def handle_data(self, data):
         self.at.children.append(data)
