@@ -14,7 +14,9 @@ consecutive windows that share one gram form a *piece* of less than 2 * length b
 3. The rest, pieces met once in a bucket with other pieces, are compared by ``repeated_windows``: per
    round one symbol (a word of eight bytes) of every piece is inserted into the collection's BWT, right to left, with the longest
    common prefixes of neighbours updated along; windows whose suffix shares ``length`` bytes with a neighbour
-   repeat. The partial BWT and prefix arrays live in files that every round reads and writes in order.
+   repeat. The partial BWT and prefix arrays live in files alone: a round reads them in order, block by block, and writes the
+   next ones, so memory holds a block and a few numbers per string and symbol. The folder is the task's own and temporary; a
+   task that is lost starts over.
    Buckets with more than ``HOT`` different pieces would not fit one task: their windows are counted by
    a 128-bit hash instead, map-side combined and spread by that hash.
 4. Marked windows are joined back to their occurrences and merged per document.
@@ -93,31 +95,38 @@ def pieces(text: bytes, length: int = LENGTH, k: int = K) -> tuple[np.ndarray, n
 
 
 class _Files:
-    """The arrays of a construction in two files each: a round reads one in order and writes the other over."""
-
-    def __init__(self, folder: str):
-        self.folder, self.turn, self.open = folder, 0, {}
-
-    def _file(self, name: str):
-        key = f"{name}-{self.turn}"
-        if key not in self.open:
-            self.open[key] = open(os.path.join(self.folder, key), "w+b", buffering=0)
-        self.open[key].seek(0)
-        return self.open[key]
-
-    def read(self, name: str, like: np.ndarray) -> np.ndarray:
-        """Into the array that was written (its memory holds the same already)."""
-        self._file(name).readinto(memoryview(like).cast("B"))
-        return like
-
-    def write(self, **arrays) -> None:
-        self.turn ^= 1
-        for name, a in arrays.items():
-            self._file(name).write(memoryview(a).cast("B"))
-
-    def close(self) -> None:
-        for f in self.open.values():
-            f.close()
+    """The partial BWT and prefixes of a construction: a round reads their files in order, in blocks of ``block`` rows, and writes
+    the next ones. Nothing else holds them."""
+
+    def __init__(self, folder: str, block: int = 1 << 18):
+        self.folder, self.block, self.turn = folder, block, 0
+
+    def path(self, name: str) -> str:
+        return os.path.join(self.folder, f"{name}-{self.turn}")
+
+    def blocks(self, **kinds):
+        """(first row, an array per name) of the files that the last round wrote."""
+        at = 0
+        with contextlib.ExitStack() as stack:
+            opened = [(stack.enter_context(open(self.path(n), "rb")), np.dtype(k)) for n, k in kinds.items()]
+            while True:
+                got = [np.fromfile(f, k, self.block) for f, k in opened]
+                if not len(got[0]):
+                    return
+                yield at, *got
+                at += len(got[0])
+
+    @contextlib.contextmanager
+    def next_round(self, *names):
+        """A function that appends arrays to the next files, which replace the last ones in the end."""
+        before = [self.path(n) for n in names]
+        self.turn += 1
+        with contextlib.ExitStack() as stack:
+            opened = [stack.enter_context(open(self.path(n), "wb")) for n in names]
+            yield lambda *arrays: [a.tofile(f) for a, f in zip(arrays, opened)]
+        for old in before:
+            if os.path.exists(old):
+                os.remove(old)
 
 
 def _sorted_order(a: np.ndarray) -> np.ndarray:
@@ -132,48 +141,113 @@ def collection_bwt(strings: list[np.ndarray], files: _Files, cap: int) -> tuple[
     """(bwt, lcp) of a collection of symbol strings, by inserting one symbol of every string per round, right to left.
 
     ``bwt`` holds symbol + 1 of what stands before each sorted suffix, 0 where the suffix is a whole string. End marks
-    are smaller than all symbols and ordered by string. ``lcp`` is shared with the row above, at most ``cap``."""
+    are smaller than all symbols and ordered by string. ``lcp`` is shared with the row above, at most ``cap``.
+
+    Both live in ``files``. A round reads them once to rank the new suffixes and to carry, per symbol, the smallest prefix since the
+    symbol was last met; it reads them again to write them with the new rows in place. Memory holds a block, one
+    number per string and three per symbol, whatever the number of rows. The results are the last files, mapped."""
     m = len(strings)
     size = np.array([len(s) for s in strings], np.int64)
     flat = np.concatenate(strings).astype(np.int64) + 1 if m else np.empty(0, np.int64)
     kind = np.uint16 if flat.max(initial=0) < 1 << 16 else np.uint32
     ends = np.cumsum(size)
-    bwt, lcp = np.zeros(m, kind), np.zeros(m, np.int16)
+    count = np.zeros(int(flat.max(initial=0)) + 2, np.int64)  # rows per symbol
+    kinds = {"bwt": kind, "lcp": np.int16}
+    with files.next_round(*kinds) as put:
+        for at in range(0, m, files.block):
+            n = min(files.block, m - at)
+            put(np.zeros(n, kind), np.zeros(n, np.int16))
     row, alive = np.arange(m), np.arange(m)  # the row of each string's last inserted suffix, ascending
     for j in range(1, int(size.max(initial=0)) + 1):
         on = size[alive] >= j
         alive, row = alive[on], row[on]
         sym = flat[ends[alive] - j]
-        bwt[row] = sym
-        # LF: the filled rows by symbol, then by row, are the suffixes extended by it, in their order
-        order = _sorted_order(bwt)[len(bwt) - np.count_nonzero(bwt):]
-        place = np.empty(len(bwt), np.int32)
-        place[order] = np.arange(len(order), dtype=np.int32)
-        rank = place[row]
-        final = m + rank  # after the m end marks
-        # common prefix with the neighbours above and below of the same first symbol: 1 + the smallest between
-        up = np.zeros(len(rank), np.int64)
-        has = rank > 0
-        prev = order[rank[has] - 1]
-        same = bwt[prev] == sym[has]
-        at, q = np.flatnonzero(has)[same], prev[same]
-        up[at] = np.minimum(cap, 1 + _range_min(lcp, q + 1, row[at] + 1))
-        has = rank + 1 < len(order)
-        nxt = order[rank[has] + 1]
-        same = bwt[nxt] == sym[has]
-        below, r = np.flatnonzero(has)[same], nxt[same]
-        down = np.minimum(cap, 1 + _range_min(lcp, row[below] + 1, r + 1))
-        new_bwt, new_lcp = np.zeros(m + len(order), kind), np.empty(m + len(order), np.int16)
-        old = np.ones(m + len(order), bool)
-        old[final] = False
-        new_bwt[old], new_lcp[old] = bwt, lcp
-        new_lcp[final] = up
-        new_lcp[final[below] + 1] = down
-        files.write(bwt=new_bwt, lcp=new_lcp)
-        bwt, lcp = files.read("bwt", new_bwt), files.read("lcp", new_lcp)
+        count += np.bincount(sym, minlength=len(count))
+        first = m + np.cumsum(count) - count  # LF: the place of a symbol's first row, after the m end marks
+        rows = m + int(count.sum()) - len(sym)
+        final, up, down = _ranked(files.blocks(**kinds), rows, row, sym, first, cap)
         by_row = np.argsort(final, kind="stable")
-        alive, row = alive[by_row], final[by_row].astype(np.int64)
-    return bwt, lcp
+        final, up, sym = final[by_row], up[by_row], sym[by_row]
+        before = final - np.arange(len(final))  # the old row that a new one comes before
+        at = 0
+        with files.next_round(*kinds) as put:
+            last = 0
+            for lo, b, lcp in _both(files, kinds):
+                x, y = np.searchsorted(row, (lo, lo + len(b)))
+                b[row[x:y] - lo] = flat[ends[alive[x:y]] - j]
+                here = np.searchsorted(before, lo + len(b)) if lo + len(b) < rows else len(before)
+                where, what = before[last:here] - lo, slice(last, here)
+                b = np.insert(b, where, 0)
+                lcp = np.insert(lcp, where, up[what])
+                u, v = np.searchsorted(down[0], (at, at + len(lcp)))
+                lcp[down[0][u:v] - at] = down[1][u:v]
+                put(b, lcp)
+                at, last = at + len(b), here
+        alive, row = alive[by_row], final
+    return tuple(np.memmap(files.path(n), k, "r") if m else np.empty(0, k) for n, k in kinds.items())
+
+
+def _both(files: _Files, kinds: dict):
+    """The blocks of the round before the one that is being written."""
+    was = _Files(files.folder, files.block)
+    was.turn = files.turn - 1
+    return was.blocks(**kinds)
+
+
+def _ranked(blocks, rows: int, row: np.ndarray, sym: np.ndarray, first: np.ndarray, cap: int):
+    """One pass over the ``rows`` partial rows: (new row, prefix shared with the row above) of each suffix in ``row`` (ascending)
+    that ``sym`` extends, and (rows, prefixes) of the rows below new ones."""
+    final, up = np.empty(len(row), np.int64), np.zeros(len(row), np.int16)
+    seen = np.zeros(len(first), np.int64)              # rows of a symbol so far
+    low = np.full(len(first), cap, np.int16)           # the smallest prefix since its last one
+    fresh = np.zeros(len(first), bool)                 # that last one is among ``row``
+    below = []
+    for lo, b, lcp in blocks:
+        x, y = np.searchsorted(row, (lo, lo + len(b)))
+        mine = row[x:y] - lo
+        b[mine] = sym[x:y]
+        order = _sorted_order(b)
+        order = order[len(b) - np.count_nonzero(b):]   # the filled rows by symbol, then by row
+        s = b[order]
+        at = np.empty(len(b), np.int32)
+        at[order] = np.arange(len(order), dtype=np.int32)
+        new = at[mine].astype(np.int64)
+        edge = np.append(True, s[1:] != s[:-1]) if len(s) else np.empty(0, bool)   # a symbol's first row in this block
+        after = new[new + 1 < len(s)] + 1
+        after = after[~edge[after]]
+        more = lo + len(b) < rows
+        if lo or more:
+            head = np.flatnonzero(edge)
+            sh = s[head].astype(np.int64)
+            after = np.concatenate((after, head[fresh[sh]]))
+        is_new = np.zeros(len(s), bool)
+        is_new[new] = True
+        after = after[~is_new[after]]
+        want = np.concatenate((new, after))
+        ws = s[want].astype(np.int64)
+        rank = seen[ws] + want - np.searchsorted(s, s[want])
+        # the smallest prefix since the row before of the symbol, this row's own included
+        since, at_edge = np.zeros(len(want), np.int64), edge[want]
+        inner = want[~at_edge]
+        since[~at_edge] = _range_min(lcp, order[inner - 1].astype(np.int64) + 1, order[inner].astype(np.int64) + 1)
+        if lo and at_edge.any():
+            since[at_edge] = np.minimum(low[ws[at_edge]], np.minimum.accumulate(lcp)[order[want[at_edge]]])
+        since = np.minimum(cap, since + 1)
+        place = first[ws] + rank
+        final[x:y] = place[:len(new)]
+        up[x:y] = np.where(rank > 0, since, 0)[:len(new)]
+        below.append((place[len(new):], since[len(new):]))
+        if more:
+            rising = np.append(np.minimum.accumulate(lcp[::-1])[::-1], np.int16(cap))
+            low = np.minimum(low, rising[0])
+            if len(s):
+                tail = np.append(head[1:], len(s)) - 1
+                seen[sh] += tail - head + 1
+                fresh[sh] = is_new[tail]
+                low[sh] = rising[order[tail] + 1]
+    place, since = (np.concatenate(z) for z in zip(*below))
+    by = np.argsort(place, kind="stable")
+    return final, up, (place[by], since[by])
 
 
 def _range_min(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -206,8 +280,14 @@ def repeated_windows(strings: list[bytes], length: int = LENGTH) -> list[np.ndar
     count = np.maximum(0, (size[:, None] - np.arange(width)) // width).ravel()
     phased = [ids[x:x + n * width:width] for x, n in zip(begin.tolist(), count.tolist())]
     m = len(phased)
-    with tempfile.TemporaryDirectory(prefix="bwt-") as folder, contextlib.closing(_Files(folder)) as files:
-        bwt, lcp = collection_bwt(phased, files, deep)
+    with tempfile.TemporaryDirectory(prefix="bwt-") as folder:
+        bwt, lcp = collection_bwt(phased, _Files(folder), deep)
+        return _marked(bwt, lcp, begin, count, first, size, width, length)
+
+
+def _marked(bwt, lcp, begin, count, first, size, width: int, length: int) -> list[np.ndarray]:
+    """The masks of ``repeated_windows`` from the finished arrays."""
+    m, deep = len(begin), length // width
     shared = lcp >= deep
     shared[:-1] |= lcp[1:] >= deep
     # walk every string from its end mark (row i) leftwards: LF over the final BWT
