@@ -14,7 +14,8 @@ consecutive windows that share one gram form a *piece* of less than 2 * length b
 3. The rest, pieces met once in a bucket with other pieces, are compared by ``repeated_windows``: per
    round one symbol (a word of eight bytes) of every piece is inserted into the collection's BWT, right to left, with the longest
    common prefixes of neighbours updated along; windows whose suffix shares ``length`` bytes with a neighbour
-   repeat. The partial BWT and prefix arrays live in files alone: a round reads them in order, block by block, and writes the
+   repeat. A word that a bucket holds once is left out and parts its piece, as nothing repeats across it. The partial BWT and
+   prefix arrays live in files alone: a round reads them in order, block by block, and writes the
    next ones, so memory holds a block and a few numbers per string and symbol. The folder is the task's own and temporary; a
    task that is lost starts over.
    Buckets with more than ``HOT`` different pieces would not fit one task: their windows are counted by
@@ -201,13 +202,15 @@ def _ranked(blocks, rows: int, row: np.ndarray, sym: np.ndarray, first: np.ndarr
     seen = np.zeros(len(first), np.int64)              # rows of a symbol so far
     low = np.full(len(first), cap, np.int16)           # the smallest prefix since its last one
     fresh = np.zeros(len(first), bool)                 # that last one is among ``row``
+    asked = np.zeros(len(first), bool)                 # symbols of this round; rows of others rank nothing
+    asked[sym] = True
     below = []
     for lo, b, lcp in blocks:
         x, y = np.searchsorted(row, (lo, lo + len(b)))
         mine = row[x:y] - lo
         b[mine] = sym[x:y]
-        order = _sorted_order(b)
-        order = order[len(b) - np.count_nonzero(b):]   # the filled rows by symbol, then by row
+        order = np.flatnonzero(asked[b]).astype(np.int32)
+        order = order[_sorted_order(b[order])]         # the rows of these symbols by symbol, then by row
         s = b[order]
         at = np.empty(len(b), np.int32)
         at[order] = np.arange(len(order), dtype=np.int32)
@@ -262,31 +265,59 @@ def _range_min(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_windows(strings: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each string a mask of its windows of ``length`` bytes that occur elsewhere in the collection.
+def _repeated_parts(words: np.ndarray, groups: np.ndarray, size: np.ndarray, width: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, bytes) of the maximal parts of the joined strings, at least ``length`` bytes long, whose words all occur twice or more in
+    their string's group. A repeated window holds such words only, so it lies in one part, and so do its copies."""
+    ends = np.cumsum(size)
+    inside = np.ones(len(words), bool)                 # the last words reach into the next string
+    for i in range(1, width):
+        inside[(ends - i)[size >= i]] = False
+    # hashes that collide count too many, so that a part is longer than it has to be
+    mixed = (words * _M) ^ np.repeat(groups.astype(np.int64).view(np.uint64) * _C, size)
+    at, n = np.unique(mixed[inside], return_inverse=True, return_counts=True)[1:]
+    inside[inside] = (n > 1)[at]
+    before, after = np.append(False, inside[:-1])[:len(inside)], np.append(inside[1:], False)[:len(inside)]
+    before[(ends - size)[size > 0]] = False
+    after[ends[size > 0] - 1] = False
+    start, stop = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + width
+    long = stop - start >= length
+    return start[long], (stop - start)[long]
+
+
+def repeated_windows(strings: list[bytes], length: int = LENGTH, groups: list[int] | None = None) -> list[np.ndarray]:
+    """For each string a mask of its windows of ``length`` bytes that occur elsewhere in the collection. ``groups``: a number per
+    string, if it is known that strings of different numbers share no window.
 
     A symbol is a word of ``width`` bytes, and a string enters once per phase, so that every window starts
-    at a symbol: as many suffixes as with single bytes, in a fraction of the rounds."""
+    at a symbol: as many suffixes as with single bytes, in a fraction of the rounds. What stands before and after a word
+    that occurs once in its group enters as parts of their own, without that word: no window across it repeats."""
     width = next(w for w in WIDTHS if length % w == 0)
     deep = length // width
     b = np.frombuffer(b"".join(strings) + b"\0" * width, np.uint8).astype(np.uint64)
-    word = b[:len(b) - width + 1].copy()
+    word = b[:len(b) - width].copy()
     for i in range(1, width):
-        word = (word << np.uint64(8)) | b[i:len(b) - width + 1 + i]
-    ids = np.unique(word, return_inverse=True)[1]
-    size = np.array([len(s) for s in strings], np.int64)
-    first = np.cumsum(size) - size
-    begin = (first[:, None] + np.arange(width)).ravel()  # string i in phase f is row i * width + f
-    count = np.maximum(0, (size[:, None] - np.arange(width)) // width).ravel()
+        word = (word << np.uint64(8)) | b[i:len(b) - width + i]
+    whole = np.array([len(s) for s in strings], np.int64)
+    first, size = _repeated_parts(word, np.array(groups if groups is not None else [0] * len(strings), np.int64), whole, width, length)
+    used = np.zeros(len(word) + 1, np.int8)
+    used[first] += 1
+    used[first + size - width + 1] -= 1
+    used = np.cumsum(used, dtype=np.int8)[:-1].astype(bool)
+    ids = np.zeros(len(word), np.int64)
+    ids[used] = np.unique(word[used], return_inverse=True)[1]
+    begin = (first[:, None] + np.arange(width)).ravel()  # part i in phase f is row i * width + f
+    count = ((size[:, None] - np.arange(width)) // width).ravel()
     phased = [ids[x:x + n * width:width] for x, n in zip(begin.tolist(), count.tolist())]
-    m = len(phased)
-    with tempfile.TemporaryDirectory(prefix="bwt-") as folder:
-        bwt, lcp = collection_bwt(phased, _Files(folder), deep)
-        return _marked(bwt, lcp, begin, count, first, size, width, length)
+    flags = np.zeros(len(word), bool)
+    if phased:
+        with tempfile.TemporaryDirectory(prefix="bwt-") as folder:
+            bwt, lcp = collection_bwt(phased, _Files(folder), deep)
+            _mark(flags, bwt, lcp, begin, count, width, length)
+    return [flags[x - n:max(x - n, x - length + 1)] for x, n in zip(np.cumsum(whole).tolist(), whole.tolist())]
 
 
-def _marked(bwt, lcp, begin, count, first, size, width: int, length: int) -> list[np.ndarray]:
-    """The masks of ``repeated_windows`` from the finished arrays."""
+def _mark(flags, bwt, lcp, begin, count, width: int, length: int) -> None:
+    """Sets ``flags`` where repeated windows begin, from the finished arrays."""
     m, deep = len(begin), length // width
     shared = lcp >= deep
     shared[:-1] |= lcp[1:] >= deep
@@ -294,7 +325,6 @@ def _marked(bwt, lcp, begin, count, first, size, width: int, length: int) -> lis
     order = _sorted_order(bwt)
     lf = np.empty(len(bwt), np.int64)
     lf[order] = np.arange(len(bwt)) - (len(bwt) - np.count_nonzero(bwt)) + m
-    flags = np.zeros(int(size.sum()) + width, bool)
     row, alive = np.arange(m), np.arange(m)
     for j in range(1, int(count.max(initial=0)) + 1):
         on = count[alive] >= j
@@ -302,7 +332,6 @@ def _marked(bwt, lcp, begin, count, first, size, width: int, length: int) -> lis
         if j >= deep:
             hit = alive[shared[row]]
             flags[begin[hit] + (count[hit] - j) * width] = True
-    return [flags[x:x + max(0, n - length + 1)] for x, n in zip(first.tolist(), size.tolist())]
 
 
 def _int_runs(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -326,7 +355,7 @@ def _compare(length: int):
 
         def flush():
             marks = []
-            for (mh, ch, _), mask in zip(rows, repeated_windows([r[2] for r in rows], length)):
+            for (mh, ch, _), mask in zip(rows, repeated_windows([r[2] for r in rows], length, [r[0] for r in rows])):
                 marks += [(mh, ch, a, b) for a, b in _int_runs(mask)]
             rows.clear()
             return _mark_rows(marks)
@@ -369,15 +398,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     def bytes_of(batches):
         for b in batches:
-            key, mh, ch, off, n, s = [], [], [], [], [], []
-            for x, t, ps in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                raw = t.encode()
-                for p in ps:
-                    piece = raw[p["off"]:p["off"] + p["n"] + length - 1]
-                    key.append(x), mh.append(p["mhash"]), off.append(p["off"]), n.append(p["n"]), s.append(piece)
-                    ch.append(xxhash.xxh3_64_intdigest(piece) - (1 << 63))
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(mh, pa.int64()), pa.array(ch, pa.int64()),
-                                              pa.array(off, pa.int32()), pa.array(n, pa.int32()), pa.array(s, pa.binary())],
+            ps, s, last = b.column(2), [], None
+            off, n, mh = ps.flatten().flatten()
+            which = np.repeat(np.arange(len(ps)), ps.value_lengths().to_numpy())
+            for i, at, w in zip(which.tolist(), off.to_pylist(), n.to_pylist()):
+                if i != last:
+                    raw, last = b.column(1)[i].as_py().encode(), i
+                s.append(raw[at:at + w + length - 1])
+            ch = pa.array([xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in s], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(which)), mh, ch, off, n, pa.array(s, pa.binary())],
                                              ["key", "mhash", "chash", "off", "n", "s"])
 
     cols = "key binary, mhash long, chash long, off int, n int, s binary"
