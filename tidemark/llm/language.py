@@ -4,7 +4,8 @@ The blended-spectrum presence kernel counts the character n-grams (n = 1..``N``)
 once however often it occurs, divided by the root of the product of their n-gram counts. N-grams are
 hashed to ``BUCKETS`` places. Per language ``LANDMARKS`` landmark texts span the Nyström feature space
 K_mm^(-1/2) k(x); ``TRAIN`` texts per language fit one ridge regression per language against the rest
-there. A batch of whole texts is scored by two matrix products: presence x landmarks, then x weights.
+there. A batch of whole texts is scored by two matrix products: presence x landmarks, then x weights. Landmarks stay packed
+(4 kB each) and are unpacked ``STEP`` at a time, 16 MB, so a worker's memory does not grow with the languages.
 
 Both samples are the different (id, text) rows with the smallest hash of their id, so the fit is the same on every run and a
 row that repeats counts once. Only the packed presence bits of the sample (4 kB a text, ``TRAIN`` texts for each of
@@ -29,7 +30,7 @@ LANDMARKS, TRAIN = 32, 256  # texts per language
 LANGS = 200  # languages that are learned at most
 RIDGE = 1e-2
 UNKNOWN = "und"
-PIECE, ROWS = 1 << 18, 128
+PIECE, ROWS, STEP = 1 << 18, 128, 128
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -56,6 +57,10 @@ def _matrix(texts: list[str]) -> np.ndarray:
     return m
 
 
+def _unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).astype(np.float32)
+
+
 class KernelRidge:
     """Landmarks, Nyström map and ridge weights; ``scores`` gives a row of class scores per text."""
 
@@ -68,13 +73,12 @@ class KernelRidge:
             if seen[c] <= LANDMARKS:
                 marks.append(i)
         self.marks = bits[marks]
-        self.unpack()
-        k = self.kernel(np.unpackbits(self.marks, axis=1).astype(np.float32))
+        k = np.vstack([self.kernel(_unpacked(self.marks[at:at + ROWS])) for at in range(0, len(marks), ROWS)])
         val, vec = np.linalg.eigh((k + k.T).astype(np.float64) / 2)
-        root = vec @ np.diag(np.where(val > 1e-6, 1 / np.sqrt(np.maximum(val, 1e-6)), 0)) @ vec.T
+        root = (vec * np.where(val > 1e-6, 1 / np.sqrt(np.maximum(val, 1e-6)), 0)) @ vec.T
         gram, right = np.zeros((len(marks) + 1,) * 2), np.zeros((len(marks) + 1, len(self.langs)))
         for at in range(0, len(bits), ROWS):
-            phi = self.kernel(np.unpackbits(bits[at:at + ROWS], axis=1).astype(np.float32)) @ root
+            phi = self.kernel(_unpacked(bits[at:at + ROWS])) @ root
             phi = np.hstack([phi, np.ones((len(phi), 1))])
             one = np.where(y[at:at + ROWS, None] == np.arange(len(self.langs)), 1.0, -1.0)
             gram += phi.T @ phi
@@ -85,16 +89,25 @@ class KernelRidge:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "cols"}
 
-    def unpack(self) -> None:
-        m = np.unpackbits(self.marks, axis=1).astype(np.float32)
-        self.cols = np.ascontiguousarray((m / np.sqrt(np.maximum(m.sum(axis=1, keepdims=True), 1))).T)
+    def landmarks(self):
+        """(first, columns of unit length) of ``STEP`` landmarks after the other; one step's are kept if there are no more."""
+        for at in range(0, len(self.marks), STEP):
+            cols = getattr(self, "cols", None)
+            if cols is None:
+                m = _unpacked(self.marks[at:at + STEP])
+                m /= np.sqrt(np.maximum(m.sum(axis=1, keepdims=True), 1))
+                cols = np.ascontiguousarray(m.T)
+                if len(self.marks) <= STEP:
+                    self.cols = cols
+            yield at, cols
 
     def kernel(self, x: np.ndarray) -> np.ndarray:
-        return (x @ self.cols) / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+        out = np.empty((len(x), len(self.marks)), np.float32)
+        for at, cols in self.landmarks():
+            out[:, at:at + STEP] = x @ cols
+        return out / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        if not hasattr(self, "cols"):
-            self.unpack()
         f = self.kernel(_matrix(texts)) @ self.weights + self.bias
         e = np.exp(4 * (f - f.max(axis=1, keepdims=True)))
         e /= e.sum(axis=1, keepdims=True)
