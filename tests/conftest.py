@@ -21,6 +21,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.maxMetadataStringLength", "2000")     # plans name whole paths, however long pytest's folder is
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemark-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
@@ -28,6 +29,17 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="module", autouse=True)
+def views_end_with_their_module():
+    """SHOW TABLES lists temporary views in every database, so those of one module would show up in another."""
+    yield
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    for t in s.catalog.listTables("default") if s else ():
+        if t.isTemporary:
+            s.catalog.dropTempView(t.name)
+
+
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
